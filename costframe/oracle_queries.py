@@ -155,3 +155,140 @@ LEFT JOIN network N ON {on('B', 'N')}""")
 
 SQL["storage_bucket_cost"] = _r4(False)
 SQL["storage_bucket_cost_by_account"] = _r4(True)
+
+
+# ---------------------------------------------------------------------------------------------
+# Spend questions and line-level operators
+# ---------------------------------------------------------------------------------------------
+import calendar  # noqa: E402
+import datetime as _dt  # noqa: E402
+
+from costframe.registry import (BUCKET_FRAGMENT, FEB_RANGE, FULL_RANGE, LB_NAME, MONTH,  # noqa: E402
+                                MONTHS)
+
+
+def _add_months(d: str, n: int) -> str:
+    x = _dt.date.fromisoformat(d)
+    m = x.month - 1 + n
+    y, m = x.year + m // 12, m % 12 + 1
+    return _dt.date(y, m, min(x.day, calendar.monthrange(y, m)[1])).isoformat()
+
+
+def _month_first_last(m: str) -> tuple[str, str]:
+    y, mm = int(m[:4]), int(m[4:])
+    return _dt.date(y, mm, 1).isoformat(), _dt.date(y, mm, calendar.monthrange(y, mm)[1]).isoformat()
+
+
+def _accounts(lo: str, hi: str) -> str:
+    """The four account tables, each pruned by the padded partition range."""
+    branches = "\n  UNION ALL\n  ".join(
+        f"SELECT * FROM billing_export WHERE billing_account_id = 'BA-{i}' "
+        f"AND partition_date BETWEEN DATE '{_add_months(lo, -1)}' AND DATE '{_add_months(hi, 1)}'"
+        for i in range(4))
+    return f"acct AS (\n  {branches}\n)"
+
+
+def _usage_between(a: str, b: str) -> str:
+    return f"{O.usage_date()} BETWEEN DATE '{a}' AND DATE '{b}'"
+
+
+_MODES = {
+    "raw": "SUM(cost)",
+    "credits_no_promotions": f"SUM(cost) + SUM({O.credit_sum(exclude_promotions=True)})",
+    "all_credits": f"SUM(cost) + SUM({O.credit_sum()})",
+}
+
+
+def _summary(keys: str, src: str, where: str = "TRUE") -> str:
+    return (f"SELECT {keys}, COUNT(*) AS n_lines, CAST(SUM(cost) AS DOUBLE) AS cost, "
+            f"CAST(SUM({O.net_cost()}) AS DOUBLE) AS net_cost FROM {src} WHERE {where} GROUP BY ALL")
+
+
+SQL["account_union"] = O.with_views(["billing"], f"""
+u AS (
+  {' UNION ALL '.join(f"SELECT * FROM billing_export WHERE billing_account_id = 'BA-{i}'" for i in range(4))}
+)
+{_summary('billing_account_id', 'u')}""")
+
+SQL["partition_padded_scan"] = O.with_views(["billing"], f"""
+{_accounts(*FEB_RANGE)}
+{_summary(f'{O.usage_date()} AS usage_date', 'acct', _usage_between(*FEB_RANGE))}""")
+
+
+def _by_mode(keys: str, src_where: str, out_keys: str = "") -> str:
+    sel = ", ".join(f"{v} AS {k}" for k, v in _MODES.items())
+    case = " ".join(f"WHEN '{k}' THEN {k}" for k in _MODES)
+    modes = ", ".join(f"('{k}')" for k in _MODES)
+    kk = (keys + ", ") if keys else ""
+    ok = (out_keys + ", ") if out_keys else ""
+    gb = "GROUP BY ALL" if keys else ""
+    return f"""
+agg AS (SELECT {kk}{sel} FROM acct WHERE {src_where} {gb})
+SELECT {ok}m.cost_mode, CAST(CASE m.cost_mode {case} END AS DOUBLE) AS cost
+FROM agg CROSS JOIN (VALUES {modes}) m(cost_mode)"""
+
+
+_m_first, _m_last = _month_first_last(MONTH)
+SQL["spend_total_month"] = O.with_views(["billing"], _accounts(_m_first, _m_last) + ",\n" + _by_mode(
+    "", f"invoice.month = '{MONTH}'"))
+_ms_first, _ms_last = _month_first_last(MONTHS[0])[0], _month_first_last(MONTHS[1])[1]
+SQL["spend_by_cost_mode"] = O.with_views(["billing"], _accounts(_ms_first, _ms_last) + ",\n" + _by_mode(
+    "invoice.month AS invoice_month", f"invoice.month BETWEEN '{MONTHS[0]}' AND '{MONTHS[1]}'", "invoice_month"))
+
+SQL["top_services"] = O.with_views(["billing"], f"""
+{_accounts(*FULL_RANGE)}
+SELECT service.id AS service_id, CAST({_MODES['all_credits']} AS DOUBLE) AS cost
+FROM acct WHERE {_usage_between(*FULL_RANGE)}
+GROUP BY service.id ORDER BY cost DESC NULLS LAST, service_id ASC NULLS LAST LIMIT 5""")
+
+SQL["top_projects_for_service"] = O.with_views(["billing"], f"""
+{_accounts(*FULL_RANGE)}
+SELECT project.id AS project_id, CAST({_MODES['credits_no_promotions']} AS DOUBLE) AS cost
+FROM acct WHERE {_usage_between(*FULL_RANGE)} AND service.id = '{C.COMPUTE_SERVICE_ID}'
+GROUP BY project.id ORDER BY cost DESC NULLS LAST, project_id ASC NULLS LAST LIMIT 5""")
+
+SQL["bucket_cost"] = O.with_views(["billing"], f"""
+{_accounts(*FULL_RANGE)}
+SELECT resource.global_name AS bucket_global_name, CAST({_MODES['raw']} AS DOUBLE) AS cost
+FROM acct WHERE {_usage_between(*FULL_RANGE)} AND contains(resource.global_name, '{BUCKET_FRAGMENT}')
+GROUP BY resource.global_name""")
+
+SQL["lb_cost_by_name"] = O.with_views(["billing"], f"""
+{_accounts(*FULL_RANGE)}
+SELECT resource.name AS forwarding_rule, invoice.month AS invoice_month,
+       CAST({_MODES['all_credits']} AS DOUBLE) AS cost
+FROM acct WHERE {_usage_between(*FULL_RANGE)} AND resource.name = '{LB_NAME}'
+  AND resource.global_name LIKE '%/forwardingRules/%'
+GROUP BY resource.name, invoice.month""")
+
+SQL["net_cost_lines"] = O.with_views(["billing"], f"""
+x AS (SELECT 1)
+SELECT billing_account_id, service.id AS service_id, sku.id AS sku_id, usage_start_time,
+       CAST(cost AS DOUBLE) AS cost, CAST({O.net_cost()} AS DOUBLE) AS net_cost
+FROM billing_export""")
+
+SQL["label_presence"] = O.with_views(["billing"], f"""
+x AS (SELECT 1)
+{_summary(f'{O.usage_date()} AS usage_date', 'billing_export', O.has_label('forwarding-rule-name'))}""")
+
+SQL["label_absence"] = O.with_views(["billing"], f"""
+x AS (SELECT 1)
+{_summary('service.id AS service_id', 'billing_export', O.lacks_label('forwarding-rule-name'))}""")
+
+SQL["unlabelled_lines"] = O.with_views(["billing"], f"""
+x AS (SELECT 1)
+{_summary('service.id AS service_id', 'billing_export', 'len(labels) = 0')}""")
+
+SQL["compute_category_counts"] = O.with_views(["billing"], f"""
+x AS (SELECT 1)
+{_summary(f'{O.compute_category()} AS sku_category', 'billing_export', f"service.id = '{C.COMPUTE_SERVICE_ID}'")}""")
+
+SQL["storage_category_counts"] = O.with_views(["billing"], f"""
+x AS (SELECT 1)
+{_summary(f'{O.storage_category()} AS sku_category', 'billing_export', f"service.id = '{C.STORAGE_SERVICE_ID}'")}""")
+
+SQL["usage_month_scaled"] = O.with_views(["billing"], f"""
+x AS (SELECT 1)
+SELECT {O.usage_date()} AS usage_date,
+       CAST(SUM(usage.amount_in_pricing_units * CAST(day(last_day({O.usage_date()})) AS INTEGER)) AS DOUBLE) AS total_usage
+FROM billing_export WHERE service.id = '{C.STORAGE_SERVICE_ID}' GROUP BY ALL""")

@@ -54,3 +54,105 @@ def q_storage_bucket_cost(spark, sf):
 @query("storage_bucket_cost_by_account")
 def q_storage_bucket_cost_by_account(spark, sf):
     return storage.storage_bucket_cost(fx.billing_export(spark, sf), by_account=True)
+
+
+# ---------------------------------------------------------------------------------------------
+# Spend questions over the four account tables (R9-R13) and line-level operators
+# ---------------------------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from costframe.constants import COMPUTE_SERVICE_ID  # noqa: E402
+from costframe.functions.labels import has_label, lacks_label, no_labels  # noqa: E402
+from costframe.functions.time import la_date  # noqa: E402
+from costframe.plans import lines, spend  # noqa: E402
+from costframe.sources.billing import union_accounts  # noqa: E402
+
+# A usage range that covers every fixture day (whole-table questions).
+FULL_RANGE = ("2023-12-01", "2024-04-30")
+FEB_RANGE = ("2024-02-01", "2024-02-29")
+MONTH = "202402"
+MONTHS = ("202312", "202404")
+BUCKET_FRAGMENT = "bkt-1"
+LB_NAME = "fr-3"
+
+
+@query("account_union")
+def q_account_union(spark, sf):
+    u = union_accounts(fx.account_tables(spark, sf))
+    return lines.summarize(u, F.col("billing_account_id"))
+
+
+@query("partition_padded_scan")
+def q_partition_padded_scan(spark, sf):
+    df = spend.scoped_lines(fx.account_tables(spark, sf), start=FEB_RANGE[0], end=FEB_RANGE[1])
+    return lines.summarize(df, la_date("usage_start_time").alias("usage_date"))
+
+
+@query("spend_total_month")
+def q_spend_total_month(spark, sf):
+    return spend.spend_total_month(fx.account_tables(spark, sf), MONTH)
+
+
+@query("spend_by_cost_mode")
+def q_spend_by_cost_mode(spark, sf):
+    return spend.spend_by_cost_mode(fx.account_tables(spark, sf), [F.col("invoice.month").alias("invoice_month")],
+                                    invoice_month=MONTHS[0], invoice_month_end=MONTHS[1])
+
+
+@query("top_services")
+def q_top_services(spark, sf):
+    return spend.top_services(fx.account_tables(spark, sf), *FULL_RANGE, cost_mode="all_credits", n=5)
+
+
+@query("top_projects_for_service")
+def q_top_projects_for_service(spark, sf):
+    return spend.top_projects_for_service(fx.account_tables(spark, sf), COMPUTE_SERVICE_ID, *FULL_RANGE,
+                                          cost_mode="credits_no_promotions", n=5)
+
+
+@query("bucket_cost")
+def q_bucket_cost(spark, sf):
+    return spend.bucket_cost(fx.account_tables(spark, sf), BUCKET_FRAGMENT, *FULL_RANGE, cost_mode="raw")
+
+
+@query("lb_cost_by_name")
+def q_lb_cost_by_name(spark, sf):
+    return spend.lb_cost_by_name(fx.account_tables(spark, sf), LB_NAME, *FULL_RANGE, cost_mode="all_credits")
+
+
+@query("net_cost_lines")
+def q_net_cost_lines(spark, sf):
+    return lines.net_cost_lines(fx.billing_export(spark, sf))
+
+
+@query("label_presence")
+def q_label_presence(spark, sf):
+    be = fx.billing_export(spark, sf).filter(has_label("forwarding-rule-name"))
+    return lines.summarize(be, la_date("usage_start_time").alias("usage_date"))
+
+
+@query("label_absence")
+def q_label_absence(spark, sf):
+    be = fx.billing_export(spark, sf).filter(lacks_label("forwarding-rule-name"))
+    return lines.summarize(be, F.col("service.id").alias("service_id"))
+
+
+@query("unlabelled_lines")
+def q_unlabelled_lines(spark, sf):
+    be = fx.billing_export(spark, sf).filter(no_labels())
+    return lines.summarize(be, F.col("service.id").alias("service_id"))
+
+
+@query("compute_category_counts")
+def q_compute_category_counts(spark, sf):
+    return lines.compute_category_counts(fx.billing_export(spark, sf))
+
+
+@query("storage_category_counts")
+def q_storage_category_counts(spark, sf):
+    return lines.storage_category_counts(fx.billing_export(spark, sf))
+
+
+@query("usage_month_scaled")
+def q_usage_month_scaled(spark, sf):
+    return lines.usage_month_scaled(fx.billing_export(spark, sf))
