@@ -205,20 +205,20 @@ def account_tables(spark: SparkSession, sf_dir: str, n: int = 4) -> list[DataFra
     return [be.filter(F.col("billing_account_id") == f"BA-{i}") for i in range(n)]
 
 
-def price_description_rows(match_plural: bool = False) -> list[tuple[int, str, bool, str]]:
-    """(slot, head, uses_place, tail): description = head || place (if uses_place) || tail.
-
-    One slot per pattern row, made into a matching price-list description, plus unmatched slots.
-    """
+def price_description_rows(match_plural: bool = False) -> list[tuple[int, str, bool, str, bool]]:
+    """(slot, head, uses_place, tail, three_year): one slot per pattern row made into a matching
+    price-list description, plus unmatched slots. The description is
+    head || place (if uses_place) || tail || 's' (3-year rows with an even p_partkey / 8)."""
     out = []
     for i, (_kind, _comp, first, last) in enumerate(pattern_rows(match_plural)):
         uses_place = first.endswith("%")
         head = first[:-1] + " " if uses_place else first
-        tail = "" if last is None else (" for 1 Year" if "1 Year" in last else " for 3 Years")
-        out.append((i, head, uses_place, tail))
+        three = last is not None and "3 Year" in last
+        tail = "" if last is None else (" for 3 Year" if three else " for 1 Year")
+        out.append((i, head, uses_place, tail, three))
     n = len(out)
     for k in range(UNMATCHED_PRICE_ROWS):
-        out.append((n + k, "Licence fee in ", True, f" (class {k})"))
+        out.append((n + k, "Licence fee in ", True, f" (class {k})", False))
     return out
 
 
@@ -227,7 +227,7 @@ def pricing_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey").filter(F.col("n_nationkey") < 3)
     slots = spark.createDataFrame(price_description_rows(),
-                                  "slot int, head string, uses_place boolean, tail string")
+                                  "slot int, head string, uses_place boolean, tail string, three_year boolean")
     n_slots = len(price_description_rows())
     p = F.col("p_partkey")
     x = part.crossJoin(F.broadcast(nation))
@@ -251,7 +251,9 @@ def pricing_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(100).cast(MONEY).alias("start_usage_amount"), money("0.000001").alias("usd_amount"))))
     acct_tiers = F.when(p % 11 == 0, F.array().cast(tier)).otherwise(F.array(
         F.struct(F.lit(0).cast(MONEY).alias("start_usage_amount"), money("0.000001").alias("usd_amount"))))
-    description = F.concat(F.col("head"), F.when(F.col("uses_place"), place).otherwise(F.lit("")), F.col("tail"))
+    plural = F.when(F.col("three_year") & ((p / 8).cast("bigint") % 2 == 0), F.lit("s")).otherwise(F.lit(""))
+    description = F.concat(F.col("head"), F.when(F.col("uses_place"), place).otherwise(F.lit("")),
+                           F.col("tail"), plural)
     pdate = F.date_add(F.lit(BASE_PRICE_DATE).cast("date"), F.col("n_nationkey"))
     out = x.select(
         F.struct(

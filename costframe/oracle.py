@@ -90,7 +90,8 @@ billing_export AS (
 
 def pricing_cte() -> str:
     slots = FX.price_description_rows()
-    values = ",\n    ".join(f"({i}, {_q(h)}, {'TRUE' if u else 'FALSE'}, {_q(t)})" for i, h, u, t in slots)
+    values = ",\n    ".join(f"({i}, {_q(h)}, {'TRUE' if u else 'FALSE'}, {_q(t)}, {'TRUE' if y else 'FALSE'})"
+                           for i, h, u, t, y in slots)
     places = _case("p_partkey % 6", [pl for pl, _ in FX.PRICE_PLACES])
     reg_whens = " ".join(
         f"WHEN {i} THEN " + (("[" + ", ".join(_q(g) for g in regs) + "]") if regs else "CAST([] AS VARCHAR[])")
@@ -103,14 +104,15 @@ def pricing_cte() -> str:
 
     tier = lambda start, amt: f"{{'start_usage_amount': CAST({start} AS DECIMAL(18,6)), 'usd_amount': {amt}}}"
     return f"""
-price_slots(slot, head, uses_place, tail) AS (VALUES
+price_slots(slot, head, uses_place, tail, three_year) AS (VALUES
     {values}
 ),
 pricing_export AS (
   SELECT
     {{'id': CASE WHEN p_partkey = 6 THEN '{C.CONFIDENTIAL_CPU_SKU}' WHEN p_partkey = 7 THEN '{C.CONFIDENTIAL_RAM_SKU}'
                 ELSE 'SKU-' || CAST(p_partkey AS VARCHAR) END,
-      'description': s.head || CASE WHEN s.uses_place THEN {places} ELSE '' END || s.tail}} AS sku,
+      'description': s.head || CASE WHEN s.uses_place THEN {places} ELSE '' END || s.tail
+                     || CASE WHEN s.three_year AND (p_partkey // 8) % 2 = 0 THEN 's' ELSE '' END}} AS sku,
     {{'id': CASE p_partkey % 4 WHEN 0 THEN '{C.STORAGE_SERVICE_ID}' WHEN 1 THEN '{C.PRICE_LIST_EXTRA_SERVICE_ID}'
                 ELSE '{C.COMPUTE_SERVICE_ID}' END}} AS service,
     {{'regions': CASE p_partkey % 6 {reg_whens} END}} AS geo_taxonomy,

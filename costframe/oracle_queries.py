@@ -292,3 +292,231 @@ x AS (SELECT 1)
 SELECT {O.usage_date()} AS usage_date,
        CAST(SUM(usage.amount_in_pricing_units * CAST(day(last_day({O.usage_date()})) AS INTEGER)) AS DOUBLE) AS total_usage
 FROM billing_export WHERE service.id = '{C.STORAGE_SERVICE_ID}' GROUP BY ALL""")
+
+
+# ---------------------------------------------------------------------------------------------
+# Price catalogue, SKU map, disk prices, fleet estimates
+# ---------------------------------------------------------------------------------------------
+from costframe.registry import COMPARISON_REGION  # noqa: E402
+
+_NEWEST = "partition_date = (SELECT max(partition_date) FROM pricing_export)"
+_SERVICES = ", ".join(f"'{s}'" for s in C.PRICE_LIST_SERVICES)
+
+
+def _first(book: str) -> str:
+    return f"CASE WHEN len({book}.tiered_rates) > 0 THEN {book}.tiered_rates[1].usd_amount END"
+
+
+_LP = f"lp AS (SELECT * FROM pricing_export WHERE {_NEWEST} AND service.id IN ({_SERVICES}))"
+_PP = f"""pp AS (
+  SELECT * FROM (SELECT sku.id AS sku_id, {_first('list_price')} AS list_price,
+                        {_first('billing_account_price')} AS account_price FROM lp)
+  WHERE list_price IS NOT NULL OR account_price IS NOT NULL
+)"""
+_SMAP = f"""snap_c AS (SELECT * FROM pricing_export WHERE {_NEWEST} AND service.id = '{C.COMPUTE_SERVICE_ID}'),
+sku_rows AS (
+  SELECT sku.id AS sku_id, sku.description AS description,
+    CASE WHEN contains(sku.description, 'Warsaw') THEN ['{C.WARSAW_REGION}']
+         WHEN lower(sku.description) LIKE '%delhi%' AND len(geo_taxonomy.regions) = 0 THEN ['{C.DELHI_REGION}']
+         ELSE geo_taxonomy.regions END AS regions
+  FROM snap_c
+),
+sku_match AS (
+  SELECT p.kind, p.component, r.sku_id, UNNEST(r.regions) AS region
+  FROM sku_rows r JOIN sku_patterns p
+    ON r.description LIKE p.like_first AND (p.like_last IS NULL OR r.description LIKE p.like_last)
+),
+smap AS (SELECT kind, component, region, max(sku_id) AS sku_id FROM sku_match GROUP BY kind, component, region)"""
+
+SQL["latest_prices"] = O.with_views(["pricing"], f"""
+{_LP}
+SELECT sku.id AS sku_id, sku.description AS sku_description,
+  CAST(len(COALESCE(list_price.tiered_rates, [])) AS BIGINT) AS n_list_tiers,
+  CAST(len(COALESCE(billing_account_price.tiered_rates, [])) AS BIGINT) AS n_account_tiers,
+  CAST({_first('list_price')} AS DOUBLE) AS list_price,
+  CAST({_first('billing_account_price')} AS DOUBLE) AS account_price,
+  CAST(export_time AS DATE) AS pricing_date
+FROM lp""")
+
+SQL["first_tier_prices"] = O.with_views(["pricing"], f"""
+{_LP},
+{_PP}
+SELECT sku_id, CAST(list_price AS DOUBLE) AS list_price, CAST(account_price AS DOUBLE) AS account_price FROM pp""")
+
+SQL["sku_price_lookup"] = O.with_views(["billing", "pricing"], f"""
+req AS (SELECT DISTINCT sku.id AS sku_id FROM billing_export),
+found AS (
+  SELECT sku.id AS sku_id, sku.description AS sku_description,
+         {_first('list_price')} AS list_price, {_first('billing_account_price')} AS account_price,
+         CAST(len(COALESCE(list_price.tiered_rates, [])) AS BIGINT) AS n_list_tiers,
+         CAST(export_time AS DATE) AS pricing_date
+  FROM pricing_export WHERE {_NEWEST}
+)
+SELECT r.sku_id, f.sku_description, CAST(f.list_price AS DOUBLE) AS list_price,
+       CAST(f.account_price AS DOUBLE) AS account_price, f.n_list_tiers, f.pricing_date,
+       CASE WHEN f.pricing_date IS NULL THEN 'SKU not found' END AS error
+FROM req r LEFT JOIN found f ON r.sku_id = f.sku_id""")
+
+SQL["sku_region_map"] = O.with_views(["pricing", "patterns"], f"""
+{_SMAP}
+SELECT kind, component, region, sku_id FROM smap""")
+
+_disk_cols = ",\n  ".join(
+    f"CAST(max(CASE WHEN term = '{t}' THEN pp.{b} END) AS DOUBLE) AS {t}_{b}"
+    for t in ("ondemand", "cud_1y", "cud_3y") for b in ("list_price", "account_price"))
+SQL["disk_prices"] = O.with_views(["pricing", "patterns"], f"""
+{_SMAP},
+{_LP},
+{_PP},
+d AS (
+  SELECT regexp_replace(component, '-cud-[13]y$', '') AS disk_type, region,
+         CASE WHEN regexp_matches(component, '-cud-1y$') THEN 'cud_1y'
+              WHEN regexp_matches(component, '-cud-3y$') THEN 'cud_3y' ELSE 'ondemand' END AS term,
+         sku_id
+  FROM smap WHERE kind = 'disk'
+)
+SELECT disk_type, region,
+  {_disk_cols}
+FROM d LEFT JOIN pp ON d.sku_id = pp.sku_id
+GROUP BY disk_type, region""")
+
+
+def _estimate(specs_cte: str, id_col: str, final_cols: str | None = None) -> str:
+    nd = "NOT contains(t, 'nvidia') AND NOT regexp_full_match(t, '[0-9]+')"
+    reqs = []
+    for term, base, suffix in (("ondemand", 0, None), ("cud_1y", 10, "-cud-1y"), ("cud_3y", 20, "-cud-3y")):
+        fam = (f"family || '{suffix}'" if suffix else
+               "family || CASE WHEN is_custom THEN '-custom' ELSE '-predefined' END")
+        sx = suffix or ""
+        parts = [
+            (base, "cpu", fam, "cpu * 730", "TRUE"),
+            (base + 1, "ram", fam, "ram_gb * 730", "TRUE"),
+            (base + 2, "gpu", f"gpu_type || '{sx}'", "gpu_count * 730", "gpu_type IS NOT NULL"),
+            (base + 3, "disk", "boot_type", "boot_gb", "TRUE"),
+            (base + 4, "disk", f"'local-ssd{sx}'", "local_ssd_gb", "has_local_ssd"),
+        ]
+        for seq, kind, comp, qty, cond in parts:
+            reqs.append((seq, term, kind, comp, qty, cond))
+    for term, base in (("ondemand", 30), ("cud_3y", 40)):
+        reqs.append((base, term, "sku", f"'{C.CONFIDENTIAL_CPU_SKU}'", "cpu * 730", "confidential"))
+        reqs.append((base + 2, term, "sku", f"'{C.CONFIDENTIAL_RAM_SKU}'", "ram_gb * 730", "confidential"))
+    req_sql = "\n  UNION ALL\n  ".join(
+        f"SELECT {id_col}, region, {seq} AS seq, '{term}' AS term, '{kind}' AS kind, {comp} AS component, "
+        f"CAST({qty} AS DECIMAL(22,10)) AS qty FROM parsed WHERE parse_status IS NULL AND ({cond})"
+        for seq, term, kind, comp, qty, cond in reqs)
+    sums = ",\n    ".join(
+        f"SUM(CASE WHEN term = '{t}' THEN fee_{b} END) AS {t}_{b}"
+        for t in ("ondemand", "cud_1y", "cud_3y") for b in ("l", "a"))
+    outs = ",\n  ".join(
+        f"CASE WHEN status = 'OK' THEN CAST(round(COALESCE({t}_{b}, 0), 2) AS DOUBLE) END AS {t}_{n}_price"
+        for t in ("ondemand", "cud_1y", "cud_3y") for b, n in (("l", "list"), ("a", "account")))
+    final = final_cols or f"""{id_col}, region, instance_type, disk_definition AS disk_type,
+  '{C.CALCULATION_PERIOD}' AS calculation_period,
+  {outs},
+  status"""
+    return f"""
+{_SMAP},
+{_LP},
+{_PP},
+{specs_cte},
+p1 AS (SELECT s.*, string_split(COALESCE(machine_definition, ''), '_') AS toks FROM specs s),
+p2 AS (
+  SELECT *,
+    list_filter(toks, lambda t: contains(t, 'nvidia'))[-1] AS gpu_type,
+    COALESCE(TRY_CAST(list_filter(toks, lambda t: NOT contains(t, 'nvidia') AND regexp_full_match(t, '[0-9]+'))[-1] AS INTEGER), 0) AS gpu_count,
+    len(list_filter(toks, lambda t: {nd} AND contains(t, 'tdx'))) > 0 AS confidential,
+    list_filter(toks, lambda t: {nd} AND NOT contains(t, 'tdx'))[-1] AS machine
+  FROM p1
+),
+p3 AS (
+  SELECT *, contains(machine, 'custom') AS is_custom, string_split(machine, '-') AS parts,
+    CASE WHEN disk_definition IS NULL OR disk_definition = '' THEN NULL ELSE string_split(disk_definition, '_') END AS dtoks
+  FROM p2
+),
+p4 AS (
+  SELECT *,
+    CASE WHEN machine IS NULL THEN NULL WHEN gpu_type IS NOT NULL
+         THEN gpu_type || '_' || CAST(gpu_count AS VARCHAR) || '_' || machine ELSE machine END AS instance_type,
+    CASE WHEN len(parts) = 4 THEN parts[1] ELSE 'n1' END AS c_family,
+    TRY_CAST(CASE WHEN len(parts) = 4 THEN parts[3] ELSE parts[-2] END AS DECIMAL(20,4)) AS c_cpu,
+    CAST(TRY_CAST(CASE WHEN len(parts) = 4 THEN parts[4] ELSE parts[-1] END AS DECIMAL(12,0))
+         * CAST('0.0009765625' AS DECIMAL(11,10)) AS DECIMAL(18,10)) AS c_ram,
+    CASE WHEN NOT contains(machine, 'custom') THEN
+      regexp_replace(regexp_replace(regexp_replace(machine, '-nps4', '', 'g'), '-[0-9]+lssd', '', 'g'), '-ssd[0-9]+t', '', 'g')
+    END AS lookup_name,
+    list_filter(dtoks, lambda t: contains(t, 'local-ssd'))[-1] AS local_tok,
+    list_filter(dtoks, lambda t: NOT contains(t, 'local-ssd'))[-1] AS boot_tok
+  FROM p3
+),
+p5 AS (
+  SELECT p4.*,
+    CASE WHEN dtoks IS NULL THEN FALSE ELSE local_tok IS NOT NULL END AS has_local_ssd,
+    CASE WHEN dtoks IS NOT NULL AND local_tok IS NOT NULL THEN TRY_CAST(string_split(local_tok, '-')[-1] AS INTEGER) END AS local_ssd_gb,
+    CASE WHEN dtoks IS NULL THEN 'pd-standard'
+         ELSE array_to_string(list_slice(string_split(boot_tok, '-'), 1, len(string_split(boot_tok, '-')) - 1), '-') END AS boot_type,
+    CASE WHEN dtoks IS NULL THEN 0 ELSE TRY_CAST(string_split(boot_tok, '-')[-1] AS INTEGER) END AS boot_gb,
+    dtoks IS NULL OR boot_tok IS NOT NULL AS boot_present,
+    CASE WHEN is_custom THEN c_family ELSE c.family END AS family,
+    CASE WHEN is_custom THEN c_cpu ELSE CAST(c.cpu AS DECIMAL(20,4)) END AS cpu,
+    CASE WHEN is_custom THEN c_ram ELSE CAST(c.ram_gb AS DECIMAL(18,10)) END AS ram_gb,
+    c.family AS cat_family
+  FROM p4 LEFT JOIN machine_catalog c ON c.machine_type = p4.lookup_name
+),
+parsed AS (
+  SELECT *,
+    CASE WHEN machine IS NULL THEN 'invalid machine definition'
+         WHEN is_custom AND (cpu IS NULL OR ram_gb IS NULL) THEN 'invalid custom machine type'
+         WHEN NOT is_custom AND cat_family IS NULL THEN 'unknown machine type'
+         WHEN NOT boot_present OR boot_gb IS NULL OR (has_local_ssd AND local_ssd_gb IS NULL) THEN 'invalid disk definition'
+    END AS parse_status
+  FROM p5
+),
+req AS (
+  {req_sql}
+),
+mapped AS (
+  SELECT r.*, CASE WHEN r.kind = 'sku' THEN r.component ELSE m.sku_id END AS sku_id
+  FROM req r LEFT JOIN smap m ON m.kind = r.kind AND m.component = r.component AND m.region = r.region
+),
+priced AS (
+  SELECT x.*, CAST(pp.list_price AS DECIMAL(12,6)) AS lp, CAST(pp.account_price AS DECIMAL(12,6)) AS ap
+  FROM mapped x LEFT JOIN pp ON pp.sku_id = x.sku_id
+),
+errs AS (
+  SELECT *,
+    CASE WHEN kind <> 'sku' AND sku_id IS NULL THEN seq
+         WHEN kind = 'sku' AND lp IS NULL THEN seq
+         WHEN kind = 'sku' AND ap IS NULL THEN seq + 1 END AS err_seq,
+    CASE WHEN kind <> 'sku' AND sku_id IS NULL THEN 'missing sku: ' || kind || ' ' || component || ' in ' || COALESCE(region, 'NULL')
+         WHEN kind = 'sku' AND lp IS NULL THEN 'missing list price: ' || sku_id
+         WHEN kind = 'sku' AND ap IS NULL THEN 'missing account price: ' || sku_id END AS err_msg,
+    COALESCE(lp, 0) * qty AS fee_l, COALESCE(ap, 0) * qty AS fee_a
+  FROM priced
+),
+agg AS (
+  SELECT {id_col}, arg_min(err_msg, err_seq) FILTER (WHERE err_msg IS NOT NULL) AS first_error,
+    {sums}
+  FROM errs GROUP BY {id_col}
+),
+res AS (
+  SELECT p.{id_col}, p.region, p.instance_type, p.disk_definition,
+         COALESCE(p.parse_status, a.first_error, 'OK') AS status,
+         a.ondemand_l, a.ondemand_a, a.cud_1y_l, a.cud_1y_a, a.cud_3y_l, a.cud_3y_a
+  FROM parsed p LEFT JOIN agg a ON p.{id_col} = a.{id_col}
+)
+SELECT {final}
+FROM res"""
+
+
+SQL["fleet_estimate"] = O.with_views(["pricing", "patterns", "catalog", "fleet"], _estimate(
+    "specs AS (SELECT spec_id, machine_definition, disk_definition, region FROM fleet_specs)", "spec_id"))
+
+SQL["machine_comparison"] = O.with_views(["pricing", "patterns", "catalog", "fleet"], _estimate(
+    f"specs AS (SELECT DISTINCT machine_definition AS machine_type, machine_definition, "
+    f"CAST(NULL AS VARCHAR) AS disk_definition, '{COMPARISON_REGION}' AS region FROM fleet_specs)",
+    "machine_type",
+    final_cols="""machine_type,
+  CASE WHEN status = 'OK' THEN CAST(round(COALESCE(ondemand_l, 0), 2) AS DOUBLE) END AS ondemand_list_price,
+  CASE WHEN status = 'OK' THEN CAST(round(COALESCE(ondemand_a, 0), 2) AS DOUBLE) END AS ondemand_account_price,
+  CASE WHEN status = 'OK' THEN CAST(round(COALESCE(cud_3y_a, 0), 2) AS DOUBLE) END AS cud_3y_account_price,
+  status"""))

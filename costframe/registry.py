@@ -156,3 +156,69 @@ def q_storage_category_counts(spark, sf):
 @query("usage_month_scaled")
 def q_usage_month_scaled(spark, sf):
     return lines.usage_month_scaled(fx.billing_export(spark, sf))
+
+
+# ---------------------------------------------------------------------------------------------
+# Price catalogue (X1-X4), disk prices (R7), fleet estimates (R6) and comparisons
+# ---------------------------------------------------------------------------------------------
+from costframe.plans import estimate, prices, skumap  # noqa: E402
+from costframe.plans.prices import first_tier  # noqa: E402
+
+COMPARISON_REGION = "us-east4"
+
+
+def _sku_map(spark, sf):
+    return skumap.sku_region_map(fx.pricing_export(spark, sf), skumap.pattern_table(spark))
+
+
+def _price_pairs(spark, sf):
+    return prices.first_tier_prices(fx.pricing_export(spark, sf))
+
+
+@query("latest_prices")
+def q_latest_prices(spark, sf):
+    lp = prices.latest_prices(fx.pricing_export(spark, sf))
+    empty = F.array().cast("array<struct<start_usage_amount:decimal(18,6),usd_amount:decimal(18,6)>>")
+    return lp.select(
+        "sku_id", "sku_description",
+        F.size(F.coalesce("list_price.tiered_rates", empty)).cast("bigint").alias("n_list_tiers"),
+        F.size(F.coalesce("billing_account_price.tiered_rates", empty)).cast("bigint").alias("n_account_tiers"),
+        first_tier("list_price").cast("double").alias("list_price"),
+        first_tier("billing_account_price").cast("double").alias("account_price"),
+        "pricing_date")
+
+
+@query("first_tier_prices")
+def q_first_tier_prices(spark, sf):
+    fp = _price_pairs(spark, sf)
+    return fp.select("sku_id", F.col("list_price").cast("double").alias("list_price"),
+                     F.col("account_price").cast("double").alias("account_price"))
+
+
+@query("sku_price_lookup")
+def q_sku_price_lookup(spark, sf):
+    requested = fx.billing_export(spark, sf).select(F.col("sku.id").alias("sku_id")).distinct()
+    return prices.sku_price_lookup(fx.pricing_export(spark, sf), requested)
+
+
+@query("sku_region_map")
+def q_sku_region_map(spark, sf):
+    return _sku_map(spark, sf)
+
+
+@query("disk_prices")
+def q_disk_prices(spark, sf):
+    return prices.disk_prices(_sku_map(spark, sf), _price_pairs(spark, sf))
+
+
+@query("fleet_estimate")
+def q_fleet_estimate(spark, sf):
+    return estimate.fleet_estimate(fx.fleet_specs(spark, sf), fx.machine_catalog(spark),
+                                   _sku_map(spark, sf), _price_pairs(spark, sf))
+
+
+@query("machine_comparison")
+def q_machine_comparison(spark, sf):
+    machines = fx.fleet_specs(spark, sf).select("machine_definition").distinct()
+    return estimate.machine_comparison(machines, COMPARISON_REGION, fx.machine_catalog(spark),
+                                       _sku_map(spark, sf), _price_pairs(spark, sf))
