@@ -520,3 +520,79 @@ SQL["machine_comparison"] = O.with_views(["pricing", "patterns", "catalog", "fle
   CASE WHEN status = 'OK' THEN CAST(round(COALESCE(ondemand_a, 0), 2) AS DOUBLE) END AS ondemand_account_price,
   CASE WHEN status = 'OK' THEN CAST(round(COALESCE(cud_3y_a, 0), 2) AS DOUBLE) END AS cud_3y_account_price,
   status"""))
+
+
+# ---------------------------------------------------------------------------------------------
+# Monitoring reports and sinks
+# ---------------------------------------------------------------------------------------------
+_NAT_KEYS = ", ".join(C.NAT_SERIES_LABELS)
+_GIB = float(C.BYTES_PER_GIB)
+SQL["nat_fee"] = O.with_views(["pricing", "patterns", "metrics"], f"""
+{_SMAP},
+{_LP},
+{_PP},
+agg AS (
+  SELECT {_NAT_KEYS}, {O.la_date('ts')} AS usage_date,
+    SUM(CASE WHEN metric = '{C.NAT_RECEIVED_METRIC}' THEN "value" END) AS rx,
+    SUM(CASE WHEN metric = '{C.NAT_SENT_METRIC}' THEN "value" END) AS tx
+  FROM metric_points
+  WHERE metric IN ('{C.NAT_RECEIVED_METRIC}', '{C.NAT_SENT_METRIC}') AND resource_type = '{C.GCE_INSTANCE}'
+  GROUP BY ALL
+),
+nat AS (
+  SELECT m.region, CAST(pp.account_price AS DOUBLE) AS price
+  FROM smap m LEFT JOIN pp ON pp.sku_id = m.sku_id
+  WHERE m.kind = 'nat' AND m.component = 'nat-data'
+),
+g AS (
+  SELECT {_NAT_KEYS}, usage_date, COALESCE(rx, 0.0) / {_GIB} AS received_bytes_count,
+         COALESCE(tx, 0.0) / {_GIB} AS sent_bytes_count
+  FROM agg
+)
+SELECT g.*, nat.price * (g.received_bytes_count + g.sent_bytes_count) AS nat_fee_usd
+FROM g LEFT JOIN nat ON g.region = nat.region""")
+
+SQL["ndjson_roundtrip"] = SQL["nat_fee"]
+
+_ALL_LABELS = ", ".join(["project_id", "nat_gateway_name", "region", "psm", "instance_name", "inner_ip",
+                         "bucket_name", "storage_class"])
+_OC = ", ".join(C.OBJECT_COUNT_GROUP)
+SQL["object_count"] = O.with_views(["metrics"], f"""
+per_series AS (
+  SELECT {_ALL_LABELS}, {O.la_date('ts')} AS usage_date, avg("value") AS m
+  FROM metric_points
+  WHERE metric = '{C.OBJECT_COUNT_METRIC}' AND resource_type = '{C.GCS_BUCKET}'
+  GROUP BY ALL
+)
+SELECT {_OC}, usage_date, round(avg(m), 6) AS object_count
+FROM per_series GROUP BY {_OC}, usage_date""")
+
+SQL["day_replace_table"] = SQL["compute_instance_cost"]
+
+_LBJ = O.with_views(["billing"], f"""
+r2_lines AS (
+  SELECT billing_account_id AS billing_name, invoice.month AS invoice_month,
+         {O.usage_date()} AS usage_date, project.id AS project_id,
+         {O.net_cost()} AS total_cost,
+         {O.label('forwarding-rule-name')} AS forwarding_rule_name
+  FROM billing_export
+  WHERE service.id = '{C.COMPUTE_SERVICE_ID}' AND {O.has_label('forwarding-rule-name')}
+),
+lb AS (
+  SELECT billing_name, invoice_month, usage_date, project_id,
+         COALESCE(forwarding_rule_name, '--') AS forwarding_rule_name,
+         SUM(total_cost) AS SUBTOTAL_USD
+  FROM r2_lines
+  GROUP BY billing_name, invoice_month, usage_date, project_id, r2_lines.forwarding_rule_name
+),
+top AS (
+  SELECT * FROM lb
+  ORDER BY billing_name ASC NULLS FIRST, invoice_month ASC NULLS FIRST, usage_date ASC NULLS FIRST,
+           project_id ASC NULLS FIRST, forwarding_rule_name ASC NULLS FIRST
+  LIMIT 100
+)
+SELECT CAST(to_json({{'billing_name': billing_name, 'invoice_month': invoice_month, 'usage_date': usage_date,
+  'project_id': project_id, 'forwarding_rule_name': forwarding_rule_name,
+  'SUBTOTAL_USD': CAST(SUBTOTAL_USD AS VARCHAR)}}) AS VARCHAR) AS json
+FROM top""")
+SQL["json_rows"] = _LBJ

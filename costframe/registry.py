@@ -222,3 +222,59 @@ def q_machine_comparison(spark, sf):
     machines = fx.fleet_specs(spark, sf).select("machine_definition").distinct()
     return estimate.machine_comparison(machines, COMPARISON_REGION, fx.machine_catalog(spark),
                                        _sku_map(spark, sf), _price_pairs(spark, sf))
+
+
+# ---------------------------------------------------------------------------------------------
+# Monitoring reports (R5, R8) and sinks (K1, K2+S8, K4)
+# ---------------------------------------------------------------------------------------------
+from costframe.plans import metrics  # noqa: E402
+from costframe.schema import NAT_REPORT  # noqa: E402
+from costframe.session import scratch_path  # noqa: E402
+from costframe.sinks import files as sink_files  # noqa: E402
+from costframe.sinks import tables as sink_tables  # noqa: E402
+from costframe.sources.ndjson import read_ndjson  # noqa: E402
+
+FIXTURE_DAYS = ("2023-12-31", "2024-03-30")   # every LA usage day of the billing fixture
+
+
+@query("nat_fee")
+def q_nat_fee(spark, sf):
+    return metrics.nat_traffic(fx.metric_points(spark, sf), _sku_map(spark, sf), _price_pairs(spark, sf))
+
+
+@query("object_count")
+def q_object_count(spark, sf):
+    return metrics.object_count(fx.metric_points(spark, sf))
+
+
+@query("ndjson_roundtrip")
+def q_ndjson_roundtrip(spark, sf):
+    """R5 written as NDJSON day files (K2), loaded back with the report schema."""
+    root = scratch_path(spark, "nat-ndjson")
+    nat = metrics.nat_traffic(fx.metric_points(spark, sf), _sku_map(spark, sf), _price_pairs(spark, sf))
+    sink_files.write_ndjson_days(nat, root)
+    return read_ndjson(spark, root, NAT_REPORT).select(*NAT_REPORT.fieldNames())
+
+
+@query("day_replace_table")
+def q_day_replace_table(spark, sf):
+    """R1 backfilled into a day-partitioned table, one day re-run (idempotent), table read back."""
+    import datetime as dt
+    path = scratch_path(spark, "compute-report")
+    report = compute.compute_instance_cost(fx.billing_export(spark, sf))
+    first, last = (dt.date.fromisoformat(d) for d in FIXTURE_DAYS)
+    days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+    sink_tables.backfill_days(report, path, days)
+    day_report = compute.compute_instance_cost(fx.billing_export(spark, sf), target_date=REPORT_DAY)
+    sink_tables.replace_day(day_report, path, REPORT_DAY)
+    t = sink_tables.read_report_table(spark, path)
+    return t.select(*report.columns)
+
+
+@query("json_rows")
+def q_json_rows(spark, sf):
+    """First 100 rows of the load-balancer report as JSON objects (decimals as strings)."""
+    lb = compute.load_balancer_cost(fx.billing_export(spark, sf), money_as_double=False)
+    order = [F.col(c).asc_nulls_first() for c in
+             ("billing_name", "invoice_month", "usage_date", "project_id", "forwarding_rule_name")]
+    return sink_files.rows_to_json(lb, order)
