@@ -99,12 +99,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def billing_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One billing line per lineitem (FIXTURES.md, `billing_export`)."""
-    li = _table(spark, sf_dir, "lineitem").select(
+def _spread(df: DataFrame) -> DataFrame:
+    """Round-robin over the cluster when the scan gives fewer splits than cores.
+
+    The driver's tables are single-row-group files, which parquet cannot split, so the per-line
+    work would run in one task. Real exports (many files / row groups) already have more splits
+    than cores, and then nothing is added (no shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
+def billing_export(spark: SparkSession, sf_dir: str, account: int | None = None) -> DataFrame:
+    """One billing line per lineitem (FIXTURES.md, `billing_export`).
+
+    With `account`, only that billing account's lines (orders with o_custkey % 4 = account):
+    the per-account tables of the multi-account union.
+    """
+    li = _spread(_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax")
+        "l_discount", "l_tax"))
     od = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    if account is not None:
+        od = od.filter(F.col("o_custkey") % 4 == account)
     j = li.join(od, li.l_orderkey == od.o_orderkey)
 
     h = F.col("l_orderkey") * 7 + F.col("l_linenumber")
@@ -201,8 +220,7 @@ def billing_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def account_tables(spark: SparkSession, sf_dir: str, n: int = 4) -> list[DataFrame]:
     """The four per-account billing tables: the export split by billing account."""
-    be = billing_export(spark, sf_dir)
-    return [be.filter(F.col("billing_account_id") == f"BA-{i}") for i in range(n)]
+    return [billing_export(spark, sf_dir, account=i) for i in range(n)]
 
 
 def price_description_rows(match_plural: bool = False) -> list[tuple[int, str, bool, str, bool]]:
@@ -224,7 +242,7 @@ def price_description_rows(match_plural: bool = False) -> list[tuple[int, str, b
 
 def pricing_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three price snapshots: part x nations 0..2 (FIXTURES.md, `pricing_export`)."""
-    part = _table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    part = _spread(_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice"))
     nation = _table(spark, sf_dir, "nation").select("n_nationkey").filter(F.col("n_nationkey") < 3)
     slots = spark.createDataFrame(price_description_rows(),
                                   "slot int, head string, uses_place boolean, tail string, three_year boolean")
@@ -274,7 +292,7 @@ def pricing_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monitoring points from events (FIXTURES.md, `metric_points`)."""
-    ev = _table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value")
+    ev = _spread(_table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value"))
     u = F.col("user_id")
     et = F.col("event_type")
     metric = (F.when(et.isin("view", "click"), NAT_RECEIVED_METRIC)
@@ -306,7 +324,7 @@ def machine_catalog(spark: SparkSession) -> DataFrame:
 def fleet_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One machine spec per part (FIXTURES.md, `fleet_specs`)."""
     p = F.col("p_partkey")
-    return _table(spark, sf_dir, "part").select(
+    return _spread(_table(spark, sf_dir, "part")).select(
         p.cast("bigint").alias("spec_id"),
         _pick(p % 8, FLEET_MACHINES).alias("machine_definition"),
         F.when(p % 3 == 0, F.lit(FLEET_DISK)).alias("disk_definition"),

@@ -1,9 +1,11 @@
 """Storage bucket cost report.
 
 Plan: one scan of storage lines -> per-line category and sanitised SKU name -> ONE aggregate to
-(account, month, day, project, region, bucket, category, sku name) -> hash-partitioned once on
-the five join keys. The spine, the storage / class A / class B branches and the network pivot
-all read that one exchange (Spark reuses it), so the four left joins need no further shuffle.
+(account, month, day, project, region, bucket, category, sku name), written once as a parquet
+table in the shared checkpoint folder. The spine, the storage / class A / class B branches and
+the network pivot read that small table; the bill lines are scanned once. Per join key the
+inputs hold at most one row per (account, SKU name), so the join fan-out is bounded by distinct
+SKUs, never by line counts (a hot bucket cannot blow up a join task).
 
 Kept on purpose (documented quirks): the joins do not use the billing account (accounts sharing a
 bucket/project/region/day multiply; `by_account=True` joins on it), a bucket with several storage
@@ -23,6 +25,7 @@ from costframe.functions.categories import sanitize_name, storage_category
 from costframe.functions.costs import net_cost
 from costframe.functions.labels import label_value
 from costframe.functions.time import days_in_month, la_date
+from costframe.operators.materialize import materialize
 from costframe.operators.pivot import fixed_pivot_sum, row_total
 from costframe.plans.common import apply_day_filters, money_to_double
 from costframe.schema import MONEY
@@ -56,8 +59,8 @@ def storage_bucket_cost(billing: DataFrame, target_date=None, date_range=None, p
     keys = list(JOIN_KEYS) + (["billing_name"] if by_account else [])
     grain = list(SPINE) + ["sku_category", "sku_description"]
     pre = lines.groupBy(*grain).agg(F.sum("total_cost").alias("cost"), F.sum("total_usage").alias("usage"))
-    # One shuffle on the join keys; everything below keeps this partitioning.
-    pre = pre.repartition(*keys)
+    # Aggregated once and written to the shared folder; the spine and the four branches read it.
+    pre = materialize(pre, "storage-preagg")
 
     spine = pre.select(*SPINE).distinct()
     storage = pre.filter(F.col("sku_category") == STORAGE_CAT).select(

@@ -14,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costframe.session import checkpoint_root
+from costframe.operators.materialize import materialize
 
 
 def _day_str(d) -> str:
@@ -44,11 +44,14 @@ def backfill_days(df: DataFrame, path: str, days: Iterable, partition_col: str =
     folders of listed days without rows are removed (so they read as empty, like `replace_day`)."""
     wanted = sorted({_day_str(d) for d in days})
     rows = df.filter(F.col(partition_col).isin([F.lit(d).cast("date") for d in wanted]))
-    # Reliable checkpoint in the shared folder: the write and the list of written days read the
-    # same materialised rows (no second run of the upstream plan, lineage cut for retries).
-    checkpoint_root(df.sparkSession)
-    rows = rows.checkpoint(eager=True)
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # Written once to the shared folder: the write and the list of written days read the same
+    # materialised rows (no second run of the upstream plan, lineage cut for retries).
+    rows = materialize(rows, "backfill-rows")
+    # Range partitioning on (day, row hash): each task writes a few consecutive days (few files
+    # per day) while a large day is still split over several tasks by the hash.
+    spread = F.xxhash64(*[F.col(c) for c in rows.columns])
+    ordered = rows.repartitionByRange(partition_col, spread)
+    (ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).format(fmt).save(path))
     spark = df.sparkSession
     fs, _ = _hadoop_fs(spark, path)
