@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from costframe.constants import (COMPUTE_SERVICE_ID, GCE_INSTANCE, GCS_BUCKET, NAT_RECEIVED_METRIC,
                                  NAT_SENT_METRIC, OBJECT_COUNT_METRIC, PRICE_LIST_EXTRA_SERVICE_ID,
                                  STORAGE_SERVICE_ID, CONFIDENTIAL_CPU_SKU, CONFIDENTIAL_RAM_SKU)
 from costframe.operators.joins import broadcast_if_small
+from costframe.operators.local import local_table
 from costframe.plans.skumap import pattern_rows
 from costframe.schema import BILLING_EXPORT, MACHINE_CATALOG, MONEY, PRICING_EXPORT
 
@@ -244,8 +246,10 @@ def pricing_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three price snapshots: part x nations 0..2 (FIXTURES.md, `pricing_export`)."""
     part = _spread(_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice"))
     nation = _table(spark, sf_dir, "nation").select("n_nationkey").filter(F.col("n_nationkey") < 3)
-    slots = spark.createDataFrame(price_description_rows(),
-                                  "slot int, head string, uses_place boolean, tail string, three_year boolean")
+    slots = local_table(spark, price_description_rows(), T.StructType([
+        T.StructField("slot", T.IntegerType()), T.StructField("head", T.StringType()),
+        T.StructField("uses_place", T.BooleanType()), T.StructField("tail", T.StringType()),
+        T.StructField("three_year", T.BooleanType())]))
     n_slots = len(price_description_rows())
     p = F.col("p_partkey")
     x = part.crossJoin(F.broadcast(nation))
@@ -318,7 +322,7 @@ def metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def machine_catalog(spark: SparkSession) -> DataFrame:
     """Machine-type catalogue (name -> family, vCPU, GiB); a dimension table."""
-    return spark.createDataFrame(list(MACHINE_CATALOG_ROWS), MACHINE_CATALOG)
+    return local_table(spark, MACHINE_CATALOG_ROWS, MACHINE_CATALOG)
 
 
 def fleet_specs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,8 @@ DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 def estimated_size_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of `df`'s plan (no job is run); None when unavailable."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size) if isinstance(size, int) else int(size.toString())
     except Exception:  # pragma: no cover - e.g. Spark Connect sessions
         return None
 

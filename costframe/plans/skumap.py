@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from costframe.constants import COMPUTE_SERVICE_ID, DELHI_REGION, WARSAW_REGION
 from costframe.operators.joins import broadcast_if_small
+from costframe.operators.local import local_table
 from costframe.schema import SKU_PATTERNS
 from costframe.sources.pricing import latest_snapshot
 
@@ -107,7 +108,7 @@ def pattern_rows(match_plural: bool = False) -> list[tuple[str, str, str, str |
 
 
 def pattern_table(spark: SparkSession, match_plural: bool = False) -> DataFrame:
-    return spark.createDataFrame(pattern_rows(match_plural), SKU_PATTERNS)
+    return local_table(spark, pattern_rows(match_plural), SKU_PATTERNS)
 
 
 def sku_region_map(pricing: DataFrame, patterns: DataFrame) -> DataFrame:
