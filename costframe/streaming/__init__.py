@@ -1,0 +1,7 @@
+"""Streaming.
+
+The source application has no streaming operators: its reports are daily batch recomputations of
+a day (late billing lines are absorbed by re-running that day, see `costframe.plans.daily` and
+`costframe.sinks.tables.replace_day`). No watermark, window or state semantics exist to carry over,
+so this package deliberately holds no operators.
+"""

@@ -49,3 +49,18 @@ def test_object_count_is_mean_of_series_means(spark):
     out = metrics.object_count(pts).collect()
     # series means 20 and 100 -> 60 (one flat average would give 40)
     assert [r.object_count for r in out] == [60.0]
+
+
+def test_nat_daily_job_roundtrip(spark, tmp_path):
+    from costframe.plans import daily
+    from costframe.sinks.tables import read_report_table
+    pts = spark.createDataFrame([_pt(NAT_RECEIVED_METRIC, "p1", GIB), _pt(NAT_SENT_METRIC, "p1", GIB)],
+                                METRIC_POINTS)
+    smap = spark.createDataFrame([("nat", "nat-data", "r1", "N1")], SKU_MAP)
+    pp = spark.createDataFrame([("N1", Decimal("0.5"), Decimal("0.045"))],
+                               "sku_id string, list_price decimal(18,6), account_price decimal(18,6)")
+    day = daily.run_nat_report(pts, smap, pp, str(tmp_path / "nat"), str(tmp_path / "table"), run_date="2024-01-12")
+    assert day == "2024-01-10"
+    got = read_report_table(spark, str(tmp_path / "table")).collect()
+    assert [(r.received_bytes_count, r.sent_bytes_count) for r in got] == [(1.0, 1.0)]
+    assert got[0].nat_fee_usd == pytest.approx(0.09)

@@ -116,3 +116,13 @@ def test_day_replace_idempotent_and_empty_day(spark):
     left = tables.read_report_table(spark, path).select("usage_date").collect()
     assert [r.usage_date for r in left] == [dt.date(2024, 2, 15)]
     assert Decimal  # keep import used
+
+
+def test_daily_job_replaces_report_day(spark):
+    from costframe.plans import daily
+    rows = [line(start=dt.datetime(2024, 2, 14, 12), cost="1"), line(start=dt.datetime(2024, 2, 15, 12), cost="2")]
+    path = os.path.join(tempfile.mkdtemp(prefix="costframe-daily-"), "t")
+    day = daily.run_billing_report("compute_instance", billing_df(spark, rows), path, run_date="2024-02-16")
+    assert day == "2024-02-14"
+    got = tables.read_report_table(spark, path).select("usage_date", "SUBTOTAL").collect()
+    assert [(r.usage_date, r.SUBTOTAL) for r in got] == [(dt.date(2024, 2, 14), 1.0)]
