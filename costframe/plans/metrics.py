@@ -30,11 +30,14 @@ def _days(points: DataFrame, target_date, date_range, tz: str) -> DataFrame:
 
 
 def nat_traffic(points: DataFrame, sku_map: DataFrame, prices: DataFrame, target_date=None,
-                date_range=None, tz: str = BILLING_TZ) -> DataFrame:
+                date_range=None, tz: str = BILLING_TZ, projects=None) -> DataFrame:
     """NAT GiB received / sent per (project, gateway, region, psm, instance, inner ip, day) and
-    the fee = account price of the region's NAT SKU x (received + sent). No SKU or price: NULL fee."""
+    the fee = account price of the region's NAT SKU x (received + sent). No SKU or price: NULL fee.
+    `projects` optionally restricts the monitored projects."""
     pts = points.filter(F.col("metric").isin(NAT_RECEIVED_METRIC, NAT_SENT_METRIC)
                         & (F.col("resource_type") == GCE_INSTANCE))
+    if projects is not None:
+        pts = pts.filter(F.col("project_id").isin(list(projects)))
     pts = _days(pts, target_date, date_range, tz)
     day = la_date("ts", tz).alias("usage_date")
     agg = pts.groupBy(*NAT_SERIES_LABELS, day).agg(
@@ -55,10 +58,16 @@ def nat_traffic(points: DataFrame, sku_map: DataFrame, prices: DataFrame, target
 
 
 def object_count(points: DataFrame, target_date=None, date_range=None, tz: str = BILLING_TZ,
-                 digits: int | None = 6) -> DataFrame:
+                 digits: int | None = 6, project: str | None = None,
+                 bucket_name: str | None = None) -> DataFrame:
     """Daily mean object count per (project, bucket, region, storage class): the mean per
-    series (all labels) and day first, then the mean of those means."""
+    series (all labels) and day first, then the mean of those means. `project` / `bucket_name`
+    optionally narrow the series (the bucket is matched on its label)."""
     pts = points.filter((F.col("metric") == OBJECT_COUNT_METRIC) & (F.col("resource_type") == GCS_BUCKET))
+    if project is not None:
+        pts = pts.filter(F.col("project_id") == project)
+    if bucket_name is not None:
+        pts = pts.filter(F.col("bucket_name") == bucket_name)
     pts = _days(pts, target_date, date_range, tz).withColumn("usage_date", la_date("ts", tz))
     out = two_level_mean(pts, list(METRIC_LABELS) + ["usage_date"], list(OBJECT_COUNT_GROUP) + ["usage_date"],
                          value="value", out="object_count")

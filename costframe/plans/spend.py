@@ -41,12 +41,15 @@ def scoped_lines(tables: Tables, *, start=None, end=None, invoice_month: str | N
 
 
 def spend(tables: Tables, cost_mode: str, group_by: Sequence[Column] = (), where: Column | None = None,
-          **scope) -> DataFrame:
-    """Cost under `cost_mode` per `group_by` (one row when empty) within the time scope."""
+          having: Column | None = None, **scope) -> DataFrame:
+    """Cost under `cost_mode` per `group_by` (one row when empty) within the time scope.
+    `where` filters lines before the aggregate, `having` filters groups after it (on `cost`)."""
     df = scoped_lines(tables, **scope)
     if where is not None:
         df = df.filter(where)
     out = df.groupBy(*group_by).agg(cost_mode_sums(cost_mode).alias("cost"))
+    if having is not None:
+        out = out.filter(having)
     return money_to_double(out)
 
 

@@ -54,7 +54,9 @@ def storage_lines(billing: DataFrame, target_date=None, date_range=None, pad_day
 
 def storage_bucket_cost(billing: DataFrame, target_date=None, date_range=None, pad_days=None,
                         by_account: bool = False, null_safe: bool = False,
-                        money_as_double: bool = True) -> DataFrame:
+                        money_as_double: bool = True, display_order: bool = False) -> DataFrame:
+    """R4. `display_order=True` sorts by storage cost (descending) for display; the row set is
+    the same (an order means nothing to a table insert)."""
     lines = storage_lines(billing, target_date, date_range, pad_days)
     keys = list(JOIN_KEYS) + (["billing_name"] if by_account else [])
     grain = list(SPINE) + ["sku_category", "sku_description"]
@@ -110,4 +112,6 @@ def storage_bucket_cost(billing: DataFrame, target_date=None, date_range=None, p
         F.coalesce("NETWORK_PRICE", zero).alias("NETWORK_PRICE"),
         F.coalesce(OTHERS_CAT, zero).alias(OTHERS_CAT),
     )
+    if display_order:
+        out = out.orderBy(F.col("STORAGE").desc())
     return money_to_double(out) if money_as_double else out

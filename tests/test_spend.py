@@ -58,3 +58,11 @@ def test_bucket_fragment_is_literal(spark):
     out = spend.bucket_cost(billing_df(spark, rows), "a_b", "2024-02-01", "2024-02-29").collect()
     assert [(r.bucket_global_name, r.cost) for r in out] == [("//s/buckets/a_b", 1.0)]
     assert dt  # keep import
+
+
+def test_where_and_having(spark):
+    rows = [line(sku_id="A", cost="1"), line(sku_id="A", cost="2"), line(sku_id="B", cost="10")]
+    out = spend.spend(billing_df(spark, rows), "raw", [F.col("sku.id").alias("sku_id")],
+                      where=F.col("sku.id") != "X", having=F.col("cost") > 5,
+                      start="2024-02-01", end="2024-02-29").collect()
+    assert [(r.sku_id, r.cost) for r in out] == [("B", 10.0)]
