@@ -25,17 +25,22 @@ def utc_bounds(first, last, tz: str = BILLING_TZ) -> tuple[dt.datetime, dt.datet
     return a.replace(tzinfo=None), b.replace(tzinfo=None)
 
 
-def local_day_filter(first, last=None, ts: str = "usage_start_time", tz: str = BILLING_TZ) -> Column:
+def local_day_filter(first, last=None, ts: str = "usage_start_time", tz: str = BILLING_TZ,
+                     exact: bool = False) -> Column:
     """Billing-zone day of `ts` within [first, last] (last defaults to first).
 
-    Besides the exact day test, the equivalent UTC range on the raw column is added: that one is
-    a plain comparison, so it reaches the parquet scan as a pushed filter (row-group skipping).
+    Expressed as the equivalent UTC instant range [local midnight of first, local midnight after
+    last) on the raw column: a plain comparison, so it reaches the parquet scan as a pushed filter
+    (row-group skipping) and costs no time-zone conversion per row. `exact=True` adds the
+    per-row day test as well (same result; for zones whose midnight can fall in a DST gap).
     """
     last = first if last is None else last
     lo, hi = utc_bounds(first, last, tz)
     raw = F.col(ts)
-    exact = la_date(ts, tz).between(F.lit(_as_date(first)), F.lit(_as_date(last)))
-    return (raw >= F.lit(lo).cast("timestamp_ntz")) & (raw < F.lit(hi).cast("timestamp_ntz")) & exact
+    cond = (raw >= F.lit(lo).cast("timestamp_ntz")) & (raw < F.lit(hi).cast("timestamp_ntz"))
+    if exact:
+        cond = cond & la_date(ts, tz).between(F.lit(_as_date(first)), F.lit(_as_date(last)))
+    return cond
 
 
 def partition_pad_filter(first, last=None, pad_days: int | None = None,

@@ -96,3 +96,14 @@ def test_billing_day_in_los_angeles(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     d = spark.createDataFrame([(dt.date(2024, 2, 14),), (dt.date(2023, 2, 1),)], "d date")
     assert _one(d, days_in_month(F.col("d"))) == [29, 28]
+
+
+def test_utc_range_equals_local_day_test(spark):
+    from costframe.plans.common import local_day_filter
+    base = dt.datetime(2024, 3, 8)
+    ts = [base + dt.timedelta(minutes=15 * i) for i in range(4 * 24 * 6)]   # across the DST change
+    df = spark.createDataFrame([(t,) for t in ts], "ts timestamp_ntz")
+    a = df.filter(local_day_filter("2024-03-09", "2024-03-11", ts="ts")).count()
+    b = df.filter(la_date("ts").between(dt.date(2024, 3, 9), dt.date(2024, 3, 11))).count()
+    c = df.filter(local_day_filter("2024-03-09", "2024-03-11", ts="ts", exact=True)).count()
+    assert a == b == c == (24 * 3 - 1) * 4     # three local days, one of 23 hours
