@@ -115,7 +115,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver's table (a plain parquet scan). The DataFrame is kept per session and path so
     repeated derivations do not re-list files and re-read footers; it is re-executed on every
     use (nothing is cached in memory)."""
-    key = (id(spark._jsparkSession), f"{sf_dir}/{name}.parquet")
+    key = (id(spark), f"{sf_dir}/{name}.parquet")
     df = _READS.get(key)
     if df is None or df.sparkSession is not spark:
         df = _READS[key] = spark.read.parquet(key[1])
@@ -129,10 +129,12 @@ def _spread(df: DataFrame) -> DataFrame:
     work would run in one task. Real exports (many files / row groups) already have more splits
     than cores, and then nothing is added (no shuffle).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the plan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def _typed(exprs: dict[str, str], schema) -> list[str]:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from costframe.constants import (CALCULATION_PERIOD, CONFIDENTIAL_CPU_SKU, CONFIDENTIAL_RAM_SKU,
                                  DEFAULT_BOOT_DISK, HOURS_PER_MONTH, LOCAL_SSD, MACHINE_SUFFIX_PATTERNS)
-from costframe.operators.joins import broadcast_if_small
+from costframe.operators.joins import broadcast_dimension, broadcast_if_small
 
 QTY = "decimal(22,10)"
 PRICE = "decimal(12,6)"
@@ -167,11 +167,12 @@ def fleet_estimate(specs: DataFrame, catalog: DataFrame, sku_map: DataFrame, pri
     keys = [id_col, "region", "instance_type", "disk_definition", "parse_status"]
     reqs = parsed.select(*keys, F.when(F.col("parse_status").isNull(), _requests()).alias("reqs"))
     ex = reqs.select(*keys, F.explode_outer("reqs").alias("r")).select(*keys, "r.*")
-    smap = broadcast_if_small(sku_map.select("kind", "component", "region", F.col("sku_id").alias("map_sku")))
+    smap = broadcast_dimension(sku_map.select("kind", "component", "region", F.col("sku_id").alias("map_sku")),
+                               "sku-map")
     ex = ex.join(smap, ["kind", "component", "region"], "left")
     ex = ex.withColumn("sku_id", F.when(F.col("kind") == "sku", F.col("component")).otherwise(F.col("map_sku")))
-    pr = broadcast_if_small(prices.select("sku_id", F.col("list_price").cast(PRICE).alias("lp"),
-                                          F.col("account_price").cast(PRICE).alias("ap")))
+    pr = broadcast_dimension(prices.select("sku_id", F.col("list_price").cast(PRICE).alias("lp"),
+                                           F.col("account_price").cast(PRICE).alias("ap")), "price-pairs")
     ex = ex.join(pr, "sku_id", "left")
     direct = F.col("kind") == "sku"
     err = (F.when(F.col("kind").isNull(), F.lit(None))

@@ -16,7 +16,7 @@ from costframe.constants import (BILLING_TZ, BYTES_PER_GIB, GCE_INSTANCE, GCS_BU
                                  NAT_SENT_METRIC, NAT_SERIES_LABELS, OBJECT_COUNT_GROUP, OBJECT_COUNT_METRIC)
 from costframe.functions.time import la_date
 from costframe.operators.aggregates import two_level_mean
-from costframe.operators.joins import broadcast_if_small
+from costframe.operators.joins import broadcast_dimension
 from costframe.plans.common import local_day_filter
 from costframe.schema import METRIC_LABELS
 
@@ -51,7 +51,7 @@ def nat_traffic(points: DataFrame, sku_map: DataFrame, prices: DataFrame, target
            .select("region", "sku_id")
            .join(prices.select("sku_id", F.col("account_price").cast("double").alias("_price")), "sku_id", "left")
            .select("region", "_price"))
-    out = agg.join(broadcast_if_small(nat), "region", "left")
+    out = agg.join(broadcast_dimension(nat, "nat-price"), "region", "left")
     return out.select(*NAT_SERIES_LABELS, "usage_date", "received_bytes_count", "sent_bytes_count",
                       (F.col("_price") * (F.col("received_bytes_count") + F.col("sent_bytes_count")))
                       .alias("nat_fee_usd"))

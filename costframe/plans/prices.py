@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costframe.constants import PRICE_LIST_SERVICES
-from costframe.operators.joins import broadcast_if_small
+from costframe.operators.joins import broadcast_dimension
 from costframe.plans.common import money_to_double
 from costframe.sources.pricing import latest_snapshot
 
@@ -53,7 +53,7 @@ def sku_price_lookup(pricing: DataFrame, requested: DataFrame) -> DataFrame:
         first_tier("billing_account_price").alias("account_price"),
         F.size(F.coalesce(F.col("list_price.tiered_rates"), F.array())).cast("bigint").alias("n_list_tiers"),
         "pricing_date")
-    out = requested.select("sku_id").join(broadcast_if_small(found), "sku_id", "left")
+    out = requested.select("sku_id").join(broadcast_dimension(found, "snapshot"), "sku_id", "left")
     out = out.withColumn("error", F.when(F.col("pricing_date").isNull(), F.lit(SKU_NOT_FOUND)))
     return money_to_double(out)
 
@@ -67,7 +67,7 @@ def disk_prices(sku_map: DataFrame, prices: DataFrame) -> DataFrame:
         F.regexp_replace("component", r"-cud-[13]y$", "").alias("disk_type"), "region",
         F.when(term == "", "ondemand").otherwise(F.concat(F.lit("cud_"), term, F.lit("y"))).alias("term"),
         "sku_id")
-    priced = disk.join(broadcast_if_small(prices), "sku_id", "left")
+    priced = disk.join(broadcast_dimension(prices, "price-pairs"), "sku_id", "left")
     aggs = []
     for t in ("ondemand", "cud_1y", "cud_3y"):
         for col, name in (("list_price", "list_price"), ("account_price", "account_price")):

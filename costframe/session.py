@@ -39,12 +39,17 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str =
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written intermediate tables."""
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: only the session conf is visible
+        sc = None
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         # Local tests only: nothing names a shared folder, so take a fresh one.
         root = tempfile.mkdtemp(prefix="costframe-ckpt-")
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 

@@ -25,8 +25,9 @@ def test_no_python_in_plan(spark, name):
 
 def test_dimensions_are_broadcast(spark):
     plan = _plan(QUERIES["fleet_estimate"](spark, SF0001))
-    assert plan.count("BroadcastHashJoin") >= 3       # catalogue, SKU map, prices
-    assert "BroadcastNestedLoopJoin" in plan           # LIKE patterns against the price rows
+    assert plan.count("BroadcastHashJoin") >= 3       # catalogue, SKU map, prices (measured, written)
+    smap = _plan(QUERIES["sku_region_map"](spark, SF0001))
+    assert "BroadcastNestedLoopJoin" in smap           # LIKE patterns against the price rows
 
 
 def test_broadcast_guard_falls_back(spark):
@@ -41,3 +42,13 @@ def test_column_pruning_at_scan(spark):
     # only the lineitem/orders columns the derivation needs are read
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_linenumber:int," in plan
     assert "l_shipdate" not in plan and "o_totalprice" not in plan
+
+
+def test_broadcast_dimension_measures_derived_tables(spark):
+    from costframe.operators.joins import broadcast_dimension
+    be = fx.billing_export(spark, SF0001)
+    small = be.groupBy("billing_account_id").count()          # 4 rows, static estimate is huge
+    plan = _plan(be.join(broadcast_dimension(small, "t"), "billing_account_id"))
+    assert "BroadcastHashJoin" in plan
+    tiny_limit = broadcast_dimension(small, "t2", max_bytes=1)
+    assert "BroadcastHashJoin" not in _plan(be.join(tiny_limit, "billing_account_id").hint("merge"))
