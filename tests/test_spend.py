@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import tempfile
 
@@ -57,7 +56,6 @@ def test_bucket_fragment_is_literal(spark):
             line(service="95FF-2EF5-5EA1", resource=(None, "//s/buckets/axb"), cost="2")]
     out = spend.bucket_cost(billing_df(spark, rows), "a_b", "2024-02-01", "2024-02-29").collect()
     assert [(r.bucket_global_name, r.cost) for r in out] == [("//s/buckets/a_b", 1.0)]
-    assert dt  # keep import
 
 
 def test_where_and_having(spark):
