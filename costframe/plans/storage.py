@@ -1,8 +1,8 @@
 """Storage bucket cost report.
 
-Plan: one scan of storage lines -> per-line category and sanitised SKU name -> ONE aggregate to
-(account, month, day, project, region, bucket, category, sku name), written once as a parquet
-table in the shared checkpoint folder. The spine, the storage / class A / class B branches and
+Plan: one scan of storage lines -> ONE aggregate to (account, month, day, project, region,
+bucket, raw description) -> category and sanitised SKU name per group (the regex runs per group,
+not per line) -> written once as a parquet table in the shared checkpoint folder. The spine, the storage / class A / class B branches and
 the network pivot read that small table; the bill lines are scanned once. Per join key the
 inputs hold at most one row per (account, SKU name), so the join fan-out is bounded by distinct
 SKUs, never by line counts (a hot bucket cannot blow up a join task).
@@ -35,6 +35,8 @@ SPINE = ("billing_name", "invoice_month", "usage_date", "project_name", "region"
 
 
 def storage_lines(billing: DataFrame, target_date=None, date_range=None, pad_days=None) -> DataFrame:
+    """Storage lines with the report keys, net cost and month-scaled usage. The description stays
+    raw: its category and sanitised name are derived after aggregation (once per group)."""
     lines = billing.filter(F.col("service.id") == STORAGE_SERVICE_ID)
     lines = apply_day_filters(lines, target_date, date_range, pad_days)
     day = la_date("usage_start_time")
@@ -47,8 +49,7 @@ def storage_lines(billing: DataFrame, target_date=None, date_range=None, pad_day
         net_cost().alias("total_cost"),
         (F.col("usage.amount_in_pricing_units") * days_in_month(day)).alias("total_usage"),
         F.coalesce(label_value(LABEL_BUCKET_NAME), F.lit(TEXT_DEFAULT)).alias("bucket_name"),
-        sanitize_name("sku.description").alias("sku_description"),
-        storage_category("sku.description").alias("sku_category"),
+        F.col("sku.description").alias("description"),
     )
 
 
@@ -59,19 +60,29 @@ def storage_bucket_cost(billing: DataFrame, target_date=None, date_range=None, p
     the same (an order means nothing to a table insert)."""
     lines = storage_lines(billing, target_date, date_range, pad_days)
     keys = list(JOIN_KEYS) + (["billing_name"] if by_account else [])
-    grain = list(SPINE) + ["sku_category", "sku_description"]
-    pre = lines.groupBy(*grain).agg(F.sum("total_cost").alias("cost"), F.sum("total_usage").alias("usage"))
-    # Aggregated once and written to the shared folder; the spine and the four branches read it.
+    # One aggregate of the lines, at (spine, raw description); category and sanitised name are
+    # functions of the description, so the regex runs once per group instead of once per line.
+    pre = (lines.groupBy(*SPINE, "description")
+           .agg(F.sum("total_cost").alias("cost"), F.sum("total_usage").alias("usage"))
+           .select(*SPINE, storage_category("description").alias("sku_category"),
+                   sanitize_name("description").alias("sku_description"), "cost", "usage"))
+    # Written once to the shared folder; the spine and the four branches read it.
     pre = materialize(pre, "storage-preagg")
 
+    def typed(cat: str) -> DataFrame:
+        # several raw descriptions can share one sanitised name: re-sum at the report grain
+        return (pre.filter(F.col("sku_category") == cat)
+                .groupBy(*SPINE, "sku_description")
+                .agg(F.sum("cost").alias("cost"), F.sum("usage").alias("usage")))
+
     spine = pre.select(*SPINE).distinct()
-    storage = pre.filter(F.col("sku_category") == STORAGE_CAT).select(
+    storage = typed(STORAGE_CAT).select(
         *keys, F.col("sku_description").alias("STORAGE_TYPE"), F.col("cost").alias("STORAGE"),
         F.col("usage").alias("STORAGE_USAGE"))
-    class_a = pre.filter(F.col("sku_category") == CLASS_A_CAT).select(
+    class_a = typed(CLASS_A_CAT).select(
         *keys, F.col("sku_description").alias("STANDARD_CLASS_A_OPERATIONS_TYPE"),
         F.col("cost").alias("STANDARD_CLASS_A_OPERATIONS"))
-    class_b = pre.filter(F.col("sku_category") == CLASS_B_CAT).select(
+    class_b = typed(CLASS_B_CAT).select(
         *keys, F.col("sku_description").alias("STANDARD_CLASS_B_OPERATIONS_TYPE"),
         F.col("cost").alias("STANDARD_CLASS_B_OPERATIONS"))
     pivot_cols = list(STORAGE_NETWORK_COLUMNS) + [OTHERS_CAT]

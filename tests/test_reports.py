@@ -124,3 +124,12 @@ def test_daily_job_replaces_report_day(spark):
     assert day == "2024-02-14"
     got = tables.read_report_table(spark, path).select("usage_date", "SUBTOTAL").collect()
     assert [(r.usage_date, r.SUBTOTAL) for r in got] == [(dt.date(2024, 2, 14), 1.0)]
+
+
+def test_r4_descriptions_sharing_a_sanitised_name_merge(spark):
+    b = [("bucket_name", "b1")]
+    rows = [_sto(desc="Standard Storage US", labels=b, cost="1"),
+            _sto(desc="Standard Storage, US", labels=b, cost="2"),        # same name after sanitising
+            _sto(desc="Nearline Storage Iowa", labels=b, cost="4")]       # second storage type: fan-out
+    out = sorted((r.STORAGE_TYPE, r.STORAGE) for r in storage.storage_bucket_cost(billing_df(spark, rows)).collect())
+    assert out == [("Nearline_Storage_Iowa", 4.0), ("Standard_Storage_US", 3.0)]
