@@ -37,7 +37,10 @@ def local_day_filter(first, last=None, ts: str = "usage_start_time", tz: str = B
     last = first if last is None else last
     lo, hi = utc_bounds(first, last, tz)
     raw = F.col(ts)
-    cond = (raw >= F.lit(lo).cast("timestamp_ntz")) & (raw < F.lit(hi).cast("timestamp_ntz"))
+    # string -> TIMESTAMP_NTZ casts involve no time zone (a Python datetime literal would be read
+    # in the driver process's zone and then shifted by the session zone)
+    cond = ((raw >= F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz"))
+            & (raw < F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz")))
     if exact:
         cond = cond & la_date(ts, tz).between(F.lit(_as_date(first)), F.lit(_as_date(last)))
     return cond

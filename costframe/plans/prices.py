@@ -1,6 +1,6 @@
 """Price catalogue jobs: newest price list (X2), first-tier price pairs (X3), SKU lookups
-and the disk price table (R7). The snapshot is small (one row per SKU); it is joined with
-`broadcast_if_small`, never collected to the driver."""
+and the disk price table (R7). The snapshot is small (one row per SKU); it is joined as a
+measured dimension (`broadcast_dimension`), never collected to the driver."""
 
 from __future__ import annotations
 

@@ -107,3 +107,35 @@ def test_utc_range_equals_local_day_test(spark):
     b = df.filter(la_date("ts").between(dt.date(2024, 3, 9), dt.date(2024, 3, 11))).count()
     c = df.filter(local_day_filter("2024-03-09", "2024-03-11", ts="ts", exact=True)).count()
     assert a == b == c == (24 * 3 - 1) * 4     # three local days, one of 23 hours
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.datetimes(min_value=dt.datetime(2023, 1, 1), max_value=dt.datetime(2025, 12, 31)),
+                min_size=1, max_size=200),
+       st.dates(min_value=dt.date(2023, 1, 1), max_value=dt.date(2025, 12, 31)),
+       st.integers(min_value=0, max_value=40))
+def test_utc_range_filter_property(spark, stamps, first, span):
+    from costframe.plans.common import local_day_filter
+    last = first + dt.timedelta(days=span)
+    df = spark.createDataFrame([(t,) for t in stamps], "ts timestamp_ntz")
+    a = sorted(r.ts for r in df.filter(local_day_filter(first, last, ts="ts")).collect())
+    b = sorted(r.ts for r in df.filter(la_date("ts").between(first, last)).collect())
+    assert a == b
+
+
+def test_day_filter_independent_of_session_zone(spark):
+    from costframe.plans.common import local_day_filter
+    ts = [dt.datetime(2024, 2, 14, 7, 59), dt.datetime(2024, 2, 14, 8, 0), dt.datetime(2024, 2, 15, 7, 59),
+          dt.datetime(2024, 2, 15, 8, 0)]
+    df = spark.createDataFrame([(t,) for t in ts], "ts timestamp_ntz")
+    for zone in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            got = [r.ts for r in df.filter(local_day_filter("2024-02-14", ts="ts")).collect()]
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert got == ts[1:3], zone

@@ -1,6 +1,8 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from costframe import fixtures as fx
 from costframe.plans import estimate, prices, skumap
 from costframe.schema import PRICING_EXPORT, SKU_MAP
@@ -116,3 +118,30 @@ def test_fleet_estimate_formulas(spark):
     assert out[5].status == "unknown machine type"
     assert out[6].status == "missing sku: cpu n2-predefined in r2"
     assert out[7].status == "OK" and out[7].instance_type == "n2-standard-2-16lssd"
+
+
+def test_spec_parser_branches(spark):
+    from costframe.plans.estimate import parse_specs
+    cat = spark.createDataFrame([], "machine_type string, family string, cpu double, ram_gb double")
+    from costframe.operators.local import local_table
+    from costframe.schema import MACHINE_CATALOG
+    cat = local_table(spark, [("c2d-standard-8", "c2d", 8.0, 32.0), ("g2-standard-8", "g2", 8.0, 32.0)],
+                      MACHINE_CATALOG)
+    specs = spark.createDataFrame([
+        (1, "c2d-standard-8-nps4", None),
+        (2, "c2d-standard-8-ssd3t", "pd-balanced-50"),
+        (3, "nvidia-l4_2_g2-standard-8", None),
+        (4, "nvidia-tesla-t4_4", None),                      # no machine token
+        (5, "g2-standard-8", "local-ssd-abc_pd-ssd-10"),     # bad local SSD size
+        (6, "e2-custom-4-6144", "local-ssd-375"),            # no boot disk token
+        (7, "", None),
+    ], "spec_id long, machine_definition string, disk_definition string").withColumn("region", F.lit("r"))
+    out = {r.spec_id: r for r in parse_specs(specs, cat).collect()}
+    assert (out[1].family, float(out[1].cpu), out[1].parse_status) == ("c2d", 8.0, None)
+    assert (out[2].boot_type, out[2].boot_gb, out[2].has_local_ssd, out[2].parse_status) == ("pd-balanced", 50, False, None)
+    assert (out[3].gpu_type, out[3].gpu_count, out[3].instance_type) == ("nvidia-l4", 2, "nvidia-l4_2_g2-standard-8")
+    assert out[4].parse_status == "invalid machine definition"
+    assert out[5].parse_status == "invalid disk definition"
+    assert out[6].parse_status == "invalid disk definition"
+    assert (out[6].family, float(out[6].cpu), float(out[6].ram_gb)) == ("e2", 4.0, 6.0)
+    assert out[7].parse_status == "unknown machine type"
