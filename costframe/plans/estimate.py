@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from costframe.constants import (CALCULATION_PERIOD, CONFIDENTIAL_CPU_SKU, CONFIDENTIAL_RAM_SKU,
                                  DEFAULT_BOOT_DISK, HOURS_PER_MONTH, LOCAL_SSD, MACHINE_SUFFIX_PATTERNS)
-from costframe.operators.joins import broadcast_dimension, broadcast_if_small
+from costframe.operators.joins import broadcast_dimension
 
 QTY = "decimal(22,10)"
 PRICE = "decimal(12,6)"
@@ -104,9 +104,9 @@ def parse_specs(specs: DataFrame, catalog: DataFrame) -> DataFrame:
     x = x.withColumn("is_custom", F.col("machine").contains("custom"))
     cs = custom_shape(F.col("machine"))
     x = x.withColumn("lookup_name", F.when(~F.col("is_custom"), strip_machine_suffixes(F.col("machine"))))
-    cat = broadcast_if_small(catalog.select(
+    cat = broadcast_dimension(catalog.select(
         F.col("machine_type").alias("lookup_name"), F.col("family").alias("cat_family"),
-        F.col("cpu").alias("cat_cpu"), F.col("ram_gb").alias("cat_ram")))
+        F.col("cpu").alias("cat_cpu"), F.col("ram_gb").alias("cat_ram")), "machine-catalog")
     x = x.join(cat, "lookup_name", "left")
     x = x.withColumn("family", F.when(F.col("is_custom"), cs["family"]).otherwise(F.col("cat_family")))
     x = x.withColumn("cpu", F.when(F.col("is_custom"), cs["cpu"]).otherwise(F.col("cat_cpu").cast("decimal(20,4)")))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costframe.constants import COMPUTE_SERVICE_ID, DELHI_REGION, WARSAW_REGION
-from costframe.operators.joins import broadcast_if_small
+from costframe.operators.joins import broadcast_dimension
 from costframe.operators.local import local_table
 from costframe.schema import SKU_PATTERNS
 from costframe.sources.pricing import latest_snapshot
@@ -133,8 +133,8 @@ def sku_region_map(pricing: DataFrame, patterns: DataFrame) -> DataFrame:
         "regions",
         F.when(F.col("description").contains("Warsaw"), F.array(F.lit(WARSAW_REGION)))
         .otherwise(F.col("regions")))
-    # The pattern table is a fixed-size dimension (about 150 rows): broadcast nested-loop join.
-    pats = broadcast_if_small(patterns)
+    # The pattern table is a small dimension (about 130 rows): broadcast nested-loop join.
+    pats = broadcast_dimension(patterns, "sku-patterns")
     matched = rows.join(
         pats,
         F.expr("description LIKE like_first AND (like_last IS NULL OR description LIKE like_last)"),
