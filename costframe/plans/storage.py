@@ -66,8 +66,10 @@ def storage_bucket_cost(billing: DataFrame, target_date=None, date_range=None, p
            .agg(F.sum("total_cost").alias("cost"), F.sum("total_usage").alias("usage"))
            .select(*SPINE, storage_category("description").alias("sku_category"),
                    sanitize_name("description").alias("sku_description"), "cost", "usage"))
-    # Written once to the shared folder; the spine and the four branches read it.
-    pre = materialize(pre, "storage-preagg")
+    # Written once to the shared folder; the spine and the four branches read it, each hash-
+    # partitioned on the join keys: the branch aggregates group by supersets of those keys and the
+    # sort-merge joins use exactly them, so no further exchange is needed when nothing is broadcast.
+    pre = materialize(pre, "storage-preagg").repartition(*keys)
 
     def typed(cat: str) -> DataFrame:
         # several raw descriptions can share one sanitised name: re-sum at the report grain
