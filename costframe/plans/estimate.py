@@ -214,3 +214,16 @@ def machine_comparison(machine_types: DataFrame, region: str, catalog: DataFrame
     est = fleet_estimate(specs, catalog, sku_map, prices, id_col="machine_type")
     return est.select("machine_type", "ondemand_list_price", "ondemand_account_price",
                       "cud_3y_account_price", "status")
+
+
+def estimate_json(estimate: DataFrame, id_col: str = "spec_id") -> DataFrame:
+    """Each estimate row as one nested JSON object: on-demand / 1-year / 3-year blocks with list
+    and account price, region, instance type, disk spec, calculation period and status."""
+    def block(term: str) -> Column:
+        return F.struct(F.col(f"{term}_list_price").alias("list_price"),
+                        F.col(f"{term}_account_price").alias("account_price"))
+
+    body = F.struct(block("ondemand").alias("ondemand"), block("cud_1y").alias("1cud"),
+                    block("cud_3y").alias("3cud"), "region", "instance_type", "disk_type",
+                    "calculation_period", "status")
+    return estimate.select(id_col, F.to_json(body, {"ignoreNullFields": "false"}).alias("result"))

@@ -43,16 +43,20 @@ def first_tier_prices(pricing: DataFrame, services=PRICE_LIST_SERVICES) -> DataF
     return out.filter(F.col("list_price").isNotNull() | F.col("account_price").isNotNull())
 
 
-def sku_price_lookup(pricing: DataFrame, requested: DataFrame) -> DataFrame:
-    """Every field of the newest snapshot for each requested `sku_id` (any service);
-    a SKU absent from the snapshot gets `error = 'SKU not found'`."""
+def sku_price_lookup(pricing: DataFrame, requested: DataFrame, flatten: bool = True) -> DataFrame:
+    """The newest snapshot's fields for each requested `sku_id` (any service); a SKU absent
+    from the snapshot gets `error = 'SKU not found'`. `flatten=False` keeps the full price-book
+    structs (all tiers) instead of the first-tier prices and tier count."""
     snap = latest_prices(pricing, services=None)
-    found = snap.select(
-        "sku_id", "sku_description",
-        first_tier("list_price").alias("list_price"),
-        first_tier("billing_account_price").alias("account_price"),
-        F.size(F.coalesce(F.col("list_price.tiered_rates"), F.array())).cast("bigint").alias("n_list_tiers"),
-        "pricing_date")
+    if flatten:
+        found = snap.select(
+            "sku_id", "sku_description",
+            first_tier("list_price").alias("list_price"),
+            first_tier("billing_account_price").alias("account_price"),
+            F.size(F.coalesce(F.col("list_price.tiered_rates"), F.array())).cast("bigint").alias("n_list_tiers"),
+            "pricing_date")
+    else:
+        found = snap
     out = requested.select("sku_id").join(broadcast_dimension(found, "snapshot"), "sku_id", "left")
     out = out.withColumn("error", F.when(F.col("pricing_date").isNull(), F.lit(SKU_NOT_FOUND)))
     return money_to_double(out)

@@ -145,3 +145,19 @@ def test_spec_parser_branches(spark):
     assert out[6].parse_status == "invalid disk definition"
     assert (out[6].family, float(out[6].cpu), float(out[6].ram_gb)) == ("e2", 4.0, 6.0)
     assert out[7].parse_status == "unknown machine type"
+
+
+def test_estimate_json_and_struct_lookup(spark):
+    import json
+    est = spark.createDataFrame(
+        [(1, "r", "n2-standard-2", None, "monthly (based on 730 hours)", 1.0, 0.5, 0.9, 0.4, 0.8, 0.3, "OK")],
+        "spec_id long, region string, instance_type string, disk_type string, calculation_period string, "
+        "ondemand_list_price double, ondemand_account_price double, cud_1y_list_price double, "
+        "cud_1y_account_price double, cud_3y_list_price double, cud_3y_account_price double, status string")
+    doc = json.loads(estimate.estimate_json(est).collect()[0].result)
+    assert doc["ondemand"] == {"list_price": 1.0, "account_price": 0.5}
+    assert doc["3cud"]["account_price"] == 0.3 and doc["disk_type"] is None and doc["status"] == "OK"
+    pricing = spark.createDataFrame([_price_row("A", "x", [], "2", "1")], PRICING_EXPORT)
+    req = spark.createDataFrame([("A",)], "sku_id string")
+    row = prices.sku_price_lookup(pricing, req, flatten=False).collect()[0]
+    assert row.list_price.tiered_rates[0].usd_amount == Decimal("2.000000") and row.error is None
