@@ -139,3 +139,32 @@ def test_day_filter_independent_of_session_zone(spark):
         finally:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
         assert got == ts[1:3], zone
+
+
+_credit = st.tuples(st.sampled_from(["PROMOTION", "SUSTAINED_USAGE_DISCOUNT", None]),
+                    st.one_of(st.none(), st.decimals(min_value=-100, max_value=0, places=6)))
+_line = st.tuples(st.one_of(st.none(), st.decimals(min_value=0, max_value=10000, places=6)),
+                  st.one_of(st.none(), st.lists(_credit, max_size=3)))
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(_line, min_size=1, max_size=30))
+def test_cost_modes_property(spark, rows):
+    from tests.helpers import billing_df, line
+    df = billing_df(spark, [line(cost=None if c is None else str(c),
+                                 credits=None if cr is None else [(t, None if a is None else str(a)) for t, a in cr])
+                            for c, cr in rows])
+    got = df.agg(cost_mode_sums("raw").alias("raw"), cost_mode_sums("credits_no_promotions").alias("np"),
+                 cost_mode_sums("all_credits").alias("all"), F.sum(net_cost()).alias("net")).collect()[0]
+
+    def credit_total(cr, keep):
+        return sum((a for t, a in (cr or []) if a is not None and keep(t)), Decimal(0))
+
+    costs = [c for c, _ in rows if c is not None]
+    raw = sum(costs, Decimal(0)) if costs else None
+    exp_np = None if raw is None else raw + sum(credit_total(cr, lambda t: t is not None and t != "PROMOTION")
+                                                for _, cr in rows)
+    exp_all = None if raw is None else raw + sum(credit_total(cr, lambda t: True) for _, cr in rows)
+    nets = [c + credit_total(cr, lambda t: True) for c, cr in rows if c is not None]
+    assert got.raw == raw and got.np == exp_np and got["all"] == exp_all
+    assert got.net == (sum(nets, Decimal(0)) if nets else None)
