@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import calendar
+import datetime as _dt
+
 from costframe import constants as C
 from costframe import oracle as O
-from costframe.registry import REPORT_DAY
+from costframe.registry import (BUCKET_FRAGMENT, COMPARISON_REGION, FEB_RANGE, FULL_RANGE, LB_NAME,
+                                MONTH, MONTHS, REPORT_DAY)
 
 SQL: dict[str, str] = {}
 
@@ -160,11 +164,6 @@ SQL["storage_bucket_cost_by_account"] = _r4(True)
 # ---------------------------------------------------------------------------------------------
 # Spend questions and line-level operators
 # ---------------------------------------------------------------------------------------------
-import calendar  # noqa: E402
-import datetime as _dt  # noqa: E402
-
-from costframe.registry import (BUCKET_FRAGMENT, FEB_RANGE, FULL_RANGE, LB_NAME, MONTH,  # noqa: E402
-                                MONTHS)
 
 
 def _add_months(d: str, n: int) -> str:
@@ -297,7 +296,6 @@ FROM billing_export WHERE service.id = '{C.STORAGE_SERVICE_ID}' GROUP BY ALL""")
 # ---------------------------------------------------------------------------------------------
 # Price catalogue, SKU map, disk prices, fleet estimates
 # ---------------------------------------------------------------------------------------------
-from costframe.registry import COMPARISON_REGION  # noqa: E402
 
 _NEWEST = "partition_date = (SELECT max(partition_date) FROM pricing_export)"
 _SERVICES = ", ".join(f"'{s}'" for s in C.PRICE_LIST_SERVICES)

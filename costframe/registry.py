@@ -9,9 +9,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from costframe import fixtures as fx
-from costframe.plans import compute, storage
+from costframe.constants import COMPUTE_SERVICE_ID
+from costframe.functions.labels import has_label, lacks_label, no_labels
+from costframe.functions.time import la_date
+from costframe.plans import compute, estimate, lines, metrics, prices, skumap, spend, storage
+from costframe.plans.prices import first_tier
+from costframe.schema import NAT_REPORT
+from costframe.session import scratch_path
+from costframe.sinks import files as sink_files
+from costframe.sinks import tables as sink_tables
+from costframe.sources.billing import union_accounts
+from costframe.sources.ndjson import read_ndjson
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -59,13 +70,7 @@ def q_storage_bucket_cost_by_account(spark, sf):
 # ---------------------------------------------------------------------------------------------
 # Spend questions over the four account tables (R9-R13) and line-level operators
 # ---------------------------------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
 
-from costframe.constants import COMPUTE_SERVICE_ID  # noqa: E402
-from costframe.functions.labels import has_label, lacks_label, no_labels  # noqa: E402
-from costframe.functions.time import la_date  # noqa: E402
-from costframe.plans import lines, spend  # noqa: E402
-from costframe.sources.billing import union_accounts  # noqa: E402
 
 # A usage range that covers every fixture day (whole-table questions).
 FULL_RANGE = ("2023-12-01", "2024-04-30")
@@ -161,8 +166,6 @@ def q_usage_month_scaled(spark, sf):
 # ---------------------------------------------------------------------------------------------
 # Price catalogue (X1-X4), disk prices (R7), fleet estimates (R6) and comparisons
 # ---------------------------------------------------------------------------------------------
-from costframe.plans import estimate, prices, skumap  # noqa: E402
-from costframe.plans.prices import first_tier  # noqa: E402
 
 COMPARISON_REGION = "us-east4"
 
@@ -227,12 +230,6 @@ def q_machine_comparison(spark, sf):
 # ---------------------------------------------------------------------------------------------
 # Monitoring reports (R5, R8) and sinks (K1, K2+S8, K4)
 # ---------------------------------------------------------------------------------------------
-from costframe.plans import metrics  # noqa: E402
-from costframe.schema import NAT_REPORT  # noqa: E402
-from costframe.session import scratch_path  # noqa: E402
-from costframe.sinks import files as sink_files  # noqa: E402
-from costframe.sinks import tables as sink_tables  # noqa: E402
-from costframe.sources.ndjson import read_ndjson  # noqa: E402
 
 FIXTURE_DAYS = ("2023-12-31", "2024-03-30")   # every LA usage day of the billing fixture
 
