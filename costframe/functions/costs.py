@@ -56,3 +56,22 @@ def cost_mode_sums(mode: str) -> Column:
     if mode == "raw":
         return raw
     return raw + F.sum(credits_sum("credits", exclude_promotions=(mode == "credits_no_promotions")))
+
+
+def credit_sums_pair(credits="credits") -> Column:
+    """Both credit sums of a row in ONE pass over the array: struct(all, no_promotions).
+
+    A credit with a NULL type counts in `all` but not in `no_promotions` (its `type <> 'PROMOTION'`
+    test is NULL), as in `credits_sum(exclude_promotions=True)`.
+    """
+    arr = F.coalesce(F.col(credits) if isinstance(credits, str) else credits,
+                     F.array().cast(f"array<struct<type:string,amount:{MONEY.simpleString()}>>"))
+    start = F.struct(_zero().alias("all"), _zero().alias("no_promotions"))
+
+    def step(acc, c):
+        amt = F.coalesce(c["amount"], _zero())
+        keep = F.when(c["type"] != F.lit(PROMOTION_CREDIT_TYPE), amt).otherwise(_zero())
+        return F.struct((acc["all"] + amt).cast(MONEY).alias("all"),
+                        (acc["no_promotions"] + keep).cast(MONEY).alias("no_promotions"))
+
+    return F.aggregate(arr, start, step)

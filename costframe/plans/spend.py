@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costframe.constants import FORWARDING_RULE_PATH, PARTITION_PAD_MONTHS
-from costframe.functions.costs import COST_MODES, cost_mode_sums
+from costframe.functions.costs import COST_MODES, cost_mode_sums, credit_sums_pair
 from costframe.plans.common import local_day_filter, money_to_double
 from costframe.sources.billing import (invoice_month_filter, month_bounds, padded_partition_filter,
                                        union_accounts)
@@ -55,8 +55,12 @@ def spend(tables: Tables, cost_mode: str, group_by: Sequence[Column] = (), where
 
 def spend_by_cost_mode(tables: Tables, group_by: Sequence[Column] = (), **scope) -> DataFrame:
     """All three cost definitions in one aggregate, one row per (group, cost_mode)."""
-    df = scoped_lines(tables, **scope)
-    agg = df.groupBy(*group_by).agg(*[cost_mode_sums(m).alias(m) for m in COST_MODES])
+    df = scoped_lines(tables, **scope).withColumn("_credits", credit_sums_pair())
+    raw = F.sum("cost")
+    agg = df.groupBy(*group_by).agg(
+        raw.alias("raw"),
+        (raw + F.sum("_credits.no_promotions")).alias("credits_no_promotions"),
+        (raw + F.sum("_credits.all")).alias("all_credits"))
     keys = [F.col(c) for c in agg.columns if c not in COST_MODES]
     return money_to_double(agg.unpivot(keys, list(COST_MODES), "cost_mode", "cost"))
 

@@ -168,3 +168,11 @@ def test_cost_modes_property(spark, rows):
     nets = [c + credit_total(cr, lambda t: True) for c, cr in rows if c is not None]
     assert got.raw == raw and got.np == exp_np and got["all"] == exp_all
     assert got.net == (sum(nets, Decimal(0)) if nets else None)
+
+
+def test_credit_sums_pair_one_pass(spark):
+    from costframe.functions.costs import credit_sums_pair
+    df = billing_df(spark, [line(credits=[("PROMOTION", "-1"), ("SUD", "-2"), (None, "-4"), ("X", None)]),
+                            line(credits=None)])
+    got = [(r.p["all"], r.p["no_promotions"]) for r in df.select(credit_sums_pair().alias("p")).collect()]
+    assert got == [(Decimal("-7.000000"), Decimal("-2.000000")), (Decimal("0.000000"), Decimal("0.000000"))]
