@@ -30,3 +30,4 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_source_mix, op3_secret_scan, op5_document_sketch, op7_exact_dedup)}
+ORACLE_SQL: dict[str, str] = {}
