@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costframe.llm import exact_dedup, mixing, secrets, sketches
+import corpus_pipeline
+from costframe.llm import (exact_dedup, jaccard_join, merge_dropout, mixing, quality, secrets, severity, sketches,
+                           suffix_dedup, window_dedup)
 from costframe.llm.common import documents
 
 
@@ -14,20 +16,58 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.selectExpr("doc_id", "size", "source_size", "target", "taken", "array_join(shards, ',') AS shards")
 
 
+def op2_toxicity_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity, grade and verdict of every document."""
+    scored = severity.score(documents(spark, sf_dir), severity.train(spark, sf_dir))
+    return scored.select("doc_id", "severity", "p_toxic", "grade", "toxic")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, found once per distinct text through an empty ledger."""
     return secrets.scan_report(documents(spark, sf_dir))
 
 
+def op4_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by a model that never saw the held-out ids."""
+    scored = quality.score(documents(spark, sf_dir).select("doc_id", "text"), quality.train(spark, sf_dir))
+    return scored.selectExpr("doc_id", f"coalesce({quality.HELD_OUT}, false) AS held_out", "score",
+                             f"CAST(score >= {quality.GOOD_FROM} AS int) AS predicted")
+
+
 def op5_document_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paragraph sketches of every text and its edited text, and how alike they are."""
     return sketches.fingerprints(documents(spark, sf_dir))
 
 
+def op6_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document left when 13-word windows of smaller ids are removed."""
+    return window_dedup.window_report(documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts: which row stays."""
     return exact_dedup.duplicate_groups(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mix, op3_secret_scan, op5_document_sketch, op7_exact_dedup)}
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document left when every 200-byte string that starts twice is removed."""
+    return suffix_dedup.byte_report(documents(spark, sf_dir), keep="none")
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 90 % of their 3-word shingles."""
+    return jaccard_join.component_report(documents(spark, sf_dir))
+
+
+def op10_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the SHA-256 of the text decoded from them."""
+    return merge_dropout.token_report(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_source_mix, op2_toxicity_grades, op3_secret_scan, op4_quality_score, op5_document_sketch, op6_window_dedup,
+    op7_exact_dedup, op8_suffix_dedup, op9_jaccard_join, op10_merge_dropout)} | {"pipeline": corpus_pipeline.run}
+
 ORACLE_SQL: dict[str, str] = {}
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -93,3 +93,58 @@ def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
         h = h * np.uint64(MULTIPLIER) + hashes[i:i + total]
         h ^= h >> np.uint64(29)
     return mix(h)
+
+
+def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of each `width` consecutive values (block-wise running minima from both sides)."""
+    n = len(values) - width + 1
+    if n <= 0:
+        return values[:0]
+    fill = np.full(-len(values) % width, np.iinfo(values.dtype).max, values.dtype)
+    blocks = np.concatenate([values, fill]).reshape(-1, width)
+    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(behind[:n], ahead[width - 1:width - 1 + n])
+
+
+def gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Bytes of the spans (start, size), one after the other."""
+    total = int(sizes.sum())
+    if not total:
+        return data[:0]
+    kind = np.int32 if max(total, len(data)) < 2**31 else np.int64
+    before = np.cumsum(sizes) - sizes
+    at = np.repeat((starts - before).astype(kind), sizes)
+    at += np.arange(total, dtype=kind)
+    return data[at]
+
+
+def joined_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every word followed by one space, and the n + 1 byte offsets of the words."""
+    sizes = ends - starts + 1
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    out = gather(np.concatenate([data, np.zeros(1, np.uint8)]), starts, sizes)
+    out[offsets[1:] - 1] = 32
+    return out, offsets
+
+
+def slices(batch: pa.RecordBatch, sizes: np.ndarray, most: int):
+    """Parts of a batch whose rows have `most` bytes of text together, or one row."""
+    begin = 0
+    upto = np.cumsum(sizes)
+    while begin < len(batch):
+        base = upto[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(upto, base + most, side="right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
+def text_slices(batches, column: str, most: int = 4 << 20):
+    """The batches of a task, cut so that numpy's working arrays stay small."""
+    for batch in batches:
+        if isinstance(batch, pa.Table):
+            batch = batch.combine_chunks().to_batches()[0] if len(batch) else None
+        if batch is None or not len(batch):
+            continue
+        _, offsets = text_bytes(batch.column(column))
+        yield from slices(batch, np.diff(offsets), most)
