@@ -261,6 +261,8 @@ def pricing_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = part.withColumn("n_nationkey", F.explode(F.sequence(F.lit(0), F.lit(2))))
     x = x.withColumn("slot", ((p / 4).cast("bigint") % n_slots).cast("int"))
     x = x.join(broadcast_if_small(slots), "slot")
+    # every fifth SKU is listed twice in a snapshot; the later export has another price
+    x = x.withColumn("again", F.explode(F.when(p % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     r = p % 6
     place = _pick(r, [pl for pl, _ in PRICE_PLACES])
     regions = None
@@ -268,7 +270,7 @@ def pricing_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         arr = F.array(*[F.lit(g) for g in regs]) if regs else F.array().cast("array<string>")
         regions = F.when(r == i, arr) if regions is None else regions.when(r == i, arr)
     cents = F.round(F.col("p_retailprice") * 100).cast("bigint")
-    k = (F.col("n_nationkey") + 10).cast("bigint")
+    k = (F.col("n_nationkey") + 10 + F.col("again") * 7).cast("bigint")
 
     def money(scale: str) -> Column:
         return (cents * k * F.lit(scale).cast("decimal(8,7)")).cast(MONEY)
@@ -294,7 +296,7 @@ def pricing_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(regions.alias("regions")).alias("geo_taxonomy"),
         F.struct(list_tiers.alias("tiered_rates")).alias("list_price"),
         F.struct(acct_tiers.alias("tiered_rates")).alias("billing_account_price"),
-        (F.to_timestamp_ntz(pdate.cast("string")) + F.expr("INTERVAL 6 HOURS")).alias("export_time"),
+        (F.to_timestamp_ntz(pdate.cast("string")) + F.expr("make_dt_interval(0, 6 + 5 * again)")).alias("export_time"),
         pdate.alias("partition_date"),
     )
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PRICING_EXPORT.fields])
@@ -332,9 +334,10 @@ def machine_catalog(spark: SparkSession) -> DataFrame:
 
 
 def fleet_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One machine spec per part (FIXTURES.md, `fleet_specs`)."""
+    """One machine spec per part, every seventh listed twice (FIXTURES.md, `fleet_specs`)."""
     p = F.col("p_partkey")
-    return _spread(_table(spark, sf_dir, "part")).select(
+    times = F.explode(F.when(p % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return _spread(_table(spark, sf_dir, "part")).withColumn("again", times).select(
         p.cast("bigint").alias("spec_id"),
         _pick(p % 8, FLEET_MACHINES).alias("machine_definition"),
         F.when(p % 3 == 0, F.lit(FLEET_DISK)).alias("disk_definition"),

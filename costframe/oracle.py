@@ -97,7 +97,7 @@ def pricing_cte() -> str:
         f"WHEN {i} THEN " + (("[" + ", ".join(_q(g) for g in regs) + "]") if regs else "CAST([] AS VARCHAR[])")
         for i, (_pl, regs) in enumerate(FX.PRICE_PLACES))
     cents = "CAST(round(p_retailprice * 100) AS BIGINT)"
-    k = "CAST(n_nationkey + 10 AS BIGINT)"
+    k = "CAST(n_nationkey + 10 + again * 7 AS BIGINT)"
 
     def money(scale: str) -> str:
         return f"CAST({cents} * {k} * CAST('{scale}' AS DECIMAL(8,7)) AS DECIMAL(18,6))"
@@ -120,9 +120,10 @@ pricing_export AS (
                           ELSE [{tier(0, money('0.000002'))}, {tier(100, money('0.000001'))}] END}} AS list_price,
     {{'tiered_rates': CASE WHEN p_partkey % 11 = 0 THEN []
                           ELSE [{tier(0, money('0.000001'))}] END}} AS billing_account_price,
-    CAST(DATE '{FX.BASE_PRICE_DATE}' + CAST(n_nationkey AS INTEGER) AS TIMESTAMP) + INTERVAL 6 HOUR AS export_time,
+    CAST(DATE '{FX.BASE_PRICE_DATE}' + CAST(n_nationkey AS INTEGER) AS TIMESTAMP) + INTERVAL 1 HOUR * (6 + 5 * again) AS export_time,
     CAST(DATE '{FX.BASE_PRICE_DATE}' + CAST(n_nationkey AS INTEGER) AS DATE) AS partition_date
   FROM part CROSS JOIN nation
+  JOIN (VALUES (0), (1)) t(again) ON again = 0 OR p_partkey % 5 = 0
   JOIN price_slots s ON s.slot = CAST((p_partkey // 4) % {len(slots)} AS INTEGER)
   WHERE n_nationkey < 3
 )"""
@@ -163,7 +164,7 @@ fleet_specs AS (
          {_case('p_partkey % 8', FX.FLEET_MACHINES)} AS machine_definition,
          CASE WHEN p_partkey % 3 = 0 THEN {_q(FX.FLEET_DISK)} END AS disk_definition,
          {_case('p_partkey % 5', FX.FLEET_REGIONS)} AS region
-  FROM part
+  FROM part JOIN (VALUES (0), (1)) t(again) ON again = 0 OR p_partkey % 7 = 0
 )"""
 
 

@@ -305,7 +305,8 @@ def _first(book: str) -> str:
     return f"CASE WHEN len({book}.tiered_rates) > 0 THEN {book}.tiered_rates[1].usd_amount END"
 
 
-_LP = f"lp AS (SELECT * FROM pricing_export WHERE {_NEWEST} AND service.id IN ({_SERVICES}))"
+_ONE = "QUALIFY row_number() OVER (PARTITION BY sku.id ORDER BY export_time DESC) = 1"
+_LP = f"lp AS (SELECT * FROM pricing_export WHERE {_NEWEST} AND service.id IN ({_SERVICES}) {_ONE})"
 _PP = f"""pp AS (
   SELECT * FROM (SELECT sku.id AS sku_id, {_first('list_price')} AS list_price,
                         {_first('billing_account_price')} AS account_price FROM lp)
@@ -348,7 +349,7 @@ found AS (
          {_first('list_price')} AS list_price, {_first('billing_account_price')} AS account_price,
          CAST(len(COALESCE(list_price.tiered_rates, [])) AS BIGINT) AS n_list_tiers,
          CAST(export_time AS DATE) AS pricing_date
-  FROM pricing_export WHERE {_NEWEST}
+  FROM pricing_export WHERE {_NEWEST} {_ONE}
 )
 SELECT r.sku_id, f.sku_description, CAST(f.list_price AS DOUBLE) AS list_price,
        CAST(f.account_price AS DOUBLE) AS account_price, f.n_list_tiers, f.pricing_date,
@@ -379,7 +380,7 @@ FROM d LEFT JOIN pp ON d.sku_id = pp.sku_id
 GROUP BY disk_type, region""")
 
 
-def _estimate(specs_cte: str, id_col: str, final_cols: str | None = None) -> str:
+def _estimate(specs_cte: str, id_col: str, final_cols: str | None = None, rows: str = "res") -> str:
     nd = "NOT contains(t, 'nvidia') AND NOT regexp_full_match(t, '[0-9]+')"
     reqs = []
     for term, base, suffix in (("ondemand", 0, None), ("cud_1y", 10, "-cud-1y"), ("cud_3y", 20, "-cud-3y")):
@@ -503,11 +504,12 @@ res AS (
   FROM parsed p LEFT JOIN agg a ON p.{id_col} = a.{id_col}
 )
 SELECT {final}
-FROM res"""
+FROM {rows}"""
 
 
 SQL["fleet_estimate"] = O.with_views(["pricing", "patterns", "catalog", "fleet"], _estimate(
-    "specs AS (SELECT spec_id, machine_definition, disk_definition, region FROM fleet_specs)", "spec_id"))
+    "specs AS (SELECT DISTINCT spec_id, machine_definition, disk_definition, region FROM fleet_specs)", "spec_id",
+    rows="res JOIN (SELECT spec_id AS listed FROM fleet_specs) f ON f.listed = res.spec_id"))
 
 SQL["machine_comparison"] = O.with_views(["pricing", "patterns", "catalog", "fleet"], _estimate(
     f"specs AS (SELECT DISTINCT machine_definition AS machine_type, machine_definition, "

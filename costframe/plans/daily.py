@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from costframe.constants import REPORT_LAG_DAYS
 from costframe.plans import compute, metrics, storage
 from costframe.plans.common import default_run_date
-from costframe.sinks.files import write_ndjson_days
+from costframe.sinks.files import write_ndjson_day
 from costframe.sinks.tables import replace_day
 from costframe.sources.ndjson import read_ndjson
 from costframe.schema import NAT_REPORT
@@ -28,11 +29,20 @@ BILLING_REPORTS: dict[str, Callable[..., DataFrame]] = {
 
 
 def run_billing_report(name: str, billing: DataFrame, table_path: str, run_date=None,
-                       lag_days: int = REPORT_LAG_DAYS, pad_days: int | None = None) -> str:
+                       lag_days: int = REPORT_LAG_DAYS, pad_days: int | None = None,
+                       exported_from_day: bool = True) -> str:
     """Recompute report `name` for the report day of `run_date` and replace that day.
-    Returns the report day (ISO)."""
+    Returns the report day (ISO).
+
+    A line is exported on its usage day or later, and the day's first instant in the billing zone
+    lies on the same UTC date, so with `exported_from_day` older export partitions are not read
+    while late lines, however late, are. Turn it off for lines that are billed ahead of use.
+    Reports keep exact DECIMAL money.
+    """
     day = default_run_date(run_date, lag_days)
-    report = BILLING_REPORTS[name](billing, target_date=day, pad_days=pad_days)
+    if exported_from_day:
+        billing = billing.filter(F.col("partition_date") >= F.lit(day))
+    report = BILLING_REPORTS[name](billing, target_date=day, pad_days=pad_days, money_as_double=False)
     replace_day(report, table_path, day)
     return day.isoformat()
 
@@ -42,7 +52,7 @@ def run_nat_report(points: DataFrame, sku_map: DataFrame, prices: DataFrame, day
     """NAT day: traffic and fee -> NDJSON day file -> the day's table partition replaced by it."""
     day = default_run_date(run_date, lag_days)
     nat = metrics.nat_traffic(points, sku_map, prices, target_date=day)
-    write_ndjson_days(nat, day_files_root)
-    loaded = read_ndjson(nat.sparkSession, day_files_root, NAT_REPORT).select(*NAT_REPORT.fieldNames())
-    replace_day(loaded, table_path, day)
+    folder = write_ndjson_day(nat, day_files_root, day)
+    loaded = read_ndjson(nat.sparkSession, folder, NAT_REPORT).withColumn("usage_date", F.lit(day))
+    replace_day(loaded.select(*NAT_REPORT.fieldNames()), table_path, day)
     return day.isoformat()

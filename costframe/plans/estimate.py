@@ -8,7 +8,7 @@ fail the whole job: the spec's `status` names the first missing lookup (in the o
 lookups are made: on-demand, 1-year, 3-year; CPU, RAM, GPU, boot disk, local SSD; then the
 confidential surcharges) and its prices are NULL.
 
-Money is exact: quantities are DECIMAL(22,10) (GiB = MB x 1/1024 exactly), prices DECIMAL(12,6),
+Money is exact: quantities are DECIMAL(22,10) (GiB = MB x 1/1024 exactly), prices DECIMAL(18,9),
 and totals are rounded to cents at the end.
 """
 
@@ -22,10 +22,11 @@ from costframe.constants import (CALCULATION_PERIOD, CONFIDENTIAL_CPU_SKU, CONFI
 from costframe.operators.joins import broadcast_dimension
 
 QTY = "decimal(22,10)"
-PRICE = "decimal(12,6)"
+PRICE = "decimal(18,9)"   # rates are not rounded; totals are, to cents
 MB_TO_GIB = "0.0009765625"   # 1/1024, exact
 TERMS = (("ondemand", 0), ("cud_1y", 10), ("cud_3y", 20))
 OK = "OK"
+SPEC_COLUMNS = ("machine_definition", "disk_definition", "region")
 
 
 def _is_digits(t: Column) -> Column:
@@ -163,8 +164,26 @@ def fleet_estimate(specs: DataFrame, catalog: DataFrame, sku_map: DataFrame, pri
     `specs`: (id_col, machine_definition, disk_definition, region); `sku_map`: (kind, component,
     region, sku_id); `prices`: (sku_id, list_price, account_price) first-tier prices.
     """
-    parsed = parse_specs(specs, catalog)
-    keys = [id_col, "region", "instance_type", "disk_definition", "parse_status"]
+    # Specs repeat: each distinct (machine, disk, region) is estimated once and joined back to every
+    # input row (null-safe), so equal specs are neither summed together nor priced again.
+    named = [id_col] + [c for c in SPEC_COLUMNS if c != id_col]
+    rows = specs.select(*named)
+    shapes = specs.select(*SPEC_COLUMNS).distinct()
+    est = _estimate_shapes(shapes, catalog, sku_map, prices)
+    cond = None
+    for c in SPEC_COLUMNS:
+        same = rows[c].eqNullSafe(est[f"_e_{c}"])
+        cond = same if cond is None else cond & same
+    joined = rows.join(est, cond, "left")
+    out = [c for c in est.columns if not c.startswith("_e_")]
+    return joined.select(F.col(id_col), "region", F.col("instance_type"), F.col("disk_definition").alias("disk_type"),
+                         *[c for c in out if c != "instance_type"])
+
+
+def _estimate_shapes(shapes: DataFrame, catalog: DataFrame, sku_map: DataFrame, prices: DataFrame) -> DataFrame:
+    """Estimate of each distinct (machine_definition, disk_definition, region), named `_e_...`."""
+    parsed = parse_specs(shapes, catalog)
+    keys = [*SPEC_COLUMNS, "instance_type", "parse_status"]
     reqs = parsed.select(*keys, F.when(F.col("parse_status").isNull(), _requests()).alias("reqs"))
     ex = reqs.select(*keys, F.explode_outer("reqs").alias("r")).select(*keys, "r.*")
     smap = broadcast_dimension(sku_map.select("kind", "component", "region", F.col("sku_id").alias("map_sku")),
@@ -201,7 +220,7 @@ def fleet_estimate(specs: DataFrame, catalog: DataFrame, sku_map: DataFrame, pri
             v = F.round(F.coalesce(F.col(f"{term}_{book}"), F.lit(0)), 2).cast("double")
             cols.append(F.when(ok, v).alias(f"{term}_{book}_price"))
     return g.select(
-        id_col, "region", "instance_type", F.col("disk_definition").alias("disk_type"),
+        *[F.col(c).alias(f"_e_{c}") for c in SPEC_COLUMNS], "instance_type",
         F.lit(CALCULATION_PERIOD).alias("calculation_period"), *cols, status.alias("status"))
 
 

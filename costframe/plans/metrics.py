@@ -58,7 +58,7 @@ def nat_traffic(points: DataFrame, sku_map: DataFrame, prices: DataFrame, target
 
 
 def object_count(points: DataFrame, target_date=None, date_range=None, tz: str = BILLING_TZ,
-                 digits: int | None = 6, project: str | None = None,
+                 digits: int | None = None, project: str | None = None,
                  bucket_name: str | None = None) -> DataFrame:
     """Daily mean object count per (project, bucket, region, storage class): the mean per
     series (all labels) and day first, then the mean of those means. `project` / `bucket_name`

@@ -16,15 +16,19 @@ SKU_NOT_FOUND = "SKU not found"
 
 
 def latest_prices(pricing: DataFrame, services=PRICE_LIST_SERVICES) -> DataFrame:
-    """Newest snapshot of the listed services, one row per SKU with both price books."""
+    """Newest snapshot of the listed services, one row per SKU with both price books.
+
+    A SKU that the snapshot lists more than once keeps the row exported last (ties: the largest
+    description, then prices), so joins on `sku_id` never multiply rows.
+    """
     snap = latest_snapshot(pricing)
     if services is not None:
         snap = snap.filter(F.col("service.id").isin(*services))
-    return snap.select(
-        F.col("sku.id").alias("sku_id"),
-        F.col("sku.description").alias("sku_description"),
-        "list_price", "billing_account_price",
-        F.to_date("export_time").alias("pricing_date"),
+    row = F.struct("export_time", F.col("sku.description").alias("sku_description"), "list_price", "billing_account_price")
+    one = snap.groupBy(F.col("sku.id").alias("sku_id")).agg(F.max(row).alias("newest"))
+    return one.select(
+        "sku_id", "newest.sku_description", "newest.list_price", "newest.billing_account_price",
+        F.to_date("newest.export_time").alias("pricing_date"),
     )
 
 

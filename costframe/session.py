@@ -47,7 +47,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        # Local tests only: nothing names a shared folder, so take a fresh one.
+        master = "" if sc is None else sc.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # One JVM only (tests): nothing names a shared folder, so take a fresh one.
         root = tempfile.mkdtemp(prefix="costframe-ckpt-")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from costframe.constants import DISPLAY_ROW_CAP, RESULT_ROW_CAP
+from costframe.schema import SKU_MAP
 
 
 def write_ndjson_days(df: DataFrame, root: str, partition_col: str = "usage_date") -> None:
@@ -18,22 +18,32 @@ def write_ndjson_days(df: DataFrame, root: str, partition_col: str = "usage_date
      .option("dateFormat", "yyyy-MM-dd").partitionBy(partition_col).json(root))
 
 
-def rows_to_json(df: DataFrame, order_by: Sequence[Column], n: int = RESULT_ROW_CAP) -> DataFrame:
-    """First `n` rows (in `order_by` order) as one JSON object each: decimals as strings, dates
-    ISO, NULL fields kept. Returns a one-column DataFrame (`json`)."""
+def write_ndjson_day(df: DataFrame, root: str, day, partition_col: str = "usage_date") -> str:
+    """One day's NDJSON folder, replaced whole by the rows of `df` for `day`; without rows it is left
+    empty, so a load of the folder clears the day. Returns the folder."""
+    folder = f"{root}/{partition_col}={day}"
+    rows = df.filter(F.col(partition_col) == F.lit(str(day)).cast("date")).drop(partition_col)
+    rows.write.mode("overwrite").option("dateFormat", "yyyy-MM-dd").json(folder)
+    return folder
+
+
+def rows_to_json(df: DataFrame, order_by: Sequence[Column], n: int | None) -> DataFrame:
+    """First `n` rows (in `order_by` order; None: all rows) as one JSON object each: decimals as
+    strings, dates ISO, NULL fields kept. Returns a one-column DataFrame (`json`)."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.DecimalType):
             c = c.cast("string")
         cols.append(c.alias(f.name))
-    top = df.orderBy(*order_by).limit(n)
+    top = display_rows(df, order_by, n)
     return top.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("json"))
 
 
-def display_rows(df: DataFrame, order_by: Sequence[Column], n: int = DISPLAY_ROW_CAP) -> DataFrame:
-    """The rows shown in an answer (a display cap, applied after ordering)."""
-    return df.orderBy(*order_by).limit(n)
+def display_rows(df: DataFrame, order_by: Sequence[Column], n: int | None) -> DataFrame:
+    """The rows shown in an answer: the first `n` after ordering (None: all rows)."""
+    ordered = df.orderBy(*order_by)
+    return ordered if n is None else ordered.limit(n)
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
@@ -43,3 +53,8 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
 def write_sku_map(sku_map: DataFrame, path: str) -> None:
     """SKU map written out with one folder per component kind (cpu, ram, gpu, disk, nat)."""
     sku_map.write.mode("overwrite").partitionBy("kind").parquet(path)
+
+
+def read_sku_map(spark: SparkSession, path: str) -> DataFrame:
+    """A saved SKU map; estimates and price reports load it instead of deriving it again."""
+    return spark.read.schema(SKU_MAP).parquet(path).select(*SKU_MAP.fieldNames())
