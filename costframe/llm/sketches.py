@@ -1,20 +1,24 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraphs (operator 5, DataFrame only).
 
 A text's paragraphs are its lines; a line longer than `PIECE` code points counts as several, cut every
-`PIECE`. The distinct 64-bit digests of the paragraphs go into a sketch of groups; a group has three
-subtables of `CELLS` cells, and a digest adds itself to one cell of each: a count, the XOR of digests
-and the XOR of their checks. The sketch of one group is the document's fingerprint.
+`PIECE`. The distinct 64-bit digests of the paragraphs go into a sketch of three subtables: a digest
+adds itself to one cell of each - a count, the XOR of digests and the XOR of their checks. The sketch
+with `CELLS` cells a subtable is the document's fingerprint.
 
 Two versions are compared by subtracting their sketches cell by cell. What both have cancels; a cell
-with one digest left reveals it, and taking it out of its other cells reveals more (peeling). The
-signed cells of the small sketch also estimate how much differs, which sets the number of groups of
-the next, larger sketch; if peeling leaves cells over, the sketch grows again. Should the largest also
-fail, the digest lists are compared directly, so the result is always exact.
+with one digest left reveals it, and taking it out of its other cells reveals more (peeling). Where
+cells are left over, the comparison is repeated with a sketch as large as both documents, then a still
+larger one. Should that also fail, the digest lists are compared directly, so the result is exact.
+
+Sketches are rows (document, cell) and every step is a built-in aggregation: contributions of both
+versions are summed with opposite signs, and a peeling round is two aggregations by document and cell.
+Rows stay in the partition of their document, so a comparison shuffles only the digest lists.
 
 Likeness = shared / all distinct paragraphs (Jaccard), from the sizes and the recovered differences.
 
-Defined results: a null text is empty; texts without paragraphs are alike (1.0); equal texts have equal
-fingerprints; an empty table gives an empty result; a document alone in its table is its own successor.
+Defined results: a null text is empty; texts without paragraphs are alike (1.0) and have the empty
+fingerprint; equal texts have equal fingerprints; an empty table gives an empty result; a document
+alone in its table is its own successor.
 """
 
 from __future__ import annotations
@@ -25,13 +29,8 @@ from pyspark.sql import functions as F
 from costframe.llm.common import col, materialize
 
 PIECE = 256
-CELLS = 8  # of a subtable; a group has three
-ROUNDS = 10
-LOAD = 6  # differing digests a group is meant to hold
-RETRIES = 2
-GROUPS_MOST = 1 << 16
-
-_CELL = "struct<n:bigint,keys:bigint,checks:bigint>"
+CELLS = 8  # of a subtable of the fingerprint
+ROUNDS = 8  # of peeling
 
 
 def paragraphs(text: Column, piece: int = PIECE) -> Column:
@@ -47,104 +46,82 @@ def _check(key: Column) -> Column:
     return F.xxhash64(key, F.lit(11))
 
 
-def _cell_no(key: Column, table: int) -> Column:
-    """The cell (0 .. 3 * CELLS - 1) of a digest in one of the three subtables of its group."""
-    return F.pmod(F.shiftrightunsigned(key, 8 + 12 * table), F.lit(CELLS)) + table * CELLS
-
-
-def _holds(key: Column, cell: Column) -> Column:
-    return (_cell_no(key, 0) == cell) | (_cell_no(key, 1) == cell) | (_cell_no(key, 2) == cell)
-
-
-def sketch_group(keys: Column) -> Column:
-    """Cells of one group over an array of digests."""
-    marked = F.transform(keys, lambda k: F.struct(
-        k.alias("k"), _check(k).alias("c"), _cell_no(k, 0).alias("a"), _cell_no(k, 1).alias("b"), _cell_no(k, 2).alias("d")))
-
-    def cell(no):
-        # a filter on the subtable's own cell number, then XOR over the few digests of the cell
-        def table(field):
-            return F.filter(marked, lambda m: m[field] == no)
-        own = F.when(no < CELLS, table("a")).when(no < 2 * CELLS, table("b")).otherwise(table("d"))
-        zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("keys"), F.lit(0).cast("long").alias("checks"))
-        return F.aggregate(own, zero, lambda a, m: F.struct(
-            (a["n"] + 1).alias("n"), a["keys"].bitwiseXOR(m["k"]).alias("keys"), a["checks"].bitwiseXOR(m["c"]).alias("checks")))
-
-    return F.transform(F.sequence(F.lit(0), F.lit(3 * CELLS - 1)), cell)
-
-
-def group_keys(keys: Column, groups: Column) -> Column:
-    """Digests dealt to `groups` arrays by their high bits."""
-    return F.transform(F.sequence(F.lit(0).cast("long"), groups - 1),
-                       lambda g: F.filter(keys, lambda k: F.pmod(F.shiftrightunsigned(k, 44), groups) == g))
-
+def _spread(rows: DataFrame, cells: Column) -> DataFrame:
+    """Rows (..., key, sign) three times, each with its cell in one subtable of `cells` cells."""
+    out = rows.withColumn("table", F.explode(F.array(*[F.lit(t) for t in range(3)])))
+    bits = F.expr("shiftrightunsigned(key, 5 + 19 * table)")
+    return out.withColumn("cell", F.pmod(bits, cells) + F.col("table") * cells)
 
-def fingerprint(cells: Column) -> Column:
-    """A group's cells as text: count.digests.checks of every cell, hexadecimal."""
-    return F.array_join(F.transform(cells, lambda c: F.concat_ws(".", F.hex(c["n"]), F.hex(c["keys"]), F.hex(c["checks"]))), "-")
 
+def sketch_cells(rows: DataFrame, cells: Column, by: list[str]) -> DataFrame:
+    """Cells (by, cell, n, keys, checks) of the sketches of rows (by, key, sign); empty cells are left out."""
+    summed = _spread(rows, cells).groupBy(*by, "cell").agg(
+        F.sum("sign").alias("n"), F.bit_xor("key").alias("keys"), F.bit_xor(_check(F.col("key"))).alias("checks"))
+    return summed.where("n <> 0 or keys <> 0 or checks <> 0")
 
-def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: F.struct(
-        (x["n"] - y["n"]).alias("n"), x["keys"].bitwiseXOR(y["keys"]).alias("keys"),
-        x["checks"].bitwiseXOR(y["checks"]).alias("checks")))
 
+def peel(cells: DataFrame, width: str, by: list[str], rounds: int = ROUNDS) -> DataFrame:
+    """(by, found, left): how many digests peeling recovers, and how many cells stay.
 
-def _clear(cells: Column) -> Column:
-    return F.forall(cells, lambda c: (c["n"] == 0) & (c["keys"] == 0) & (c["checks"] == 0))
-
-
-def peel(cells: Column, rounds: int = ROUNDS) -> Column:
-    """Differing digests of a subtracted group, or null when peeling leaves something over."""
-    found = "array<struct<key:bigint,sign:bigint>>"
-    start = F.struct(cells.cast(f"array<{_CELL}>").alias("cells"), F.array().cast(found).alias("found"), F.lit(False).alias("stop"))
-
-    def step(acc, _):
-        pure = F.filter(acc["cells"], lambda c: (F.abs(c["n"]) == 1) & (_check(c["keys"]) == c["checks"]))
-        new = F.array_distinct(F.transform(pure, lambda c: F.struct(c["keys"].alias("key"), c["n"].alias("sign")))).cast(found)
-        # a digest that all three of its cells reveal counts once
-        left = F.transform(acc["cells"], lambda c, no: F.aggregate(
-            F.filter(new, lambda x: _holds(x["key"], no)), c,
-            lambda d, x: F.struct((d["n"] - x["sign"]).alias("n"), d["keys"].bitwiseXOR(x["key"]).alias("keys"),
-                                  d["checks"].bitwiseXOR(_check(x["key"])).alias("checks"))))
-        return F.when(acc["stop"], acc).otherwise(F.struct(
-            left.cast(f"array<{_CELL}>").alias("cells"), F.concat(acc["found"], new).alias("found"), (F.size(new) == 0).alias("stop")))
-
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step)
-    return F.transform(F.array(end), lambda e: F.when(_clear(e["cells"]), e["found"]))[0]
-
-
-def differences(a: Column, b: Column, groups: Column) -> Column:
-    """How many digests differ, by sketches of `groups` groups; null when peeling failed."""
-    pairs = F.arrays_zip(group_keys(a, groups).alias("x"), group_keys(b, groups).alias("y"))
-    sizes = F.transform(pairs, lambda p: F.when(p["x"] == p["y"], F.lit(0)).otherwise(
-        F.size(peel(subtract(sketch_group(p["x"]), sketch_group(p["y"]))))))
-    ok = F.forall(sizes, lambda n: n.isNotNull() & (n >= 0))
-    return F.when(ok, F.aggregate(sizes, F.lit(0), lambda s, n: s + n))
-
-
-def estimated(cells: Column) -> Column:
-    """Differing digests estimated from the signed counts of a subtracted small sketch."""
-    squares = F.aggregate(cells, F.lit(0).cast("long"), lambda s, c: s + c["n"] * c["n"])
-    return F.ceil(squares / 3) + 1
-
-
-def with_likeness(df: DataFrame, name: str, a: str, b: str, cells_a: str, cells_b: str) -> DataFrame:
-    """`df` plus the Jaccard likeness `name` of two digest arrays, found by their sketches."""
-    gap, small, groups, diff = (f"{name}_{x}" for x in ("gap", "small", "groups", "diff"))
-    df = df.withColumn(gap, subtract(F.col(cells_a), F.col(cells_b)))
-    df = df.withColumn(small, F.when(F.col(a) == F.col(b), F.lit(0)).otherwise(F.size(peel(F.col(gap)))))
-    size = F.ceil(estimated(F.col(gap)) / LOAD)
-    df = df.withColumn(groups, F.least(F.greatest(F.lit(2), size), F.lit(GROUPS_MOST)).cast("long"))
-    known = F.when(F.col(small) >= 0, F.col(small))
-    for retry in range(RETRIES + 1):
-        larger = (F.col(groups) * (1 << (2 * retry))).cast("long")
-        known = F.coalesce(known, differences(F.col(a), F.col(b), larger))
-    exact = F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))
-    df = df.withColumn(diff, F.coalesce(known, exact))
-    both = F.size(a) + F.size(b)
-    like = F.when(both == 0, F.lit(1.0)).otherwise((both - F.col(diff)) / (both + F.col(diff))).cast("double")
-    return df.withColumn(name, like).drop(gap, small, groups, diff)
+    Rows are cells (kind 0, slot = cell), recovered digests (kind 1, slot = digest; the same digest may
+    show in three cells and counts once) and one counter (kind 2).
+    """
+    zero = F.lit(0).cast("long")
+    keys = [*by, width, "kind", "slot"]
+    rows = cells.select(*by, width, F.lit(0).alias("kind"), F.col("cell").cast("long").alias("slot"), "n", "keys", "checks")
+
+    def grouped(df):
+        out = df.groupBy(*keys).agg(F.sum("n").alias("n"), F.bit_xor("keys").alias("keys"), F.bit_xor("checks").alias("checks"))
+        return out.where("kind <> 0 or n <> 0 or keys <> 0 or checks <> 0")
+
+    def row(kind, slot, n, key, checks):
+        return F.struct(F.lit(kind).alias("kind"), slot.cast("long").alias("slot"), n.cast("long").alias("n"), key.alias("keys"), checks.alias("checks"))
+
+    for _ in range(rounds):
+        me = row(0, F.col("slot"), F.col("n"), F.col("keys"), F.col("checks")).withField("kind", F.col("kind"))
+        pure = (F.col("kind") == 0) & (F.abs("n") == 1) & (_check(F.col("keys")) == F.col("checks"))
+        shown = rows.select(*by, width, F.explode(F.when(pure, F.array(me, row(1, F.col("keys"), F.col("n"), zero, zero))).otherwise(F.array(me))).alias("r"))
+        rows = grouped(shown.select(*by, width, "r.*"))
+        me = row(0, F.col("slot"), F.col("n"), F.col("keys"), F.col("checks")).withField("kind", F.col("kind"))
+        key, sign = F.col("slot"), F.signum("n").cast("long")
+        out = [row(0, F.pmod(F.shiftrightunsigned(key, 5 + 19 * t), F.col(width)) + t * F.col(width), -sign, key, _check(key)) for t in range(3)]
+        taken = F.when(F.col("kind") == 1, F.array(*out, row(2, zero, F.lit(1), zero, zero))).otherwise(F.array(me))
+        rows = grouped(rows.select(*by, width, F.explode(taken).alias("r")).select(*by, width, "r.*"))
+    return rows.groupBy(*by).agg(F.sum(F.when(F.col("kind") == 2, F.col("n")).otherwise(zero)).alias("found"),
+                                 F.count(F.when(F.col("kind") == 0, 1)).alias("left"))
+
+
+def differences(pairs: DataFrame) -> DataFrame:
+    """(row, pair, a, b) with digest lists a, b -> (row, pair, diff): how many digests differ."""
+    both = F.size("a") + F.size("b")
+    apart = F.abs(F.size("a") - F.size("b"))  # at least so many differ
+    todo, done = pairs, []
+    for attempt, width in enumerate((F.lit(CELLS), F.ceil(both / 2) + 4, both + 16)):
+        started = todo.withColumn("width", width.cast("long")).where("a <> b")
+        if attempt == 0:
+            started = started.where(apart <= 3 * CELLS)
+        lists = started.repartition("row").select("row", "pair", "width", F.posexplode(F.concat("a", "b")).alias("at", "key"), F.size("a").alias("n_a"))
+        signed = lists.withColumn("sign", F.when(F.col("at") < F.col("n_a"), 1).otherwise(-1).cast("long"))
+        cells = sketch_cells(signed.select("row", "pair", "width", "key", "sign"), F.col("width"), ["row", "pair", "width"])
+        solved = peel(cells, "width", ["row", "pair"]).where("left = 0").select("row", "pair", F.col("found").alias("diff"))
+        done.append(materialize(solved, f"sketch-solved-{attempt}"))
+        todo = todo.join(done[-1], ["row", "pair"], "left_anti")
+    exact = F.when(F.col("a") == F.col("b"), 0).otherwise(F.size(F.array_except("a", "b")) + F.size(F.array_except("b", "a")))
+    out = todo.select("row", "pair", exact.cast("long").alias("diff"))
+    for d in done:
+        out = out.unionByName(d)
+    return out
+
+
+def _fingerprint_rows(texts: DataFrame) -> DataFrame:
+    """(row, fingerprint, edited_fingerprint): cell, count, digests and checks of the cells in use, hexadecimal."""
+    lists = texts.repartition("row").select("row", F.posexplode(F.array("keys", "edited_keys")).alias("which", "list"))
+    each = lists.select("row", "which", F.explode("list").alias("key"), F.lit(1).cast("long").alias("sign"))
+    cells = sketch_cells(each, F.lit(CELLS), ["row", "which"])
+    shown = F.concat_ws(".", F.hex("n"), F.hex("keys"), F.hex("checks"))
+    text = lambda w: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(
+        F.col("which") == w, F.struct("cell", shown.alias("shown"))))), lambda x: F.concat_ws(":", x["cell"], x["shown"])), "-")
+    return cells.groupBy("row").agg(text(0).alias("fingerprint"), text(1).alias("edited_fingerprint"))
 
 
 def successors(keys: DataFrame) -> DataFrame:
@@ -198,10 +175,19 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     n = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), n - F.floor(n / 3).cast("int")), F.col("head"))
     df = rows.select("doc_id", n.cast("long").alias("n_chars"), digests(F.col("text")).alias("keys"), edited.alias("edited"), "next_keys")
-    df = df.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "keys", digests(F.col("edited")).alias("edited_keys"), "next_keys")
-    for name in ("", "edited_", "next_"):
-        df = df.withColumn(f"{name}cells", sketch_group(F.col(f"{name}keys")))
-    df = with_likeness(df, "near_edited", "keys", "edited_keys", "cells", "edited_cells")
-    df = with_likeness(df, "near_next", "keys", "next_keys", "cells", "next_cells")
-    return df.select("doc_id", "n_chars", "edited_sha256", fingerprint(F.col("cells")).alias("fingerprint"),
-                     fingerprint(F.col("edited_cells")).alias("edited_fingerprint"), "near_edited", "near_next")
+    df = df.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                   "keys", digests(F.col("edited")).alias("edited_keys"), "next_keys")
+    df = materialize(df, "fingerprint-digests")  # row numbers must not change
+    pairs = df.select("row", F.inline(F.array(*[F.struct(F.lit(i).alias("pair"), F.col("keys").alias("a"), F.col(b).alias("b"))
+                                                for i, b in enumerate(("edited_keys", "next_keys"))])))
+    found = differences(pairs).groupBy("row").agg(*[F.max(F.when(F.col("pair") == i, F.col("diff"))).alias(f"diff{i}") for i in (0, 1)])
+
+    def like(other, diff):
+        both = F.size("keys") + F.size(other)
+        return F.when(both == 0, F.lit(1.0)).otherwise((both - F.col(diff)) / (both + F.col(diff))).cast("double")
+
+    sizes = df.select("row", "doc_id", "n_chars", "edited_sha256", "keys", "edited_keys", "next_keys")
+    out = sizes.join(found, "row").join(_fingerprint_rows(df), "row", "left")
+    return out.select("doc_id", "n_chars", "edited_sha256", F.coalesce("fingerprint", F.lit("")).alias("fingerprint"),
+                      F.coalesce("edited_fingerprint", F.lit("")).alias("edited_fingerprint"),
+                      like("edited_keys", "diff0").alias("near_edited"), like("next_keys", "diff1").alias("near_next"))
