@@ -6,7 +6,6 @@ Layout:
   operators/  reusable relational building blocks (fixed pivots, size-checked broadcast, two-level means)
   plans/      report and catalogue jobs built from the above
   sinks/      idempotent day-partition writes, NDJSON day files, JSON row export, CSV
-  streaming/  (no streaming operators in the reference; see module docstring)
 """
 
 from costframe.session import get_spark, scratch_path  # noqa: F401

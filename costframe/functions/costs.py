@@ -1,6 +1,7 @@
 """Cost per line and the three cost definitions used for spend questions.
 
-All arithmetic stays in DECIMAL: sums are then exact and independent of task order.
+All arithmetic stays in DECIMAL with twelve places: sums are exact and independent of task order,
+and lines far below a micro-unit count.
 Credits are summed inside the row with `aggregate` (no explode, no shuffle).
 """
 
@@ -10,11 +11,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from costframe.constants import PROMOTION_CREDIT_TYPE
-from costframe.schema import MONEY
+from costframe.schema import WIDE_MONEY
 
 
 def _zero() -> Column:
-    return F.lit(0).cast(MONEY)
+    return F.lit(0).cast(WIDE_MONEY)
 
 
 def credits_sum(credits="credits", exclude_promotions: bool = False) -> Column:
@@ -23,17 +24,17 @@ def credits_sum(credits="credits", exclude_promotions: bool = False) -> Column:
     With `exclude_promotions`, credits whose type is PROMOTION are left out; a credit with a
     NULL type is left out too (`type <> 'PROMOTION'` is NULL for it, as in SQL).
     """
-    arr = F.coalesce(F.col(credits) if isinstance(credits, str) else credits,
-                     F.array().cast(f"array<struct<type:string,amount:{MONEY.simpleString()}>>"))
+    arr = F.col(credits) if isinstance(credits, str) else credits
     if exclude_promotions:
         arr = F.filter(arr, lambda c: c["type"] != F.lit(PROMOTION_CREDIT_TYPE))
-    return F.aggregate(arr, _zero(), lambda acc, c: (acc + F.coalesce(c["amount"], _zero())).cast(MONEY))
+    total = F.aggregate(arr, _zero(), lambda acc, c: (acc + F.coalesce(c["amount"], _zero())).cast(WIDE_MONEY))
+    return F.coalesce(total, _zero())
 
 
 def net_cost(cost="cost", credits="credits") -> Column:
     """`cost + COALESCE(SUM(credits.amount), 0)`; a NULL cost stays NULL."""
     c = F.col(cost) if isinstance(cost, str) else cost
-    return (c + credits_sum(credits)).cast(MONEY)
+    return (c + credits_sum(credits)).cast(WIDE_MONEY)
 
 
 # cost mode -> description (user-facing)
@@ -64,14 +65,13 @@ def credit_sums_pair(credits="credits") -> Column:
     A credit with a NULL type counts in `all` but not in `no_promotions` (its `type <> 'PROMOTION'`
     test is NULL), as in `credits_sum(exclude_promotions=True)`.
     """
-    arr = F.coalesce(F.col(credits) if isinstance(credits, str) else credits,
-                     F.array().cast(f"array<struct<type:string,amount:{MONEY.simpleString()}>>"))
+    arr = F.col(credits) if isinstance(credits, str) else credits
     start = F.struct(_zero().alias("all"), _zero().alias("no_promotions"))
 
     def step(acc, c):
         amt = F.coalesce(c["amount"], _zero())
         keep = F.when(c["type"] != F.lit(PROMOTION_CREDIT_TYPE), amt).otherwise(_zero())
-        return F.struct((acc["all"] + amt).cast(MONEY).alias("all"),
-                        (acc["no_promotions"] + keep).cast(MONEY).alias("no_promotions"))
+        return F.struct((acc["all"] + amt).cast(WIDE_MONEY).alias("all"),
+                        (acc["no_promotions"] + keep).cast(WIDE_MONEY).alias("no_promotions"))
 
-    return F.aggregate(arr, start, step)
+    return F.coalesce(F.aggregate(arr, start, step), start)

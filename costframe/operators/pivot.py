@@ -25,9 +25,9 @@ def fixed_pivot_sum(category: str | Column, value: str | Column, categories: Seq
 
 
 def row_total(columns: Sequence[str], zero) -> Column:
-    """Sum across columns with NULL treated as `zero`."""
+    """Sum across DECIMAL columns with NULL treated as `zero`, kept at twelve places."""
     total = None
     for c in columns:
-        term = F.coalesce(F.col(c), zero)
-        total = term if total is None else total + term
+        term = F.coalesce(F.col(c), zero).cast("decimal(37,12)")
+        total = term if total is None else (total + term).cast("decimal(37,12)")
     return total

@@ -50,7 +50,7 @@ def compute_instance_cost(billing: DataFrame, target_date=None, date_range=None,
         F.coalesce("instance_name", F.lit(TEXT_DEFAULT)).alias("instance_name"),
         F.coalesce("psm", F.lit(TEXT_DEFAULT)).alias("psm"),
         "inner_ip",
-        row_total(COMPUTE_CATEGORIES, zero).cast("decimal(38,6)").alias("SUBTOTAL"),
+        row_total(COMPUTE_CATEGORIES, zero).cast("decimal(38,12)").alias("SUBTOTAL"),
         *[F.coalesce(F.col(c), zero).alias(c) for c in COMPUTE_CATEGORIES],
     )
     return money_to_double(out) if money_as_double else out

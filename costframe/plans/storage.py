@@ -28,7 +28,7 @@ from costframe.functions.time import days_in_month, la_date
 from costframe.operators.materialize import materialize
 from costframe.operators.pivot import fixed_pivot_sum, row_total
 from costframe.plans.common import apply_day_filters, money_to_double
-from costframe.schema import MONEY
+from costframe.schema import MONEY, WIDE_MONEY
 
 JOIN_KEYS = ("bucket_name", "region", "project_name", "usage_date", "invoice_month")
 SPINE = ("billing_name", "invoice_month", "usage_date", "project_name", "region", "bucket_name")
@@ -47,7 +47,7 @@ def storage_lines(billing: DataFrame, target_date=None, date_range=None, pad_day
         F.col("project.name").alias("project_name"),
         F.col("location.location").alias("region"),
         net_cost().alias("total_cost"),
-        (F.col("usage.amount_in_pricing_units") * days_in_month(day)).alias("total_usage"),
+        (F.col("usage.amount_in_pricing_units").cast(WIDE_MONEY) * days_in_month(day).cast("decimal(2,0)")).alias("total_usage"),
         F.coalesce(label_value(LABEL_BUCKET_NAME), F.lit(TEXT_DEFAULT)).alias("bucket_name"),
         F.col("sku.description").alias("description"),
     )

@@ -2,7 +2,8 @@
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 6)
+MONEY = T.DecimalType(18, 6)       # derived test tables
+WIDE_MONEY = T.DecimalType(28, 12)   # money read from exports, and every sum on the way
 
 KV = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 CREDIT = T.StructType([

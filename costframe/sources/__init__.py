@@ -1,7 +1,7 @@
 """Readers. All take explicit schemas; filters given to them reach the parquet scan."""
 
 from costframe.sources.billing import (  # noqa: F401
-    read_billing_export, union_accounts, padded_partition_filter, usage_date_range,
+    read_billing_export, union_accounts, padded_partition_filter,
     invoice_month_filter,
 )
 from costframe.sources.pricing import read_pricing_export, latest_snapshot  # noqa: F401

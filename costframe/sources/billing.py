@@ -10,13 +10,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costframe.constants import PARTITION_PAD_MONTHS
-from costframe.functions.time import la_date
 from costframe.schema import BILLING_COLUMNS, BILLING_EXPORT
+from costframe.sources.conform import conform
 
 
 def read_billing_export(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet billing export, partitioned by `partition_date` (partition discovery on)."""
-    return spark.read.schema(BILLING_EXPORT).parquet(path)
+    """Parquet billing export, partitioned by `partition_date` (partition discovery on).
+
+    Columns are taken by name with the types the files have (money may be DOUBLE, NUMERIC or any
+    DECIMAL) and cast once to the export schema; money becomes DECIMAL(28,12).
+    """
+    return conform(spark.read.parquet(path), BILLING_EXPORT)
 
 
 def union_accounts(tables: Sequence[DataFrame], keep_partition: bool = True) -> DataFrame:
@@ -42,11 +46,6 @@ def padded_partition_filter(start, end, months: int = PARTITION_PAD_MONTHS,
     return F.col(column).between(F.add_months(F.lit(s), -months), F.add_months(F.lit(e), months))
 
 
-def usage_date_range(start, end, ts: str = "usage_start_time") -> Column:
-    """Usage day in the billing time zone between two dates, both inclusive."""
-    return la_date(ts).between(F.lit(_as_date(start)), F.lit(_as_date(end)))
-
-
 def invoice_month_filter(first: str, last: str | None = None) -> Column:
     """Invoice month (`YYYYMM` string) equal to `first`, or within [first, last]."""
     for m in (first, last):

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costframe.schema import PRICING_EXPORT
+from costframe.sources.conform import conform
 
 
 def read_pricing_export(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PRICING_EXPORT).parquet(path)
+    """Parquet price snapshots, any stored money type (see `conform`)."""
+    return conform(spark.read.parquet(path), PRICING_EXPORT)
 
 
 def latest_snapshot(pricing: DataFrame) -> DataFrame:

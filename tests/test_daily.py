@@ -125,3 +125,30 @@ def test_row_caps_are_explicit(spark):
     assert display_rows(df, [F.col("id")], n=None).count() == 300
     with pytest.raises(TypeError):
         rows_to_json(df, [F.col("id")])
+
+
+def test_exports_of_any_money_type(spark, tmp_path):
+    from costframe.schema import BILLING_EXPORT
+    from costframe.sources.billing import read_billing_export
+    from costframe.sources.pricing import read_pricing_export
+    tiny = [line(cost="0.00")] * 50
+    df = billing_df(spark, tiny)
+    double = (df.withColumn("cost", F.lit(0.0000004)).withColumn("usage", F.struct(F.lit(0.25).alias("amount_in_pricing_units")))
+              .withColumn("credits", F.array(F.struct(F.lit("X").alias("type"), F.lit(-0.0000001).alias("amount"))))
+              .withColumn("extra", F.lit(1)).drop("seller_name"))
+    double.write.partitionBy("partition_date").parquet(str(tmp_path / "double"))
+    got = read_billing_export(spark, str(tmp_path / "double"))
+    assert got.columns == BILLING_EXPORT.fieldNames()
+    out = compute.compute_instance_cost(got, money_as_double=False).collect()
+    assert sum(r.SUBTOTAL for r in out) == Decimal("0.000015")  # 50 x (0.0000004 - 0.0000001)
+    df.write.partitionBy("partition_date").parquet(str(tmp_path / "decimal"))
+    assert read_billing_export(spark, str(tmp_path / "decimal")).count() == 50
+    plan = read_billing_export(spark, str(tmp_path / "decimal")).filter("service.id = 'x' and partition_date > '2024-01-01'").select("cost")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(service.id,x)" in text and "partition_date" in text.split("PartitionFilters")[1].split("]")[0]
+    rate = spark.createDataFrame([_price("A", "1", 6)], PRICING_EXPORT)
+    tier = "array<struct<start_usage_amount:double,usd_amount:double>>"
+    book = F.struct(F.expr(f"CAST(array(struct(0D, 0.0252888D)) AS {tier})").alias("tiered_rates"))
+    rate.withColumn("list_price", book).write.partitionBy("partition_date").parquet(str(tmp_path / "pricing"))
+    pairs = prices.first_tier_prices(read_pricing_export(spark, str(tmp_path / "pricing"))).collect()
+    assert pairs[0].list_price == Decimal("0.0252888") and pairs[0].account_price == Decimal("1")
