@@ -2,10 +2,11 @@
 
 Plan: one scan of storage lines -> ONE aggregate to (account, month, day, project, region,
 bucket, raw description) -> category and sanitised SKU name per group (the regex runs per group,
-not per line) -> written once as a parquet table in the shared checkpoint folder. The spine, the storage / class A / class B branches and
-the network pivot read that small table; the bill lines are scanned once. Per join key the
-inputs hold at most one row per (account, SKU name), so the join fan-out is bounded by distinct
-SKUs, never by line counts (a hot bucket cannot blow up a join task).
+not per line) -> one exchange of these pre-summed rows on the join keys, in whose partitions they
+are summed by SKU name and folded into one row per join key: the spine's accounts, the storage,
+class A and class B rows as short lists (at most accounts x distinct SKU names), and the network
+pivot as conditional sums. Exploding the lists gives what joining the branches would; there is no
+join, no second scan and no intermediate table.
 
 Kept on purpose (documented quirks): the joins do not use the billing account (accounts sharing a
 bucket/project/region/day multiply; `by_account=True` joins on it), a bucket with several storage
@@ -16,7 +17,7 @@ are dropped from every total.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costframe.constants import (CLASS_A_CAT, CLASS_B_CAT, LABEL_BUCKET_NAME, OTHERS_CAT,
@@ -25,7 +26,6 @@ from costframe.functions.categories import sanitize_name, storage_category
 from costframe.functions.costs import net_cost
 from costframe.functions.labels import label_value
 from costframe.functions.time import days_in_month, la_date
-from costframe.operators.materialize import materialize
 from costframe.operators.pivot import fixed_pivot_sum, row_total
 from costframe.plans.common import apply_day_filters, money_to_double
 from costframe.schema import MONEY, WIDE_MONEY
@@ -66,50 +66,44 @@ def storage_bucket_cost(billing: DataFrame, target_date=None, date_range=None, p
            .agg(F.sum("total_cost").alias("cost"), F.sum("total_usage").alias("usage"))
            .select(*SPINE, storage_category("description").alias("sku_category"),
                    sanitize_name("description").alias("sku_description"), "cost", "usage"))
-    # Written once to the shared folder; the spine and the four branches read it, each hash-
-    # partitioned on the join keys: the branch aggregates group by supersets of those keys and the
-    # sort-merge joins use exactly them, so no further exchange is needed when nothing is broadcast.
-    pre = materialize(pre, "storage-preagg").repartition(*keys)
+    pre = pre.repartition(*keys)
+    # several raw descriptions can share one sanitised name: re-sum at the report grain
+    named = (pre.groupBy(*SPINE, "sku_category", "sku_description")
+             .agg(F.sum("cost").alias("cost"), F.sum("usage").alias("usage")))
+    pivot_cols = list(STORAGE_NETWORK_COLUMNS) + [OTHERS_CAT]
+    alone = [c for c in SPINE if c not in keys]
+    row = F.struct("sku_description", "cost", "usage")
 
-    def typed(cat: str) -> DataFrame:
-        # several raw descriptions can share one sanitised name: re-sum at the report grain
-        return (pre.filter(F.col("sku_category") == cat)
-                .groupBy(*SPINE, "sku_description")
-                .agg(F.sum("cost").alias("cost"), F.sum("usage").alias("usage")))
+    def rows_of(cat: str) -> Column:
+        return F.collect_list(F.when(F.col("sku_category") == cat, row))
 
-    spine = pre.select(*SPINE).distinct()
-    storage = typed(STORAGE_CAT).select(
-        *keys, F.col("sku_description").alias("STORAGE_TYPE"), F.col("cost").alias("STORAGE"),
-        F.col("usage").alias("STORAGE_USAGE"))
-    class_a = typed(CLASS_A_CAT).select(
-        *keys, F.col("sku_description").alias("STANDARD_CLASS_A_OPERATIONS_TYPE"),
-        F.col("cost").alias("STANDARD_CLASS_A_OPERATIONS"))
-    class_b = typed(CLASS_B_CAT).select(
-        *keys, F.col("sku_description").alias("STANDARD_CLASS_B_OPERATIONS_TYPE"),
-        F.col("cost").alias("STANDARD_CLASS_B_OPERATIONS"))
-    pivot_cols = list(STORAGE_NETWORK_COLUMNS) + [OTHERS_CAT]
-    network = (pre.filter(~F.col("sku_category").isin(STORAGE_CAT, CLASS_A_CAT, CLASS_B_CAT))
-               .groupBy(*keys)
-               .agg(*fixed_pivot_sum("sku_category", "cost", pivot_cols)))
+    folded = named.groupBy(*keys).agg(
+        F.collect_set(F.struct(*alone, F.lit(0).alias("_one"))).alias("_spine"),
+        rows_of(STORAGE_CAT).alias("_storage"), rows_of(CLASS_A_CAT).alias("_class_a"), rows_of(CLASS_B_CAT).alias("_class_b"),
+        *fixed_pivot_sum("sku_category", "cost", pivot_cols))
+    if not null_safe:  # a NULL key equals nothing: its spine rows stay, without costs
+        whole = F.lit(True)
+        for k in keys:
+            whole = whole & F.col(k).isNotNull()
+        lists = ["_storage", "_class_a", "_class_b"]
+        folded = folded.select(*keys, "_spine", *[F.when(whole, F.col(c)).alias(c) for c in lists + pivot_cols])
     zero = F.lit(0).cast(MONEY)
-    network = network.select(
-        *keys,
+    out = folded.select(
+        *keys, F.explode("_spine").alias("_s"), "_storage", "_class_a", "_class_b",
         *[F.coalesce(F.col(c), zero).alias(c) for c in STORAGE_NETWORK_COLUMNS],
         row_total(STORAGE_NETWORK_COLUMNS, zero).alias("NETWORK_PRICE"),
-        F.coalesce(F.col(OTHERS_CAT), zero).alias(OTHERS_CAT),
-    )
-
-    def join(left: DataFrame, right: DataFrame) -> DataFrame:
-        r = right
-        for k in keys:
-            r = r.withColumnRenamed(k, f"_r_{k}")
-        cond = None
-        for k in keys:
-            c = left[k].eqNullSafe(r[f"_r_{k}"]) if null_safe else (left[k] == r[f"_r_{k}"])
-            cond = c if cond is None else cond & c
-        return left.join(r, cond, "left").drop(*[f"_r_{k}" for k in keys])
-
-    out = join(join(join(join(spine, storage), class_a), class_b), network)
+        F.coalesce(F.col(OTHERS_CAT), zero).alias(OTHERS_CAT))
+    out = out.select(*keys, *[F.col(f"_s.{c}").alias(c) for c in alone], *[c for c in out.columns if c not in (*keys, "_s")])
+    for name in ("storage", "class_a", "class_b"):
+        out = out.select("*", F.explode_outer(f"_{name}").alias(f"_{name}_row")).drop(f"_{name}")
+    out = out.select(
+        "*",
+        F.col("_storage_row.sku_description").alias("STORAGE_TYPE"), F.col("_storage_row.cost").alias("STORAGE"),
+        F.col("_storage_row.usage").alias("STORAGE_USAGE"),
+        F.col("_class_a_row.sku_description").alias("STANDARD_CLASS_A_OPERATIONS_TYPE"),
+        F.col("_class_a_row.cost").alias("STANDARD_CLASS_A_OPERATIONS"),
+        F.col("_class_b_row.sku_description").alias("STANDARD_CLASS_B_OPERATIONS_TYPE"),
+        F.col("_class_b_row.cost").alias("STANDARD_CLASS_B_OPERATIONS"))
     out = out.select(
         *SPINE,
         row_total(["STORAGE", "STANDARD_CLASS_A_OPERATIONS", "STANDARD_CLASS_B_OPERATIONS",

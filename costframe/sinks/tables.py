@@ -1,21 +1,21 @@
 """Report tables partitioned by `usage_date`, rewritten a day at a time.
 
-`replace_day` is a static partition overwrite: the day's folder is replaced by the new result,
-and an EMPTY result clears the day (a dynamic overwrite would leave the stale day behind).
-Re-running a day gives the same table (idempotent). Writes go through Spark's commit protocol,
-so a lost executor retries its task and no partial day becomes visible.
+New rows are first written whole to a staging folder inside the table (hidden from readers by its
+name). Only when that job has committed, each day's folder is deleted and the staged one renamed into
+its place, so a failed job leaves the table as it was, and a reader can miss a day only between
+those two steps. A day without new rows ends up without a folder. Re-running a day gives the same
+table (idempotent).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costframe.operators.materialize import materialize
-
 
 def _day_str(d) -> str:
     return (d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))).isoformat()
@@ -27,6 +27,19 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _swap_days(spark: SparkSession, staged: str, path: str, days: Iterable[str], partition_col: str) -> None:
+    """Put the staged folder of each day in place of the table's; days without one are removed."""
+    fs, staged_path = _hadoop_fs(spark, staged)
+    for d in days:
+        _, target = _hadoop_fs(spark, f"{path}/{partition_col}={d}")
+        _, new = _hadoop_fs(spark, f"{staged}/{partition_col}={d}")
+        if fs.exists(target):
+            fs.delete(target, True)
+        if fs.exists(new) and not fs.rename(new, target):
+            raise RuntimeError(f"could not put {new} in place")
+    fs.delete(staged_path, True)
+
+
 def replace_day(df: DataFrame, path: str, day, partition_col: str = "usage_date",
                 fmt: str = "parquet") -> None:
     """Delete-then-insert of one day: `INSERT OVERWRITE t PARTITION (usage_date = day) SELECT ...`.
@@ -34,33 +47,28 @@ def replace_day(df: DataFrame, path: str, day, partition_col: str = "usage_date"
     Rows of `df` for other days are not written (the filter keeps the overwrite to one day).
     """
     d = _day_str(day)
+    staged = f"{path}/_staging-{uuid.uuid4().hex[:12]}"
     rows = df.filter(F.col(partition_col) == F.lit(d).cast("date")).drop(partition_col)
-    rows.write.mode("overwrite").format(fmt).save(f"{path}/{partition_col}={d}")
+    rows.write.format(fmt).save(f"{staged}/{partition_col}={d}")
+    _swap_days(df.sparkSession, staged, path, [d], partition_col)
+
+
+FILES_PER_DAY = 4
 
 
 def backfill_days(df: DataFrame, path: str, days: Iterable, partition_col: str = "usage_date",
-                  fmt: str = "parquet") -> None:
-    """Rewrite many days in one job: dynamic partition overwrite for days with rows, and the
-    folders of listed days without rows are removed (so they read as empty, like `replace_day`)."""
+                  fmt: str = "parquet", files_per_day: int = FILES_PER_DAY) -> None:
+    """Rewrite many days in one job; listed days without rows are removed (so they read as empty).
+
+    The plan runs once: rows are dealt by day and a hash of the row, so a large day is written by
+    `files_per_day` tasks, and the days that have rows are seen from the folders written.
+    """
     wanted = sorted({_day_str(d) for d in days})
     rows = df.filter(F.col(partition_col).isin([F.lit(d).cast("date") for d in wanted]))
-    # Written once to the shared folder: the write and the list of written days read the same
-    # materialised rows (no second run of the upstream plan, lineage cut for retries).
-    rows = materialize(rows, "backfill-rows")
-    # Range partitioning on (day, row hash): each task writes a few consecutive days (few files
-    # per day) while a large day is still split over several tasks by the hash.
-    spread = F.xxhash64(*[F.col(c) for c in rows.columns])
-    ordered = rows.repartitionByRange(partition_col, spread)
-    (ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).format(fmt).save(path))
-    spark = df.sparkSession
-    fs, _ = _hadoop_fs(spark, path)
-    present = {r[0].isoformat() for r in rows.select(partition_col).distinct().collect()}
-    for d in wanted:
-        if d not in present:
-            _, p = _hadoop_fs(spark, f"{path}/{partition_col}={d}")
-            if fs.exists(p):
-                fs.delete(p, True)
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(files_per_day))
+    staged = f"{path}/_staging-{uuid.uuid4().hex[:12]}"
+    rows.repartition(F.col(partition_col), part).write.partitionBy(partition_col).format(fmt).save(staged)
+    _swap_days(df.sparkSession, staged, path, wanted, partition_col)
 
 
 def read_report_table(spark: SparkSession, path: str, schema=None, fmt: str = "parquet") -> DataFrame:
