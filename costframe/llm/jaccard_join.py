@@ -4,19 +4,27 @@ A document's set is its distinct shingles of `n` words (A-Z in lower case), hash
 words make one shingle. Documents link when 100 * intersection >= percent * union.
 
 1. Every token of a set has a place in one global order: rare first, by counts over the whole corpus in
-   2**18 hash cells (fixed size; the order need not be exact to be right, only the same everywhere).
+   2**22 hash cells (fixed size; the order need not be exact to be right, only the same everywhere).
 2. Two linked sets share at least l of their first s - ceil(t * s) + l tokens, for every l. Each document
    takes the l whose estimated cost is least: its prefix tokens' counts are the posting entries it
    meets, and about 1/l of those become candidates. Pairs must then share min(l, l') prefix tokens.
 3. Documents with one set are one node. Only tokens of two nodes or more stay in the posting lists.
-4. First, each list's smallest node is paired with the others (as many pairs as entries), the pairs that
-   share enough are verified on the texts, and linked nodes form components. A group of near copies
-   collapses here without all its pairs. Then the remaining pairs between different components that
-   share enough are verified too, so no link that joins components is missed.
-5. Components of all links; a component's id is its smallest doc_id.
-
-Nothing is gathered by key: lists are joined, counted with partial sums, and split by adaptive
-execution; components run as joins. Texts are only fetched for nodes in candidate pairs.
+4. Lists of more than HOT nodes: all nodes that meet in such lists with one smallest node form a group
+   (a group of near copies meets in many lists, but is one group). A group is dealt into chunks; every
+   pair of chunks is one task's work, which counts all overlaps at once and gives back only who hangs
+   together. No pair is a row, and a node travels as often as its group has chunks.
+5. Other lists: each list's smallest node is paired with the others (as many pairs as entries), and the
+   pairs that share enough are verified on the texts. Then what remains between different components
+   is verified too, so no link that joins components is missed. These lists are short, so the number of
+   pairs is proportional to that of entries.
+6. Components of all links; a component's id is its smallest doc_id.
+
+A pair shares enough prefix tokens when it has min(l, l') of them, and when what lies beyond the
+prefixes could make up for the rest of the overlap that a link needs.
+
+Nothing unbounded is gathered by key: lists are joined and counted with partial sums, joins can be split
+by adaptive execution, chunks have a fixed size, components run as joins. Texts are only fetched for
+nodes in candidate pairs.
 
 Defined results: a null or empty text, or one without words, is linked with nothing; a null id is
 larger than every id; rows of one id are separate documents with the same id; an empty table gives an
@@ -37,12 +45,14 @@ from costframe.llm.common import col, free_name, materialize
 from costframe.llm.components import components
 from costframe.operators.joins import PARQUET_EXPANSION, broadcast_if_small, estimated_size_bytes
 
-CELL_BITS = 18
-BLOCK = 1 << 12
+CELL_BITS = 22
+BLOCK = 1 << 15
 SHORT = 0x5EED  # tells a whole short text from a shingle of the same words
 MOST_SHARED = 6  # largest l
 VERIFY_COST = 30.0  # a verification costs as much as this many posting entries
 BROADCAST_BYTES = 32 << 20
+HOT = 32  # nodes of a posting list from which its group is compared by chunks
+CHUNK = 256  # nodes
 
 
 def shingles(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -97,37 +107,43 @@ def _count_cells(n: int):
         for batch in W.text_slices(batches, "text"):
             _, tokens, _ = shingles(batch.column("text"), n)
             cells += np.bincount(_cells(tokens), minlength=1 << CELL_BITS).astype(np.uint32)
-        used = np.flatnonzero(cells)
-        cuts = np.searchsorted(used, np.arange(0, (1 << CELL_BITS) + 1, BLOCK))
-        some = np.flatnonzero(np.diff(cuts))
-        yield pa.RecordBatch.from_pydict({
-            "block": pa.array(some, pa.int32()),
-            "places": [(used[cuts[i]:cuts[i + 1]] % BLOCK).astype(np.uint16).tobytes() for i in some],
-            "counts": [cells[used[cuts[i]:cuts[i + 1]]].astype(np.uint64).tobytes() for i in some]})
+        blocks = cells.reshape(-1, BLOCK)
+        some = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_pydict({"block": pa.array(some, pa.int32()), "counts": [_written(blocks[i]) for i in some]})
     return count
 
 
+def _written(block: np.ndarray) -> bytes:
+    """A block's counts, in two bytes each where they fit, compressed."""
+    kind = np.uint16 if block.max() < 1 << 16 else np.uint64
+    return np.dtype(kind).char.encode() + pa.compress(block.astype(kind).tobytes(), codec="zstd", asbytes=True)
+
+
+def _read(data: bytes) -> np.ndarray:
+    kind = np.dtype(data[:1].decode())
+    return np.frombuffer(pa.decompress(data[1:], decompressed_size=BLOCK * kind.itemsize, codec="zstd", asbytes=True), kind)
+
+
 def _sum_blocks(table: pa.Table) -> pa.Table:
     total = np.zeros(BLOCK, np.uint64)
-    for places, counts in zip(table.column("places").to_pylist(), table.column("counts").to_pylist()):
-        total[np.frombuffer(places, np.uint16)] += np.frombuffer(counts, np.uint64)
-    used = np.flatnonzero(total)
-    return pa.table({"block": table.column("block")[:1], "places": [used.astype(np.uint16).tobytes()], "counts": [total[used].tobytes()]})
+    for counts in table.column("counts").to_pylist():
+        total += _read(counts)
+    return pa.table({"block": table.column("block")[:1], "counts": [_written(total)]})
 
 
 def cell_counts(docs: DataFrame, text: str, n: int) -> np.ndarray:
-    """Shingles of the whole corpus per hash cell (2**18 counts, whatever the size of the corpus).
+    """Shingles of the whole corpus per hash cell (2**22 counts, whatever the size of the corpus).
 
     Tasks are summed in two steps, so no task reads the counts of all others.
     """
-    schema = "block int, places binary, counts binary"
+    schema = "block int, counts binary"
     rows = docs.select(col(text).alias("text")).mapInArrow(_count_cells(n), schema)
-    parts = rows.withColumn("part", F.spark_partition_id() % 16)
+    parts = rows.withColumn("part", F.spark_partition_id() % 8)
     parts = parts.groupBy("part", "block").applyInArrow(lambda t: _sum_blocks(t), schema)
     sums = parts.groupBy("block").applyInArrow(_sum_blocks, schema).toArrow()
     out = np.zeros(1 << CELL_BITS, np.uint64)
-    for block, places, counts in zip(*(sums.column(c).to_pylist() for c in ("block", "places", "counts"))):
-        out[block * BLOCK + np.frombuffer(places, np.uint16).astype(np.int64)] = np.frombuffer(counts, np.uint64)
+    for block, counts in zip(sums.column("block").to_pylist(), sums.column("counts").to_pylist()):
+        out[block * BLOCK:(block + 1) * BLOCK] = _read(counts)
     return out
 
 
@@ -140,7 +156,7 @@ def _prefixes(n: int, percent: int, counts: np.ndarray):
     """Per document: node, size, l and the prefix tokens."""
     amount = np.maximum(counts.astype(np.float64) - counts.mean(), 0) + 1  # a cell's usual load says nothing about one token
     rank_of = np.minimum(255, np.log2(amount) * 8).astype(np.uint8)
-    amount = amount.astype(np.float32)
+    amount_of = 2.0 ** (np.arange(256) / 8)  # a rank's count, nearly
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.text_slices(batches, "text"):
@@ -148,7 +164,7 @@ def _prefixes(n: int, percent: int, counts: np.ndarray):
             row, tokens = distinct_sets(row, tokens, rank_of[_cells(tokens)])
             node, size = node_numbers(row, tokens, n_rows)
             first = np.cumsum(size) - size
-            met = np.concatenate([[0.0], np.cumsum(amount[_cells(tokens)], dtype=np.float64)])
+            met = np.concatenate([[0.0], np.cumsum(amount_of[rank_of[_cells(tokens)]])])
             least = -(-percent * size // 100)  # tokens that a linked set shares at least
             best, cost = np.ones(n_rows, np.int64), np.full(n_rows, np.inf)
             for shared in range(1, MOST_SHARED + 1):
@@ -201,31 +217,90 @@ def _verify(n: int, percent: int):
     return run
 
 
+def _chunk_pair(n: int, percent: int):
+    """Of the texts of one or two chunks: (a, b) with b the smallest node that a hangs together with.
+
+    Overlaps are products of 0/1 matrices over the tokens that two texts or more have, some thousand
+    tokens at a time.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        node = table.column("node").to_numpy()
+        row, tokens = distinct_sets(*shingles(table.column("text"), n)[:2])
+        size = np.bincount(row, minlength=len(node))
+        _, token, times = np.unique(tokens, return_inverse=True, return_counts=True)
+        row, token = row[times[token] > 1], token[times[token] > 1]
+        _, token = np.unique(token, return_inverse=True)
+        order = np.argsort(token, kind="stable")
+        row, token = row[order], token[order]
+        both = np.zeros((len(node), len(node)), np.float32)
+        for low in range(0, int(token.max()) + 1 if len(token) else 0, 4096):
+            a, b = np.searchsorted(token, [low, low + 4096])
+            has = np.zeros((len(node), 4096), np.float32)
+            has[row[a:b], token[a:b] - low] = 1
+            both += has @ has.T
+        both = both.astype(np.int64)
+        linked = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+        linked &= both > 0
+        label = node.copy()
+        while True:  # the smallest number among neighbours, until nothing changes
+            new = np.minimum(label, np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1))
+            if (new == label).all():
+                break
+            label = new
+        some = label < node
+        return pa.table({"a": node[some], "b": label[some]})
+    return run
+
+
 def _broadcast_written(df: DataFrame) -> DataFrame:
     """Broadcast of a written table whose file size shows that it is small; else a plain join."""
     size = estimated_size_bytes(df)
     return F.broadcast(df) if size is not None and size * PARQUET_EXPANSION <= BROADCAST_BYTES else df
 
 
-def verified(pairs: DataFrame, base: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
-    """The candidate pairs (a, b) that link; texts are fetched by the node's smallest doc_id."""
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def _texts_of(ends: DataFrame, base: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """(node, text) of the nodes `ends`; a node's text is fetched by its smallest doc_id."""
     ends = materialize(ends.join(nodes.select("node", "rep", "rep_tie"), "node"), "jaccard-ends")
     side = _broadcast_written(ends.select("node", F.col("rep").alias("r"), F.col("rep_tie").alias("t")))
     rows = base.join(side, F.col("doc_id").eqNullSafe(F.col("r")) & (F.col("tie") == F.col("t"))).select("node", "text")
-    texts = materialize(rows.mapInArrow(_own_text(n), "node long, text string").dropDuplicates(["node"]), "jaccard-texts")
+    return materialize(rows.mapInArrow(_own_text(n), "node long, text string").dropDuplicates(["node"]), "jaccard-texts")
+
+
+def verified(pairs: DataFrame, base: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
+    """The candidate pairs (a, b) that link."""
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = _texts_of(ends, base, nodes, n)
     a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     return materialize(pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
                        .mapInArrow(_verify(n, percent), "a long, b long"), "jaccard-links")
 
 
+def hot_links(hot: DataFrame, base: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) among the groups of (leader, node), compared chunk by chunk."""
+    members = materialize(hot.select("leader", "node").distinct(), "jaccard-members")
+    sizes = members.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+    placed = members.join(sizes, "leader").withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(3)), F.col("chunks")).cast("int"))
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = dealt.select("leader", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "node")
+    texts = _texts_of(members.select("node").distinct(), base, nodes, n)
+    pairs = dealt.join(texts, "node").groupBy("leader", "i", "j").applyInArrow(lambda t: _chunk_pair(n, percent)(t), "a long, b long")
+    return materialize(pairs.distinct(), "jaccard-links")
+
+
 def _enough(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, together) whose sizes allow a link and that share enough prefix tokens."""
+    need = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+
+    def beyond(x):  # tokens after the prefix
+        n, shared = F.col(f"n_{x}"), F.col(f"l_{x}")
+        return n - F.least(n, n - F.ceil(percent * n / 100) + shared)
+
     facts = lambda x: nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("shared").alias(f"l_{x}"))
     joined = pairs.join(facts("a"), "a").join(facts("b"), "b")
     return joined.where((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-                        & (F.col("together") >= F.least("l_a", "l_b"))).select("a", "b")
+                        & (F.col("together") >= F.least("l_a", "l_b"))
+                        & (F.col("together") >= need - F.greatest(beyond("a"), beyond("b")))).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, n: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame]:
@@ -242,12 +317,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                                                 F.col("first.tie").alias("rep_tie"), "n_shingles", "shared"), "jaccard-nodes")
     entries = filled.select("node", "tokens").dropDuplicates(["node"]).select("node", F.explode("tokens").alias("token"))
     lists = entries.groupBy("token").agg(F.count(F.lit(1)).alias("times"), F.min("node").alias("leader")).where("times > 1")
-    shared = materialize(entries.join(lists.select("token", "leader"), "token"), "jaccard-postings")
+    listed = materialize(entries.join(lists, "token"), "jaccard-postings")
+    close = hot_links(listed.where(F.col("times") > HOT), base, nodes, n, percent)
+    shared = listed.where(F.col("times") <= HOT)
 
     # each list's smallest node with the others
     star = shared.where("node <> leader").groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("together"))
     star = materialize(_enough(star, nodes, percent), "jaccard-star")
-    links = verified(star, base, nodes, n, percent)
+    links = materialize(verified(star, base, nodes, n, percent).unionByName(close), "jaccard-links")
     groups = components(links)
 
     # then what joins different components
