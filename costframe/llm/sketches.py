@@ -6,9 +6,10 @@ adds itself to one cell of each - a count, the XOR of digests and the XOR of the
 with `CELLS` cells a subtable is the document's fingerprint.
 
 Two versions are compared by subtracting their sketches cell by cell. What both have cancels; a cell
-with one digest left reveals it, and taking it out of its other cells reveals more (peeling). Where
-cells are left over, the comparison is repeated with a sketch as large as both documents, then a still
-larger one. Should that also fail, the digest lists are compared directly, so the result is exact.
+with one digest left reveals it, and taking it out of its other cells reveals more (peeling). Small
+documents are compared by their fingerprints; larger ones by sketches sized for both documents, which
+bounds how much can differ. Where cells are left over, the comparison is repeated with a larger
+sketch. Should that also fail, the digest lists are compared directly, so the result is exact.
 
 Sketches are rows (document, cell) and every step is a built-in aggregation: contributions of both
 versions are summed with opposite signs, and a peeling round is two aggregations by document and cell.
@@ -30,7 +31,7 @@ from costframe.llm.common import col, materialize
 
 PIECE = 256
 CELLS = 8  # of a subtable of the fingerprint
-ROUNDS = 8  # of peeling
+ROUNDS = 6  # of peeling
 
 
 def paragraphs(text: Column, piece: int = PIECE) -> Column:
@@ -94,12 +95,9 @@ def peel(cells: DataFrame, width: str, by: list[str], rounds: int = ROUNDS) -> D
 def differences(pairs: DataFrame) -> DataFrame:
     """(row, pair, a, b) with digest lists a, b -> (row, pair, diff): how many digests differ."""
     both = F.size("a") + F.size("b")
-    apart = F.abs(F.size("a") - F.size("b"))  # at least so many differ
     todo, done = pairs, []
-    for attempt, width in enumerate((F.lit(CELLS), F.ceil(both / 2) + 4, both + 16)):
+    for attempt, width in enumerate((F.greatest(F.lit(CELLS), F.ceil(both / 2) + 2), both + 16)):
         started = todo.withColumn("width", width.cast("long")).where("a <> b")
-        if attempt == 0:
-            started = started.where(apart <= 3 * CELLS)
         lists = started.repartition("row").select("row", "pair", "width", F.posexplode(F.concat("a", "b")).alias("at", "key"), F.size("a").alias("n_a"))
         signed = lists.withColumn("sign", F.when(F.col("at") < F.col("n_a"), 1).otherwise(-1).cast("long"))
         cells = sketch_cells(signed.select("row", "pair", "width", "key", "sign"), F.col("width"), ["row", "pair", "width"])
