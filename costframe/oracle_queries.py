@@ -8,7 +8,7 @@ import datetime as _dt
 from costframe import constants as C
 from costframe import oracle as O
 from costframe.registry import (BUCKET_FRAGMENT, COMPARISON_REGION, FEB_RANGE, FULL_RANGE, LB_NAME,
-                                MONTH, MONTHS, REPORT_DAY)
+                                MONTH, MONTHS, NAT_DAYS, REPORT_DAY)
 
 SQL: dict[str, str] = {}
 
@@ -82,13 +82,13 @@ FROM r3_lines
 GROUP BY description, billing_name, project_name, invoice_month, usage_date""")
 
 
-def _r4(by_account: bool) -> str:
+def _r4(by_account: bool, same: str = "=") -> str:
     net = list(C.STORAGE_NETWORK_COLUMNS)
     keys = ["bucket_name", "region", "project_name", "usage_date", "invoice_month"] + (
         ["billing_name"] if by_account else [])
 
     def on(a, b):
-        return " AND ".join(f"{a}.{k} = {b}.{k}" for k in keys)
+        return " AND ".join(f"{a}.{k} {same} {b}.{k}" for k in keys)
 
     pcols = net + ["OTHERS"]
     pivots = ",\n    ".join(f"SUM(CASE WHEN sku_category = '{c}' THEN total_cost END) AS {c}" for c in pcols)
@@ -159,6 +159,7 @@ LEFT JOIN network N ON {on('B', 'N')}""")
 
 SQL["storage_bucket_cost"] = _r4(False)
 SQL["storage_bucket_cost_by_account"] = _r4(True)
+SQL["storage_bucket_cost_null_safe"] = _r4(False, "IS NOT DISTINCT FROM")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -596,3 +597,28 @@ SELECT CAST(to_json({{'billing_name': billing_name, 'invoice_month': invoice_mon
   'SUBTOTAL_USD': CAST(SUBTOTAL_USD AS VARCHAR)}}) AS VARCHAR) AS json
 FROM top""")
 SQL["json_rows"] = _LBJ
+
+SQL["display_rows"] = (_LBJ[:_LBJ.index("  LIMIT 100")] + "  LIMIT 50\n)\nSELECT billing_name, invoice_month, usage_date, project_id, "
+                       "forwarding_rule_name, CAST(SUBTOTAL_USD AS DOUBLE) AS SUBTOTAL_USD FROM top")
+SQL["compute_instance_cost_from_export"] = SQL["compute_instance_cost"]
+SQL["compute_instance_cost_daily"] = SQL["compute_instance_cost_day"]
+SQL["fleet_estimate_saved_map"] = SQL["fleet_estimate"]
+SQL["comparison_csv"] = SQL["machine_comparison"]
+SQL["nat_day_replace"] = f"SELECT * FROM ({SQL['nat_fee']}) WHERE usage_date = DATE '{NAT_DAYS[1]}'"
+SQL["spend_having"] = O.with_views(["billing"], f"""
+{_accounts(*FULL_RANGE)}
+SELECT service.id AS service_id, CAST({_MODES['raw']} AS DOUBLE) AS cost
+FROM acct WHERE {_usage_between(*FULL_RANGE)}
+GROUP BY service.id HAVING {_MODES['raw']} > 100000000""")
+SQL["price_tiers"] = O.with_views(["billing", "pricing"], f"""
+req AS (SELECT DISTINCT sku.id AS sku_id FROM billing_export),
+snap AS (SELECT * FROM pricing_export WHERE {_NEWEST} {_ONE}),
+books AS (
+  SELECT sku.id AS sku_id, 'list' AS book, list_price.tiered_rates AS tiers FROM snap
+  UNION ALL
+  SELECT sku.id, 'account', billing_account_price.tiered_rates FROM snap
+),
+tiers AS (SELECT sku_id, book, tiers, UNNEST(generate_series(1, len(tiers))) AS i FROM books)
+SELECT t.sku_id, t.book, CAST(t.i - 1 AS BIGINT) AS tier, CAST(t.tiers[t.i].start_usage_amount AS DOUBLE) AS start_usage,
+       CAST(t.tiers[t.i].usd_amount AS DOUBLE) AS usd
+FROM tiers t JOIN req r ON r.sku_id = t.sku_id""")

@@ -6,22 +6,24 @@ the whole input tables; the matching DuckDB SQL lives in `costframe.oracle_queri
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costframe import fixtures as fx
-from costframe.constants import COMPUTE_SERVICE_ID, RESULT_ROW_CAP
+from costframe.constants import COMPUTE_SERVICE_ID, DISPLAY_ROW_CAP, REPORT_LAG_DAYS, RESULT_ROW_CAP
 from costframe.functions.labels import has_label, lacks_label, no_labels
 from costframe.functions.time import la_date
-from costframe.plans import compute, estimate, lines, metrics, prices, skumap, spend, storage
+from costframe.plans import compute, daily, estimate, lines, metrics, prices, skumap, spend, storage
+from costframe.plans.common import money_to_double
 from costframe.plans.prices import first_tier
 from costframe.schema import NAT_REPORT
 from costframe.session import scratch_path
 from costframe.sinks import files as sink_files
 from costframe.sinks import tables as sink_tables
-from costframe.sources.billing import union_accounts
+from costframe.sources.billing import read_billing_export, union_accounts
 from costframe.sources.ndjson import read_ndjson
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -256,7 +258,6 @@ def q_ndjson_roundtrip(spark, sf):
 @query("day_replace_table")
 def q_day_replace_table(spark, sf):
     """R1 backfilled into a day-partitioned table, one day re-run (idempotent), table read back."""
-    import datetime as dt
     path = scratch_path(spark, "compute-report")
     report = compute.compute_instance_cost(fx.billing_export(spark, sf))
     first, last = (dt.date.fromisoformat(d) for d in FIXTURE_DAYS)
@@ -277,3 +278,99 @@ def q_json_rows(spark, sf):
     six = [F.col(f.name).cast("decimal(28,6)").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name)
            for f in lb.schema.fields]   # six places in the text, as the test table has
     return sink_files.rows_to_json(lb.select(*six), order, RESULT_ROW_CAP)
+
+
+# ---------------------------------------------------------------------------------------------
+# Stored inputs and outputs: exports, saved maps, day tables, files
+# ---------------------------------------------------------------------------------------------
+
+NAT_DAYS = ("2024-01-03", "2024-01-04")   # two days of the metric points
+
+
+def _stored_export(spark, sf):
+    """The billing export written as an export table has it: partitioned, money as DOUBLE."""
+    path = scratch_path(spark, "billing-export")
+    be = fx.billing_export(spark, sf).withColumn("cost", F.col("cost").cast("double"))
+    be = be.withColumn("credits", F.transform("credits", lambda c: F.struct(c["type"].alias("type"), c["amount"].cast("double").alias("amount"))))
+    be.repartition("partition_date").write.partitionBy("partition_date").parquet(path)
+    return read_billing_export(spark, path)
+
+
+@query("compute_instance_cost_from_export")
+def q_compute_instance_cost_from_export(spark, sf):
+    return compute.compute_instance_cost(_stored_export(spark, sf))
+
+
+@query("compute_instance_cost_daily")
+def q_compute_instance_cost_daily(spark, sf):
+    """R1 for one report day by the scheduled job, over a stored export (older partitions pruned)."""
+    path = scratch_path(spark, "compute-daily")
+    run_date = (dt.date.fromisoformat(REPORT_DAY) + dt.timedelta(days=REPORT_LAG_DAYS)).isoformat()
+    daily.run_billing_report("compute_instance", _stored_export(spark, sf), path, run_date=run_date)
+    columns = compute.compute_instance_cost(fx.billing_export(spark, sf)).columns
+    return money_to_double(sink_tables.read_report_table(spark, path).select(*columns))
+
+
+@query("storage_bucket_cost_null_safe")
+def q_storage_bucket_cost_null_safe(spark, sf):
+    return storage.storage_bucket_cost(fx.billing_export(spark, sf), null_safe=True)
+
+
+@query("spend_having")
+def q_spend_having(spark, sf):
+    """Services whose raw cost over all days is above 100 million (HAVING)."""
+    return spend.spend(fx.account_tables(spark, sf), "raw", [F.col("service.id").alias("service_id")],
+                       having=F.col("cost") > 100_000_000, start=FULL_RANGE[0], end=FULL_RANGE[1])
+
+
+@query("price_tiers")
+def q_price_tiers(spark, sf):
+    """Every tier of both price books of the requested SKUs, from the full structs of the lookup."""
+    requested = fx.billing_export(spark, sf).select(F.col("sku.id").alias("sku_id")).distinct()
+    full = prices.sku_price_lookup(fx.pricing_export(spark, sf), requested, flatten=False)
+    books = F.array(*[F.struct(F.lit(n).alias("book"), F.col(f"{b}.tiered_rates").alias("tiers"))
+                      for n, b in (("list", "list_price"), ("account", "billing_account_price"))])
+    rows = full.select("sku_id", F.inline(books))
+    return rows.select("sku_id", "book", F.posexplode("tiers").alias("tier", "t")).select(
+        "sku_id", "book", F.col("tier").cast("bigint").alias("tier"), F.col("t.start_usage_amount").cast("double").alias("start_usage"),
+        F.col("t.usd_amount").cast("double").alias("usd"))
+
+
+@query("fleet_estimate_saved_map")
+def q_fleet_estimate_saved_map(spark, sf):
+    """R6 with the SKU map written out by kind and loaded again."""
+    path = scratch_path(spark, "sku-map")
+    sink_files.write_sku_map(_sku_map(spark, sf), path)
+    return estimate.fleet_estimate(fx.fleet_specs(spark, sf), fx.machine_catalog(spark),
+                                   sink_files.read_sku_map(spark, path), _price_pairs(spark, sf))
+
+
+@query("comparison_csv")
+def q_comparison_csv(spark, sf):
+    """R14 written as CSV and read back."""
+    path = scratch_path(spark, "comparison-csv")
+    report = q_machine_comparison(spark, sf)
+    sink_files.write_csv(report, path)
+    return spark.read.schema(report.schema).option("header", "true").csv(path)
+
+
+@query("display_rows")
+def q_display_rows(spark, sf):
+    """The rows shown of the load-balancer report."""
+    lb = compute.load_balancer_cost(fx.billing_export(spark, sf))
+    order = [F.col(c).asc_nulls_first() for c in
+             ("billing_name", "invoice_month", "usage_date", "project_id", "forwarding_rule_name")]
+    return sink_files.display_rows(lb, order, DISPLAY_ROW_CAP)
+
+
+@query("nat_day_replace")
+def q_nat_day_replace(spark, sf):
+    """R5's daily job for two days, then the first day again without points: only the second stays."""
+    files, table = scratch_path(spark, "nat-files"), scratch_path(spark, "nat-table")
+    points, pairs = fx.metric_points(spark, sf), _price_pairs(spark, sf)
+    smap = _sku_map(spark, sf)
+    run_dates = [(dt.date.fromisoformat(d) + dt.timedelta(days=REPORT_LAG_DAYS)).isoformat() for d in NAT_DAYS]
+    for run_date in run_dates:
+        daily.run_nat_report(points, smap, pairs, files, table, run_date=run_date)
+    daily.run_nat_report(points.limit(0), smap, pairs, files, table, run_date=run_dates[0])
+    return sink_tables.read_report_table(spark, table).select(*NAT_REPORT.fieldNames())
