@@ -83,6 +83,7 @@ def duplicate_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     suspects = marked.where("suspect").select("doc_id", "row", "text_sha256")
     groups = suspects.groupBy("text_sha256").agg(
         F.max(F.struct("doc_id", "row")).alias("keep"), F.count(F.lit(1)).alias("group_size"))
+    groups = materialize(groups, "exact-dedup-groups")  # both sides then come from exchanges, which can be split
     repeated = suspects.join(groups, "text_sha256").select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("keep.row")).alias("kept"), "text_sha256")
