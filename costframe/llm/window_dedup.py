@@ -7,7 +7,7 @@ minimisers, so a bucket holds every occurrence of its windows: sorting their has
 doc_id of each, and windows of larger documents are marked. Marks go back to the documents as word
 spans; all words covered by a marked window are removed. Windows are judged on the input.
 
-Buckets are cut by size: their number follows the size of the table. A first pass counts the windows of
+Buckets are cut by size: their number follows the number of windows. A first pass counts the windows of
 2**14 cells of the minimiser hash. A cell that alone would outgrow a bucket (one hot minimiser) is not
 packed: its windows are grouped one by one, with partial aggregation before the shuffle and a join that
 adaptive execution splits, so no task gathers them.
@@ -32,10 +32,9 @@ from pyspark.sql import functions as F
 from costframe.llm import buckets as B
 from costframe.llm import words as W
 from costframe.llm.common import col
-from costframe.operators.joins import estimated_size_bytes
 
 WINDOW, GROUP = 13, 3
-BUCKET_BYTES = 4 << 20  # of table size in storage for a bucket
+BUCKET_WINDOWS = 1 << 20  # windows of a bucket, about
 CELLS = 1 << 14
 HOT_WINDOWS = 1 << 21  # a cell with more windows than this is grouped window by window
 
@@ -172,7 +171,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, k: int = WINDOW, m: int = GROUP,
-                   bucket_bytes: int = BUCKET_BYTES, hot_windows: int = HOT_WINDOWS) -> tuple[DataFrame, DataFrame]:
+                   bucket_windows: int = BUCKET_WINDOWS, hot_windows: int = HOT_WINDOWS) -> tuple[DataFrame, DataFrame]:
     """(documents with doc_id, text, tie, and the marked word spans doc_id, tie, begin, end).
 
     In the spans a null id is buckets.NO_ID; `tie` tells rows of one id apart (0 where ids are unique).
@@ -182,8 +181,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     tie = F.xxhash64("text") if ids.count() else F.lit(0).cast("long")
     base = base.withColumn("tie", tie)
     counts = base.select("text").mapInArrow(_cell_counts(k, m), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    hot = np.array(sorted(r.cell for r in counts.where(F.col("n") > hot_windows).collect()), np.int64)  # at most CELLS
-    n_buckets = max(8, (estimated_size_bytes(docs) or 0) // bucket_bytes)
+    total, hot_cells = counts.agg(F.sum("n"), F.collect_list(F.when(F.col("n") > hot_windows, F.col("cell")))).first()  # at most CELLS
+    hot = np.array(sorted(hot_cells), np.int64)
+    n_buckets = max(8, (total or 0) // bucket_windows)
     packed = base.mapInArrow(_pack(k, m, n_buckets, hot), B.SCHEMA)
     spans = packed.groupBy("bucket").applyInArrow(_later_spans(k), B.SPANS)
     if len(hot):

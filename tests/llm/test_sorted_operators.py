@@ -41,7 +41,7 @@ def spread(rows):
     return Counter(tuple(r) for r in rows)
 
 
-@pytest.mark.parametrize("options", [{}, {"hot_windows": 3, "bucket_bytes": 1 << 10}])
+@pytest.mark.parametrize("options", [{}, {"hot_windows": 3, "bucket_windows": 50}])
 def test_windows(make_docs, options):
     docs = make_docs(passages(1)).withColumn("tie", F.lit("x")).withColumn("spans", F.lit(0))
     assert spread(window_dedup.window_report(docs, **options).collect()) == brute.windows(rows_of(docs))
