@@ -133,11 +133,18 @@ def sku_region_map(pricing: DataFrame, patterns: DataFrame) -> DataFrame:
         "regions",
         F.when(F.col("description").contains("Warsaw"), F.array(F.lit(WARSAW_REGION)))
         .otherwise(F.col("regions")))
-    # The pattern table is a small dimension (about 130 rows): broadcast nested-loop join.
-    pats = broadcast_dimension(patterns, "sku-patterns")
+    # The pattern table is a small dimension (about 130 rows): broadcast nested-loop join. A pattern
+    # that is only a beginning (`abc%`) or an ending (`%abc`) is compared as such; LIKE against a
+    # column, which compiles an expression for every pair, is left to the other patterns.
+    only = lambda c, shape: F.when(F.col(c).rlike(shape), F.replace(F.col(c), F.lit("%"), F.lit("")))
+    named = patterns.select("*", only("like_first", r"^[^%_\\]+%$").alias("_prefix"),
+                            only("like_last", r"^%[^%_\\]+$").alias("_suffix"))
+    pats = broadcast_dimension(named, "sku-patterns")
     matched = rows.join(
         pats,
-        F.expr("description LIKE like_first AND (like_last IS NULL OR description LIKE like_last)"),
+        F.expr("CASE WHEN _prefix IS NOT NULL THEN startswith(description, _prefix) ELSE description LIKE like_first END "
+               "AND (like_last IS NULL OR CASE WHEN _suffix IS NOT NULL THEN endswith(description, _suffix) "
+               "ELSE description LIKE like_last END)"),
         "inner",
     )
     exploded = matched.select("kind", "component", F.explode("regions").alias("region"), "sku_id")
