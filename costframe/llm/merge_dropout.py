@@ -53,7 +53,9 @@ def read_model(path: str = MODEL) -> dict:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     n = model.get_piece_size()
     plain = [i for i in range(n) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
-    return {"size": n, "pieces": {model.id_to_piece(i): i for i in plain}, "scores": {i: model.get_score(i) for i in plain},
+    with open(path, "rb") as file:
+        digest = hashlib.sha256(file.read()).hexdigest()
+    return {"digest": digest, "size": n, "pieces": {model.id_to_piece(i): i for i in plain}, "scores": {i: model.get_score(i) for i in plain},
             "bytes": [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]}
 
 
@@ -113,6 +115,17 @@ class Vocabulary:
         return out
 
 
+_READY: dict[str, Vocabulary] = {}
+
+
+def vocabulary(model: dict) -> Vocabulary:
+    """The tables of a model, built once in a Python worker."""
+    if model["digest"] not in _READY:
+        _READY.clear()
+        _READY[model["digest"]] = Vocabulary(model)
+    return _READY[model["digest"]]
+
+
 def _skipped(key: np.ndarray, i, j, k, limit: int) -> np.ndarray:
     """Whether the candidate [i, j) + [j, k) of the chunk `key` is skipped."""
     h = key + i.astype(np.uint64) * np.uint64(_A) + j.astype(np.uint64) * np.uint64(_B) + k.astype(np.uint64) * np.uint64(_C)
@@ -323,9 +336,8 @@ def _variant(batch: pa.RecordBatch, name: str, seed: int, variants: int) -> np.n
 
 def _tasks(model: dict, seed: int, rate: float, variants: int, extend):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = None
         for batch in W.text_slices(batches, "__text", SLICE_BYTES):
-            v = v or Vocabulary(model)
+            v = vocabulary(model)
             ids, offsets = encode_texts(v, batch.column("__text"), _variant(batch, "__id", seed, variants), seed, rate)
             tokens = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
             yield extend(v, batch, ids, offsets, tokens)
@@ -356,7 +368,7 @@ def decode(encoded: DataFrame, *, tokens: str = "tokens", model_path: str = MODE
 
     @F.pandas_udf("string")
     def spell(lists):
-        v = Vocabulary(model)
+        v = vocabulary(model)
         sizes = [0 if x is None else len(x) for x in lists]
         flat = np.concatenate([np.asarray(x, np.int64) for x in lists if x is not None] + [np.zeros(0, np.int64)])
         data, at = decode_ids(v, flat, np.concatenate([[0], np.cumsum(sizes)]))
