@@ -95,14 +95,23 @@ def hypergeometric(population: Column, marked: Column, draws: Column, u: Column)
     logs = F.aggregate(steps, state,
                        lambda a, x: F.struct((a["now"] + ratio(x)).alias("now"), F.array_append(a["all"], a["now"] + ratio(x)).alias("all")),
                        lambda a: a["all"])
-    weight = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
-    total = F.aggregate(weight, F.lit(0.0), lambda a, x: a + x)
-    past = F.aggregate(weight, F.struct(F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("n")),
-                       lambda a, x: F.struct((a["sum"] + x).alias("sum"), (a["n"] + F.when(a["sum"] + x <= u * total, 1).otherwise(0)).cast("long").alias("n")),
-                       lambda a: a["n"])
+    zero = F.struct(F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("n"))
+
+    def below(weight, most):  # values whose running sum stays at or under `most`
+        return F.aggregate(weight, zero, lambda a, x: F.struct(
+            (a["sum"] + x).alias("sum"), (a["n"] + F.when(a["sum"] + x <= most, 1).otherwise(0)).cast("long").alias("n")), lambda a: a["n"])
+
+    past = _once(logs, lambda every: _once(F.array_max(every), lambda top: _once(
+        F.transform(every, lambda x: F.exp(x - top)), lambda weight: _once(
+            F.aggregate(weight, F.lit(0.0), lambda a, x: a + x) * u, lambda most: below(weight, most)))))
     return F.least(low + past, high)
 
 
+def _once(value: Column, use) -> Column:
+    """`use(value)` with `value` computed once, however often `use` has it (also inside lambdas)."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def split_quotas(quotas: DataFrame, shards: int = SHARDS, seed: str = SEED) -> DataFrame:
     """(source, draws) -> (source, shard, draws): exact quotas of every shard, drawn down the tree."""
     item = "array<struct<source:string,draws:bigint>>"
