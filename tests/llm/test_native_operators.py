@@ -196,7 +196,7 @@ def brute_targets(sizes, weights=(5, 2, 1), most=3):
         stopped |= over
 
 
-def check_mix(docs, shards=8):
+def check_mix(docs, shards=8, rerun=False):
     rows = [(r.doc_id, r.text, r.source) for r in docs.select("doc_id", "text", "source").collect()]
     size = lambda t: len(WORD.findall(t or ""))
     sizes, biggest = Counter(), Counter()
@@ -205,8 +205,8 @@ def check_mix(docs, shards=8):
         biggest[s] = max(biggest[s], size(t))
     targets = brute_targets(sizes) if rows else {}
     got = mixing.plan_mix(docs, shards=shards).collect()
-    again = mixing.plan_mix(docs, shards=shards).collect()
-    assert Counter(map(str, got)) == Counter(map(str, again))
+    if rerun:
+        assert Counter(map(str, got)) == Counter(map(str, mixing.plan_mix(docs.repartition(3), shards=shards).collect()))
     assert Counter((r.doc_id, r.size, r.source_size) for r in got) == Counter((i, size(t), sizes[s]) for i, t, s in rows)
     source_of = {i: s for i, _, s in rows}
     taken, per_shard = Counter(), Counter()
@@ -232,7 +232,7 @@ def test_mix_edges(make_docs):
 
 
 def test_mix_table(sf_docs):
-    check_mix(sf_docs, shards=5)
+    check_mix(sf_docs, shards=5, rerun=True)
 
 
 def test_mix_rows(make_docs):
