@@ -288,19 +288,22 @@ def hot_links(hot: DataFrame, base: DataFrame, nodes: DataFrame, n: int, percent
     return materialize(pairs.distinct(), "jaccard-links")
 
 
-def _enough(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, together) whose sizes allow a link and that share enough prefix tokens."""
+def _sizes_allow(percent: int):
+    """Whether sets of n_a and n_b tokens can link at all."""
+    return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+
+
+def _enough(entries: DataFrame, percent: int) -> DataFrame:
+    """Of (a, b, n_a, n_b, l_a, l_b), one row per shared prefix token: the pairs (a, b) that share enough."""
+    pairs = entries.where(_sizes_allow(percent)).groupBy("a", "b", "n_a", "n_b", "l_a", "l_b").agg(F.count(F.lit(1)).alias("together"))
     need = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
 
     def beyond(x):  # tokens after the prefix
         n, shared = F.col(f"n_{x}"), F.col(f"l_{x}")
         return n - F.least(n, n - F.ceil(percent * n / 100) + shared)
 
-    facts = lambda x: nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("shared").alias(f"l_{x}"))
-    joined = pairs.join(facts("a"), "a").join(facts("b"), "b")
-    return joined.where((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-                        & (F.col("together") >= F.least("l_a", "l_b"))
-                        & (F.col("together") >= need - F.greatest(beyond("a"), beyond("b")))).select("a", "b")
+    return pairs.where((F.col("together") >= F.least("l_a", "l_b"))
+                       & (F.col("together") >= need - F.greatest(beyond("a"), beyond("b")))).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, n: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame]:
@@ -315,30 +318,33 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         F.min(F.struct(F.coalesce("doc_id", no_id).alias("id"), "tie")).alias("first"), F.max("n_shingles").alias("n_shingles"),
         F.max("shared").alias("shared")).select("node", F.when(F.col("first.id") != no_id, F.col("first.id")).alias("rep"),
                                                 F.col("first.tie").alias("rep_tie"), "n_shingles", "shared"), "jaccard-nodes")
-    entries = filled.select("node", "tokens").dropDuplicates(["node"]).select("node", F.explode("tokens").alias("token"))
+    entries = filled.select("node", F.col("n_shingles").alias("n"), F.col("shared").alias("l"), "tokens").dropDuplicates(["node"])
+    entries = entries.select("node", "n", "l", F.explode("tokens").alias("token"))
     lists = entries.groupBy("token").agg(F.count(F.lit(1)).alias("times"), F.min("node").alias("leader")).where("times > 1")
+    lists = lists.join(nodes.select(F.col("node").alias("leader"), F.col("n_shingles").alias("n_a"), F.col("shared").alias("l_a")), "leader")
     listed = materialize(entries.join(lists, "token"), "jaccard-postings")
     close = hot_links(listed.where(F.col("times") > HOT), base, nodes, n, percent)
     shared = listed.where(F.col("times") <= HOT)
 
     # each list's smallest node with the others
-    star = shared.where("node <> leader").groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("together"))
-    star = materialize(_enough(star, nodes, percent), "jaccard-star")
+    star = shared.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"), "n_a", F.col("n").alias("n_b"),
+                                                 "l_a", F.col("l").alias("l_b"))
+    star = materialize(_enough(star, percent), "jaccard-star")
     links = materialize(verified(star, base, nodes, n, percent).unionByName(close), "jaccard-links")
     groups = components(links)
 
     # then what joins different components
-    placed = shared.select("token", "node").join(groups, "node", "left").select("token", "node", F.coalesce("component", "node").alias("part"))
+    placed = shared.select("token", "node", "n", "l").join(groups, "node", "left").select(
+        "token", "node", "n", "l", F.coalesce("component", "node").alias("part"))
     placed = materialize(placed, "jaccard-parts")
     mixed = placed.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("token")
     open_lists = materialize(placed.join(mixed, "token"), "jaccard-open")
     parts = open_lists.select("token", "part").distinct()
     across = parts.select("token", F.col("part").alias("p")).join(parts.select("token", F.col("part").alias("q")), "token").where("p < q")
-    side = lambda p, x: open_lists.select("token", F.col("part").alias(p), F.col("node").alias(x))
-    pairs = across.join(side("p", "u"), ["token", "p"]).join(side("q", "v"), ["token", "q"])
-    pairs = pairs.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("together"))
-    done = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = materialize(_enough(pairs, nodes, percent).join(done, ["a", "b"], "left_anti"), "jaccard-rest")
+    side = lambda p, x: open_lists.select("token", F.col("part").alias(p), F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("l").alias(f"l_{x}"))
+    pairs = across.join(side("p", "a"), ["token", "p"]).join(side("q", "b"), ["token", "q"])
+    ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = materialize(ordered(_enough(pairs, percent)).join(ordered(star), ["a", "b"], "left_anti"), "jaccard-rest")
     more = verified(rest, base, nodes, n, percent)
     if more.isEmpty():
         return rows, groups
