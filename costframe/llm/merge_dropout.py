@@ -37,7 +37,7 @@ from costframe.llm.common import col, free_name
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 RATE, SEED, VARIANTS = 0.1, 20240601, 4
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 LONG = 64
 BLOCK = 1 << 13  # chunks that are segmented together
 _NONE = np.int32(2**31 - 1)
