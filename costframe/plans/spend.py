@@ -23,21 +23,25 @@ Tables = DataFrame | Sequence[DataFrame]
 
 
 def scoped_lines(tables: Tables, *, start=None, end=None, invoice_month: str | None = None,
-                 invoice_month_end: str | None = None, pad_months: int = PARTITION_PAD_MONTHS) -> DataFrame:
-    """Union of the account tables restricted to a time range (mandatory) plus partition padding."""
+                 invoice_month_end: str | None = None, pad_months: int | None = PARTITION_PAD_MONTHS) -> DataFrame:
+    """Union of the account tables restricted to a time range (mandatory) plus partition padding.
+
+    `pad_months=None` reads every export partition, so lines exported later than the padding count.
+    """
     df = union_accounts(tables if isinstance(tables, (list, tuple)) else [tables])
     if start is not None or end is not None:
         if start is None or end is None:
             raise ValueError("a usage range needs both start and end")
-        df = df.filter(padded_partition_filter(start, end, pad_months)).filter(local_day_filter(start, end))
+        df = df.filter(local_day_filter(start, end))
+        padded = (start, end)
     elif invoice_month is not None:
         first, _ = month_bounds(invoice_month)
         _, last = month_bounds(invoice_month_end or invoice_month)
-        df = df.filter(padded_partition_filter(first, last, pad_months)) \
-               .filter(invoice_month_filter(invoice_month, invoice_month_end))
+        df = df.filter(invoice_month_filter(invoice_month, invoice_month_end))
+        padded = (first, last)
     else:
         raise ValueError("a time filter is required: usage start/end or invoice month")
-    return df
+    return df if pad_months is None else df.filter(padded_partition_filter(*padded, pad_months))
 
 
 def spend(tables: Tables, cost_mode: str, group_by: Sequence[Column] = (), where: Column | None = None,
