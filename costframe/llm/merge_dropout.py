@@ -4,21 +4,23 @@ A text is escaped as the model does (a leading space, every space the mark U+258
 that no piece of the vocabulary crosses: a run of spaces with what follows it, and runs of line feeds.
 In a chunk, adjacent symbols whose union is a piece are candidate merges; the agenda applies the one of
 the best score (then the leftmost) until none is left. A candidate is skipped for good when its keyed
-hash - of the seed, the document's variant, the chunk and the three borders of the candidate - falls
-under the dropout rate. With rate 0 the result is the model's own segmentation. Equal seeds give equal
-segmentations; documents fall into `variants` variants, so one word is segmented in several ways.
+hash - of the seed, the document, the chunk's place in it, the chunk and the three borders of the
+candidate - falls under the dropout rate. With rate 0 the result is the model's own segmentation. Equal
+seeds give equal segmentations; every occurrence of a word draws for itself, also in one document.
 
 Characters that are no piece become byte tokens; so does the mark U+2581 itself where a text has it.
 Decoding therefore gives back every text byte for byte.
 
-Distinct (chunk, variant) pairs of a slice are encoded once, all of similar length together as rows of
-a matrix; chunks of more than LONG symbols run through a heap. Both follow the same rules. Memory is
-bounded by the slice, whatever the length of a text (a single text is held whole).
+Occurrences of a chunk in a slice share the rows of a matrix (with chunks of similar length) as long as
+their draws agree: where a candidate is skipped for some and applied for others, the row splits. So a
+state is computed once, and an occurrence costs a hash a step. Chunks of more than LONG symbols run
+through a heap, each occurrence by itself. Both follow the same rules. Memory is bounded by the slice,
+whatever the length of a text (a single text is held whole).
 
 The vocabulary (a fixed file, given by path) is read on the driver and sent to the tasks.
 
-Defined results: a null text is empty; an empty text has no tokens; a null id has variant 0; an empty
-table gives an empty result.
+Defined results: a null text is empty; an empty text has no tokens; the document is its id, with a null
+id the hash of its text; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,10 +38,11 @@ from costframe.llm import words as W
 from costframe.llm.common import col, free_name
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-RATE, SEED, VARIANTS = 0.1, 20240601, 4
+RATE, SEED = 0.1, 20240601
 SLICE_BYTES = 4 << 20
 LONG = 64
-BLOCK = 1 << 13  # chunks that are segmented together
+WIDTHS = (1, 3, 5, 7, 9, 12, 16, 24, 40, LONG)  # of the matrices
+BLOCK = 1 << 19  # cells: occurrences that are segmented together, by their width
 _NONE = np.int32(2**31 - 1)
 _MARK = "▁"
 _A, _B, _C = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB  # odd multipliers (fixed values)
@@ -133,64 +136,75 @@ def _skipped(key: np.ndarray, i, j, k, limit: int) -> np.ndarray:
 
 
 def _mix_int(h: int) -> int:
-    return int(W.mix(np.array([h & _ALL], np.uint64))[0])
+    """`W.mix` of one number."""
+    h &= _ALL
+    h = (h ^ (h >> 30)) * 0xBF58476D1CE4E5B9 & _ALL
+    h = (h ^ (h >> 27)) * 0x94D049BB133111EB & _ALL
+    return h ^ (h >> 31)
 
 
-def _candidates(v: Vocabulary, a, b, key, i, j, k, limit: int) -> np.ndarray:
-    """Merged pieces of symbol pairs, `size` where there is none or it is skipped."""
-    piece = v.merged(a, b)
-    if limit:
-        some = np.flatnonzero(piece < v.size)
-        piece[some[_skipped(key[some], i[some], j[some], k[some], limit)]] = v.size
-    return piece
+def _agenda_shared(v: Vocabulary, ids: np.ndarray, sizes: np.ndarray, state: np.ndarray, key: np.ndarray, limit: int):
+    """Segments occurrences, each with its `key`, of rows of symbols: `state` is the row of an occurrence.
 
-
-def _agenda_matrix(v: Vocabulary, ids: np.ndarray, sizes: np.ndarray, key: np.ndarray, limit: int):
-    """Segments rows of symbols (padded with -1); returns symbol matrices and their sizes."""
+    Returns the distinct results (symbol matrix, starts, sizes) and the result of each occurrence.
+    """
     n, width = ids.shape
-    start = np.broadcast_to(np.arange(width + 1, dtype=np.int32), (n, width + 1)).copy()
-    start = np.minimum(start, sizes[:, None]).astype(np.int32)
+    start = np.minimum(np.arange(width + 1, dtype=np.int32)[None, :], sizes[:, None]).astype(np.int32)
     if width < 2:
-        return ids, start, sizes
-    flat = lambda x: np.ascontiguousarray(x).ravel()
-    piece = _candidates(v, flat(ids[:, :-1]), flat(ids[:, 1:]), np.repeat(key, width - 1), flat(start[:, :-2]), flat(start[:, 1:-1]),
-                        flat(start[:, 2:]), limit).reshape(n, width - 1)
-    out_ids, out_start, out_sizes = ids.copy(), start.copy(), sizes.copy()
-    live = np.arange(n)
-    ids, sizes = ids.copy(), sizes.copy()
-    steps = np.arange(width)
-    while len(live):
+        return ids, start, sizes, state
+    piece = v.merged(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(n, width - 1)
+    steps = np.arange(width + 1)
+    live, result, ended = np.arange(len(state)), np.zeros(len(state), np.int64), []
+    n_ended = 0
+    while len(ids):
         rank = v.rank[piece]
         j = rank.argmin(axis=1)
-        row = np.arange(len(live))
-        go = rank[row, j] < _NONE
-        done = ~go
+        row = np.arange(len(ids))
+        done = rank[row, j] == _NONE
         if done.any():
-            out_ids[live[done]], out_start[live[done]], out_sizes[live[done]] = ids[done], start[done], sizes[done]
-            live, ids, start, piece, sizes, key, j = live[go], ids[go], start[go], piece[go], sizes[go], key[go], j[go]
-            row = np.arange(len(live))
-            if not len(live):
+            ended.append((ids[done], start[done], sizes[done]))
+            over = done[state]
+            result[live[over]] = n_ended + (np.cumsum(done) - 1)[state[over]]
+            n_ended += len(ended[-1][0])
+            state, live, key = (np.cumsum(~done) - 1)[state[~over]], live[~over], key[~over]
+            ids, start, piece, sizes, j = ids[~done], start[~done], piece[~done], sizes[~done], j[~done]
+            row = np.arange(len(ids))
+            if not len(ids):
                 break
-        ids[row, j] = piece[row, j]
-        shift = steps[None, :] > j[:, None]  # symbols after the merged one move left
-        at = np.minimum(steps[None, :] + shift, width - 1)
-        ids = np.take_along_axis(ids, at, 1)
-        ids[:, -1] = -1
-        sizes = sizes - 1
-        starts_at = np.minimum(np.arange(width + 1)[None, :] + (np.arange(width + 1)[None, :] > j[:, None]), width)
-        start = np.take_along_axis(start, starts_at, 1)
-        pairs_at = np.minimum(steps[None, :-1] + (steps[None, :-1] > j[:, None]), width - 2)
-        last = pairs_at[:, -1:] == width - 2
-        piece = np.take_along_axis(piece, pairs_at, 1)
-        piece[:, -1:][last & (steps[None, -2:-1] >= j[:, None])] = v.size
+        parent, skipped = row, np.zeros(len(ids), bool)
+        if limit:
+            branch = state * 2 + _skipped(key, *(start[row, j + i][state] for i in range(3)), limit)
+            used = np.bincount(branch, minlength=2 * len(ids)) > 0
+            state = (np.cumsum(used) - 1)[branch]
+            parent = np.flatnonzero(used)
+            parent, skipped = parent >> 1, (parent & 1).astype(bool)
+            j = j[parent]
+        shift = (steps > j[:, None]) & ~skipped[:, None]  # symbols after the merged one move left
+
+        def moved(x):
+            w = x.shape[1]
+            return x.ravel()[(parent * w)[:, None] + np.minimum(steps[:w] + shift[:, :w], w - 1)]
+
+        r = np.flatnonzero(~skipped)
+        best = piece[parent, j]
+        ids, start, piece, sizes = moved(ids), moved(start), moved(piece), sizes[parent] - ~skipped
+        piece[skipped, j[skipped]] = v.size
+        ids[r, j[r]] = best[r]
+        ids[r, -1] = -1
+        piece[r, -1] = v.size
         for side in (-1, 0):  # the pairs that the merged symbol makes with its neighbours
-            p = j + side
-            ok = (p >= 0) & (p + 1 < sizes)
-            r, p = row[ok], p[ok]
-            piece[r, p] = _candidates(v, ids[r, p], ids[r, p + 1], key[r], start[r, p], start[r, p + 1], start[r, p + 2], limit)
-            r = row[~ok & (j + side >= 0) & (j + side < width - 1)]
-            piece[r, (j + side)[r]] = v.size
-    return out_ids, out_start, out_sizes
+            p = j[r] + side
+            ok = (p >= 0) & (p + 1 < sizes[r])
+            piece[r[ok], p[ok]] = v.merged(ids[r[ok], p[ok]], ids[r[ok], p[ok] + 1])
+            off = ~ok & (p >= 0)
+            piece[r[off], p[off]] = v.size
+    return *(np.concatenate(x) for x in zip(*ended)), result
+
+
+def _agenda_matrix(v: Vocabulary, ids: np.ndarray, sizes: np.ndarray, key: np.ndarray, limit: int):
+    """Segments rows of symbols (padded with -1), one occurrence each; returns symbol matrices, starts and sizes."""
+    got, start, size, which = _agenda_shared(v, ids, sizes, np.arange(len(ids)), key, limit)
+    return got[which], start[which], size[which]
 
 
 def agenda(v: Vocabulary, symbols: list[int], key: int, limit: int) -> tuple[list[int], list[int]]:
@@ -239,8 +253,11 @@ def _codepoints(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return cp, size
 
 
-def _encode_chunks(v: Vocabulary, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: np.ndarray, limit: int):
-    """Token ids of each chunk (a byte span with plain spaces): flat ids and n + 1 offsets."""
+def _encode_chunks(v: Vocabulary, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, chunk: np.ndarray, key: np.ndarray, limit: int):
+    """Token ids of occurrences of chunks (byte spans with plain spaces); `chunk` is in order, `key` is of an occurrence.
+
+    Returns the flat ids of the distinct results, their offsets and the result of each occurrence.
+    """
     lead = (data & 0xC0) != 0x80
     upto = np.concatenate([[0], np.cumsum(lead)])
     chars = np.flatnonzero(lead)
@@ -250,42 +267,53 @@ def _encode_chunks(v: Vocabulary, data: np.ndarray, starts: np.ndarray, ends: np
     symbol[cp == ord(_MARK)] = -1
     first = upto[starts]
     n_chars = upto[ends] - first
-    kinds, chunks, lists, offsets = [], [], [], []
-    for low, high in ((1, 1), (2, 3), (4, 5), (6, 7), (8, 9), (10, 12), (13, 16), (17, 24), (25, 40), (41, LONG)):
-        every = np.flatnonzero((n_chars >= low) & (n_chars <= high))
-        for begin in range(0, len(every), BLOCK):
-            of = every[begin:begin + BLOCK]
+    width = np.searchsorted(WIDTHS, n_chars).astype(np.int8)[chunk]
+    result = np.zeros(len(chunk), np.int64)
+    kinds, counts, lists = [], [], []
+    n_results = 0
+    for kind, high in enumerate(WIDTHS):
+        every = np.flatnonzero(width == kind)
+        for begin in range(0, len(every), max(1, BLOCK // high)):
+            at = every[begin:begin + max(1, BLOCK // high)]
+            new = np.concatenate([[True], chunk[at[1:]] != chunk[at[:-1]]])
+            of = chunk[at[new]]
             steps = np.arange(high)
-            at = first[of][:, None] + steps
             inside = steps < n_chars[of][:, None]
-            ids = np.where(inside, symbol[np.minimum(at, len(symbol) - 1)], -1).astype(np.int32)
-            got, start, sizes = _agenda_matrix(v, ids, n_chars[of].astype(np.int32), key[of], limit)
+            ids = np.where(inside, symbol[np.minimum(first[of][:, None] + steps, len(symbol) - 1)], -1).astype(np.int32)
+            state = np.cumsum(new) - 1
+            got, start, sizes, which = _agenda_shared(v, ids, n_chars[of].astype(np.int32), state, key[at], limit)
+            owner = np.zeros(len(got), np.int64)
+            owner[which] = of[state]
             used = steps < sizes[:, None]
             kinds.append(got[used])
-            chunks.append(np.repeat(of, sizes))
-            lists.append((first[of][:, None] + start[:, :-1])[used])
-    for c in np.flatnonzero(n_chars > LONG):
-        got, keep = agenda(v, symbol[first[c]:first[c] + n_chars[c]].tolist(), int(key[c]), limit)
-        kinds.append(np.array(got, np.int32))
-        chunks.append(np.full(len(got), c))
-        lists.append(first[c] + np.array(keep))
-    del offsets
+            counts.append(sizes)
+            lists.append((first[owner][:, None] + start[:, :-1])[used])
+            result[at] = n_results + which
+            n_results += len(got)
+    before = -1
+    for o in np.flatnonzero(width == len(WIDTHS)):
+        c = chunk[o]
+        if limit or c != before:
+            got, keep = agenda(v, symbol[first[c]:first[c] + n_chars[c]].tolist(), int(key[o]), limit)
+            kinds.append(np.array(got, np.int32))
+            counts.append(np.array([len(got)]))
+            lists.append(first[c] + np.array(keep))
+            n_results += 1
+        result[o], before = n_results - 1, c
     ids = np.concatenate([*kinds, np.zeros(0, np.int32)])
-    chunk = np.concatenate([*chunks, np.zeros(0, np.int64)]).astype(np.int64)
+    owner = np.repeat(np.arange(n_results), np.concatenate([*counts, np.zeros(0, np.int64)]))
     char = np.concatenate([*lists, np.zeros(0, np.int64)]).astype(np.int64)
-    order = np.argsort(char, kind="stable")
-    ids, chunk, char = ids[order], chunk[order], char[order]
     sizes = np.where(ids < 0, char_size[char], 1)
     if (ids < 0).any():  # characters that are no piece: one token a byte
         at = np.repeat(chars[char] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
         spread = np.repeat(ids, sizes)
         ids = np.where(spread < 0, v.byte_ids[data[np.minimum(at, len(data) - 1)]], spread)
-        chunk = np.repeat(chunk, sizes)
-    return ids.astype(np.int32), np.concatenate([[0], np.cumsum(np.bincount(chunk, minlength=len(starts)))])
+        owner = np.repeat(owner, sizes)
+    return ids.astype(np.int32), np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n_results))]), result
 
 
-def encode_texts(v: Vocabulary, column: pa.Array, variant: np.ndarray, seed: int, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """Flat token ids of a column of texts and the n + 1 offsets of its rows."""
+def encode_texts(v: Vocabulary, column: pa.Array, document: np.ndarray, seed: int, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """Flat token ids of a column of texts and the n + 1 offsets of its rows; `document` has the key of each row."""
     raw, raw_offsets = W.text_bytes(column)
     sizes = np.diff(raw_offsets)
     grown = sizes + (sizes > 0)  # the leading space of a text that is not empty
@@ -302,10 +330,17 @@ def encode_texts(v: Vocabulary, column: pa.Array, variant: np.ndarray, seed: int
     starts = np.flatnonzero(begins)
     ends = np.append(starts[1:], len(data))
     row = np.searchsorted(offsets, starts, side="right") - 1
-    salts = np.array([_mix_int(seed * _A + int(x) * _B + 1) for x in range(int(variant.max()) + 1)], np.uint64)
-    key = W.mix(W.span_hashes(data, starts, ends) ^ salts[variant[row]])
-    _, one, back = np.unique(key, return_index=True, return_inverse=True)
-    ids, at = _encode_chunks(v, *_picked(data, starts[one], ends[one]), key[one], int(rate * 2**32))
+    spans = W.span_hashes(data, starts, ends)
+    order = np.argsort(spans, kind="stable")  # occurrences of a chunk are neighbours
+    new = np.concatenate([[True], spans[order[1:]] != spans[order[:-1]]])
+    one = order[new]
+    limit = int(rate * 2**32)
+    salts = W.mix(np.asarray(document).astype(np.uint64) * np.uint64(_B) + np.uint64((seed * _A + 1) & _ALL))
+    place = np.arange(len(starts)) - np.searchsorted(starts, offsets)[row]
+    key = W.mix(spans ^ W.mix(salts[row] + place.astype(np.uint64) * np.uint64(_C)))
+    ids, at, result = _encode_chunks(v, *_picked(data, starts[one], ends[one]), np.cumsum(new) - 1, key[order], limit)
+    back = np.empty(len(order), np.int64)
+    back[order] = result
     n = np.diff(at)[back]
     out = W.gather(ids, at[:-1][back], n)
     return out, np.concatenate([[0], np.cumsum(n)])[np.searchsorted(starts, offsets)]
@@ -328,26 +363,31 @@ def decode_ids(v: Vocabulary, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.
     return data[stays], np.concatenate([[0], np.cumsum(stays)])[at]
 
 
-def _variant(batch: pa.RecordBatch, name: str, seed: int, variants: int) -> np.ndarray:
-    ids = batch.column(name)
-    keys = W.mix(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) ^ np.uint64(seed & _ALL))
-    return np.where(np.asarray(ids.is_null()), 0, (keys % np.uint64(variants)).astype(np.int64))
+def document_keys(ids: pa.Array, texts: pa.Array) -> np.ndarray:
+    """Key of each document: its id, or the hash of its text where the id is null."""
+    empty = np.asarray(ids.is_null())
+    keys = W.mix(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+    for i in np.flatnonzero(empty):
+        text = texts[int(i)].as_py() or ""
+        keys[i] = int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little")
+    return keys
 
 
-def _tasks(model: dict, seed: int, rate: float, variants: int, extend):
+def _tasks(model: dict, seed: int, rate: float, extend):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.text_slices(batches, "__text", SLICE_BYTES):
             v = vocabulary(model)
-            ids, offsets = encode_texts(v, batch.column("__text"), _variant(batch, "__id", seed, variants), seed, rate)
+            texts = batch.column("__text")
+            ids, offsets = encode_texts(v, texts, document_keys(batch.column("__id"), texts), seed, rate)
             tokens = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
             yield extend(v, batch, ids, offsets, tokens)
     return run
 
 
 def encode(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", model_path: str = MODEL, seed: int = SEED,
-           rate: float = RATE, variants: int = VARIANTS) -> DataFrame:
+           rate: float = RATE) -> DataFrame:
     """`docs` plus `tokens` (array of ids) and `n_tokens`; clashing names get an underscore in front."""
-    _check(rate, variants)
+    _check(rate)
     tokens, count = free_name(docs, "tokens"), free_name(docs, "n_tokens")
     names = [f"__c{i}" for i in range(len(docs.columns))]
     rows = docs.select(*[col(c).alias(n) for c, n in zip(docs.columns, names)], col(doc_id).cast("long").alias("__id"), col(text).alias("__text"))
@@ -357,7 +397,7 @@ def encode(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", model
         return pa.RecordBatch.from_arrays([*columns, token_lists, pa.array(np.diff(offsets))], names=[*names, tokens, count])
 
     fields = ", ".join(f"{n} {kind}" for n, (_, kind) in zip(names, docs.dtypes))
-    out = rows.mapInArrow(_tasks(read_model(model_path), seed, rate, variants, extend), f"{fields}, {tokens} array<int>, {count} long")
+    out = rows.mapInArrow(_tasks(read_model(model_path), seed, rate, extend), f"{fields}, {tokens} array<int>, {count} long")
     return out.select(*[col(n).alias(c) for n, c in zip(names, docs.columns)], tokens, count)
 
 
@@ -378,15 +418,15 @@ def decode(encoded: DataFrame, *, tokens: str = "tokens", model_path: str = MODE
     return encoded.withColumn(name, spell(col(tokens)))
 
 
-def _check(rate: float, variants: int) -> None:
-    if not 0 <= rate < 1 or variants < 1:
-        raise ValueError("rate must be in [0, 1) and variants at least 1")
+def _check(rate: float) -> None:
+    if not 0 <= rate < 1:
+        raise ValueError("rate must be in [0, 1)")
 
 
 def token_report(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", model_path: str = MODEL, seed: int = SEED,
-                 rate: float = RATE, variants: int = VARIANTS) -> DataFrame:
+                 rate: float = RATE) -> DataFrame:
     """One row per document: doc_id, n_tokens, tokens, and the SHA-256 of the text decoded from them."""
-    _check(rate, variants)
+    _check(rate)
     rows = docs.select(col(doc_id).cast("long").alias("__id"), col(text).alias("__text"))
 
     def extend(v, batch, ids, offsets, token_lists):
@@ -396,5 +436,5 @@ def token_report(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
         return pa.RecordBatch.from_pydict({"doc_id": batch.column("__id"), "n_tokens": np.diff(offsets), "tokens": token_lists,
                                            "decoded_sha256": digests})
 
-    return rows.mapInArrow(_tasks(read_model(model_path), seed, rate, variants, extend),
+    return rows.mapInArrow(_tasks(read_model(model_path), seed, rate, extend),
                            "doc_id long, n_tokens long, tokens array<int>, decoded_sha256 string")

@@ -104,6 +104,46 @@ def test_matrix_and_heap_agree(vocabulary):
         assert (ids[0, :size[0]].tolist(), start[0, :size[0]].tolist()) == M.agenda(vocabulary, symbols, key, limit)
 
 
+def test_shared_states_and_heap_agree(vocabulary):
+    """Occurrences that share rows are segmented as each would be alone."""
+    rng, np_rng = random.Random(3), np.random.default_rng(3)
+    for _ in range(40):
+        rows = [[int(vocabulary.chars[ord(c)]) for c in (rng.choice("▁abethinosr") for _ in range(rng.randrange(2, 20)))] for _ in range(4)]
+        ids, sizes = np.array([r + [-1] * (20 - len(r)) for r in rows], np.int32), np.array([len(r) for r in rows], np.int32)
+        state = np.sort(np.concatenate([np.arange(4), np_rng.integers(0, 4, 30)]))
+        key, limit = np_rng.integers(0, 2**63, 34).astype(np.uint64), int(rng.choice([0, 0.1, 0.6]) * 2**32)
+        got, start, size, which = M._agenda_shared(vocabulary, ids, sizes, state, key, limit)
+        for o, k in enumerate(which):
+            assert (got[k, :size[k]].tolist(), start[k, :size[k]].tolist()) == M.agenda(vocabulary, rows[state[o]], int(key[o]), limit)
+
+
+def test_occurrences_draw_for_themselves(vocabulary):
+    """" a" has one candidate merge: about RATE of its occurrences stay apart, in one document and over documents."""
+    def parts(ids, at):
+        """Whether each word is in one piece, by document."""
+        mark, whole = (vocabulary.chars[ord("▁")], [i for i, n in enumerate(vocabulary.spelled_sizes) if n == 2 and bytes(
+            vocabulary.spelled[vocabulary.spelled_at[i]:][:2]) == b" a"][0])
+        return [[x == whole for x in ids[a:b] if x in (mark, whole)] for a, b in zip(at[:-1], at[1:])]
+
+    n = 5000
+    spread = lambda share: abs(share - M.RATE) < 5 * (M.RATE * (1 - M.RATE) / n) ** 0.5
+    one = parts(*M.encode_texts(vocabulary, pa.array(["a " * (n - 1) + "a"]), np.array([7]), 1, M.RATE))[0]
+    assert len(one) == n and spread(1 - np.mean(one))
+    many = parts(*M.encode_texts(vocabulary, pa.array(["a"] * n), np.arange(n), 1, M.RATE))
+    assert spread(1 - np.mean([x[0] for x in many]))
+    nulls = [f"a {i}" for i in range(n)]
+    keys = M.document_keys(pa.array([None] * n, pa.int64()), pa.array(nulls))
+    assert len(set(keys.tolist())) == n
+    assert spread(1 - np.mean([x[0] for x in parts(*M.encode_texts(vocabulary, pa.array(nulls), keys, 1, M.RATE))]))
+    word = " international" * 2000
+    ids, at = M.encode_texts(vocabulary, pa.array([word]), np.array([7]), 1, 0.3)
+    text, ends = "", set()
+    for i in ids:
+        text += bytes(vocabulary.spelled[vocabulary.spelled_at[i]:][:vocabulary.spelled_sizes[i]]).decode()
+        ends.add(len(text))
+    assert len({tuple(e for e in range(14) if a + e in ends) for a in range(1, 2000 * 14, 14)}) > 20  # far more than four
+
+
 def test_round_trip(make_docs, sf_docs):
     docs = make_docs([(i, t) for i, t in enumerate(TEXTS + ["▁ mark ▁▁"])] + [(None, "null id"), (3, "twice"), (3, "twice")])
     docs = docs.withColumn("tokens", F.lit("x")).withColumn("__id", F.lit(1))
