@@ -36,7 +36,7 @@ def op4_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_document_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paragraph sketches of every text and its edited text, and how alike they are."""
-    return sketches.fingerprints(documents(spark, sf_dir))
+    return sketches.fingerprints(documents(spark, sf_dir), cut=sketches.passages)
 
 
 def op6_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

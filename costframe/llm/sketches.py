@@ -1,7 +1,10 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraphs (operator 5, DataFrame only).
 
-A text's paragraphs are its lines; a line longer than `PIECE` code points counts as several, cut every
-`PIECE`. The distinct 64-bit digests of the paragraphs go into a sketch of three subtables: a digest
+A text's paragraphs are pieces of its lines. `passages` cuts a line by content - after sentence ends, in
+longer sentences commas and words of seven characters, and certain characters where there are no spaces -
+so an insertion changes the pieces near it and few later ones; only a stretch of `LONGEST` code points
+without a cut is cut by length. `paragraphs` (the default) cuts a line every `PIECE` code points from its start.
+The distinct 64-bit digests of the paragraphs go into a sketch of three subtables: a digest
 adds itself to one cell of each - a count, the XOR of digests and the XOR of their checks. The sketch
 with `CELLS` cells a subtable is the document's fingerprint.
 
@@ -24,12 +27,22 @@ alone in its table is its own successor.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from costframe.llm.common import col, materialize
 
 PIECE = 256
+LONG, LONGEST = 48, 128
+_SPACE = r" \t\x0B\f\r\n"
+#: A tenth of the Han characters (every tenth block of 256).
+_HAN = "".join(f"{chr(c)}-{chr(c + 255)}" for c in range(0x4E00, 0x9F00, 0xA00))
+#: Where a line is cut: between a sentence end and a space; after wide punctuation; in digits and letters without
+#: spaces; in Han and kana. Pieces that reach `LONG` also end at a comma or a word of seven characters.
+CUTS = (rf"(?<=[.!?;:|])(?=[{_SPACE}])", "(?<=[。！？；：、，…のはをに])", "(?<=[qxzQXZ07])(?=[0-4a-fA-F])", f"(?<=[{_HAN}])(?=[一-鿿])")
+LONG_CUTS = (rf"(?=[{_SPACE}])(?:(?<=,)|(?<=[{_SPACE}][^{_SPACE}]{{7}}))",)
 CELLS = 8  # of a subtable of the fingerprint
 ROUNDS = 6  # of peeling
 
@@ -38,9 +51,17 @@ def paragraphs(text: Column, piece: int = PIECE) -> Column:
     return F.regexp_extract_all(text, F.lit(r"[^\n]{1,%d}" % piece), F.lit(0))
 
 
-def digests(text: Column) -> Column:
+def passages(text: Column) -> Column:
+    """Pieces of the lines, cut by content."""
+    cuts, end = "|".join(CUTS), r"(?![^\n])"
+    short, long = r"[^\n]{1,%d}" % LONG, r"[^\n]{%d,%d}" % (LONG, LONGEST)
+    either = "|".join((*CUTS, *LONG_CUTS, end))
+    return F.regexp_extract_all(text, F.lit(rf"{short}?(?:{cuts}|{end})|{long}?(?:{either})|{long}"), F.lit(0))
+
+
+def digests(text: Column, cut: Callable[[Column], Column] = paragraphs) -> Column:
     """Sorted distinct digests of a text's paragraphs."""
-    return F.array_sort(F.array_distinct(F.transform(paragraphs(text), lambda p: F.xxhash64(p))))
+    return F.array_sort(F.array_distinct(F.transform(cut(text), lambda p: F.xxhash64(p))))
 
 
 def _check(key: Column) -> Column:
@@ -93,19 +114,27 @@ def peel(cells: DataFrame, width: str, by: list[str], rounds: int = ROUNDS) -> D
 
 
 def differences(pairs: DataFrame) -> DataFrame:
-    """(row, pair, a, b) with digest lists a, b -> (row, pair, diff): how many digests differ."""
+    """(row, pair, a, b) with digest lists a, b -> (row, pair, diff): how many digests differ.
+
+    Rows of `pairs` are dealt by `row`. Lists are read again only for the pairs that a comparison left over.
+    """
     both = F.size("a") + F.size("b")
-    todo, done = pairs, []
+    todo, done, equal = pairs, [], pairs.where("a = b").select("row", "pair", F.lit(0).cast("long").alias("diff"))
     for attempt, width in enumerate((F.greatest(F.lit(CELLS), F.ceil(both / 2) + 2), both + 16)):
-        started = todo.withColumn("width", width.cast("long")).where("a <> b")
-        lists = started.repartition("row").select("row", "pair", "width", F.posexplode(F.concat("a", "b")).alias("at", "key"), F.size("a").alias("n_a"))
+        lists = todo.withColumn("width", width.cast("long")).where("a <> b").select(
+            "row", "pair", "width", F.posexplode(F.concat("a", "b")).alias("at", "key"), F.size("a").alias("n_a"))
         signed = lists.withColumn("sign", F.when(F.col("at") < F.col("n_a"), 1).otherwise(-1).cast("long"))
         cells = sketch_cells(signed.select("row", "pair", "width", "key", "sign"), F.col("width"), ["row", "pair", "width"])
-        solved = peel(cells, "width", ["row", "pair"]).where("left = 0").select("row", "pair", F.col("found").alias("diff"))
-        done.append(materialize(solved, f"sketch-solved-{attempt}"))
-        todo = todo.join(done[-1], ["row", "pair"], "left_anti")
-    exact = F.when(F.col("a") == F.col("b"), 0).otherwise(F.size(F.array_except("a", "b")) + F.size(F.array_except("b", "a")))
-    out = todo.select("row", "pair", exact.cast("long").alias("diff"))
+        tried = materialize(peel(cells, "width", ["row", "pair"]), f"sketch-solved-{attempt}")
+        done.append(tried.where("left = 0").select("row", "pair", F.col("found").alias("diff")))
+        failed = tried.where("left > 0").select("row", "pair")
+        if failed.isEmpty():
+            break
+        todo = pairs.join(failed, ["row", "pair"], "left_semi")
+    else:
+        exact = F.size(F.array_except("a", "b")) + F.size(F.array_except("b", "a"))
+        done.append(todo.select("row", "pair", exact.cast("long").alias("diff")))
+    out = equal
     for d in done:
         out = out.unionByName(d)
     return out
@@ -148,8 +177,8 @@ def successors(keys: DataFrame) -> DataFrame:
         F.col("prior.n_chars").alias("prior_chars"))
 
 
-def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document: its fingerprint, that of its edited text, and the likenesses.
+def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", cut: Callable[[Column], Column] = paragraphs) -> DataFrame:
+    """One row per document: its fingerprint, that of its edited text, and the likenesses of their pieces by `cut`.
 
     The edited text is the text whose last third (floor of its code points / 3) is replaced by the first
     as many code points of the next document in descending id order. Rows equal in id and text are one
@@ -166,25 +195,25 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     rows = rows.select("doc_id", "tie", "text", "prior_id", "prior_tie", "prior_chars")
     third = F.floor(F.col("prior_chars") / 3).cast("int")
     heads = rows.select(F.col("prior_id").alias("h_id"), F.col("prior_tie").alias("h_tie"),
-                        F.substring("text", F.lit(1), third).alias("head"), digests(F.col("text")).alias("next_keys"))
+                        F.substring("text", F.lit(1), third).alias("head"), digests(F.col("text"), cut).alias("next_keys"))
     if repeated:
         heads = heads.dropDuplicates(["h_id", "h_tie"])
     rows = rows.join(heads.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("tie") == F.col("h_tie")))
     n = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), n - F.floor(n / 3).cast("int")), F.col("head"))
-    df = rows.select("doc_id", n.cast("long").alias("n_chars"), digests(F.col("text")).alias("keys"), edited.alias("edited"), "next_keys")
+    df = rows.select("doc_id", n.cast("long").alias("n_chars"), digests(F.col("text"), cut).alias("keys"), edited.alias("edited"), "next_keys")
     df = df.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-                   "keys", digests(F.col("edited")).alias("edited_keys"), "next_keys")
+                   "keys", digests(F.col("edited"), cut).alias("edited_keys"), "next_keys")
     df = materialize(df, "fingerprint-digests")  # row numbers must not change
-    pairs = df.select("row", F.inline(F.array(*[F.struct(F.lit(i).alias("pair"), F.col("keys").alias("a"), F.col(b).alias("b"))
+    pairs = df.repartition("row").select("row", F.inline(F.array(*[F.struct(F.lit(i).alias("pair"), F.col("keys").alias("a"), F.col(b).alias("b"))
                                                 for i, b in enumerate(("edited_keys", "next_keys"))])))
     found = differences(pairs).groupBy("row").agg(*[F.max(F.when(F.col("pair") == i, F.col("diff"))).alias(f"diff{i}") for i in (0, 1)])
 
     def like(other, diff):
-        both = F.size("keys") + F.size(other)
+        both = F.col("n_keys") + F.col(f"n_{other}")
         return F.when(both == 0, F.lit(1.0)).otherwise((both - F.col(diff)) / (both + F.col(diff))).cast("double")
 
-    sizes = df.select("row", "doc_id", "n_chars", "edited_sha256", "keys", "edited_keys", "next_keys")
+    sizes = df.select("row", "doc_id", "n_chars", "edited_sha256", *[F.size(k).alias(f"n_{k}") for k in ("keys", "edited_keys", "next_keys")])
     out = sizes.join(found, "row").join(_fingerprint_rows(df), "row", "left")
     return out.select("doc_id", "n_chars", "edited_sha256", F.coalesce("fingerprint", F.lit("")).alias("fingerprint"),
                       F.coalesce("edited_fingerprint", F.lit("")).alias("edited_fingerprint"),
