@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from costframe.llm import (exact_dedup, jaccard_join, merge_dropout, mixing, quality, secrets, severity, sketches,
-                           suffix_dedup, window_dedup)
+from costframe.llm import (alignment, exact_dedup, jaccard_join, merge_dropout, mixing, packing, quality, secrets, severity,
+                           sketches, suffix_dedup, variants, window_dedup)
 from costframe.llm.common import documents
 
 
@@ -64,9 +64,25 @@ def op10_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_dropout.token_report(documents(spark, sf_dir))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots."""
+    return variants.variant_groups(documents(spark, sf_dir))
+
+
+def op12_square_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents and their places in sequences of 1024 tokens."""
+    return packing.packed(documents(spark, sf_dir))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of byte-level and piece tokens of every document, and corpus counts of their links."""
+    return alignment.align(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_source_mix, op2_toxicity_grades, op3_secret_scan, op4_quality_score, op5_document_sketch, op6_window_dedup,
-    op7_exact_dedup, op8_suffix_dedup, op9_jaccard_join, op10_merge_dropout)} | {"pipeline": corpus_pipeline.run}
+    op7_exact_dedup, op8_suffix_dedup, op9_jaccard_join, op10_merge_dropout, op11_spelling_variants, op12_square_packing,
+    op13_token_alignment)} | {"pipeline": corpus_pipeline.run}
 
 ORACLE_SQL: dict[str, str] = {}
 if corpus_pipeline.ORACLE_SQL is not None:
