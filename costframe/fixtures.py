@@ -17,7 +17,7 @@ from costframe.constants import (COMPUTE_SERVICE_ID, GCE_INSTANCE, GCS_BUCKET, N
                                  STORAGE_SERVICE_ID, CONFIDENTIAL_CPU_SKU, CONFIDENTIAL_RAM_SKU)
 from costframe.operators.joins import broadcast_if_small
 from costframe.operators.local import local_table
-from costframe.plans.skumap import pattern_rows
+from costframe.oracle_patterns import wording_rows
 from costframe.schema import BILLING_EXPORT, MACHINE_CATALOG, MONEY, PRICING_EXPORT
 
 # ---------------------------------------------------------------------------------------------
@@ -46,6 +46,25 @@ STORAGE_DESCRIPTIONS = (
     "GCP Storage egress between NA and EU",
     "Inter-region GCP Storage egress within EU",
     "GCP Storage egress between ME and EU",
+    "Download Australia",
+    "Download China",
+    "APAC based Storage egress via peered/interconnect network",
+    "EU based Storage egress via peered/interconnect network",
+    "GCP Storage egress between APAC and SA",
+    "GCP Storage egress between AU and APAC",
+    "GCP Storage egress between AU and EU",
+    "GCP Storage egress between AU and NA",
+    "GCP Storage egress between AU and SA",
+    "GCP Storage egress between EU and APAC",
+    "GCP Storage egress between EU and SA",
+    "GCP Storage egress between NA and APAC",
+    "GCP Storage egress between NA and SA",
+    "Inter-region GCP Storage egress within APAC",
+    "Inter-region GCP Storage egress within AU",
+    "Inter-region GCP Storage egress within NA",
+    "Inter-region GCP Storage egress within SA",
+    "NA based Storage egress via peered/interconnect network",
+    "Networking Traffic Egress GAE Firebase Storage",
 )
 OTHER_DESCRIPTION = "Generic usage"
 BILLING_LOCATIONS = ("us-east4", "us-central1", "asia-east1", "europe-west1", None)
@@ -172,8 +191,11 @@ def billing_export(spark: SparkSession, sf_dir: str, account: int | None = None)
         kv("psm", "concat('psm-', CAST(pk % 7 AS STRING))", "h % 5 = 0"),
         kv("inner_ip", "concat('10.0.0.', CAST(pk % 5 AS STRING))", "h % 7 = 0"),
         kv("forwarding-rule-name", "concat('fr-', CAST(pk % 11 AS STRING))", "h % 9 = 0"),
+        kv("instance_name", "'vm-again'", "h % 29 = 0"),
+        "CASE WHEN h % 31 = 0 THEN named_struct('key', CAST(NULL AS STRING), 'value', 'no key') END",
     ])
     storage_labels = kv("bucket_name", "concat('bkt-', CAST(pk % 13 AS STRING))", "h % 4 <> 0")
+    storage_labels += ", " + kv("bucket_name", "'bkt-again'", "h % 29 = 0")
     la_day = "to_date(convert_timezone('UTC', 'America/Los_Angeles', st))"
     exprs = {
         "billing_account_id": "concat('BA-', CAST(o_custkey % 4 AS STRING))",
@@ -185,7 +207,7 @@ def billing_export(spark: SparkSession, sf_dir: str, account: int | None = None)
         "sku": f"""named_struct(
             'id', CASE WHEN svc < 5 THEN concat('SKU-', CAST(pk AS STRING)) ELSE concat('SKU-X', CAST(pk % 4 AS STRING)) END,
             'description', CASE WHEN svc < 3 THEN {_case('pk % 10', COMPUTE_DESCRIPTIONS)}
-                                WHEN svc IN (3, 4) THEN {_case('pk % 10', STORAGE_DESCRIPTIONS)}
+                                WHEN svc IN (3, 4) THEN {_case(f'pk % {len(STORAGE_DESCRIPTIONS)}', STORAGE_DESCRIPTIONS)}
                                 ELSE {_q(OTHER_DESCRIPTION)} END)""",
         "usage_start_time": "st",
         "usage_end_time": "st + INTERVAL 1 HOUR",
@@ -208,13 +230,13 @@ def billing_export(spark: SparkSession, sf_dir: str, account: int | None = None)
             END""",
         "tags": f"CAST(array() AS {_KV_ARRAY})",
         "export_time": "st + INTERVAL 1 HOUR + make_dt_interval(CAST(h % 3 AS INT))",
-        "cost": "CAST(price AS DECIMAL(18,6))",
+        "cost": "CASE WHEN h % 37 <> 0 THEN CAST(price AS DECIMAL(18,6)) END",
         "currency": "'USD'",
         "currency_conversion_rate": "1",
         "usage": "named_struct('amount_in_pricing_units', CAST(l_quantity AS DECIMAL(18,6)))",
         "credits": """filter(array(
-            CASE WHEN l_discount > 0 THEN named_struct('type', 'SUSTAINED_USAGE_DISCOUNT',
-                 'amount', CAST(-(price * CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,6))) END,
+            CASE WHEN l_discount > 0 THEN named_struct('type', CASE WHEN h % 17 <> 0 THEN 'SUSTAINED_USAGE_DISCOUNT' END,
+                 'amount', CASE WHEN h % 19 <> 0 THEN CAST(-(price * CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,6)) END) END,
             CASE WHEN l_tax > CAST(0.05 AS DOUBLE) THEN named_struct('type', 'PROMOTION',
                  'amount', CAST(-(price * CAST(0.01 AS DECIMAL(3,2))) AS DECIMAL(18,6))) END), x -> x IS NOT NULL)""",
         "invoice": f"named_struct('month', date_format({la_day}, 'yyyyMM'))",
@@ -231,12 +253,12 @@ def account_tables(spark: SparkSession, sf_dir: str, n: int = 4) -> list[DataFra
     return [billing_export(spark, sf_dir, account=i) for i in range(n)]
 
 
-def price_description_rows(match_plural: bool = False) -> list[tuple[int, str, bool, str, bool]]:
+def price_description_rows() -> list[tuple[int, str, bool, str, bool]]:
     """(slot, head, uses_place, tail, three_year): one slot per pattern row made into a matching
     price-list description, plus unmatched slots. The description is
     head || place (if uses_place) || tail || 's' (3-year rows with an even p_partkey / 8)."""
     out = []
-    for i, (_kind, _comp, first, last) in enumerate(pattern_rows(match_plural)):
+    for i, (_kind, _comp, first, last) in enumerate(wording_rows()):
         uses_place = first.endswith("%")
         head = first[:-1] + " " if uses_place else first
         three = last is not None and "3 Year" in last

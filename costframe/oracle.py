@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from costframe import constants as C
 from costframe import fixtures as FX
-from costframe.plans.skumap import pattern_rows
+from costframe.oracle_patterns import wording_rows
 
 
 def _q(s: str | None) -> str:
@@ -39,8 +39,11 @@ def billing_cte() -> str:
         kv("psm", "'psm-' || CAST(l_partkey % 7 AS VARCHAR)", "h % 5 = 0"),
         kv("inner_ip", "'10.0.0.' || CAST(l_partkey % 5 AS VARCHAR)", "h % 7 = 0"),
         kv("forwarding-rule-name", "'fr-' || CAST(l_partkey % 11 AS VARCHAR)", "h % 9 = 0"),
+        kv("instance_name", "'vm-again'", "h % 29 = 0"),
+        "CASE WHEN h % 31 = 0 THEN {'key': CAST(NULL AS VARCHAR), 'value': 'no key'} END",
     ])
     storage_labels = kv("bucket_name", "'bkt-' || CAST(l_partkey % 13 AS VARCHAR)", "h % 4 <> 0")
+    storage_labels += ", " + kv("bucket_name", "'bkt-again'", "h % 29 = 0")
     return f"""
 bx AS (
   SELECT l.l_partkey, l.l_suppkey, l.l_quantity, l.l_discount, l.l_tax, o.o_custkey,
@@ -57,7 +60,7 @@ billing_export AS (
            ELSE 'SVC-' || CAST(l_partkey % 4 AS VARCHAR) END}} AS service,
     {{'id': CASE WHEN svc < 5 THEN 'SKU-' || CAST(l_partkey AS VARCHAR) ELSE 'SKU-X' || CAST(l_partkey % 4 AS VARCHAR) END,
       'description': CASE WHEN svc < 3 THEN {_case('l_partkey % 10', FX.COMPUTE_DESCRIPTIONS)}
-                          WHEN svc IN (3, 4) THEN {_case('l_partkey % 10', FX.STORAGE_DESCRIPTIONS)}
+                          WHEN svc IN (3, 4) THEN {_case(f'l_partkey % {len(FX.STORAGE_DESCRIPTIONS)}', FX.STORAGE_DESCRIPTIONS)}
                           ELSE {_q(FX.OTHER_DESCRIPTION)} END}} AS sku,
     ust AS usage_start_time,
     {{'id': CASE WHEN o_custkey % 10 <> 9 THEN 'proj-' || CAST(o_custkey % 10 AS VARCHAR) END,
@@ -74,11 +77,11 @@ billing_export AS (
          WHEN svc < 3 AND h % 3 <> 0 THEN {{'name': 'vm-' || CAST(l_partkey % 50 AS VARCHAR),
                                    'global_name': '//compute.googleapis.com/instances/vm-' || CAST(l_partkey % 50 AS VARCHAR)}}
     END AS resource,
-    CAST(price AS DECIMAL(18,6)) AS cost,
+    CASE WHEN h % 37 <> 0 THEN CAST(price AS DECIMAL(18,6)) END AS cost,
     {{'amount_in_pricing_units': CAST(l_quantity AS DECIMAL(18,6))}} AS usage,
     list_filter([
-      CASE WHEN l_discount > 0 THEN {{'type': 'SUSTAINED_USAGE_DISCOUNT',
-           'amount': CAST(-(price * CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,6))}} END,
+      CASE WHEN l_discount > 0 THEN {{'type': CASE WHEN h % 17 <> 0 THEN 'SUSTAINED_USAGE_DISCOUNT' END,
+           'amount': CASE WHEN h % 19 <> 0 THEN CAST(-(price * CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,6)) END}} END,
       CASE WHEN l_tax > 0.05 THEN {{'type': 'PROMOTION',
            'amount': CAST(-(price * CAST(0.01 AS DECIMAL(3,2))) AS DECIMAL(18,6))}} END
     ], lambda x: x IS NOT NULL) AS credits,
@@ -169,7 +172,7 @@ fleet_specs AS (
 
 
 def patterns_cte() -> str:
-    rows = ",\n    ".join(f"({_q(k)}, {_q(c)}, {_q(a)}, {_q(b)})" for k, c, a, b in pattern_rows())
+    rows = ",\n    ".join(f"({_q(k)}, {_q(c)}, {_q(a)}, {_q(b)})" for k, c, a, b in wording_rows())
     return f"sku_patterns(kind, component, like_first, like_last) AS (VALUES\n    {rows}\n)"
 
 
@@ -210,7 +213,10 @@ def has_label(key: str, labels: str = "labels") -> str:
 
 
 def lacks_label(key: str, labels: str = "labels") -> str:
-    return f"NOT list_contains(list_transform(COALESCE({labels}, CAST([] AS {KV_T}[])), lambda x: x.\"key\"), '{key}')"
+    """NOT IN: a NULL key without a match gives NULL."""
+    keys = f"list_transform(COALESCE({labels}, CAST([] AS {KV_T}[])), lambda x: x.\"key\")"
+    return (f"(CASE WHEN list_contains({keys}, '{key}') THEN FALSE "
+            f"WHEN len(list_filter({keys}, lambda x: x IS NULL)) > 0 THEN NULL ELSE TRUE END)")
 
 
 def compute_category(d: str = "sku.description") -> str:

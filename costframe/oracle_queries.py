@@ -82,7 +82,7 @@ FROM r3_lines
 GROUP BY description, billing_name, project_name, invoice_month, usage_date""")
 
 
-def _r4(by_account: bool, same: str = "=") -> str:
+def _r4(by_account: bool, same: str = "=", unlisted: bool = False) -> str:
     net = list(C.STORAGE_NETWORK_COLUMNS)
     keys = ["bucket_name", "region", "project_name", "usage_date", "invoice_month"] + (
         ["billing_name"] if by_account else [])
@@ -92,6 +92,10 @@ def _r4(by_account: bool, same: str = "=") -> str:
 
     pcols = net + ["OTHERS"]
     pivots = ",\n    ".join(f"SUM(CASE WHEN sku_category = '{c}' THEN total_cost END) AS {c}" for c in pcols)
+    if unlisted:
+        known = ", ".join(f"'{c}'" for c in pcols)
+        pivots += f",\n    SUM(CASE WHEN sku_category NOT IN ({known}) THEN total_cost END) AS NETWORK_UNLISTED"
+        net.append("NETWORK_UNLISTED")
     net_sum = " + ".join(f"COALESCE({c}, 0)" for c in net)
     net_out = ",\n  ".join(f"CAST(COALESCE(N.{c}, 0) AS DOUBLE) AS {c}" for c in net)
     kl = ", ".join(keys)
@@ -159,6 +163,8 @@ LEFT JOIN network N ON {on('B', 'N')}""")
 
 SQL["storage_bucket_cost"] = _r4(False)
 SQL["storage_bucket_cost_by_account"] = _r4(True)
+SQL["storage_bucket_cost_unlisted"] = _r4(False, unlisted=True)
+SQL["storage_bucket_cost_display"] = SQL["storage_bucket_cost"]
 SQL["storage_bucket_cost_null_safe"] = _r4(False, "IS NOT DISTINCT FROM")
 
 
@@ -603,6 +609,12 @@ SQL["display_rows"] = (_LBJ[:_LBJ.index("  LIMIT 100")] + "  LIMIT 50\n)\nSELECT
 SQL["compute_instance_cost_from_export"] = SQL["compute_instance_cost"]
 SQL["compute_instance_cost_daily"] = SQL["compute_instance_cost_day"]
 SQL["fleet_estimate_saved_map"] = SQL["fleet_estimate"]
+SQL["compute_instance_cost_from_instants"] = SQL["compute_instance_cost"]
+SQL["late_days_recomputed"] = SQL["compute_instance_cost"]
+SQL["compute_instance_cost_indexed_day"] = SQL["compute_instance_cost_day"]
+SQL["fleet_estimate_versioned_map"] = SQL["fleet_estimate"]
+SQL["nat_fee_from_points"] = SQL["nat_fee"]
+SQL["object_count_from_points"] = SQL["object_count"]
 SQL["comparison_csv"] = SQL["machine_comparison"]
 SQL["nat_day_replace"] = f"SELECT * FROM ({SQL['nat_fee']}) WHERE usage_date = DATE '{NAT_DAYS[1]}'"
 SQL["spend_having"] = O.with_views(["billing"], f"""

@@ -46,6 +46,21 @@ def local_day_filter(first, last=None, ts: str = "usage_start_time", tz: str = B
     return cond
 
 
+def days_filter(days, ts: str = "usage_start_time", tz: str = BILLING_TZ) -> Column:
+    """Billing-zone day of `ts` among `days`: one UTC range for every run of consecutive days."""
+    runs: list[list[dt.date]] = []
+    for d in sorted({_as_date(d) for d in days}):
+        if runs and (d - runs[-1][1]).days == 1:
+            runs[-1][1] = d
+        else:
+            runs.append([d, d])
+    out = F.lit(False)
+    for first, last in runs:
+        cond = local_day_filter(first, last, ts=ts, tz=tz)
+        out = cond if len(runs) == 1 else out | cond
+    return out
+
+
 def partition_pad_filter(first, last=None, pad_days: int | None = None,
                          column: str = "partition_date") -> Column | None:
     """Optional partition filter: export day within [first - pad, last + pad]."""

@@ -1,7 +1,7 @@
 """SKU map (component, region) -> SKU id, built from the newest price snapshot.
 
-One broadcast nested-loop join of the compute price rows against a small pattern table replaces
-one warehouse query per component. The pattern table is generated from the fixed wording below;
+One join of the compute price rows with a small pattern table, by the patterns' literal beginnings
+(`operators.prefix_join`), replaces one warehouse query per component. The pattern table is generated from the fixed wording below;
 users can pass their own table with the same schema (`kind, component, like_first, like_last`).
 """
 
@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costframe.constants import COMPUTE_SERVICE_ID, DELHI_REGION, WARSAW_REGION
-from costframe.operators.joins import broadcast_dimension
 from costframe.operators.local import local_table
+from costframe.operators.prefix_join import like_join
 from costframe.schema import SKU_PATTERNS
 from costframe.sources.pricing import latest_snapshot
 
@@ -133,19 +133,6 @@ def sku_region_map(pricing: DataFrame, patterns: DataFrame) -> DataFrame:
         "regions",
         F.when(F.col("description").contains("Warsaw"), F.array(F.lit(WARSAW_REGION)))
         .otherwise(F.col("regions")))
-    # The pattern table is a small dimension (about 130 rows): broadcast nested-loop join. A pattern
-    # that is only a beginning (`abc%`) or an ending (`%abc`) is compared as such; LIKE against a
-    # column, which compiles an expression for every pair, is left to the other patterns.
-    only = lambda c, shape: F.when(F.col(c).rlike(shape), F.replace(F.col(c), F.lit("%"), F.lit("")))
-    named = patterns.select("*", only("like_first", r"^[^%_\\]+%$").alias("_prefix"),
-                            only("like_last", r"^%[^%_\\]+$").alias("_suffix"))
-    pats = broadcast_dimension(named, "sku-patterns")
-    matched = rows.join(
-        pats,
-        F.expr("CASE WHEN _prefix IS NOT NULL THEN startswith(description, _prefix) ELSE description LIKE like_first END "
-               "AND (like_last IS NULL OR CASE WHEN _suffix IS NOT NULL THEN endswith(description, _suffix) "
-               "ELSE description LIKE like_last END)"),
-        "inner",
-    )
+    matched = like_join(rows, "description", patterns, "like_first", "like_last", name="sku-patterns")
     exploded = matched.select("kind", "component", F.explode("regions").alias("region"), "sku_id")
     return exploded.groupBy("kind", "component", "region").agg(F.max("sku_id").alias("sku_id"))

@@ -12,7 +12,7 @@ Kept on purpose (documented quirks): the joins do not use the billing account (a
 bucket/project/region/day multiply; `by_account=True` joins on it), a bucket with several storage
 or operation types repeats its other costs on each row, NULL region/project keep the spine row
 with zero costs (`null_safe=True` matches NULLs), and network categories outside the fixed list
-are dropped from every total.
+are dropped from every total (`unlisted=True` keeps them).
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from costframe.plans.common import apply_day_filters, money_to_double
 from costframe.schema import MONEY, WIDE_MONEY
 
 JOIN_KEYS = ("bucket_name", "region", "project_name", "usage_date", "invoice_month")
+UNLISTED = "NETWORK_UNLISTED"
 SPINE = ("billing_name", "invoice_month", "usage_date", "project_name", "region", "bucket_name")
 
 
@@ -55,9 +56,10 @@ def storage_lines(billing: DataFrame, target_date=None, date_range=None, pad_day
 
 def storage_bucket_cost(billing: DataFrame, target_date=None, date_range=None, pad_days=None,
                         by_account: bool = False, null_safe: bool = False,
-                        money_as_double: bool = True, display_order: bool = False) -> DataFrame:
+                        money_as_double: bool = True, display_order: bool = False, unlisted: bool = False) -> DataFrame:
     """R4. `display_order=True` sorts by storage cost (descending) for display; the row set is
-    the same (an order means nothing to a table insert)."""
+    the same (an order means nothing to a table insert). `unlisted=True` adds NETWORK_UNLISTED, the cost of
+    download and egress categories outside the fixed list, and counts it in NETWORK_PRICE and SUBTOTAL."""
     lines = storage_lines(billing, target_date, date_range, pad_days)
     keys = list(JOIN_KEYS) + (["billing_name"] if by_account else [])
     # One aggregate of the lines, at (spine, raw description); category and sanitised name are
@@ -71,6 +73,12 @@ def storage_bucket_cost(billing: DataFrame, target_date=None, date_range=None, p
     named = (pre.groupBy(*SPINE, "sku_category", "sku_description")
              .agg(F.sum("cost").alias("cost"), F.sum("usage").alias("usage")))
     pivot_cols = list(STORAGE_NETWORK_COLUMNS) + [OTHERS_CAT]
+    network = list(STORAGE_NETWORK_COLUMNS)
+    if unlisted:
+        network.append(UNLISTED)
+        listed = F.col("sku_category").isin(STORAGE_CAT, CLASS_A_CAT, CLASS_B_CAT, *pivot_cols)
+        named = named.withColumn("sku_category", F.when(F.col("sku_category").isNotNull() & ~listed, UNLISTED).otherwise(F.col("sku_category")))
+        pivot_cols.append(UNLISTED)
     alone = [c for c in SPINE if c not in keys]
     row = F.struct("sku_description", "cost", "usage")
 
@@ -90,8 +98,8 @@ def storage_bucket_cost(billing: DataFrame, target_date=None, date_range=None, p
     zero = F.lit(0).cast(MONEY)
     out = folded.select(
         *keys, F.explode("_spine").alias("_s"), "_storage", "_class_a", "_class_b",
-        *[F.coalesce(F.col(c), zero).alias(c) for c in STORAGE_NETWORK_COLUMNS],
-        row_total(STORAGE_NETWORK_COLUMNS, zero).alias("NETWORK_PRICE"),
+        *[F.coalesce(F.col(c), zero).alias(c) for c in network],
+        row_total(network, zero).alias("NETWORK_PRICE"),
         F.coalesce(F.col(OTHERS_CAT), zero).alias(OTHERS_CAT))
     out = out.select(*keys, *[F.col(f"_s.{c}").alias(c) for c in alone], *[c for c in out.columns if c not in (*keys, "_s")])
     for name in ("storage", "class_a", "class_b"):
@@ -115,7 +123,7 @@ def storage_bucket_cost(billing: DataFrame, target_date=None, date_range=None, p
         F.coalesce("STANDARD_CLASS_A_OPERATIONS", zero).alias("STANDARD_CLASS_A_OPERATIONS"),
         F.coalesce("STANDARD_CLASS_B_OPERATIONS_TYPE", F.lit(TEXT_DEFAULT)).alias("STANDARD_CLASS_B_OPERATIONS_TYPE"),
         F.coalesce("STANDARD_CLASS_B_OPERATIONS", zero).alias("STANDARD_CLASS_B_OPERATIONS"),
-        *[F.coalesce(F.col(c), zero).alias(c) for c in STORAGE_NETWORK_COLUMNS],
+        *[F.coalesce(F.col(c), zero).alias(c) for c in network],
         F.coalesce("NETWORK_PRICE", zero).alias("NETWORK_PRICE"),
         F.coalesce(OTHERS_CAT, zero).alias(OTHERS_CAT),
     )

@@ -23,8 +23,11 @@ from costframe.schema import NAT_REPORT
 from costframe.session import scratch_path
 from costframe.sinks import files as sink_files
 from costframe.sinks import tables as sink_tables
+from costframe.sources import export_index
 from costframe.sources.billing import read_billing_export, union_accounts
+from costframe.sources.metrics import read_metric_points
 from costframe.sources.ndjson import read_ndjson
+from costframe.sources.pricing import newest_snapshot_date
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -374,3 +377,105 @@ def q_nat_day_replace(spark, sf):
         daily.run_nat_report(points, smap, pairs, files, table, run_date=run_date)
     daily.run_nat_report(points.limit(0), smap, pairs, files, table, run_date=run_dates[0])
     return sink_tables.read_report_table(spark, table).select(*NAT_REPORT.fieldNames())
+
+
+# ---------------------------------------------------------------------------------------------
+# Exports with instants, late lines, typed metric values, versioned maps
+# ---------------------------------------------------------------------------------------------
+
+LATE_FROM = "2024-03-15"     # export days that arrive with the second delivery
+LATE_DAY = "2024-04-20"      # export day of lines that are weeks late
+LATE_USAGE = ("2024-01-20", "2024-02-25")   # usage days (UTC) of which a third of the lines is late
+
+
+def _instant(c) -> F.Column:
+    """A UTC wall clock as the instant it names, whatever the session zone."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c))
+
+
+def _write_export(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Lines as an export table stores them: times as instants, one folder per export day."""
+    instants = lines.withColumns({c: _instant(F.col(c)) for c in ("usage_start_time", "usage_end_time", "export_time")})
+    instants.repartition("partition_date").write.mode(mode).partitionBy("partition_date").parquet(path)
+
+
+@query("compute_instance_cost_from_instants")
+def q_compute_instance_cost_from_instants(spark, sf):
+    """R1 over an export whose times are TIMESTAMPs."""
+    path = scratch_path(spark, "instant-export")
+    _write_export(fx.billing_export(spark, sf), path)
+    return compute.compute_instance_cost(read_billing_export(spark, path))
+
+
+def _late_export(spark, sf, path):
+    """Two deliveries of the export: (write the first, write the second)."""
+    lines = fx.billing_export(spark, sf)
+    late = (F.to_date("usage_start_time").isin([F.lit(d).cast("date") for d in LATE_USAGE])
+            & (F.crc32(F.concat_ws("|", "sku.id", F.col("cost").cast("string"))) % 3 == 0))
+    dealt = lines.withColumn("partition_date", F.when(late, F.lit(LATE_DAY).cast("date")).otherwise(F.col("partition_date")))
+    second = F.col("partition_date") >= F.lit(LATE_FROM).cast("date")
+    return lambda: _write_export(dealt.where(~second), path), lambda: _write_export(dealt.where(second), path, "append")
+
+
+@query("late_days_recomputed")
+def q_late_days_recomputed(spark, sf):
+    """R1's table after two deliveries of an export: the second run recomputes the days it touches."""
+    export, index, table = (scratch_path(spark, f"late-{n}") for n in ("export", "index", "table"))
+    first, second = _late_export(spark, sf, export)
+    first()
+    daily.run_late_days(spark, "compute_instance", export, index, table, run_date="2024-05-10")
+    second()
+    daily.run_late_days(spark, "compute_instance", export, index, table, run_date="2024-05-10")
+    columns = compute.compute_instance_cost(fx.billing_export(spark, sf)).columns
+    return money_to_double(sink_tables.read_report_table(spark, table).select(*columns))
+
+
+@query("compute_instance_cost_indexed_day")
+def q_compute_instance_cost_indexed_day(spark, sf):
+    """R1 of one old day, read only from the export partitions that the index names for it."""
+    export, index = (scratch_path(spark, f"indexed-{n}") for n in ("export", "index"))
+    _write_export(fx.billing_export(spark, sf), export)
+    change = export_index.changes(spark, export, index)
+    export_index.commit(change, index, change.partitions)
+    return compute.compute_instance_cost(daily.lines_of_days(spark, export, export_index.read_index(spark, index), [REPORT_DAY]))
+
+
+def _stored_points(spark, sf):
+    """Metric points as the API gives them: whole numbers as INT64, times as instants."""
+    path = scratch_path(spark, "metric-points")
+    fx.metric_points(spark, sf).withColumns({"value": F.col("value").cast("long"), "ts": _instant(F.col("ts"))}).write.parquet(path)
+    return read_metric_points(spark, path)
+
+
+@query("nat_fee_from_points")
+def q_nat_fee_from_points(spark, sf):
+    return metrics.nat_traffic(_stored_points(spark, sf), _sku_map(spark, sf), _price_pairs(spark, sf))
+
+
+@query("object_count_from_points")
+def q_object_count_from_points(spark, sf):
+    return metrics.object_count(_stored_points(spark, sf), digits=6)
+
+
+@query("fleet_estimate_versioned_map")
+def q_fleet_estimate_versioned_map(spark, sf):
+    """R6 with the saved map of its price snapshot, beside maps of an older and a later one."""
+    root, pricing = scratch_path(spark, "sku-map-versions"), fx.pricing_export(spark, sf)
+    newest = newest_snapshot_date(pricing)
+    smap = _sku_map(spark, sf)
+    wrong = smap.withColumn("sku_id", F.concat(F.lit("OLD-"), "sku_id"))
+    for offset, version in ((-1, wrong), (0, wrong), (0, smap), (1, wrong)):
+        sink_files.write_sku_map_version(version, root, newest + dt.timedelta(days=offset))
+    return estimate.fleet_estimate(fx.fleet_specs(spark, sf), fx.machine_catalog(spark),
+                                   sink_files.read_sku_map_version(spark, root, newest), _price_pairs(spark, sf))
+
+
+@query("storage_bucket_cost_unlisted")
+def q_storage_bucket_cost_unlisted(spark, sf):
+    return storage.storage_bucket_cost(fx.billing_export(spark, sf), unlisted=True)
+
+
+@query("storage_bucket_cost_display")
+def q_storage_bucket_cost_display(spark, sf):
+    """R4 in the order in which it is shown (by storage cost)."""
+    return storage.storage_bucket_cost(fx.billing_export(spark, sf), display_order=True)

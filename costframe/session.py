@@ -2,13 +2,18 @@
 
 `get_spark` is for tests and the bench; on a cluster the caller's session is used as is.
 `scratch_path` gives a folder under the shared checkpoint dir named by the session
-(`spark.checkpoint.dir`); only when that is unset (local tests) a fresh /tmp folder is set.
+(`spark.checkpoint.dir`); only when that is unset (local tests) a fresh /tmp folder is set. Every folder
+given out is registered: `scratch_scope` removes those of a block of work when it ends, and what is left
+goes when the driver process ends.
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -59,4 +64,47 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder path under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _GIVEN.setdefault(spark.sparkContext.applicationId, []).append((spark, path))
+    return path
+
+
+#: Scratch folders given out, by application.
+_GIVEN: dict[str, list[tuple[SparkSession, str]]] = {}
+
+
+def release_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Remove the scratch folders of this application from the `since`-th on; returns how many.
+
+    Results that still read them can no longer be computed, so call it when their actions have ended.
+    """
+    given = _GIVEN.get(spark.sparkContext.applicationId, [])
+    done, given[since:] = given[since:], []
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for _, path in done:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(done)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """A block whose scratch folders go at its end, those of inner blocks first:
+
+        with scratch_scope(spark):
+            QUERIES[name](spark, path).write.parquet(out)
+    """
+    since = len(_GIVEN.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        release_scratch(spark, since)
+
+
+@atexit.register
+def _release_all() -> None:
+    for app, given in list(_GIVEN.items()):
+        context = given[0][0].sparkContext if given else None
+        with contextlib.suppress(Exception):  # a session that has ended: nothing can be reached any more
+            if context is not None and context._jsc is not None and context.applicationId == app:
+                release_scratch(given[0][0])

@@ -11,16 +11,17 @@ from pyspark.sql import functions as F
 
 from costframe.constants import PARTITION_PAD_MONTHS
 from costframe.schema import BILLING_COLUMNS, BILLING_EXPORT
-from costframe.sources.conform import conform
+from costframe.sources.conform import conform, read_parquet
 
 
 def read_billing_export(spark: SparkSession, path: str) -> DataFrame:
     """Parquet billing export, partitioned by `partition_date` (partition discovery on).
 
     Columns are taken by name with the types the files have (money may be DOUBLE, NUMERIC or any
-    DECIMAL) and cast once to the export schema; money becomes DECIMAL(28,12).
+    DECIMAL) and cast once to the export schema; money becomes DECIMAL(28,12), instants their UTC
+    wall clock.
     """
-    return conform(spark.read.parquet(path), BILLING_EXPORT)
+    return conform(read_parquet(spark, path), BILLING_EXPORT)
 
 
 def union_accounts(tables: Sequence[DataFrame], keep_partition: bool = True) -> DataFrame:

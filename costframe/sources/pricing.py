@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costframe.schema import PRICING_EXPORT
-from costframe.sources.conform import conform
+from costframe.sources.conform import conform, read_parquet
 
 
 def read_pricing_export(spark: SparkSession, path: str) -> DataFrame:
     """Parquet price snapshots, any stored money type (see `conform`)."""
-    return conform(spark.read.parquet(path), PRICING_EXPORT)
+    return conform(read_parquet(spark, path), PRICING_EXPORT)
+
+
+def newest_snapshot_date(pricing: DataFrame):
+    """The export day of the newest price snapshot (None without one); reads the partition column only."""
+    return pricing.agg(F.max("partition_date")).first()[0]
 
 
 def latest_snapshot(pricing: DataFrame) -> DataFrame:
