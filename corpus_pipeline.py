@@ -1,7 +1,14 @@
 """Training-data pipeline: STAGES over the documents table, each written and read again.
 
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the last
-return the columns of documents. Toxicity learns its grades from the labels beside the documents.
+return the columns of documents. Toxicity learns its grades from the labels beside the documents; the last
+stage encodes each text and decodes it again, and gives the digest of the decoded text beside the tokens.
+
+Defined results: null and empty texts are clean, equal each other (of them the largest id stays) and have
+no tokens; rows with a null id pass every stage like others; repeated rows are copies, of which one stays;
+of near copies one document stays; the mix takes no row more than three times and leaves out what is over
+its source's target; extra columns of documents travel along, also under names that a stage uses itself;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return merge_dropout.encode(docs)
+    return merge_dropout.encode(docs, decoded=True)
 
 
 STAGES = [
@@ -37,7 +44,7 @@ STAGES = [
     ("exact dedup", drop_copies),
     ("n-gram Jaccard join", drop_near_copies),
     ("mixing sources to target weights", mix_sources),
-    ("SentencePiece encoding", encode),
+    ("SentencePiece encoding and decoding", encode),
 ]
 
 #: Fitted grades, near duplicates and tokens have no SQL form; tests hold them against brute force.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -58,23 +59,64 @@ def labelled_sample(spark: SparkSession, sf_dir: str, label: str, most: int, whe
     return docs.join(F.broadcast(chosen), "doc_id")
 
 
-def collect_features(sample: DataFrame, extract) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, feature, value) triples and labels of a bounded sample, in order of doc_id.
+def feature_counts(sample: DataFrame, extract) -> DataFrame:
+    """(feature, positive, every): rows of a labelled sample that have each feature, by tasks that add up first.
 
-    `extract(column)` gives (row, feature, value) of an Arrow column of texts.
+    `extract(column)` gives (row, feature, value) of an Arrow column of texts, each pair once.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        positive, every = np.zeros(1 << BITS, np.int32), np.zeros(1 << BITS, np.int32)
+        for batch in W.text_slices(batches, "text"):
+            row, feature, _ = extract(batch.column("text"))
+            y = np.asarray(batch.column("y"))
+            every += np.bincount(feature, minlength=1 << BITS).astype(np.int32)
+            positive += np.bincount(feature[y[row] > 0], minlength=1 << BITS).astype(np.int32)
+        at = np.flatnonzero(every)
+        for i in range(0, len(at), 1 << 16):
+            part = at[i:i + (1 << 16)]
+            yield pa.RecordBatch.from_pydict({"feature": part.astype(np.int32), "positive": positive[part].astype(np.int64), "every": every[part].astype(np.int64)})
+
+    rows = sample.mapInArrow(run, "feature int, positive long, every long")
+    return rows.groupBy("feature").agg(F.sum("positive").alias("positive"), F.sum("every").alias("every"))
+
+
+@dataclass(frozen=True)
+class Sample:
+    """Features of a bounded labelled sample in order of id: those of row i are feature[cuts[i]:cuts[i + 1]]."""
+
+    cuts: np.ndarray
+    feature: np.ndarray  # int32
+    value: np.ndarray  # float32, empty where every value is 1
+    size: np.ndarray  # all features of a row, the dropped ones too
+    y: np.ndarray
+
+    @property
+    def row(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.y), dtype=np.int32), np.diff(self.cuts))
+
+
+def collect_sample(sample: DataFrame, extract, known: np.ndarray | None = None, *, values: bool = True) -> Sample:
+    """The sample's features on the driver, only those set in `known`; at most `labelled_sample`'s rows.
+
+    Rows are ordered by id, then by the text's hash, so a repeated id has a fixed order too.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.text_slices(batches, "text"):
             row, feature, value = extract(batch.column("text"))
-            cuts = np.searchsorted(row, np.arange(len(batch) + 1))
+            size = np.bincount(row, minlength=len(batch)).astype(np.int32)
+            if known is not None:
+                some = known[feature]
+                row, feature, value = row[some], feature[some], value[some]
+            cuts = pa.array(np.searchsorted(row, np.arange(len(batch) + 1)), pa.int32())
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "y": batch.column("y"),
-                "features": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(feature, pa.int32())),
-                "amounts": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(value, pa.float32()))})
+                "doc_id": batch.column("doc_id"), "tie": batch.column("tie"), "y": batch.column("y"), "size": size,
+                "features": pa.ListArray.from_arrays(cuts, pa.array(feature, pa.int32())),
+                "amounts": pa.ListArray.from_arrays(cuts if values else pa.array(np.zeros(len(batch) + 1, np.int32)), pa.array(value if values else value[:0], pa.float32()))})
 
-    rows = sample.mapInArrow(run, "doc_id long, y int, features array<int>, amounts array<float>")
-    table = rows.toArrow().combine_chunks().sort_by("doc_id")
+    keyed = sample.select("doc_id", "y", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"))
+    rows = keyed.mapInArrow(run, "doc_id long, tie long, y int, size int, features array<int>, amounts array<float>")
+    table = rows.toArrow().combine_chunks().sort_by([("doc_id", "ascending"), ("tie", "ascending")])
     features, amounts = table.column("features").combine_chunks(), table.column("amounts").combine_chunks()
     sizes = np.asarray(features.value_lengths().fill_null(0)).astype(np.int64)
-    return (np.repeat(np.arange(len(sizes)), sizes), np.asarray(features.flatten()).astype(np.int64),
-            np.asarray(amounts.flatten()).astype(np.float64), np.asarray(table.column("y")).astype(np.int64))
+    return Sample(np.concatenate([[0], np.cumsum(sizes)]), np.asarray(features.flatten()), np.asarray(amounts.flatten()),
+                  np.asarray(table.column("size")), np.asarray(table.column("y")).astype(np.int64))

@@ -384,21 +384,32 @@ def _tasks(model: dict, seed: int, rate: float, extend):
     return run
 
 
+def _digests(v: Vocabulary, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+    """SHA-256 of the texts that token ids decode to."""
+    data, at = decode_ids(v, ids, offsets)
+    view = memoryview(np.ascontiguousarray(data))
+    return [hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(at[:-1], at[1:])]
+
+
 def encode(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", model_path: str = MODEL, seed: int = SEED,
-           rate: float = RATE) -> DataFrame:
-    """`docs` plus `tokens` (array of ids) and `n_tokens`; clashing names get an underscore in front."""
+           rate: float = RATE, decoded: bool = False) -> DataFrame:
+    """`docs` plus `tokens` (array of ids) and `n_tokens`, with `decoded` also `decoded_sha256`, the digest of
+    the text decoded from the tokens; clashing names get an underscore in front."""
     _check(rate)
     tokens, count = free_name(docs, "tokens"), free_name(docs, "n_tokens")
+    more = [free_name(docs, "decoded_sha256")] if decoded else []
     names = [f"__c{i}" for i in range(len(docs.columns))]
     rows = docs.select(*[col(c).alias(n) for c, n in zip(docs.columns, names)], col(doc_id).cast("long").alias("__id"), col(text).alias("__text"))
 
     def extend(v, batch, ids, offsets, token_lists):
         columns = [batch.column(n) for n in names]
-        return pa.RecordBatch.from_arrays([*columns, token_lists, pa.array(np.diff(offsets))], names=[*names, tokens, count])
+        digests = [pa.array(_digests(v, ids, offsets), pa.string())] if decoded else []
+        return pa.RecordBatch.from_arrays([*columns, token_lists, pa.array(np.diff(offsets)), *digests], names=[*names, tokens, count, *more])
 
     fields = ", ".join(f"{n} {kind}" for n, (_, kind) in zip(names, docs.dtypes))
-    out = rows.mapInArrow(_tasks(read_model(model_path), seed, rate, extend), f"{fields}, {tokens} array<int>, {count} long")
-    return out.select(*[col(n).alias(c) for n, c in zip(names, docs.columns)], tokens, count)
+    out = rows.mapInArrow(_tasks(read_model(model_path), seed, rate, extend),
+                          ", ".join([fields, f"{tokens} array<int>", f"{count} long", *(f"{m} string" for m in more)]))
+    return out.select(*[col(n).alias(c) for n, c in zip(names, docs.columns)], tokens, count, *more)
 
 
 def decode(encoded: DataFrame, *, tokens: str = "tokens", model_path: str = MODEL, out: str = "decoded") -> DataFrame:
@@ -430,11 +441,8 @@ def token_report(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     rows = docs.select(col(doc_id).cast("long").alias("__id"), col(text).alias("__text"))
 
     def extend(v, batch, ids, offsets, token_lists):
-        data, at = decode_ids(v, ids, offsets)
-        view = memoryview(np.ascontiguousarray(data))
-        digests = [hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(at[:-1], at[1:])]
         return pa.RecordBatch.from_pydict({"doc_id": batch.column("__id"), "n_tokens": np.diff(offsets), "tokens": token_lists,
-                                           "decoded_sha256": digests})
+                                           "decoded_sha256": _digests(v, ids, offsets)})
 
     return rows.mapInArrow(_tasks(read_model(model_path), seed, rate, extend),
                            "doc_id long, n_tokens long, tokens array<int>, decoded_sha256 string")

@@ -1,8 +1,8 @@
 """Quality scores by hashed word n-gram logistic regression with FTRL updates (operator 4).
 
-A document's features are its word unigrams (lower case), the unigrams of word shapes, and the bigrams
-of shapes with a flag for a repeated word; each is hashed into 2**21 weights and counts by its share of
-the document's words. Weights are learned by follow-the-regularised-leader (proximal) updates, example
+A document's features are its word unigrams, bigrams and trigrams (lower case), the unigrams of word
+shapes, and the bigrams of shapes with a flag for a repeated word; each is hashed into 2**21 weights and
+counts by its share of the document's words. Weights are learned by follow-the-regularised-leader (proximal) updates, example
 by example, over at most `SAMPLE` labelled documents whose id is not held out, in a fixed order, for
 `EPOCHS` passes. A score is the logistic of a sparse dot product, summed over whole texts.
 
@@ -46,11 +46,15 @@ def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     pair = np.flatnonzero(row[1:] == row[:-1])
     same = (words[pair + 1] == words[pair]).astype(np.uint64)
     two = W.mix(shape[pair] * np.uint64(W.MULTIPLIER) + shape[pair + 1] + same)
+    next_word = W.mix(words[pair] * np.uint64(W.MULTIPLIER) + words[pair + 1])
+    triple = pair[np.flatnonzero(row[np.minimum(pair + 2, len(row) - 1)] == row[pair])] if len(pair) else pair
+    triple = triple[triple + 2 < len(row)]
+    third = W.mix(W.mix(words[triple] * np.uint64(W.MULTIPLIER) + words[triple + 1]) * np.uint64(W.MULTIPLIER) + words[triple + 2])
     each = 1.0 / np.maximum(n, 1)
-    feature = np.concatenate([np.full(len(n), CONSTANT), X.bucket(words, 1), X.bucket(shape, 2), X.bucket(two, 3)])
-    owner = np.concatenate([np.arange(len(n)), row, row, row[pair]])
-    value = np.concatenate([np.ones(len(n)), each[row], each[row], each[row[pair]]])
-    return owner, feature, value
+    feature = np.concatenate([np.full(len(n), CONSTANT), X.bucket(words, 1), X.bucket(shape, 2), X.bucket(two, 3),
+                              X.bucket(next_word, 4), X.bucket(third, 5)])
+    owner = np.concatenate([np.arange(len(n)), row, row, row[pair], row[pair], row[triple]])
+    return owner, feature, np.concatenate([np.ones(len(n)), each[owner[len(n):]]])
 
 
 def summed(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,19 +64,18 @@ def summed(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys >> X.BITS, keys & ((1 << X.BITS) - 1), np.bincount(back, value, len(keys))
 
 
-def fit(row: np.ndarray, feature: np.ndarray, value: np.ndarray, y: np.ndarray, *, epochs: int = EPOCHS, alpha: float = ALPHA,
+def fit(cuts: np.ndarray, feature: np.ndarray, value: np.ndarray, y: np.ndarray, *, epochs: int = EPOCHS, alpha: float = ALPHA,
         beta: float = BETA, l1: float = L1, l2: float = L2) -> np.ndarray:
-    """FTRL-proximal logistic regression; examples in a fixed shuffled order."""
+    """FTRL-proximal logistic regression; examples (entries cuts[i]:cuts[i + 1]) in a fixed shuffled order."""
     z, n = np.zeros(1 << X.BITS), np.zeros(1 << X.BITS)
 
     def weights(zi, ni):
         return np.where(np.abs(zi) <= l1, 0.0, -(zi - np.sign(zi) * l1) / ((beta + np.sqrt(ni)) / alpha + l2))
 
-    cuts = np.searchsorted(row, np.arange(len(y) + 1))
     order = np.random.default_rng(17)
     for _ in range(epochs):
         for i in order.permutation(len(y)):
-            f, x = feature[cuts[i]:cuts[i + 1]], value[cuts[i]:cuts[i + 1]]
+            f, x = feature[cuts[i]:cuts[i + 1]], value[cuts[i]:cuts[i + 1]].astype(np.float64)
             zi, ni = z[f], n[f]
             w = weights(zi, ni)
             g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - y[i]) * x
@@ -84,9 +87,8 @@ def fit(row: np.ndarray, feature: np.ndarray, value: np.ndarray, y: np.ndarray,
 
 def train(spark: SparkSession, sf_dir: str, *, sample: int = SAMPLE) -> np.ndarray:
     """Weights from at most `sample` labelled documents that are not held out."""
-    rows = X.labelled_sample(spark, sf_dir, "quality", sample, f"not ({HELD_OUT})")
-    row, feature, value, y = X.collect_features(rows, summed)
-    return fit(row, feature, value, y)
+    found = X.collect_sample(X.labelled_sample(spark, sf_dir, "quality", sample, f"not ({HELD_OUT})"), summed)
+    return fit(found.cuts, found.feature, found.value, found.y)
 
 
 def score(docs: DataFrame, weights: np.ndarray, *, text: str = "text") -> DataFrame:

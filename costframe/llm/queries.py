@@ -18,7 +18,7 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_toxicity_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity, grade and verdict of every document."""
-    scored = severity.score(documents(spark, sf_dir), severity.train(spark, sf_dir))
+    scored = severity.score(documents(spark, sf_dir).select("doc_id", "text"), severity.train(spark, sf_dir))
     return scored.select("doc_id", "severity", "p_toxic", "grade", "toxic")
 
 

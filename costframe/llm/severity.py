@@ -8,8 +8,11 @@ long clean texts do not add up to a high score.
 
 The labels are only 0 or 1, so training grades are derived: label 0 is grade 0; a labelled-toxic
 document is 1, 2 or 3 by the tertile of its share of marker words (words with a toxic rate far above
-the sample's). The model learns from at most `SAMPLE` labelled documents (see labelled_sample), fitted
-by accelerated proximal gradient steps on the driver; scoring reads every whole text.
+the sample's). The model learns from at most `SAMPLE` labelled documents (see labelled_sample): tasks count
+their features, those that tell toxic documents apart (by odds ratio, so at any share of toxic labels) are
+chosen, and only these come to the driver, where accelerated proximal gradient steps fit them. A document
+counts as toxic where grade 1 or more is likelier than not, or where its odds are `EVIDENCE` times those of
+the sample. Scoring reads every whole text.
 
 Defined results: a null or empty text has no features and gets the base score; null and repeated ids
 are scored row by row; without any toxic label the weights are zero and no document is toxic; an
@@ -28,22 +31,29 @@ from pyspark.sql import functions as F
 
 from costframe.llm import features as X
 from costframe.llm import words as W
-from costframe.llm.common import col, free_name
+from costframe.llm.common import col, free_name, materialize
 
 SAMPLE = 16_000  # labelled documents at most
 GRADES = 3
 PENALTY = 2e-5
 STEPS = 400
-TOXIC_FROM = 0.4  # P(grade >= 1) from which a document counts as toxic
+EVIDENCE = 4.5  # how many times the sample's odds of being toxic a document's must be to count as toxic
 BEGINNING = 4
 LEAST_ROWS = 4  # toxic documents that must share a feature
-LIFT = 2.0  # a feature must be this many times as frequent in toxic documents as toxic documents are
+ODDS = 2.35  # least odds ratio of a feature between toxic and clean documents
 
 
 @dataclass(frozen=True)
 class Model:
     weights: np.ndarray  # float32, 2**BITS
     thresholds: np.ndarray
+    rate: float = 0.0  # share of toxic documents in the sample
+
+    @property
+    def toxic_from(self) -> float:
+        """P(grade >= 1) from which a document counts as toxic."""
+        odds = min(1.0, EVIDENCE * self.rate / max(1 - self.rate, 1e-9))
+        return odds / (1 + odds) if 0 < self.rate < 1 else 2.0
 
     def chances(self, score: np.ndarray) -> np.ndarray:
         """P(grade >= j) for j = 1 .. GRADES."""
@@ -67,15 +77,24 @@ def presence(column: pa.Array, known: np.ndarray | None = None) -> tuple[np.ndar
     return keys >> X.BITS, keys & ((1 << X.BITS) - 1), np.ones(len(keys))
 
 
-def derived_grades(row: np.ndarray, feature: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Grades 0..GRADES of the sample: toxic documents by the tertile of their share of markers."""
+def useful(positive: np.ndarray, every: np.ndarray, toxic: int, clean: int) -> np.ndarray:
+    """Which features tell toxic documents from clean ones: enough toxic rows and the odds ratio."""
+    negative = every - positive
+    odds = (positive + 0.5) * (clean - negative + 0.5) / ((toxic - positive + 0.5) * (negative + 0.5))
+    return (positive >= LEAST_ROWS) & (odds >= ODDS)
+
+
+def derived_grades(row: np.ndarray, feature: np.ndarray, y: np.ndarray, size: np.ndarray | None = None) -> np.ndarray:
+    """Grades 0..GRADES of the sample: toxic documents by the tertile of their share of markers (features
+    whose odds are far above the sample's); `size`: all features of each row, where some were dropped."""
     n = len(y)
-    size = 1 << X.BITS
-    toxic = np.bincount(feature, y[row] > 0, size)
-    clean = np.bincount(feature, y[row] == 0, size)
+    total = 1 << X.BITS
+    toxic = np.bincount(feature[y[row] > 0], minlength=total)
+    clean = np.bincount(feature[y[row] == 0], minlength=total)
     base = (y > 0).mean() if n else 0.0
     marker = (toxic >= LEAST_ROWS) & (toxic / np.maximum(toxic + clean, 1) > max(0.8, min(1 - 1e-9, 3 * base)))
-    share = np.bincount(row, marker[feature], n) / np.maximum(np.bincount(row, minlength=n), 1)
+    size = np.bincount(row, minlength=n) if size is None else size
+    share = np.bincount(row, marker[feature], n) / np.maximum(size, 1)
     grades = np.zeros(n, np.int64)
     of = np.flatnonzero(y > 0)
     if len(of):
@@ -91,14 +110,14 @@ def fit(row: np.ndarray, feature: np.ndarray, grades: np.ndarray, *, penalty: fl
     rate = np.array([(grades >= j).mean() if n else 0 for j in range(1, GRADES + 1)])
     if not n or rate[0] in (0.0, 1.0):
         return Model(weights, np.full(GRADES, 40.0))
-    toxic, every = np.bincount(feature, grades[row] > 0, size), np.bincount(feature, minlength=size)
-    useful = np.flatnonzero((toxic >= LEAST_ROWS) & (toxic >= LIFT * rate[0] * every))
-    number = np.full(size, -1)
-    number[useful] = np.arange(len(useful))
+    n_toxic = int((grades > 0).sum())
+    chosen = np.flatnonzero(useful(np.bincount(feature[grades[row] > 0], minlength=size), np.bincount(feature, minlength=size), n_toxic, n - n_toxic))
+    number = np.full(size, -1, np.int32)
+    number[chosen] = np.arange(len(chosen))
     some = number[feature] >= 0
     row, f = row[some], number[feature[some]]
     start = -np.log(np.clip(rate, 1e-4, 1 - 1e-4) / (1 - np.clip(rate, 1e-4, 1 - 1e-4)))
-    d = len(useful)
+    d = len(chosen)
     p = np.concatenate([np.zeros(d), [start[0]], np.log(np.maximum(np.diff(start), 1e-2))])  # gaps by their logs
 
     def loss_gradient(p):
@@ -141,15 +160,21 @@ def fit(row: np.ndarray, feature: np.ndarray, grades: np.ndarray, *, penalty: fl
         p, momentum = new, nxt
         step *= 1.2
         loss, g = loss_gradient(at)
-    weights[useful] = p[:d].astype(np.float32)
-    return Model(weights, p[d] + np.concatenate([[0], np.cumsum(np.exp(p[d + 1:]))]))
+    weights[chosen] = p[:d].astype(np.float32)
+    return Model(weights, p[d] + np.concatenate([[0], np.cumsum(np.exp(p[d + 1:]))]), float(rate[0]))
 
 
 def train(spark: SparkSession, sf_dir: str, *, sample: int = SAMPLE) -> Model:
     """Fit on at most `sample` labelled documents of the tables in `sf_dir`."""
-    rows = X.labelled_sample(spark, sf_dir, "toxic", sample)
-    row, feature, _, y = X.collect_features(rows, presence)
-    return fit(row, feature, derived_grades(row, feature, y))
+    rows = materialize(X.labelled_sample(spark, sf_dir, "toxic", sample), "toxicity-sample")
+    labels = rows.agg(F.count(F.when(F.col("y") > 0, 1)), F.count(F.lit(1))).first()
+    counts = X.feature_counts(rows, presence).where(F.col("positive") >= LEAST_ROWS).toArrow()  # of at most 2**BITS features
+    feature, positive, every = (np.asarray(counts.column(c).combine_chunks()) for c in ("feature", "positive", "every"))
+    known = np.zeros(1 << X.BITS, bool)
+    known[feature[useful(positive, every, labels[0], labels[1] - labels[0])]] = True
+    found = X.collect_sample(rows, presence, known, values=False)
+    row = found.row
+    return fit(row, found.feature, derived_grades(row, found.feature, found.y, found.size))
 
 
 def score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
@@ -165,7 +190,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
             each = -np.diff(np.column_stack([np.ones(len(over)), over, np.zeros(len(over))]), axis=1)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(n) for n in names], pa.array(over.sum(1)), pa.array(over[:, 0]), pa.array(each.argmax(1).astype(np.int32)),
-                 pa.array(over[:, 0] >= TOXIC_FROM)], names=[*names, "severity", "p_toxic", "grade", "toxic"])
+                 pa.array(over[:, 0] >= model.toxic_from)], names=[*names, "severity", "p_toxic", "grade", "toxic"])
 
     fields = ", ".join(f"{n} {kind}" for n, (_, kind) in zip(names, docs.dtypes))
     rows = docs.select(*[col(c).alias(n) for c, n in zip(docs.columns, names)], col(text).alias("t"))

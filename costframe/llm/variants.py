@@ -45,8 +45,9 @@ LETTERS = np.array([*range(97, 123), *range(0xC0, 0x100)], np.uint8)
 BLOCK_WORDS = 8  # 64-bit words of a block
 BITS_PER_WORD, PROBES = 20, 6
 LAST_SHARD = 64
-SEGMENT_BLOCKS = 1 << 13  # 512 KB of a shard
+SEGMENT_BLOCKS = 1 << 10  # 64 KB of a shard
 MAX_FILTER_BYTES = 32 << 20
+TASK_WORDS = 1 << 15  # whose edits one task generates
 CELLS = 1 << 19  # edits that are hashed together
 _BASE = W.MULTIPLIER
 _ALL = (1 << 64) - 1
@@ -234,7 +235,7 @@ def _probed(sent):
 def near_pairs(words: DataFrame, *, max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
     """(a, n_a, b, n_b): every unordered pair of near words once; `words` is a stored table (word, n)."""
     spark = words.sparkSession
-    spread = words.repartition(spark.sparkContext.defaultParallelism * 2, "word")
+    spread = words.repartition(max(2 * spark.sparkContext.defaultParallelism, -(-words.count() // TASK_WORDS)), "word")
     known = words.select(F.col("word").alias("b"), F.col("n").alias("n_b"))
     out = None
     for made in filters(words, max_filter_bytes):

@@ -13,6 +13,7 @@ import corpus_pipeline
 from costframe.llm import merge_dropout as M
 from costframe.llm import features as X
 from costframe.llm import quality, queries, severity
+from costframe.llm.common import materialize
 
 SF = "/root/testdata/sf0.01"
 
@@ -41,8 +42,8 @@ def test_thresholds_and_gradient_fit():
 def test_toxicity_held_out(spark):
     """Trained on a part of the labels, tested on the others (few labels here; see README for larger tables)."""
     rows = X.labelled_sample(spark, "/root/testdata/sf0.1", "toxic", 2500)
-    row, feature, _, y = X.collect_features(rows, severity.presence)
-    model = severity.fit(row, feature, severity.derived_grades(row, feature, y))
+    found = X.collect_sample(rows, severity.presence)
+    model = severity.fit(found.row, found.feature, severity.derived_grades(found.row, found.feature, found.y))
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").join(labels, "doc_id").join(rows.select("doc_id"), "doc_id", "left_anti")
     scored = severity.score(docs.withColumnRenamed("toxic", "label"), model).select("label", "toxic", "severity").toPandas()
@@ -60,6 +61,73 @@ def test_toxicity_edges(make_docs, spark):
     assert severity.score(make_docs([]), model).count() == 0
 
 
+def labelled(tmp_path, spark, rows, label):
+    """rows (doc_id, text, label) as the tables that models learn from."""
+    folder = str(tmp_path / "tables")
+    spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").write.mode("overwrite").parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(r[0], r[2]) for r in rows], f"doc_id long, {label} int").write.mode("overwrite").parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def toxic_rows(n, share, seed=3):
+    """Texts of common words, those that are toxic with some of six bad ones."""
+    rng = random.Random(seed)
+    common, bad = [f"word{i}" for i in range(300)], [f"bad{i}" for i in range(6)]
+    out = []
+    for i in range(n):
+        toxic = rng.random() < share
+        words = rng.choices(common, k=rng.randint(20, 200)) + (rng.choices(bad, k=rng.randint(3, 12)) if toxic else [])
+        rng.shuffle(words)
+        out.append((i, " ".join(words), int(toxic)))
+    return out
+
+
+@pytest.mark.parametrize("share", [0.05, 0.13, 0.55, 0.9])
+def test_toxicity_at_any_label_share(spark, tmp_path, share):
+    rows = toxic_rows(900, share)
+    model = severity.train(spark, labelled(tmp_path, spark, rows[:600], "toxic"))
+    test = spark.createDataFrame(rows[600:], "doc_id long, text string, label int")
+    scored = severity.score(test, model).select("label", "toxic").toPandas()
+    assert scored.toxic[scored.label == 1].mean() > 0.9 and scored.toxic[scored.label == 0].mean() < 0.05
+
+
+def test_training_counts_on_tasks_and_orders_repeated_ids(spark, tmp_path):
+    rows = toxic_rows(300, 0.3)
+    rows += [(7, "another text with bad0 bad1", 1), (8, None, 0), (9, "", 0)]
+    folder = labelled(tmp_path, spark, rows, "toxic")
+    sample = X.labelled_sample(spark, folder, "toxic", 1000)
+    every = X.collect_sample(sample.repartition(5), severity.presence)
+    again = X.collect_sample(sample.repartition(2), severity.presence)
+    assert (every.feature == again.feature).all() and (every.cuts == again.cuts).all() and (every.y == again.y).all()
+    counts = {r.feature: (r.positive, r.every) for r in X.feature_counts(sample, severity.presence).collect()}
+    row = every.row
+    assert counts == {f: (int(((every.feature == f) & (every.y[row] > 0)).sum()), int((every.feature == f).sum())) for f in set(every.feature.tolist())}
+    known = np.zeros(1 << X.BITS, bool)
+    known[every.feature[::3]] = True
+    part = X.collect_sample(sample, severity.presence, known, values=False)
+    assert (part.feature == every.feature[known[every.feature]]).all() and (part.size == np.diff(every.cuts)).all() and not len(part.value)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "a b c", 0), (2, None, 0)]])
+def test_training_without_positive_labels_or_rows(spark, tmp_path, make_docs, rows):
+    folder = labelled(tmp_path, spark, rows, "toxic")
+    model = severity.train(spark, folder)
+    assert {r.toxic for r in severity.score(make_docs([(1, "bad words"), (2, None)]), model).collect()} == {False}
+    weights = quality.train(spark, labelled(tmp_path, spark, rows, "quality"))
+    assert quality.score(make_docs([(1, "bad words"), (2, None)]), weights).count() == 2
+
+
+def test_quality_sees_the_order_of_words():
+    sums = lambda t: dict(zip(*(x.tolist() for x in quality.summed(pa.array([t]))[1:])))
+    one, two = sums("the cat sat on the mat and ran"), sums("ran and mat the on sat cat the")
+    assert one != two and sums("a b c") != sums("c b a")
+    # one constant, and of n words n + n unigrams, n - 1 + n - 1 bigrams and n - 2 trigrams
+    for n in range(6):
+        owner, feature, value = quality.grams(pa.array([" ".join(f"w{i}" for i in range(n)), "x"]))
+        assert (owner == 0).sum() == 1 + 2 * n + 2 * max(n - 1, 0) + max(n - 2, 0) and len(feature) == len(value) == len(owner)
+        assert (owner == 1).sum() == 3
+
+
 def test_quality_held_out(spark):
     got = queries.op4_quality_score(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").toPandas()
     assert (got.held_out == [zlib.crc32(str(i).encode()) % 4 == 2 for i in got.doc_id]).all()
@@ -69,7 +137,7 @@ def test_quality_held_out(spark):
 
 
 def test_quality_edges(make_docs):
-    weights = quality.fit(np.zeros(0, int), np.zeros(0, int), np.zeros(0), np.zeros(0))
+    weights = quality.fit(np.zeros(1, int), np.zeros(0, int), np.zeros(0), np.zeros(0))
     docs = make_docs([(1, None), (2, ""), (None, "a a"), (4, "w " * 50000)]).withColumn("score", F.lit("x"))
     out = quality.score(docs, weights)
     assert out.columns == [*docs.columns, "_score"] and {r["_score"] for r in out.collect()} == {0.5}
@@ -180,4 +248,24 @@ def test_pipeline(spark):
     groups = brute.components(kept[1], 5, 80)
     assert {i for i, _ in kept[2]} == {c for _, _, c in groups} and len(kept[2]) == len({c for _, _, c in groups})
     last = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
-    assert last.count() == len(kept[3]) and last.columns == [*first.columns, "tokens", "n_tokens"]
+    assert last.columns == [*first.columns, "tokens", "n_tokens", "decoded_sha256"]
+    rows = last.collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == sorted(kept[3])
+    assert all(r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest() and len(r.tokens) == r.n_tokens for r in rows)
+
+
+def test_pipeline_edges(spark, make_docs):
+    """Nulls, repeats, long texts, clashing columns and an empty table through every stage."""
+    sf = "/root/testdata/sf0.001"
+    rows = [(1, None), (2, ""), (3, "Twice told"), (3, "Twice told"), (None, "null id text"), (4, "long " * 40000), (5, "twice TOLD")]
+    docs = make_docs(rows).withColumn("toxic", F.lit("x")).withColumn("tokens", F.lit(1)).withColumn("suspect", F.lit(2)).withColumn("source", F.lit(None).cast("string"))
+    for _, stage in corpus_pipeline.STAGES:
+        before, docs = docs, stage(spark, docs, sf)
+        assert docs.columns[:len(before.columns)] == before.columns
+        docs = materialize(docs, "edges")
+    texts = [(r.text or "").lower() for r in docs.select("text").collect()]
+    assert set(texts) <= {(t or "").lower() for _, t in rows}
+    docs = make_docs([])
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf)
+        assert docs.count() == 0
