@@ -1,28 +1,31 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraphs (operator 5, DataFrame only).
 
-A text's paragraphs are pieces of its lines. `passages` cuts a line by content - after sentence ends, in
-longer sentences commas and words of seven characters, and certain characters where there are no spaces -
-so an insertion changes the pieces near it and few later ones; only a stretch of `LONGEST` code points
-without a cut is cut by length. `paragraphs` (the default) cuts a line every `PIECE` code points from its start.
+A text's paragraphs are pieces of its lines. `passages` cuts a line by content - after sentence ends, and
+in a stretch without one at the first space, comma, rare letter or such from `LONG` code points on - so an
+insertion changes the pieces near it and few later ones; only a stretch of `LONGEST` code points without
+a cut is cut by length. `paragraphs` (the default) cuts a line every `PIECE` code points from its start.
 The distinct 64-bit digests of the paragraphs go into a sketch of three subtables: a digest
 adds itself to one cell of each - a count, the XOR of digests and the XOR of their checks. The sketch
 with `CELLS` cells a subtable is the document's fingerprint.
 
-Two versions are compared by subtracting their sketches cell by cell. What both have cancels; a cell
-with one digest left reveals it, and taking it out of its other cells reveals more (peeling). Small
-documents are compared by their fingerprints; larger ones by sketches sized for both documents, which
-bounds how much can differ. Where cells are left over, the comparison is repeated with a larger
-sketch. Should that also fail, the digest lists are compared directly, so the result is exact.
+Two versions are compared by subtracting their fingerprints cell by cell. What both have cancels; a cell
+with one digest left reveals it, and taking it out of its other cells reveals more (peeling). Where cells
+are left over, the comparison is repeated with a larger sketch of both digest lists: first with half a
+cell a subtable for each digest, which recovers every difference but the largest, then with a whole one.
+Should that also fail, the digest lists are compared directly, so the result is exact. `differences`
+gives the recovered digests with their sides, or only their number.
 
 Sketches are rows (document, cell) and every step is a built-in aggregation: contributions of both
 versions are summed with opposite signs, and a peeling round is two aggregations by document and cell.
-Rows stay in the partition of their document, so a comparison shuffles only the digest lists.
+Every text is cut once, and its edited text once; of the next document only its digests and the piece
+that the edit needs travel. Digest lists are dealt by document into tasks of about `TASK_DIGESTS`.
 
-Likeness = shared / all distinct paragraphs (Jaccard), from the sizes and the recovered differences.
+Likeness = shared / all distinct paragraphs (Jaccard): the numbers of digests are the sums of a
+fingerprint's counts over a subtable, the differences come from peeling.
 
 Defined results: a null text is empty; texts without paragraphs are alike (1.0) and have the empty
 fingerprint; equal texts have equal fingerprints; an empty table gives an empty result; a document
-alone in its table is its own successor.
+alone in its table is its own successor; other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,15 +39,14 @@ from costframe.llm.common import col, materialize
 
 PIECE = 256
 LONG, LONGEST = 48, 128
-_SPACE = r" \t\x0B\f\r\n"
 #: A tenth of the Han characters (every tenth block of 256).
 _HAN = "".join(f"{chr(c)}-{chr(c + 255)}" for c in range(0x4E00, 0x9F00, 0xA00))
-#: Where a line is cut: between a sentence end and a space; after wide punctuation; in digits and letters without
-#: spaces; in Han and kana. Pieces that reach `LONG` also end at a comma or a word of seven characters.
-CUTS = (rf"(?<=[.!?;:|])(?=[{_SPACE}])", "(?<=[。！？；：、，…のはをに])", "(?<=[qxzQXZ07])(?=[0-4a-fA-F])", f"(?<=[{_HAN}])(?=[一-鿿])")
-LONG_CUTS = (rf"(?=[{_SPACE}])(?:(?<=,)|(?<=[{_SPACE}][^{_SPACE}]{{7}}))",)
+#: A line is cut after these; in a stretch of `LONG` or more without them also after the second kind.
+ENDS = ".!?;:|。！？；：…"
+LONG_ENDS = rf" \t\x0B\f\r,qxzQXZ07、，のはをに{_HAN}"
 CELLS = 8  # of a subtable of the fingerprint
 ROUNDS = 6  # of peeling
+TASK_DIGESTS = 1 << 16
 
 
 def paragraphs(text: Column, piece: int = PIECE) -> Column:
@@ -52,11 +54,10 @@ def paragraphs(text: Column, piece: int = PIECE) -> Column:
 
 
 def passages(text: Column) -> Column:
-    """Pieces of the lines, cut by content."""
-    cuts, end = "|".join(CUTS), r"(?![^\n])"
-    short, long = r"[^\n]{1,%d}" % LONG, r"[^\n]{%d,%d}" % (LONG, LONGEST)
-    either = "|".join((*CUTS, *LONG_CUTS, end))
-    return F.regexp_extract_all(text, F.lit(rf"{short}?(?:{cuts}|{end})|{long}?(?:{either})|{long}"), F.lit(0))
+    """Pieces of the lines, cut by content. Runs are possessive: a character is looked at twice at most."""
+    inner = rf"[^\n{ENDS}]"
+    return F.regexp_extract_all(text, F.lit(
+        rf"{inner}{{0,{LONGEST - 1}}}+[{ENDS}]++|{inner}{{{LONG},{LONGEST - 1}}}?(?<=[{LONG_ENDS}])|{inner}{{1,{LONGEST}}}+"), F.lit(0))
 
 
 def digests(text: Column, cut: Callable[[Column], Column] = paragraphs) -> Column:
@@ -82,11 +83,20 @@ def sketch_cells(rows: DataFrame, cells: Column, by: list[str]) -> DataFrame:
     return summed.where("n <> 0 or keys <> 0 or checks <> 0")
 
 
-def peel(cells: DataFrame, width: str, by: list[str], rounds: int = ROUNDS) -> DataFrame:
-    """(by, found, left): how many digests peeling recovers, and how many cells stay.
+_CELL = "array<struct<cell:bigint,n:bigint,keys:bigint,checks:bigint>>"
+
+
+def _pure(n: Column, keys: Column, checks: Column) -> Column:
+    """Whether a cell holds one digest."""
+    return (F.abs(n) == 1) & (_check(keys) == checks)
+
+
+def peel(cells: DataFrame, width: str, by: list[str], rounds: int = ROUNDS, digests: bool = False) -> DataFrame:
+    """(by, found, left): how many digests peeling recovers, and how many cells stay; with `digests` also
+    `recovered`, the digests with their signs.
 
     Rows are cells (kind 0, slot = cell), recovered digests (kind 1, slot = digest; the same digest may
-    show in three cells and counts once) and one counter (kind 2).
+    show in three cells and counts once) and what was recovered before (kind 2: a counter, or the digests).
     """
     zero = F.lit(0).cast("long")
     keys = [*by, width, "kind", "slot"]
@@ -101,54 +111,106 @@ def peel(cells: DataFrame, width: str, by: list[str], rounds: int = ROUNDS) -> D
 
     for _ in range(rounds):
         me = row(0, F.col("slot"), F.col("n"), F.col("keys"), F.col("checks")).withField("kind", F.col("kind"))
-        pure = (F.col("kind") == 0) & (F.abs("n") == 1) & (_check(F.col("keys")) == F.col("checks"))
+        pure = (F.col("kind") == 0) & _pure(F.col("n"), F.col("keys"), F.col("checks"))
         shown = rows.select(*by, width, F.explode(F.when(pure, F.array(me, row(1, F.col("keys"), F.col("n"), zero, zero))).otherwise(F.array(me))).alias("r"))
         rows = grouped(shown.select(*by, width, "r.*"))
         me = row(0, F.col("slot"), F.col("n"), F.col("keys"), F.col("checks")).withField("kind", F.col("kind"))
         key, sign = F.col("slot"), F.signum("n").cast("long")
         out = [row(0, F.pmod(F.shiftrightunsigned(key, 5 + 19 * t), F.col(width)) + t * F.col(width), -sign, key, _check(key)) for t in range(3)]
-        taken = F.when(F.col("kind") == 1, F.array(*out, row(2, zero, F.lit(1), zero, zero))).otherwise(F.array(me))
+        done = row(2, key, sign, zero, zero) if digests else row(2, zero, F.lit(1), zero, zero)
+        taken = F.when(F.col("kind") == 1, F.array(*out, done)).otherwise(F.array(me))
         rows = grouped(rows.select(*by, width, F.explode(taken).alias("r")).select(*by, width, "r.*"))
-    return rows.groupBy(*by).agg(F.sum(F.when(F.col("kind") == 2, F.col("n")).otherwise(zero)).alias("found"),
-                                 F.count(F.when(F.col("kind") == 0, 1)).alias("left"))
+    before = F.when(F.col("kind") == 2, F.abs("n") if digests else F.col("n"))
+    more = [F.collect_list(F.when(F.col("kind") == 2, F.struct(F.col("slot").alias("digest"), F.col("n").alias("sign")))).alias("recovered")] if digests else []
+    return rows.groupBy(*by).agg(F.sum(F.coalesce(before, zero)).alias("found"), F.count(F.when(F.col("kind") == 0, 1)).alias("left"), *more)
 
 
-def differences(pairs: DataFrame) -> DataFrame:
-    """(row, pair, a, b) with digest lists a, b -> (row, pair, diff): how many digests differ.
+def _width(attempt: int) -> Column:
+    """Cells of a subtable at each larger attempt, for digest lists a and b."""
+    both = F.size("a") + F.size("b")
+    return (F.greatest(F.lit(CELLS), F.ceil(both / 2) + 2) if attempt == 0 else both + 16).cast("long")
 
-    Rows of `pairs` are dealt by `row`. Lists are read again only for the pairs that a comparison left over.
+
+def differences(pairs: DataFrame, tasks: int, digests: bool = False) -> DataFrame:
+    """(row, pair, diff) for digest lists (row, pair, a, b): how many digests differ, by sketches sized for
+    both lists; with `digests` also `recovered`, the digests (sign 1: only in a, -1: only in b).
+
+    Rows are dealt by `row` into `tasks`. Lists are read again only for the pairs that a comparison left over.
     """
-    both = F.size("a") + F.size("b")
-    todo, done, equal = pairs, [], pairs.where("a = b").select("row", "pair", F.lit(0).cast("long").alias("diff"))
-    for attempt, width in enumerate((F.greatest(F.lit(CELLS), F.ceil(both / 2) + 2), both + 16)):
-        lists = todo.withColumn("width", width.cast("long")).where("a <> b").select(
+    names = ["row", "pair", "diff", *(["recovered"] if digests else [])]
+    empty = F.array().cast("array<struct<digest:bigint,sign:bigint>>").alias("recovered")
+    same = pairs.where("a = b").select("row", "pair", F.lit(0).cast("long").alias("diff"), *([empty] if digests else []))
+    todo, done = pairs.where("a <> b").repartition(tasks, "row"), [same]
+    for attempt in range(2):
+        lists = todo.withColumn("width", _width(attempt)).select(
             "row", "pair", "width", F.posexplode(F.concat("a", "b")).alias("at", "key"), F.size("a").alias("n_a"))
         signed = lists.withColumn("sign", F.when(F.col("at") < F.col("n_a"), 1).otherwise(-1).cast("long"))
         cells = sketch_cells(signed.select("row", "pair", "width", "key", "sign"), F.col("width"), ["row", "pair", "width"])
-        tried = materialize(peel(cells, "width", ["row", "pair"]), f"sketch-solved-{attempt}")
-        done.append(tried.where("left = 0").select("row", "pair", F.col("found").alias("diff")))
+        # what cancels wholly leaves no cell, but lists that differ always leave some
+        tried = materialize(peel(cells, "width", ["row", "pair"], digests=digests), f"sketch-solved-{attempt}")
+        done.append(tried.where("left = 0").withColumnRenamed("found", "diff").select(*names))
         failed = tried.where("left > 0").select("row", "pair")
         if failed.isEmpty():
             break
-        todo = pairs.join(failed, ["row", "pair"], "left_semi")
+        todo = pairs.join(failed, ["row", "pair"], "left_semi").repartition(tasks, "row")
     else:
-        exact = F.size(F.array_except("a", "b")) + F.size(F.array_except("b", "a"))
-        done.append(todo.select("row", "pair", exact.cast("long").alias("diff")))
-    out = equal
-    for d in done:
+        only = [F.array_except("a", "b"), F.array_except("b", "a")]
+        exact = (F.size(only[0]) + F.size(only[1])).cast("long").alias("diff")
+        each = [F.transform(o, lambda k, s=s: F.struct(k.alias("digest"), F.lit(s).cast("long").alias("sign"))) for o, s in zip(only, (1, -1))]
+        done.append(todo.select("row", "pair", exact, *([F.concat(*each).alias("recovered")] if digests else [])))
+    out = done[0]
+    for d in done[1:]:
         out = out.unionByName(d)
     return out
 
 
-def _fingerprint_rows(texts: DataFrame) -> DataFrame:
-    """(row, fingerprint, edited_fingerprint): cell, count, digests and checks of the cells in use, hexadecimal."""
-    lists = texts.repartition("row").select("row", F.posexplode(F.array("keys", "edited_keys")).alias("which", "list"))
+def _first_comparison(df: DataFrame, tasks: int) -> DataFrame:
+    """(row, fingerprint, edited_fingerprint, left0, left1): both fingerprints (hexadecimal: cell, count,
+    digests and checks of the cells in use), and the cells left when that of the edited text and of the next
+    document are subtracted from the document's. NULL where no cell left over holds one digest, so that
+    peeling could not begin.
+    """
+    lists = df.repartition(tasks, "row").select("row", F.posexplode(F.array("keys", "edited_keys", "next_keys")).alias("which", "list"))
     each = lists.select("row", "which", F.explode("list").alias("key"), F.lit(1).cast("long").alias("sign"))
-    cells = sketch_cells(each, F.lit(CELLS), ["row", "which"])
-    shown = F.concat_ws(".", F.hex("n"), F.hex("keys"), F.hex("checks"))
-    text = lambda w: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(
-        F.col("which") == w, F.struct("cell", shown.alias("shown"))))), lambda x: F.concat_ws(":", x["cell"], x["shown"])), "-")
-    return cells.groupBy("row").agg(text(0).alias("fingerprint"), text(1).alias("edited_fingerprint"))
+    cells = sketch_cells(each, F.lit(CELLS).cast("long"), ["row", "which"])
+    to = lambda kind, sign: F.struct(F.lit(kind).alias("kind"), F.lit(sign).alias("sign"))
+    # kind 0 and 1: the fingerprints of the text and the edited text; 2 and 3: the subtractions
+    dealt = cells.select("row", "cell", "n", "keys", "checks", F.inline(
+        F.when(F.col("which") == 0, F.array(to(0, 1), to(2, 1), to(3, 1))).when(F.col("which") == 1, F.array(to(1, 1), to(2, -1))).otherwise(F.array(to(3, -1)))))
+    summed = dealt.groupBy("row", "kind", "cell").agg(F.sum(F.col("n") * F.col("sign")).alias("n"), F.bit_xor("keys").alias("keys"), F.bit_xor("checks").alias("checks"))
+    used = F.when((F.col("n") != 0) | (F.col("keys") != 0) | (F.col("checks") != 0), F.struct("cell", "n", "keys", "checks"))
+    kinds = summed.groupBy("row").agg(*[F.array_sort(F.collect_list(F.when(F.col("kind") == k, used))).cast(_CELL).alias(f"k{k}") for k in range(4)])
+
+    def shown(k):
+        return F.array_join(F.transform(F.col(k), lambda x: F.concat_ws(":", x["cell"], F.concat_ws(".", F.hex(x["n"]), F.hex(x["keys"]), F.hex(x["checks"])))), "-")
+
+    def left(k):
+        return F.when((F.size(k) == 0) | F.exists(k, lambda x: _pure(x["n"], x["keys"], x["checks"])), F.col(k))
+
+    return kinds.select("row", shown("k0").alias("fingerprint"), shown("k1").alias("edited_fingerprint"), left("k2").alias("left0"), left("k3").alias("left1"))
+
+
+def compared(df: DataFrame, tasks: int) -> tuple[DataFrame, DataFrame]:
+    """(row, fingerprint, edited_fingerprint) and (row, diff0, diff1) of rows (row, keys, edited_keys, next_keys)."""
+    first = materialize(_first_comparison(df, tasks), "fingerprint-first")
+    lefts = first.repartition(tasks, "row").select("row", F.inline(F.array(
+        *[F.struct(F.lit(i).alias("pair"), F.col(f"left{i}").alias("cells")) for i in (0, 1)]))).where(F.size("cells") > 0)
+    cells = lefts.select("row", "pair", F.lit(CELLS).cast("long").alias("width"), F.inline("cells"))
+    small = materialize(peel(cells, "width", ["row", "pair"]), "fingerprint-peeled")
+    by_row = small.where("left = 0").groupBy("row").agg(*[F.max(F.when(F.col("pair") == i, F.col("found"))).alias(f"found{i}") for i in (0, 1)])
+    state = df.select("row", *[F.size(c).alias(c) for c in ("keys", "edited_keys", "next_keys")]).join(
+        first.select("row", "left0", "left1"), "row", "left").join(by_row, "row", "left")
+    nothing = lambda i, other: (F.col("keys") == 0) & (F.col(other) == 0)
+    solved = materialize(state.select("row", *[
+        F.when(nothing(i, o) | (F.size(f"left{i}") == 0), F.lit(0).cast("long")).otherwise(F.col(f"found{i}")).alias(f"diff{i}")
+        for i, o in enumerate(("edited_keys", "next_keys"))]), "fingerprint-solved")
+    # larger sketches for the pairs that the fingerprints did not settle
+    todo = df.join(solved.where("diff0 is null or diff1 is null"), "row")
+    pairs = todo.select("row", F.inline(F.array(*[F.struct(F.lit(i).alias("pair"), F.col("keys").alias("a"), F.col(b).alias("b"), F.col(f"diff{i}").alias("known"))
+                                                  for i, b in enumerate(("edited_keys", "next_keys"))]))).where("known is null").drop("known")
+    larger = differences(pairs, tasks).groupBy("row").agg(*[F.max(F.when(F.col("pair") == i, F.col("diff"))).alias(f"larger{i}") for i in (0, 1)])
+    diffs = solved.join(larger, "row", "left").select("row", *[F.coalesce(f"diff{i}", f"larger{i}").alias(f"diff{i}") for i in (0, 1)])
+    return first.select("row", "fingerprint", "edited_fingerprint"), diffs
 
 
 def successors(keys: DataFrame) -> DataFrame:
@@ -185,36 +247,40 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", cu
     document for that order. Texts are shuffled once; of the next document only the piece that the edit
     needs and its digests travel.
     """
+    spark = docs.sparkSession
     whole = F.coalesce(col(text), F.lit(""))
     keyed = docs.select(col(doc_id).alias("doc_id"), whole.alias("text"), F.xxhash64(whole).alias("tie"))
-    keys = materialize(keyed.select("doc_id", "tie", F.length("text").cast("long").alias("n_chars")), "fingerprint-ids")
-    links = materialize(successors(keys), "fingerprint-links")
-    repeated = links.count() < keys.count()
-    side = links.select(F.col("doc_id").alias("l_id"), F.col("tie").alias("l_tie"), "prior_id", "prior_tie", "prior_chars").hint("shuffle_hash")
-    rows = keyed.join(side, F.col("doc_id").eqNullSafe(F.col("l_id")) & (F.col("tie") == F.col("l_tie")))
-    rows = rows.select("doc_id", "tie", "text", "prior_id", "prior_tie", "prior_chars")
+    own = materialize(keyed.select("doc_id", "tie", F.length("text").cast("long").alias("n_chars"), digests(F.col("text"), cut).alias("keys")), "fingerprint-own")
+    n_rows, n_digests = own.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_digests // TASK_DIGESTS))
+    links = materialize(successors(own.select("doc_id", "tie", "n_chars")), "fingerprint-links")
+    repeated = links.count() < n_rows
+    same = lambda a, b: F.col(a).eqNullSafe(F.col(b)) & (F.col(a.replace("id", "tie")) == F.col(b.replace("id", "tie")))
+    keys = own.select(F.col("doc_id").alias("k_id"), F.col("tie").alias("k_tie"), "keys")
+    side = links.withColumnsRenamed({"doc_id": "l_id", "tie": "l_tie"}).join(keys.dropDuplicates(["k_id", "k_tie"]) if repeated else keys, same("l_id", "k_id"))
+    side = side.select("l_id", "l_tie", "prior_id", "prior_tie", "prior_chars", "keys").hint("shuffle_hash")
+    rows = keyed.withColumnsRenamed({"doc_id": "d_id", "tie": "d_tie"}).join(side, same("d_id", "l_id"))
+    rows = rows.select("d_id", "d_tie", "text", "prior_id", "prior_tie", "prior_chars", "keys")
     third = F.floor(F.col("prior_chars") / 3).cast("int")
     heads = rows.select(F.col("prior_id").alias("h_id"), F.col("prior_tie").alias("h_tie"),
-                        F.substring("text", F.lit(1), third).alias("head"), digests(F.col("text"), cut).alias("next_keys"))
+                        F.substring("text", F.lit(1), third).alias("head"), F.col("keys").alias("next_keys"))
     if repeated:
         heads = heads.dropDuplicates(["h_id", "h_tie"])
-    rows = rows.join(heads.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("tie") == F.col("h_tie")))
+    rows = rows.join(heads.hint("shuffle_hash"), same("d_id", "h_id"))
     n = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), n - F.floor(n / 3).cast("int")), F.col("head"))
-    df = rows.select("doc_id", n.cast("long").alias("n_chars"), digests(F.col("text"), cut).alias("keys"), edited.alias("edited"), "next_keys")
+    df = rows.select(F.col("d_id").alias("doc_id"), n.cast("long").alias("n_chars"), "keys", edited.alias("edited"), "next_keys")
     df = df.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                    "keys", digests(F.col("edited"), cut).alias("edited_keys"), "next_keys")
     df = materialize(df, "fingerprint-digests")  # row numbers must not change
-    pairs = df.repartition("row").select("row", F.inline(F.array(*[F.struct(F.lit(i).alias("pair"), F.col("keys").alias("a"), F.col(b).alias("b"))
-                                                for i, b in enumerate(("edited_keys", "next_keys"))])))
-    found = differences(pairs).groupBy("row").agg(*[F.max(F.when(F.col("pair") == i, F.col("diff"))).alias(f"diff{i}") for i in (0, 1)])
+    prints, diffs = compared(df, tasks)
 
     def like(other, diff):
         both = F.col("n_keys") + F.col(f"n_{other}")
         return F.when(both == 0, F.lit(1.0)).otherwise((both - F.col(diff)) / (both + F.col(diff))).cast("double")
 
     sizes = df.select("row", "doc_id", "n_chars", "edited_sha256", *[F.size(k).alias(f"n_{k}") for k in ("keys", "edited_keys", "next_keys")])
-    out = sizes.join(found, "row").join(_fingerprint_rows(df), "row", "left")
+    out = sizes.join(diffs, "row").join(prints, "row", "left")
     return out.select("doc_id", "n_chars", "edited_sha256", F.coalesce("fingerprint", F.lit("")).alias("fingerprint"),
                       F.coalesce("edited_fingerprint", F.lit("")).alias("edited_fingerprint"),
                       like("edited_keys", "diff0").alias("near_edited"), like("next_keys", "diff1").alias("near_next"))

@@ -143,16 +143,37 @@ def pieces(t):
     return {p for line in t.split("\n") for p in (line[a:a + sketches.PIECE] for a in range(0, len(line), sketches.PIECE))}
 
 
-def jaccard(a, b):
-    a, b = pieces(a), pieces(b)
-    return len(a & b) / len(a | b) if a | b else 1.0
+def brute_passages(t):
+    """The content cuts in plain Python: after sentence ends, in long stretches after spaces, rare letters and such."""
+    import re
+    ends, more = set(sketches.ENDS), re.compile(f"[{sketches.LONG_ENDS}]")
+    out = set()
+    for line in t.split("\n"):
+        at = 0
+        while at < len(line):
+            stop = next((i for i in range(at, min(at + sketches.LONGEST, len(line))) if line[i] in ends), None)
+            if stop is not None:
+                to = stop + 1
+                while to < len(line) and line[to] in ends:
+                    to += 1
+            else:
+                high = min(at + sketches.LONGEST - 1, len(line))
+                to = next((i for i in range(at + sketches.LONG, high + 1) if more.match(line[i - 1]) and not set(line[at:i]) & ends), None)
+                to = to or min(at + sketches.LONGEST, len(line))
+            out.add(line[at:to])
+            at = to
+    return out
+
 
+def check_fingerprints(docs, cut=sketches.paragraphs, pieces=pieces):
+    def jaccard(a, b):
+        a, b = pieces(a), pieces(b)
+        return len(a & b) / len(a | b) if a | b else 1.0
 
-def check_fingerprints(docs):
     rows = rows_of(docs)
     want = brute_fingerprints(rows)
     by_id = {i: (t, *want[(i, t)]) for i, t in want}
-    got = sketches.fingerprints(docs).collect()
+    got = sketches.fingerprints(docs, cut=cut).collect()
     assert len(got) == len(rows)
     prints = defaultdict(set)
     for r in got:
@@ -179,6 +200,35 @@ def test_fingerprints_edges(make_docs):
 
 def test_fingerprints_table(sf_docs):
     check_fingerprints(sf_docs)
+    check_fingerprints(sf_docs, sketches.passages, brute_passages)
+
+
+def test_fingerprints_retry_larger(make_docs, monkeypatch):
+    """Differences of every size: settled by the fingerprints, by a larger sketch, by the largest, by the lists."""
+    lines = [f"line {i} of it" for i in range(900)]
+    rows = [(i, "\n".join(lines[:600 - d] + lines[600:600 + d])) for i, d in enumerate((0, 1, 1, 3, 8, 40, 250, 300, 0))]
+    check_fingerprints(make_docs(rows))
+    check_fingerprints(make_docs(rows), sketches.passages, brute_passages)
+    calls = []
+    real = sketches.peel
+    monkeypatch.setattr(sketches, "peel", lambda cells, *a, **k: (calls.append(1), real(cells, *a, rounds=1, **k))[1])
+    check_fingerprints(make_docs(rows))  # one round peels too little: every step up to the lists is taken
+    assert len(calls) == 3
+
+
+def test_recovered_digests(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(30):
+        both = [rng.getrandbits(63) for _ in range(rng.choice([0, 3, 200]))]
+        a, b = ([rng.getrandbits(63) for _ in range(rng.choice([0, 1, 5, 60]))] for _ in "ab")
+        rows.append((i, i % 2, sorted(both + a), sorted(both + b)))
+    pairs = spark.createDataFrame(rows, "row long, pair int, a array<long>, b array<long>")
+    got = {(r.row, r.pair): (r.diff, {(x.digest, x.sign) for x in r.recovered}) for r in sketches.differences(pairs, 3, digests=True).collect()}
+    want = {(i, p): (len(set(a) ^ set(b)), {(k, 1) for k in set(a) - set(b)} | {(k, -1) for k in set(b) - set(a)}) for i, p, a, b in rows}
+    assert got == want
+    counts = {(r.row, r.pair): r.diff for r in sketches.differences(pairs, 3).collect()}
+    assert counts == {k: n for k, (n, _) in want.items()}
 
 
 def test_passages_survive_edits(spark, make_docs):
