@@ -7,9 +7,17 @@ counts as empty. All helpers work on one Arrow batch at a time: memory is bounde
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim  # noqa: B018 - other C libraries lack it
+except (OSError, AttributeError):
+    _LIBC = None
+
 # Odd multiplier of the polynomial hashes modulo 2**64 (golden ratio constant, fixed value).
 MULTIPLIER = 0x9E3779B97F4A7C15
 
@@ -140,11 +148,21 @@ def slices(batch: pa.RecordBatch, sizes: np.ndarray, most: int):
 
 
 def text_slices(batches, column: str, most: int = 4 << 20):
-    """The batches of a task, cut so that numpy's working arrays stay small."""
-    for batch in batches:
-        if isinstance(batch, pa.Table):
-            batch = batch.combine_chunks().to_batches()[0] if len(batch) else None
-        if batch is None or not len(batch):
-            continue
-        _, offsets = text_bytes(batch.column(column))
-        yield from slices(batch, np.diff(offsets), most)
+    """The batches of a task, cut so that numpy's working arrays stay small; what was freed goes back at the end."""
+    try:
+        for batch in batches:
+            if isinstance(batch, pa.Table):
+                batch = batch.combine_chunks().to_batches()[0] if len(batch) else None
+            if batch is None or not len(batch):
+                continue
+            _, offsets = text_bytes(batch.column(column))
+            yield from slices(batch, np.diff(offsets), most)
+    finally:
+        release()
+
+
+def release() -> None:
+    """Give freed memory back to the system: Python workers live on and serve later stages."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
