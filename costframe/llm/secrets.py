@@ -3,7 +3,9 @@
 Every version of every document is content-addressed (SHA-256 of its whole text). The ledger has one
 row per (blob, kind, rule_version) that was scanned, with the spans found, also when there are none.
 A scan reads only the pairs that the ledger lacks: a copy of a known text, or a known text under an
-unchanged rule, is never scanned again. Findings join back to every path (row) of the blob.
+unchanged rule, is never scanned again. Findings join back to every path (row) of the blob. The registered
+query scans the table as it would have come in: the older documents first, then the whole table against
+the ledger of these.
 
 Positions come from built-in functions: splitting a text at its matches gives the gaps, extracting
 gives the matches, and running sums of their lengths are the offsets in code points.
@@ -55,26 +57,46 @@ def _may_match(text: Column, rule: Rule) -> Column:
     return out | text.rlike(rule.hint_pattern) if rule.hint_pattern else out
 
 
+#: Matches whose places are summed together; blocks of them are summed again, so a text's work grows with its matches.
+BLOCK = 256
+_PART = "array<struct<gap:bigint,whole:bigint,value:bigint>>"
+
+
 def spans(text: Column, rule: Rule, number: int) -> Column:
     """Spans (code points, end exclusive) of the rule's valid matches in a text."""
     gaps = F.split(text, rule.pattern, -1)
     whole = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
-    parts = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(whole)).alias("gap"), whole.alias("whole"), value.alias("value"))
-    none = F.lit(None).cast(_SPAN)
-    empty = F.coalesce(none, F.array().cast(_SPAN))
-    start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("found"))
+    sizes = lambda c: F.transform(c, lambda x: F.length(x).cast("long"))
+    parts = F.arrays_zip(F.slice(sizes(gaps), F.lit(1), F.size(whole)).alias("gap"), sizes(whole).alias("whole"), sizes(value).alias("value")).cast(_PART)
+    none = F.coalesce(F.lit(None).cast(_SPAN), F.array().cast(_SPAN))
+    zero = F.lit(0).cast("long")
 
     def step(acc, x):
-        begin = acc["at"] + F.length(x["gap"])
-        end = begin + F.length(x["whole"])
-        one = F.struct(F.lit(number).alias("kind_no"), F.lit(rule.kind).alias("kind"),
-                       begin.cast("long").alias("start"), end.cast("long").alias("end"))
-        more = F.when(F.length(x["value"]) >= rule.least, F.array_append(acc["found"], one)).otherwise(acc["found"])
-        return F.struct(end.cast("long").alias("at"), more.cast(_SPAN).alias("found"))
+        begin = acc["at"] + x["gap"]
+        end = begin + x["whole"]
+        one = F.struct(F.lit(number).alias("kind_no"), F.lit(rule.kind).alias("kind"), begin.alias("start"), end.alias("end"))
+        more = F.when(x["value"] >= rule.least, F.array_append(acc["found"], one)).otherwise(acc["found"])
+        return F.struct(end.alias("at"), more.cast(_SPAN).alias("found"))
+
+    def inside(block):
+        return F.aggregate(block["parts"], F.struct(block["at"].alias("at"), none.alias("found")), step, lambda acc: acc["found"])
+
+    def place(acc, block):  # blocks with the place where each begins
+        after = acc["at"] + F.aggregate(block, zero, lambda n, x: n + x["gap"] + x["whole"])
+        placed = F.array_append(acc["placed"], F.struct(acc["at"].alias("at"), block.alias("parts")))
+        return F.struct(after.alias("at"), placed.alias("placed"))
+
+    start = F.struct(zero.alias("at"), F.array().cast(f"array<struct<at:bigint,parts:{_PART}>>").alias("placed"))
 
-    found = F.aggregate(parts, start, step, lambda acc: acc["found"])
-    return F.when(_may_match(text, rule), found).otherwise(empty)
+    def found(parts):
+        blocks = F.transform(F.sequence(F.lit(1), F.size(parts), F.lit(BLOCK)), lambda i: F.slice(parts, i, F.lit(BLOCK)))
+        many = F.flatten(F.transform(F.aggregate(blocks, start, place, lambda acc: acc["placed"]), inside))
+        few = F.aggregate(parts, F.struct(zero.alias("at"), none.alias("found")), step, lambda acc: acc["found"])
+        return F.when(F.size(parts) <= BLOCK, few).otherwise(many)
+
+    all_found = F.get(F.transform(F.array(parts), found), F.lit(0))  # the matches are taken out once
+    return F.when(_may_match(text, rule), all_found).otherwise(none)
 
 
 def _pair(rule: Rule) -> Column:
@@ -124,10 +146,24 @@ def spans_text(found: Column) -> Column:
     return F.array_join(F.transform(order, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def scan_in_steps(deliveries: list[DataFrame], rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The ledger after several deliveries of documents, each scanned against the ledger of those before."""
+    ledger = None
+    for docs in deliveries:
+        new = materialize(scan_unseen(docs, ledger, rules), "secret-ledger")
+        ledger = new if ledger is None else ledger.unionByName(new)
+    return ledger
+
+
 def scan_report(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """Scan what `ledger` lacks, add it, and give every document its counts and spans."""
     new = materialize(scan_unseen(docs, ledger), "secret-ledger")
     whole = new if ledger is None else ledger.unionByName(new)
+    return report(docs, whole)
+
+
+def report(docs: DataFrame, whole: DataFrame) -> DataFrame:
+    """Counts and spans of every document by a ledger that has all its blobs."""
     rows = findings_by_path(docs, whole)
     count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     text = spans_text(F.col("found"))
