@@ -118,6 +118,26 @@ def test_jaccard(make_docs, n, percent):
         assert len(ids) == len(set(ids)) and set(ids) == {g for g in groups if not isinstance(g, tuple) and g not in (None, 6)}
 
 
+@pytest.mark.parametrize("chunk, elections", [(4, 1), (4, 3), (256, 2)])
+def test_jaccard_large_groups(make_docs, monkeypatch, chunk, elections):
+    """Groups over the chunk size: near copies of one text, parts that only some members join, members of no part."""
+    monkeypatch.setattr(jaccard_join, "CHUNK", chunk)
+    monkeypatch.setattr(jaccard_join, "ELECTIONS", elections)
+    monkeypatch.setattr(jaccard_join, "HOT", 5)
+    rng = random.Random(chunk + elections)
+    line = [f"common{i}" for i in range(30)]  # a passage that all share, so that its shingles are in hot lists
+    rows = []
+    for g in range(4):
+        own = [f"g{g}w{i}" for i in range(150)]
+        for i in range(40):  # each is a step away from the one before: the first and the last do not link
+            own = list(own)
+            own[(7 * i) % 150] = f"g{g}x{i}"
+            rows.append((1000 * g + i, " ".join(own + line)))
+    rows += [(9000 + i, " ".join([f"alone{i}w{j}" for j in range(rng.randrange(3, 60))] + line)) for i in range(30)]
+    docs = make_docs(rows)
+    assert spread(jaccard_join.component_report(docs).collect()) == brute.components(rows_of(docs))
+
+
 def test_jaccard_empty(make_docs):
     assert jaccard_join.component_report(make_docs([])).count() == 0
     assert jaccard_join.one_of_each(make_docs([(1, "a"), (2, None)])).count() == 2
