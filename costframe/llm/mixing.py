@@ -4,7 +4,7 @@ DataFrame functions only. Every source's documents are put into a random order b
 into blocks: a block is the set of documents whose hash starts with the same bits. A source's target
 says how many whole passes over its blocks and how many blocks of one more pass the mix takes; the
 block at the edge is cut between two documents (a second level of blocks finds the place, so no task
-sorts more than 1/2**20 of a source).
+sorts more than 1/2**20 of a source). Documents after the cut that still fit fill what it leaves open.
 
 The block draws of all sources are the quotas at the root of a tree over the output shards. Each node
 splits its quotas between its two halves by a multivariate-hypergeometric draw: the halves get their
@@ -191,6 +191,8 @@ def plan_mix(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", sou
               .unionByName(edge.where("part_state <> 1").select(*names, (F.col("part_state") == 2).alias("last")))
               .unionByName(cut.select(*names, "last")))
 
+    chosen = _filled(chosen, ranked, targets)
+
     # the tree: draws of a source = whole passes over its blocks, then the blocks of the last pass
     per_source = ranked.groupBy("source").agg(F.count(F.lit(1)).alias("blocks"), F.max("passes").alias("passes"),
                                               F.count(F.when(F.col("state") > 0, 1)).alias("more"))
@@ -209,10 +211,76 @@ def plan_mix(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", sou
     shard_of = lambda draw: F.size(F.filter("ends", lambda e: e <= draw)).cast("int")
     return out.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), F.col("place").alias("order"),
-        F.when(copies > 0, F.transform(F.sequence(F.lit(0).cast("long"), copies - 1), lambda p: shard_of(p * F.col("blocks") + F.col("number"))))
+        F.when(copies > 0, F.transform(F.sequence(F.lit(0).cast("long"), copies - 1), lambda p: shard_of(
+            p * F.col("blocks") + F.when(p == F.col("passes"), F.col("last_number")).otherwise(F.col("number")))))
         .otherwise(F.array().cast("array<int>")).alias("shards"))
 
 
+def _filled(chosen: DataFrame, ranked: DataFrame, targets: DataFrame) -> DataFrame:
+    """`chosen` with other documents of the last pass where the cut leaves room, and `last_number`.
+
+    The cut stops at the first document that does not fit. Of those after it, the largest that still fit are
+    added, one of each size at most: one fold over the source's distinct sizes below the room. Then one
+    document that is in gives way to a larger one that is not, the pair that leaves the least room. Both
+    work on the distinct sizes of a source (no more than the words of its longest document), found by one
+    aggregation each. What is added counts as part of the block at the edge.
+    """
+    chosen = materialize(chosen.withColumn("last_number", F.col("number")), "mix-chosen")
+    edges = ranked.where("state = 1").select(F.col("source").alias("e"), F.col("number").alias("edge"))
+    rest = targets.select(F.col("source").alias("t"), "rest").join(edges, F.col("t").eqNullSafe(F.col("e"))).drop("e")
+    filled = materialize(_flipped(chosen, _fits(chosen, _room(chosen, rest)), rest), "mix-filled")
+    return _flipped(filled, _swaps(filled, _room(filled, rest)), rest)
+
+
+def _room(rows: DataFrame, rest: DataFrame) -> DataFrame:
+    """(t, room): words of each source's last pass that are still open."""
+    taken = rows.groupBy("source").agg(F.coalesce(F.sum(F.when(F.col("last"), F.col("size"))), F.lit(0)).alias("so_far"))
+    room = rest.join(taken, F.col("t").eqNullSafe(F.col("source"))).select("t", (F.col("rest") - F.col("so_far")).alias("room"))
+    return materialize(room.where("room >= 1"), "mix-room")
+
+
+def _firsts(rows: DataFrame, room: DataFrame) -> DataFrame:
+    """(t, room, last, size, place): the first place of each size, in and out of the mix, of sources with room."""
+    near = rows.where("size > 0").join(broadcast_if_small(room), F.col("source").eqNullSafe(F.col("t")))
+    return near.groupBy("t", "room", "last", "size").agg(F.min("place").alias("place"))
+
+
+def _fits(rows: DataFrame, room: DataFrame) -> DataFrame:
+    """(t, s, p, flip): documents to add, the largest that fit first."""
+    firsts = materialize(_firsts(rows.where("not last"), room).where("size <= room"), "mix-firsts")
+    fits = firsts.groupBy("t").agg(F.sort_array(F.collect_list(F.struct("size", "place")), asc=False).alias("sizes"), F.first("room").alias("room"))
+    item = "array<struct<size:bigint,place:string>>"
+    picks = F.aggregate("sizes", F.struct(F.col("room").alias("room"), F.array().cast(item).alias("picked")), lambda a, x: F.when(
+        x["size"] <= a["room"], F.struct((a["room"] - x["size"]).alias("room"), F.array_append(a["picked"], x).cast(item).alias("picked"))).otherwise(a), lambda a: a["picked"])
+    return fits.select("t", F.inline(picks).alias("s", "p"), F.lit(True).alias("flip"))
+
+
+def _swaps(rows: DataFrame, room: DataFrame) -> DataFrame:
+    """(t, s, p, flip): of each source one document to leave out and a larger one to add instead."""
+    at = F.col("size") + F.when(F.col("last"), F.col("room")).otherwise(0.0)  # what may stand in for it
+    doc = F.struct("size", "place")
+    by = Window.partitionBy("t").orderBy("at", "last").rowsBetween(Window.unboundedPreceding, 0)
+    seen = _firsts(rows, room).withColumn("at", at).withColumn("most", F.last(F.when(~F.col("last"), doc), ignorenulls=True).over(by))
+    gain = F.col("most.size") - F.col("size")
+    best = seen.where(F.col("last") & (gain > 0)).groupBy("t").agg(F.max(F.struct(gain.alias("gain"), doc.alias("out"), F.col("most").alias("into"))).alias("best"))
+    return best.select("t", F.inline(F.array(F.struct(F.col("best.out.size").alias("s"), F.col("best.out.place").alias("p"), F.lit(False).alias("flip")),
+                                             F.struct(F.col("best.into.size").alias("s"), F.col("best.into.place").alias("p"), F.lit(True).alias("flip")))))
+
+
+def _flipped(rows: DataFrame, picks: DataFrame, rest: DataFrame) -> DataFrame:
+    """`rows` with `last` turned to `flip` for the picked places, for one row where several are equal."""
+    picked = broadcast_if_small(materialize(picks, "mix-picked"))
+    marked = rows.join(picked, F.col("source").eqNullSafe(F.col("t")) & (F.col("size") == F.col("s")) & (F.col("place") == F.col("p"))
+                       & (F.col("last") != F.col("flip")), "left").drop("t", "s", "p")
+    names = ["doc_id", "source", "size", "place", "number"]
+    nth = F.row_number().over(Window.partitionBy("source", "place", "last").orderBy(F.col("doc_id").asc_nulls_last()))
+    more = marked.where("flip is not null").withColumn("turned", nth == 1).join(
+        broadcast_if_small(rest.select("t", "edge")), F.col("source").eqNullSafe(F.col("t")))
+    return marked.where("flip is null").select(*names, "last", "last_number").unionByName(more.select(
+        *names, F.when(F.col("turned"), F.col("flip")).otherwise(F.col("last")).alias("last"),
+        F.when(F.col("turned") & F.col("flip"), F.col("edge")).otherwise(F.col("last_number")).alias("last_number")))
+
+
 def _place(doc_id: Column, whole_text: Column, source: Column, seed: str) -> Column:
     """The document's place in the random order of its source."""
     return F.md5(F.concat_ws("|", F.lit(seed), doc_id.cast("string"), F.xxhash64(whole_text).cast("string"), source.cast("string")))

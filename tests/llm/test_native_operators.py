@@ -319,6 +319,20 @@ def test_mix_edges(make_docs):
     check_mix(make_docs([]))
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_mix_comes_near_its_targets(spark, sf):
+    plan = queries.op1_source_mix(spark, f"/root/testdata/{sf}").join(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "source"), "doc_id")
+    per = plan.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max(F.expr("taken / size")).alias("times")).collect()
+    assert max(abs(r.taken / r.target - 1) for r in per) < 0.01 and max(r.times for r in per) <= 3
+
+
+def test_mix_fills_with_one_of_equal_rows(make_docs):
+    """After the cut the largest that fit are added; of rows equal in all columns one, not all."""
+    rng = random.Random(12)
+    rows = [(i % 7, "w " * (1 + i % 5), "a") for i in range(60)] + [(100 + i, "w " * rng.randrange(1, 90), "b") for i in range(40)] + [(500, "w " * 2000, "b"), (None, "w w", None)]
+    check_mix(make_docs(rows), rerun=True)
+
+
 def test_mix_table(sf_docs):
     check_mix(sf_docs, shards=5, rerun=True)
 
