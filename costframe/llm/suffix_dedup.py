@@ -8,14 +8,16 @@ two. The corpus is cut into pieces that a suffix array of bounded size can hold:
    anchors selected once in the corpus are dropped; they are found by a count with partial sums.
 2. Consecutive windows with one anchor form a fragment. Fragments of repeated anchors travel packed to
    the bucket of their anchor, where equal fragments are folded into one.
-3. In a bucket, suffixes that start a window are sorted by prefix doubling up to `least` bytes. In that
-   order, neighbours that agree in all `least` bytes form a run; a position has a longest previous
-   factor of `least` or more just when a smaller position precedes or follows it in its run (previous
-   and next smaller position). `keep="first"` removes those later copies and keeps the first;
-   `keep="none"` also removes the first one, of which a later factor exists.
+3. In a bucket, suffixes that start a window are sorted by prefix doubling up to `least` bytes, and the
+   ranks of the doubling steps give the common prefix of neighbours (capped at `least`). A position's
+   longest previous factor is the longer of its common prefixes with the previous and the next smaller
+   position in suffix order; all are found at once by pointer jumping that carries the shortest common
+   prefix on the way. Where it is `least` or more, the window is a later copy. The mirrored array, the
+   longest following factor (previous and next greater position), tells the first copies.
+   `keep="first"` removes the later copies; `keep="none"` the first ones too.
 
 The result is word for word what one suffix array over the whole corpus gives for matches of `least`
-bytes. A hot anchor (more than `hot` places: at most n / hot of them) is not gathered in a bucket:
+bytes. A hot anchor (more than `hot` places, whatever the size of the corpus) is not gathered in a bucket:
 its windows are grouped one by one by 128-bit hash with partial aggregation, and joined back by a join
 that adaptive execution splits.
 
@@ -40,7 +42,7 @@ from costframe.llm.common import col, materialize
 
 LEAST, ANCHOR = 200, 24
 BUCKET_BYTES = 6 << 20
-HOT = 1 << 18
+HOT = 1 << 16
 PACKED_MOST = 1 << 22  # bytes of fragments that one step of a task gathers
 
 
@@ -136,10 +138,11 @@ def _pack(least: int, anchor: int, n_buckets: int):
     return pack
 
 
-def suffix_ranks(data: np.ndarray, least: int) -> np.ndarray:
-    """Rank of every position by the order of its next `least` bytes (equal bytes: equal rank)."""
+def suffix_ranks(data: np.ndarray, least: int) -> list[tuple[int, np.ndarray]]:
+    """(size, rank of every position by the order of its next `size` bytes) at each step of prefix doubling,
+    up to `least` bytes; equal bytes have equal ranks."""
     _, rank = np.unique(_loads(data, ">u8"), return_inverse=True)
-    size = 8
+    size, levels = 8, [(8, rank.astype(np.int32))]
     while size < least:
         step = min(size, least - size)
         ahead = np.zeros(len(rank), np.uint64)
@@ -150,21 +153,62 @@ def suffix_ranks(data: np.ndarray, least: int) -> np.ndarray:
         rank = np.empty(len(key), np.int64)
         rank[order] = np.cumsum(np.concatenate([[0], ranked[1:] != ranked[:-1]]))
         size += step
-    return rank
+        levels.append((size, rank.astype(np.int32)))
+    return levels
 
 
-def previous_factors(run: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """In suffix order: whether a smaller place precedes or follows in the same run (so LPF >= least)."""
-    def smaller_before(run, place):
-        gap = int(place.max()) + 1 if len(place) else 1
-        level = place - run * gap  # later runs lie lower: the running minimum starts anew in each
-        low = np.minimum.accumulate(level)
-        out = np.zeros(len(place), bool)
-        out[1:] = (low[:-1] < level[1:]) & (run[1:] == run[:-1])
-        return out
+def common_prefixes(data: np.ndarray, levels: list, least: int, at: np.ndarray) -> np.ndarray:
+    """Common prefix (at most `least`) of each position of `at` with the one before it; 0 for the first.
 
-    back = run.max() - run[::-1] if len(run) else run
-    return smaller_before(run, place) | smaller_before(back, place[::-1])[::-1]
+    Every position of `at` has `least` bytes after it.
+    """
+    out = np.zeros(len(at), np.int32)
+    if len(at) < 2:
+        return out
+    same = levels[-1][1][at[1:]] == levels[-1][1][at[:-1]]
+    out[1:][same] = least
+    a, b = at[:-1][~same], at[1:][~same]
+    size = np.zeros(len(a), np.int64)
+    for step, rank in reversed(levels[:-1]):
+        fits = size + step <= least
+        equal = fits & (rank[np.minimum(a + size, len(rank) - 1)] == rank[np.minimum(b + size, len(rank) - 1)])
+        size[equal] += step
+    loads = _loads(data, "<u8")
+    differ = loads[np.minimum(a + size, len(data) - 1)] ^ loads[np.minimum(b + size, len(data) - 1)]
+    lowest = differ & (~differ + np.uint64(1))
+    more = np.where(differ == 0, 8, np.log2(np.maximum(lowest, np.uint64(1)).astype(np.float64)).astype(np.int64) // 8)
+    out[1:][~same] = np.minimum(size + more, least)
+    return out
+
+
+def _nearest_smaller(place: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Common prefix of each suffix with the nearest one before it (in suffix order) whose place is smaller (0: none).
+
+    Pointers start at the neighbour; one whose place is greater hands on its own pointer and the shortest
+    common prefix up to there.
+    """
+    point, shortest = np.arange(-1, len(place) - 1), common.copy()
+    open_ones = np.arange(1, len(place))
+    while len(open_ones):
+        to = point[open_ones]
+        open_ones = open_ones[(to >= 0) & (shortest[open_ones] > 0) & (place[np.maximum(to, 0)] > place[open_ones])]
+        to = point[open_ones]
+        new_point, new_shortest = point[to], np.minimum(shortest[open_ones], shortest[to])
+        point[open_ones], shortest[open_ones] = new_point, new_shortest
+    shortest[point < 0] = 0
+    return shortest
+
+
+def previous_factors(place: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Longest previous factor of each suffix, in suffix order: the longest common prefix with a smaller place;
+    `common`: with the suffix before."""
+    back = np.concatenate([[0], common[:0:-1]]).astype(common.dtype) if len(common) else common
+    return np.maximum(_nearest_smaller(place, common), _nearest_smaller(place[::-1], back)[::-1])
+
+
+def following_factors(place: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The mirrored array: the longest common prefix with a greater place."""
+    return previous_factors(-place, common)
 
 
 def _copies(least: int, keep: str):
@@ -187,17 +231,18 @@ def _copies(least: int, keep: str):
         n = sizes[head] - least + 1
         piece = np.repeat(np.arange(len(head)), n)
         nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        rank = suffix_ranks(text, least)[base[piece] + nth]
+        levels = suffix_ranks(text, least)
+        starts = base[piece] + nth
         by_place = np.empty(len(head), np.int64)
         by_place[np.lexsort((at[head], tie[head], doc[head]))] = np.arange(len(head))
         start = np.cumsum(n[np.argsort(by_place)]) - n[np.argsort(by_place)]
         place = start[by_place[piece]] + nth  # windows numbered by document and position
-        suffixes = np.lexsort((place, rank))
-        run = np.cumsum(np.concatenate([[0], rank[suffixes][1:] != rank[suffixes][:-1]])) if len(rank) else rank
+        suffixes = np.lexsort((place, levels[-1][1][starts]))
+        common = common_prefixes(text, levels, least, starts[suffixes])
         found = np.zeros(len(place), bool)
-        found[suffixes] = previous_factors(run, place[suffixes])
-        if keep == "none":  # the first place of a run goes too when the run has another
-            found[suffixes] |= np.bincount(run)[run] > 1 if len(run) else False
+        found[suffixes] = previous_factors(place[suffixes], common) >= least
+        if keep == "none":  # first copies too; a folded fragment is its own copy
+            found[suffixes] |= following_factors(place[suffixes], common) >= least
             found |= times[piece] > 1
         windows = np.flatnonzero(found)
         cut = np.ones(len(windows), bool)
@@ -216,11 +261,11 @@ def _copies(least: int, keep: str):
     return find
 
 
-def _hot_windows(least: int, anchor: int, hot: np.ndarray):
+def _hot_windows(least: int, anchor: int):
     """(w1, w2, doc_id, tie, at) of every window whose anchor is hot."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.text_slices(batches, "text", 1 << 20):
-            data, offsets, begin, last, row, _ = _fragments(batch, least, anchor, hot)
+            data, offsets, begin, last, row, _ = _fragments(batch, least, anchor, _flat(batch, "anchors"))
             n = last - begin + 1
             if not len(n):
                 continue
@@ -233,8 +278,9 @@ def _hot_windows(least: int, anchor: int, hot: np.ndarray):
     return emit
 
 
-def _hot_spans(base: DataFrame, least: int, anchor: int, hot: np.ndarray, keep: str) -> DataFrame:
-    windows = base.mapInArrow(_hot_windows(least, anchor, hot), "w1 long, w2 long, doc_id long, tie long, at int")
+def _hot_spans(rows: DataFrame, least: int, anchor: int, keep: str) -> DataFrame:
+    """Spans of the windows of hot anchors; `rows`: the documents that have some, with these."""
+    windows = rows.mapInArrow(_hot_windows(least, anchor), "w1 long, w2 long, doc_id long, tie long, at int")
     place = F.struct("doc_id", "tie", "at")
     owners = windows.groupBy("w1", "w2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     again = windows.join(owners, ["w1", "w2"])
@@ -255,15 +301,18 @@ def repeated_bytes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     selected = materialize(base.mapInArrow(_anchors(least, anchor), "anchor long, doc_id long, tie long, n long"), "suffix-anchors")
     counts = materialize(selected.groupBy("anchor").agg(F.sum("n").alias("times")).where("times > 1"), "suffix-repeated")
     total = counts.agg(F.sum("times")).first()[0] or 0
-    most = max(hot, total >> 12)  # so that at most 4096 anchors are hot
-    hot_anchors = np.array([r.anchor for r in counts.where(F.col("times") > most).collect()], np.int64).view(np.uint64)
     n_buckets = max(8, total * (2 * least - anchor) // bucket_bytes)
-    lists = selected.join(counts.where(F.col("times") <= most).select("anchor"), "anchor").groupBy(
-        F.col("doc_id").alias("s_id"), F.col("tie").alias("s_tie")).agg(F.collect_set("anchor").alias("anchors"))
-    rows = base.join(lists.hint("shuffle_hash"), (key == F.col("s_id")) & (F.col("tie") == F.col("s_tie"))).select("doc_id", "text", "tie", "anchors")
-    spans = rows.mapInArrow(_pack(least, anchor, n_buckets), B.SCHEMA).groupBy("bucket").applyInArrow(_copies(least, keep), B.SPANS)
-    if len(hot_anchors):
-        spans = spans.unionByName(_hot_spans(base, least, anchor, hot_anchors, keep))
+
+    def with_anchors(some: DataFrame) -> DataFrame:
+        """The documents that have some of these anchors, and which."""
+        lists = selected.join(some.select("anchor"), "anchor").groupBy(F.col("doc_id").alias("s_id"), F.col("tie").alias("s_tie")).agg(
+            F.collect_set("anchor").alias("anchors"))
+        return base.join(lists.hint("shuffle_hash"), (key == F.col("s_id")) & (F.col("tie") == F.col("s_tie"))).select("doc_id", "text", "tie", "anchors")
+
+    spans = with_anchors(counts.where(F.col("times") <= hot)).mapInArrow(_pack(least, anchor, n_buckets), B.SCHEMA).groupBy("bucket").applyInArrow(
+        _copies(least, keep), B.SPANS)
+    if not counts.where(F.col("times") > hot).isEmpty():
+        spans = spans.unionByName(_hot_spans(with_anchors(counts.where(F.col("times") > hot)), least, anchor, keep))
     return base, spans
 
 

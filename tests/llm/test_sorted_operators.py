@@ -73,11 +73,28 @@ def test_bytes_text_and_empty(make_docs):
 
 
 def test_previous_factors():
+    """The arrays against their definition, on texts with many repeats."""
     rng = np.random.default_rng(0)
-    run = np.sort(rng.integers(0, 12, 60))
-    place = rng.permutation(60)
-    want = [any(run[j] == run[i] and place[j] < place[i] for j in range(60)) for i in range(60)]
-    assert suffix_dedup.previous_factors(run, place).tolist() == want
+    for least, letters, n in ((16, 2, 120), (16, 3, 300), (24, 2, 200), (200, 2, 700)):
+        data = rng.integers(97, 97 + letters, n).astype(np.uint8)
+        data[n // 2:] = np.resize(data[:n // 5], n - n // 2)
+        at = np.arange(n - least + 1)
+        levels = suffix_dedup.suffix_ranks(data, least)
+        place = rng.permutation(len(at))
+        order = np.lexsort((place, levels[-1][1][at]))
+        common = suffix_dedup.common_prefixes(data, levels, least, at[order])
+
+        def prefix(i, j):
+            same = data[i:i + least] == data[j:j + least]
+            return least if same.all() else int(same.argmin())
+
+        assert common.tolist() == [0] + [prefix(i, j) for i, j in zip(order, order[1:])]
+        lpf = [max((prefix(i, j) for j in at if place[j] < place[i]), default=0) for i in at]
+        lff = [max((prefix(i, j) for j in at if place[j] > place[i]), default=0) for i in at]
+        assert suffix_dedup.previous_factors(place[order], common).tolist() == [lpf[i] for i in order]
+        assert suffix_dedup.following_factors(place[order], common).tolist() == [lff[i] for i in order]
+    for n in (0, 1):
+        assert suffix_dedup.previous_factors(np.arange(n), np.zeros(n, np.int32)).tolist() == [0] * n
 
 
 def near_copies(seed):
