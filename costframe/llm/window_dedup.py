@@ -8,9 +8,10 @@ doc_id of each, and windows of larger documents are marked. Marks go back to the
 spans; all words covered by a marked window are removed. Windows are judged on the input.
 
 Buckets are cut by size: their number follows the number of windows. A first pass counts the windows of
-2**14 cells of the minimiser hash. A cell that alone would outgrow a bucket (one hot minimiser) is not
-packed: its windows are grouped one by one, with partial aggregation before the shuffle and a join that
-adaptive execution splits, so no task gathers them.
+cells of the minimiser hash; the number of cells follows the size of the texts, so that a cell has
+`CELL_WINDOWS` windows at most on average, whatever the corpus. A cell far above that, which alone
+would outgrow a bucket (one hot minimiser), is not packed: its windows are grouped one by one, with partial
+aggregation before the shuffle and a join that adaptive execution splits, so no task gathers them.
 
 Words are hashed to 64 bits; windows of one bucket are equal when their 64-bit hashes are.
 
@@ -35,7 +36,10 @@ from costframe.llm.common import col
 
 WINDOW, GROUP = 13, 3
 BUCKET_WINDOWS = 1 << 20  # windows of a bucket, about
-CELLS = 1 << 14
+CELLS = 1 << 14  # at least
+CELL_WINDOWS = 1 << 16  # of an average cell, at most
+WORD_BYTES = 4  # of a word and its space, at least, on the average
+HELD_CELLS = 1 << 20
 HOT_WINDOWS = 1 << 21  # a cell with more windows than this is grouped window by window
 
 
@@ -60,23 +64,33 @@ def _tokens(batch: pa.RecordBatch):
     return data, starts, ends, rows, W.span_hashes(data, starts, ends)
 
 
-def _cell(mins: np.ndarray) -> np.ndarray:
-    return (mins >> np.uint64(20)).astype(np.int64) % CELLS
+def cells_for(n_bytes: int) -> int:
+    """Number of cells (a power of two) for texts of so many bytes."""
+    return max(CELLS, 1 << (n_bytes // (WORD_BYTES * CELL_WINDOWS)).bit_length())
 
 
-def _cell_counts(k: int, m: int):
+def _cell(mins: np.ndarray, cells: int) -> np.ndarray:
+    return (mins >> np.uint64(20)).astype(np.int64) % cells
+
+
+def _cell_counts(k: int, m: int, cells: int):
+    """(cell, n): windows of the cells that a task meets, added up while they are few."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(CELLS, np.int64)
+        cell, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in W.text_slices(batches, "text"):
             _, _, _, rows, hashes = _tokens(batch)
             first, last, _, mins = _super_kmers(hashes, rows, k, m)
-            cells += np.bincount(_cell(mins), last - first + 1, CELLS).astype(np.int64)
-        used = np.flatnonzero(cells)
-        yield pa.RecordBatch.from_pydict({"cell": used, "n": cells[used]})
+            cell, back = np.unique(np.concatenate([cell, _cell(mins, cells)]), return_inverse=True)
+            n = np.bincount(back, np.concatenate([n, last - first + 1]), len(cell)).astype(np.int64)
+            if len(cell) > HELD_CELLS:
+                yield pa.RecordBatch.from_pydict({"cell": cell, "n": n})
+                cell, n = cell[:0], n[:0]
+        if len(cell):
+            yield pa.RecordBatch.from_pydict({"cell": cell, "n": n})
     return count
 
 
-def _pack(k: int, m: int, n_buckets: int, hot: np.ndarray):
+def _pack(k: int, m: int, n_buckets: int, hot: np.ndarray, cells: int):
     """Super-k-mers of a task, packed by bucket."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = B.Packer()
@@ -84,7 +98,7 @@ def _pack(k: int, m: int, n_buckets: int, hot: np.ndarray):
             data, starts, ends, rows, hashes = _tokens(batch)
             first, last, row, mins = _super_kmers(hashes, rows, k, m)
             if len(hot):
-                keep = ~np.isin(_cell(mins), hot)
+                keep = ~np.isin(_cell(mins, cells), hot)
                 first, last, row, mins = first[keep], last[keep], row[keep], mins[keep]
             if not len(first):
                 continue
@@ -120,12 +134,12 @@ def _later_spans(k: int):
     return find
 
 
-def _hot_windows(k: int, m: int, hot: np.ndarray):
+def _hot_windows(k: int, m: int, hot: np.ndarray, cells: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.text_slices(batches, "text"):
             _, _, _, rows, hashes = _tokens(batch)
             first, last, row, mins = _super_kmers(hashes, rows, k, m)
-            keep = np.isin(_cell(mins), hot)
+            keep = np.isin(_cell(mins, cells), hot)
             first, last, row = first[keep], last[keep], row[keep]
             if not len(first):
                 continue
@@ -177,17 +191,20 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     In the spans a null id is buckets.NO_ID; `tie` tells rows of one id apart (0 where ids are unique).
     """
     base = docs.select(col(doc_id).cast("long").alias("doc_id"), col(text).alias("text"))
-    ids = base.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").limit(1)
-    tie = F.xxhash64("text") if ids.count() else F.lit(0).cast("long")
+    by_id = base.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    n_bytes, repeated = by_id.agg(F.sum("bytes"), F.max((F.col("n") > 1) | F.col("doc_id").isNull())).first()
+    cells = cells_for(n_bytes or 0)
+    tie = F.xxhash64("text") if repeated else F.lit(0).cast("long")
     base = base.withColumn("tie", tie)
-    counts = base.select("text").mapInArrow(_cell_counts(k, m), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    total, hot_cells = counts.agg(F.sum("n"), F.collect_list(F.when(F.col("n") > hot_windows, F.col("cell")))).first()  # at most CELLS
+    counts = base.select("text").mapInArrow(_cell_counts(k, m, cells), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    # hot cells: at most all windows / hot_windows, far fewer where only single minimisers are hot
+    total, hot_cells = counts.agg(F.sum("n"), F.collect_list(F.when(F.col("n") > hot_windows, F.col("cell")))).first()
     hot = np.array(sorted(hot_cells), np.int64)
     n_buckets = max(8, (total or 0) // bucket_windows)
-    packed = base.mapInArrow(_pack(k, m, n_buckets, hot), B.SCHEMA)
+    packed = base.mapInArrow(_pack(k, m, n_buckets, hot, cells), B.SCHEMA)
     spans = packed.groupBy("bucket").applyInArrow(_later_spans(k), B.SPANS)
     if len(hot):
-        windows = base.mapInArrow(_hot_windows(k, m, hot), "window long, doc_id long, tie long, at int")
+        windows = base.mapInArrow(_hot_windows(k, m, hot, cells), "window long, doc_id long, tie long, at int")
         owners = windows.groupBy("window").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("other"))
         later = windows.join(owners.where("owner < other").drop("other"), "window").where("doc_id > owner")
         spans = spans.unionByName(later.select("doc_id", "tie", F.col("at").alias("begin"), (F.col("at") + k).alias("end")))

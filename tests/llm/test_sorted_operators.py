@@ -47,6 +47,18 @@ def test_windows(make_docs, options):
     assert spread(window_dedup.window_report(docs, **options).collect()) == brute.windows(rows_of(docs))
 
 
+def test_window_cells_follow_the_corpus(make_docs, monkeypatch):
+    """More text, more cells; a task that meets many cells gives them out in parts; the result is the same."""
+    sizes = [window_dedup.cells_for(10 ** e) for e in range(3, 16)]
+    assert sizes[0] == window_dedup.CELLS and sizes[-1] > 1000 * window_dedup.CELLS
+    assert all(c * window_dedup.CELL_WINDOWS * window_dedup.WORD_BYTES >= 10 ** e for e, c in zip(range(3, 16), sizes))
+    monkeypatch.setattr(window_dedup, "HELD_CELLS", 5)
+    monkeypatch.setattr(window_dedup, "CELL_WINDOWS", 2)
+    monkeypatch.setattr(window_dedup, "CELLS", 8)
+    docs = make_docs(passages(3))
+    assert spread(window_dedup.window_report(docs, hot_windows=20, bucket_windows=100).collect()) == brute.windows(rows_of(docs))
+
+
 def test_windows_text_and_empty(make_docs):
     assert window_dedup.window_report(make_docs([])).count() == 0
     docs = make_docs([(1, "a b c d"), (2, "x a  b c\nz"), (3, None)])
