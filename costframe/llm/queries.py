@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from costframe.llm import (alignment, exact_dedup, jaccard_join, merge_dropout, mixing, packing, quality, secrets, severity,
+from costframe.llm import (alignment, exact_dedup, jaccard_join, merge_dropout, mixing, oracle, packing, quality, secrets, severity,
                            sketches, suffix_dedup, variants, window_dedup)
 from costframe.llm.common import documents
 
@@ -88,6 +88,6 @@ QUERIES = {f.__name__: f for f in (
     op7_exact_dedup, op8_suffix_dedup, op9_jaccard_join, op10_merge_dropout, op11_spelling_variants, op12_square_packing,
     op13_token_alignment)} | {"pipeline": corpus_pipeline.run}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = dict(oracle.SQL)
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
