@@ -56,6 +56,21 @@ def lines_of_days(spark: SparkSession, export_path: str, index: DataFrame, days)
     return lines.filter(export_index.in_partitions(export_index.partitions_of(index, days))).filter(days_filter(days))
 
 
+def rerun_days(spark: SparkSession, name: str, export_path: str, index_path: str, table_path: str, days) -> list[str]:
+    """Recompute report `name` for any days, however old, reading only the export partitions that hold them.
+
+    Partitions that the index does not have as they are now are scanned first, so no line is missed; the index
+    itself is left to `run_late_days`.
+    """
+    change = export_index.changes(spark, export_path, index_path)
+    known = export_index.read_index(spark, index_path)
+    if change.partitions:
+        known = known.filter(~F.col(export_index.PARTITION).isin(change.partitions))
+    lines = lines_of_days(spark, export_path, known.unionByName(change.entries), days)
+    backfill_days(BILLING_REPORTS[name](lines, money_as_double=False), table_path, days)
+    return sorted(str(d) for d in days)
+
+
 def run_late_days(spark: SparkSession, name: str, export_path: str, index_path: str, table_path: str, run_date=None,
                   lag_days: int = REPORT_LAG_DAYS) -> list[str]:
     """Recompute report `name` for every day, up to the report day of `run_date`, that changed export
