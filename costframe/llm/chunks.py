@@ -15,12 +15,14 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from costframe.llm import words as W
 
 BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
+KNOWN, LONGEST_KNOWN = 1 << 19, 64  # chunks that a worker remembers, and their bytes, at most
 JOINED = 1 << 12  # bytes of chunks that are encoded together
 
 _SOLID = np.zeros(256, bool)
@@ -209,14 +211,56 @@ def ids_of(contents: pa.Array, encode: Callable[[list[str]], list], spelling: Sp
     return ids[order], np.searchsorted(chunk[order], np.arange(n + 1))
 
 
+class Known:
+    """Chunks that a Python worker has encoded before, and their ids; at most `KNOWN` short ones."""
+
+    def __init__(self) -> None:
+        self.contents = pa.array([], pa.large_binary())
+        self.ids, self.offsets = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def ids_of(self, contents: pa.Array, encode: Callable[[list[str]], list], spelling: Spelling) -> tuple[np.ndarray, np.ndarray]:
+        """The same as `ids_of`; only chunks that are new are encoded."""
+        place = pc.index_in(contents, value_set=self.contents)
+        new = place.is_null()
+        fresh = contents.filter(new)
+        more, more_at = ids_of(fresh, encode, spelling)
+        n = len(self.contents)
+        which = np.asarray(place.fill_null(0)).astype(np.int64)
+        is_new = np.asarray(new)
+        which[is_new] = n + np.arange(len(fresh))
+        ids = np.concatenate([self.ids, more])
+        starts = np.concatenate([self.offsets, len(self.ids) + more_at[1:]])
+        sizes = np.diff(starts)
+        out = W.gather(ids, starts[:-1][which], sizes[which]), np.concatenate([[0], np.cumsum(sizes[which])])
+        short = np.asarray(pc.less_equal(pc.binary_length(fresh), LONGEST_KNOWN))
+        kept = np.flatnonzero(short)
+        if n + len(kept) > KNOWN:  # only what this slice has stays
+            met = np.unique(which[~is_new])[:KNOWN // 2]
+            self.ids, self.offsets = expand(self.ids, self.offsets, met)
+            self.contents = self.contents.take(pa.array(met))
+            kept = kept[:KNOWN - len(met)]
+        self.contents = pa.concat_arrays([self.contents, fresh.take(pa.array(kept))])
+        added, added_at = expand(more, more_at, kept)
+        self.offsets = np.concatenate([self.offsets, len(self.ids) + added_at[1:]])
+        self.ids = np.concatenate([self.ids, added])
+        return out
+
+
+def _known(made) -> Known:
+    key = ("known", id(made))  # tokenizers live as long as their worker
+    if key not in _READY:
+        _READY[key] = Known()
+    return _READY[key]
+
+
 def byte_ids(made, contents: pa.Array, spelling: Spelling) -> tuple[np.ndarray, np.ndarray]:
     """Byte-level ids of distinct chunks."""
-    return ids_of(contents, lambda texts: [e.ids for e in made.encode_batch(texts, add_special_tokens=False)], spelling)
+    return _known(made).ids_of(contents, lambda texts: [e.ids for e in made.encode_batch(texts, add_special_tokens=False)], spelling)
 
 
 def piece_ids(made, contents: pa.Array, spelling: Spelling) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of distinct chunks, each of which begins with the space that the model adds by itself."""
-    return ids_of(contents, lambda texts: made.encode([t[1:] for t in texts], num_threads=1) if texts else [], spelling)
+    return _known(made).ids_of(contents, lambda texts: made.encode([t[1:] for t in texts], num_threads=1) if texts else [], spelling)
 
 
 def expand(values: np.ndarray, offsets: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -292,6 +292,21 @@ def test_terminals_label_common_ends():
         assert (end[:len(a)] == terminal[group(a)]).all() and (end[len(a):] == terminal[group(b)]).all()
 
 
+def test_remembered_chunks_keep_their_ids(tokenizers, monkeypatch):
+    """Slice after slice through one worker's memory, also one that is far too small."""
+    monkeypatch.setattr(chunks, "KNOWN", 40)
+    model = chunks.read_file(chunks.BYTE_MODEL)
+    made, spelling = chunks.byte_tokenizer({**model, "digest": "test"}, plain_specials=True), chunks.byte_spelling(model)
+    rng = random.Random(9)
+    words = [w for _, t in odd_rows(9, 60) if t for w in t.split(" ") if len(w) < 2000]
+    for _ in range(30):
+        contents = pa.array(sorted({rng.choice(words).encode() for _ in range(rng.randrange(0, 60))}), pa.large_binary())
+        ids, at = chunks.byte_ids(made, contents, spelling)
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [tokenizers[1].encode(c.decode(), add_special_tokens=False).ids for c in contents.to_pylist()]
+        known = chunks._known(made)
+        assert len(known.contents) <= 40 and len(known.offsets) == len(known.contents) + 1 and known.offsets[-1] == len(known.ids)
+
+
 def test_chunks_are_whole_text_ids(tokenizers):
     a, plain, b = tokenizers
     texts = [t for _, t in odd_rows(8, 400) if t]
