@@ -6,8 +6,9 @@ filter: a row with a slot that only it hits cannot have a copy and passes straig
 other, possibly repeated, rows are shuffled and compared by the SHA-256 of the whole normalised text.
 False positives of the filter cost a little shuffle and never change the result.
 
-The filter is broadcast, so its size is bounded by `max_filter_bytes`. A corpus that needs more than
-that gets no filter: every row then counts as possibly repeated and takes the exact path.
+The filter is broadcast, so its size is bounded by `max_filter_bytes`. A corpus that would need more (past
+33.5 million rows at 16 bits each and 64 MB) gets a filter of that size, which lets more single rows through
+as possibly repeated the larger the corpus; the steps are the same at every size, and so is the result.
 
 Hot texts: a group is reduced to one row per map task (max, count) before the shuffle, and rows go
 back to their group's result through a join that adaptive execution splits when one key is hot.
@@ -53,9 +54,7 @@ def with_suspects(rows: DataFrame, key: str, suspect: str, keys: DataFrame, n_ro
 
     `keys` has the column `key` of all `n_rows` rows of the corpus and builds the filter.
     """
-    buckets = max(1, -(-n_rows * bits_per_row // BITMAP_BITS))
-    if buckets * BITMAP_BITS // 8 > max_filter_bytes:
-        return rows.withColumn(suspect, F.lit(True))
+    buckets = max(1, min(-(-n_rows * bits_per_row // BITMAP_BITS), max_filter_bytes * 8 // BITMAP_BITS))
     n_slots = buckets * BITMAP_BITS
     bitmaps = F.broadcast(repeated_filter(keys, "key", n_slots))
     out, hit = rows, F.lit(True)
