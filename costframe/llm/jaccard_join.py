@@ -10,9 +10,8 @@ words make one shingle. Documents link when 100 * intersection >= percent * unio
    meets, and about 1/l of those become candidates. Pairs must then share min(l, l') prefix tokens.
 3. Documents with one set are one node. Only tokens of two nodes or more stay in the posting lists.
 4. Lists of more than HOT nodes: all nodes that meet in such lists with one smallest node form a group
-   (a group of near copies meets in many lists, but is one group). A few elected leaders are compared with
-   the whole group first. The nodes that stay outside its largest part then meet all others chunk by
-   chunk: a pair of chunks is one task's work, which counts all overlaps at once and gives back only who
+   (a group of near copies meets in many lists, but is one group). A leader is compared with the whole
+   group first. The nodes that stay outside its largest part then meet all others chunk by chunk: a pair of chunks is one task's work, which counts all overlaps at once and gives back only who
    hangs together. No pair within a part is compared, and a node travels as often as there are chunks of
    nodes outside, so a group of near copies costs work in proportion to its size.
 5. Other lists: each list's smallest node is paired with the others (as many pairs as entries), and the
@@ -55,7 +54,6 @@ VERIFY_COST = 30.0  # a verification costs as much as this many posting entries
 BROADCAST_BYTES = 32 << 20
 HOT = 32  # nodes of a posting list from which its group is compared by chunks
 CHUNK = 256  # nodes
-ELECTIONS = 3
 
 
 def shingles(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -285,42 +283,35 @@ def verified(pairs: DataFrame, base: DataFrame, nodes: DataFrame, n: int, percen
                        .mapInArrow(_verify(n, percent), "a long, b long"), "jaccard-links")
 
 
-def _elected(members: DataFrame, base: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links of the groups' members with elected leaders: in each round the smallest node of a group that has
-    not linked yet is compared with the group's others that have not."""
-    open_ones, links = members, None
-    for _ in range(ELECTIONS):
-        low = open_ones.groupBy("leader").agg(F.min("node").alias("low"))
-        star = materialize(open_ones.join(low, "leader").where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct(), "jaccard-elected")
-        new = verified(star, base, nodes, n, percent, hubs=True)
-        links = new if links is None else links.unionByName(new)
-        settled = materialize(new.select(F.col("b").alias("node")).unionByName(star.select(F.col("a").alias("node"))).distinct(), "jaccard-settled")
-        open_ones = materialize(open_ones.join(settled, "node", "left_anti"), "jaccard-members")
-        if open_ones.isEmpty():
-            break
-    return links
-
-
 def hot_links(hot: DataFrame, base: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links (a, b) among the groups of (leader, node): every pair of a group that elected leaders leave apart is compared.
+    """Links (a, b) among the groups of (leader, node): every pair of a group that its leader leaves apart is compared.
 
-    After the elections most of a group hangs together. Pairs within its largest part need no comparison; each
-    node outside it meets all others of the group, both dealt into chunks. So a text travels once for the
-    elections and once for every chunk of nodes that stay outside.
+    The smallest node of a group is compared with all others first; those that link to it hang together. Pairs
+    within the largest part need no comparison; each node outside it meets all others of the group, both dealt
+    into chunks (where most nodes are outside, all chunks meet each other once). So a text of a group of near
+    copies travels once with its leader and once for every chunk of nodes that stay outside.
     """
-    members = materialize(hot.select("leader", "node").distinct(), "jaccard-members")
-    links = _elected(members, base, nodes, n, percent)
-    parts = components(links)
-    placed = materialize(members.join(parts, "node", "left").select("leader", "node", F.coalesce("component", "node").alias("part")), "jaccard-placed")
+    members = hot.select("leader", "node").distinct()
+    low = members.groupBy("leader").agg(F.min("node").alias("low"))
+    members = materialize(members.join(low, "leader"), "jaccard-members")
+    star = materialize(members.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct(), "jaccard-elected")
+    links = verified(star, base, nodes, n, percent, hubs=True)
+    to = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("to"))
+    # a node's part is a leader that it links to: nodes of one part hang together, others may
+    placed = materialize(members.join(to, "node", "left").select("leader", "node", F.coalesce("to", "node").alias("part")), "jaccard-placed")
     sizes = placed.groupBy("leader", "part").agg(F.count(F.lit(1)).alias("n_part"))
     facts = sizes.groupBy("leader").agg(F.sum("n_part").alias("all"), F.max(F.struct("n_part", "part")).alias("largest"))
-    facts = facts.select("leader", F.col("largest.part").alias("main"), (F.col("all") - F.col("largest.n_part")).alias("outside"), F.ceil(F.col("all") / CHUNK).cast("int").alias("chunks"))
-    facts = facts.where("outside > 0").withColumn("outer_chunks", F.ceil(F.col("outside") / CHUNK).cast("int"))
-    numbered = placed.join(facts, "leader")
-    chunk = lambda of: F.pmod(F.xxhash64("node", F.lit(3)), F.col(of)).cast("int")
-    every = numbered.select("leader", F.explode(F.sequence(F.lit(0), F.col("outer_chunks") - 1)).alias("i"), chunk("chunks").alias("j"), "node")
-    outer = numbered.where("part <> main").select("leader", chunk("outer_chunks").alias("i"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"), "node")
-    dealt = materialize(every.unionByName(outer).distinct(), "jaccard-dealt")
+    facts = facts.select("leader", F.col("largest.part").alias("main"), (F.col("all") - F.col("largest.n_part")).alias("outside"), "all").where("outside > 0")
+    chunk = lambda of: F.pmod(F.xxhash64("node", F.lit(3)), of).cast("int")
+    chunks, outer = F.ceil(F.col("all") / CHUNK).cast("int"), F.ceil(F.col("outside") / CHUNK).cast("int")
+    pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    upto = lambda count: F.sequence(F.lit(0), count - 1)
+    me, mine = chunk(chunks), chunk(outer)
+    each = F.transform(upto(chunks), lambda x: pair(F.least(me, x), F.greatest(me, x)))
+    inner = F.transform(upto(outer), lambda i: pair(i, me))
+    apart = F.when(F.col("part") != F.col("main"), F.transform(upto(chunks), lambda j: pair(mine, j))).otherwise(F.array().cast("array<struct<i:int,j:int>>"))
+    tasks = F.when(F.col("outside") * 2 > F.col("all"), each).otherwise(F.array_distinct(F.concat(inner, apart)))
+    dealt = materialize(placed.join(facts, "leader").select("leader", "node", F.inline(tasks)), "jaccard-dealt")
     texts = _texts_of(dealt.select("node").distinct(), base, nodes, n)
     pairs = dealt.join(texts, "node").groupBy("leader", "i", "j").applyInArrow(lambda t: _chunk_pair(n, percent)(t), "a long, b long")
     return materialize(links.unionByName(pairs.distinct()), "jaccard-links")
