@@ -54,6 +54,7 @@ VERIFY_COST = 30.0  # a verification costs as much as this many posting entries
 BROADCAST_BYTES = 32 << 20
 HOT = 32  # nodes of a posting list from which its group is compared by chunks
 CHUNK = 256  # nodes
+SLICE_BYTES = 2 << 20
 
 
 def shingles(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -105,7 +106,7 @@ def _cells(tokens: np.ndarray) -> np.ndarray:
 def _count_cells(n: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << CELL_BITS, np.uint32)
-        for batch in W.text_slices(batches, "text"):
+        for batch in W.text_slices(batches, "text", SLICE_BYTES):
             _, tokens, _ = shingles(batch.column("text"), n)
             cells += np.bincount(_cells(tokens), minlength=1 << CELL_BITS).astype(np.uint32)
         blocks = cells.reshape(-1, BLOCK)
@@ -160,7 +161,7 @@ def _prefixes(n: int, percent: int, counts: np.ndarray):
     amount_of = 2.0 ** (np.arange(256) / 8)  # a rank's count, nearly
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in W.text_slices(batches, "text"):
+        for batch in W.text_slices(batches, "text", SLICE_BYTES):
             row, tokens, n_rows = shingles(batch.column("text"), n)
             row, tokens = distinct_sets(row, tokens, rank_of[_cells(tokens)])
             node, size = node_numbers(row, tokens, n_rows)
@@ -186,7 +187,7 @@ def _prefixes(n: int, percent: int, counts: np.ndarray):
 def _own_text(n: int):
     """Keeps the (node, text) rows whose text has that node's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in W.text_slices(batches, "text"):
+        for batch in W.text_slices(batches, "text", SLICE_BYTES):
             row, tokens, n_rows = shingles(batch.column("text"), n)
             node, _ = node_numbers(*distinct_sets(row, tokens), n_rows)
             yield batch.filter(pa.array(node == batch.column("node").to_numpy()))
@@ -198,7 +199,7 @@ def _verify(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             sizes = sum(np.diff(W.text_bytes(whole.column(c))[1]) for c in ("text_a", "text_b"))
-            for batch in W.slices(whole, sizes, 4 << 20):
+            for batch in W.slices(whole, sizes, SLICE_BYTES):
                 a, b = (batch.column(c).to_numpy() for c in "ab")
                 nodes, one, back = np.unique(np.concatenate([a, b]), return_index=True, return_inverse=True)
                 texts = pa.concat_arrays([batch.column("text_a"), batch.column("text_b")]).take(pa.array(one))
@@ -215,6 +216,7 @@ def _verify(n: int, percent: int):
                 union = size[back[:len(a)]] + size[back[len(a):]] - both
                 links = pa.array(100 * both >= percent * union)
                 yield pa.RecordBatch.from_arrays([batch.column("a").filter(links), batch.column("b").filter(links)], names=["a", "b"])
+        W.release()
     return run
 
 
@@ -249,6 +251,8 @@ def _chunk_pair(n: int, percent: int):
                 break
             label = new
         some = label < node
+        del both, linked
+        W.release()
         return pa.table({"a": node[some], "b": label[some]})
     return run
 
