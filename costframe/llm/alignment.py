@@ -215,7 +215,6 @@ def _added(key: tuple, slices: pa.Table, pairs: pa.Table) -> pa.Table:
     """A slice's documents with n_best and count_sum, from the corpus counts of its pairs."""
     x = unpressed(slices.column("links")[0].as_buffer().to_pybytes())
     order = np.argsort(np.asarray(pairs.column("pair")), kind="stable")  # the order of the slice's own keys
-    owner = np.repeat(np.arange(len(x["key_at"]) - 1), np.diff(x["key_at"]))
 
     def sums(name: str) -> np.ndarray:
         of_key = np.asarray(pairs.column(name))[order].astype(np.int64)
