@@ -37,4 +37,13 @@ def lower_ascii(text):
             .otherwise(F.translate(text, UPPER, LOWER)))
 
 
-__all__ = ["LOWER", "UPPER", "col", "documents", "free_name", "lower_ascii", "materialize"]
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of stages whose results are written.
+
+    The cleaner follows the driver's garbage collection, which by itself may come much later than the disk
+    is needed; nothing that a plan still refers to is removed.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
+__all__ = ["LOWER", "UPPER", "col", "documents", "free_name", "lower_ascii", "materialize", "release_shuffles"]

@@ -1,8 +1,8 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraphs (operator 5, DataFrame only).
 
 A text's paragraphs are pieces of its lines. `passages` cuts a line by content - after sentence ends, and
-in a stretch without one at the first space, comma, rare letter or such from `LONG` code points on - so an
-insertion changes the pieces near it and few later ones; only a stretch of `LONGEST` code points without
+`LEAST` code points after the cut before at the earliest, and in a stretch without one at the first space,
+comma, rare letter or such from `LONG` code points on - so an insertion changes the pieces near it and few later ones; only a stretch of `LONGEST` code points without
 a cut is cut by length. `paragraphs` (the default) cuts a line every `PIECE` code points from its start.
 The distinct 64-bit digests of the paragraphs go into a sketch of three subtables: a digest
 adds itself to one cell of each - a count, the XOR of digests and the XOR of their checks. The sketch
@@ -17,8 +17,9 @@ gives the recovered digests with their sides, or only their number.
 
 Sketches are rows (document, cell) and every step is a built-in aggregation: contributions of both
 versions are summed with opposite signs, and a peeling round is two aggregations by document and cell.
-Every text is cut once, and its edited text once; of the next document only its digests and the piece
-that the edit needs travel. Digest lists are dealt by document into tasks of about `TASK_DIGESTS`.
+The fingerprints themselves are folds over a document's own digests, made where its text already is. Texts
+are shuffled once; of the next document only its digests and the piece that the edit needs travel. Digest
+lists go to the larger sketches once, dealt by document into tasks of about `TASK_DIGESTS`.
 
 Likeness = shared / all distinct paragraphs (Jaccard): the numbers of digests are the sums of a
 fingerprint's counts over a subtable, the differences come from peeling.
@@ -35,16 +36,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from costframe.llm.common import col, materialize
+from costframe.llm.common import col, materialize, release_shuffles
+from costframe.operators.joins import broadcast_if_small
 
 PIECE = 256
 LONG, LONGEST = 48, 128
-#: A tenth of the Han characters (every tenth block of 256).
-_HAN = "".join(f"{chr(c)}-{chr(c + 255)}" for c in range(0x4E00, 0x9F00, 0xA00))
-#: A line is cut after these; in a stretch of `LONG` or more without them also after the second kind.
-ENDS = ".!?;:|。！？；：…"
-LONG_ENDS = rf" \t\x0B\f\r,qxzQXZ07、，のはをに{_HAN}"
-CELLS = 8  # of a subtable of the fingerprint
+LEAST = 24
+#: A line is cut after these, `LEAST` code points after the last cut at the earliest; in a stretch of `LONG` or more
+#: without them also after the second kind. Texts with characters beyond Latin-1 also have the wide ones: full-width
+#: and ideographic punctuation, kana that end words, and a tenth of the Han characters (every tenth block of 256).
+ENDS, LONG_ENDS = ".!?;:|", r" \t\x0B\f\r,qxzQXZ07"
+WIDE_ENDS = "…、-。！-？"
+WIDE_LONG_ENDS = "のはをに" + "".join(f"{chr(c)}-{chr(c + 255)}" for c in range(0x4E00, 0x9F00, 0xA00))
+CELLS = 5  # of a subtable of the fingerprint
 ROUNDS = 6  # of peeling
 TASK_DIGESTS = 1 << 16
 
@@ -53,20 +57,30 @@ def paragraphs(text: Column, piece: int = PIECE) -> Column:
     return F.regexp_extract_all(text, F.lit(r"[^\n]{1,%d}" % piece), F.lit(0))
 
 
-def passages(text: Column) -> Column:
-    """Pieces of the lines, cut by content. Runs are possessive: a character is looked at twice at most."""
-    inner = rf"[^\n{ENDS}]"
+def _passages(text: Column, ends: str, long_ends: str) -> Column:
+    inner = rf"[^\n{ends}]"
+    first = rf"[^\n]{{0,{LEAST}}}+{inner}{{0,{LONGEST - LEAST - 1}}}+(?:[{ends}]++|(?=\n|\z))"
     return F.regexp_extract_all(text, F.lit(
-        rf"{inner}{{0,{LONGEST - 1}}}+[{ENDS}]++|{inner}{{{LONG},{LONGEST - 1}}}?(?<=[{LONG_ENDS}])|{inner}{{1,{LONGEST}}}+"), F.lit(0))
+        rf"(?!\z){first}|[^\n]{{{LONG},{LONGEST - 1}}}?(?<=[{long_ends}])|[^\n]{{1,{LONGEST}}}+"), F.lit(0))
+
+
+def passages(text: Column) -> Column:
+    """Pieces of the lines, cut by content. Runs are possessive, so a character is looked at a few times at most.
+
+    A class of Latin-1 characters is a table look-up, one with others a chain of tests: texts without others
+    take the narrow pattern, which cuts such texts as the wide one does.
+    """
+    pieces = F.when(text.rlike(r"[^\x00-\xFF]"), _passages(text, ENDS + WIDE_ENDS, LONG_ENDS + WIDE_LONG_ENDS)).otherwise(_passages(text, ENDS, LONG_ENDS))
+    return F.filter(pieces, lambda p: p != "")
 
 
 def digests(text: Column, cut: Callable[[Column], Column] = paragraphs) -> Column:
     """Sorted distinct digests of a text's paragraphs."""
-    return F.array_sort(F.array_distinct(F.transform(cut(text), lambda p: F.xxhash64(p))))
+    return F.sort_array(F.array_distinct(F.transform(cut(text), lambda p: F.xxhash64(p))))
 
 
 def _check(key: Column) -> Column:
-    return F.xxhash64(key, F.lit(11))
+    return F.xxhash64(key, F.lit(11)).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
 def _spread(rows: DataFrame, cells: Column) -> DataFrame:
@@ -131,86 +145,113 @@ def _width(attempt: int) -> Column:
     return (F.greatest(F.lit(CELLS), F.ceil(both / 2) + 2) if attempt == 0 else both + 16).cast("long")
 
 
-def differences(pairs: DataFrame, tasks: int, digests: bool = False) -> DataFrame:
-    """(row, pair, diff) for digest lists (row, pair, a, b): how many digests differ, by sketches sized for
-    both lists; with `digests` also `recovered`, the digests (sign 1: only in a, -1: only in b).
+def _signed(keys: Column, sign: int) -> Column:
+    return F.transform(keys, lambda k: F.struct(k.alias("digest"), F.lit(sign).cast("long").alias("sign")))
 
-    Rows are dealt by `row` into `tasks`. Lists are read again only for the pairs that a comparison left over.
+
+def differences(lists: DataFrame, wanted: DataFrame, tasks: int, others: tuple[str, ...], digests: bool = False) -> DataFrame:
+    """(row, pair, diff) of the `wanted` (row, pair): how many digests differ between a row's `keys` and the list
+    `others[pair]`, by sketches sized for both; with `digests` also `recovered`, the digests (sign 1: only in
+    `keys`, -1: only in the other).
+
+    `lists` and `wanted` are stored tables. Rows are dealt by `row` into `tasks`; the first attempt moves the lists
+    of all wanted rows, later ones those of the few pairs that a comparison left over.
     """
     names = ["row", "pair", "diff", *(["recovered"] if digests else [])]
-    empty = F.array().cast("array<struct<digest:bigint,sign:bigint>>").alias("recovered")
-    same = pairs.where("a = b").select("row", "pair", F.lit(0).cast("long").alias("diff"), *([empty] if digests else []))
-    todo, done = pairs.where("a <> b").repartition(tasks, "row"), [same]
-    for attempt in range(2):
-        lists = todo.withColumn("width", _width(attempt)).select(
-            "row", "pair", "width", F.posexplode(F.concat("a", "b")).alias("at", "key"), F.size("a").alias("n_a"))
-        signed = lists.withColumn("sign", F.when(F.col("at") < F.col("n_a"), 1).otherwise(-1).cast("long"))
-        cells = sketch_cells(signed.select("row", "pair", "width", "key", "sign"), F.col("width"), ["row", "pair", "width"])
-        # what cancels wholly leaves no cell, but lists that differ always leave some
+    todo, done = wanted, []
+    for attempt in range(3):
+        by_row = materialize(todo.groupBy("row").agg(F.collect_set("pair").alias("open")), f"sketch-open-{attempt}")
+        small = broadcast_if_small(by_row, max_bytes=4 << 20)
+        if small is by_row:  # both sides dealt by row
+            moved = lists.repartition(tasks, "row").join(by_row.repartition(tasks, "row"), "row")
+        else:
+            moved = lists.join(small, "row").repartition(tasks, "row")
+        each = F.array(*[F.struct(F.lit(i).alias("pair"), F.col("keys").alias("a"), F.col(b).alias("b")) for i, b in enumerate(others)])
+        pairs = moved.select("row", "open", F.inline(each)).where(F.array_contains("open", F.col("pair"))).drop("open")
+        if attempt == 2:
+            only = [F.array_except("a", "b"), F.array_except("b", "a")]
+            exact = (F.size(only[0]) + F.size(only[1])).cast("long").alias("diff")
+            signed = [_signed(o, sign) for o, sign in zip(only, (1, -1))]
+            done.append(pairs.select("row", "pair", exact, *([F.concat(*signed).alias("recovered")] if digests else [])))
+            break
+        laid = pairs.withColumn("width", _width(attempt)).select(
+            "row", "pair", "width", F.posexplode_outer(F.concat("a", "b")).alias("at", "key"), F.size("a").alias("n_a"))
+        signed = laid.withColumn("sign", F.when(F.col("at") < F.col("n_a"), 1).otherwise(-1).cast("long"))
+        cells = sketch_cells(signed.where("key is not null").select("row", "pair", "width", "key", "sign"), F.col("width"), ["row", "pair", "width"])
         tried = materialize(peel(cells, "width", ["row", "pair"], digests=digests), f"sketch-solved-{attempt}")
+        release_shuffles(lists.sparkSession)
         done.append(tried.where("left = 0").withColumnRenamed("found", "diff").select(*names))
-        failed = tried.where("left > 0").select("row", "pair")
-        if failed.isEmpty():
+        todo = materialize(tried.where("left > 0").select("row", "pair"), f"sketch-failed-{attempt}")
+        if todo.isEmpty():
             break
-        todo = pairs.join(failed, ["row", "pair"], "left_semi").repartition(tasks, "row")
-    else:
-        only = [F.array_except("a", "b"), F.array_except("b", "a")]
-        exact = (F.size(only[0]) + F.size(only[1])).cast("long").alias("diff")
-        each = [F.transform(o, lambda k, s=s: F.struct(k.alias("digest"), F.lit(s).cast("long").alias("sign"))) for o, s in zip(only, (1, -1))]
-        done.append(todo.select("row", "pair", exact, *([F.concat(*each).alias("recovered")] if digests else [])))
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    return out
+    # lists that cancel wholly leave no cell, so no row: they do not differ
+    empty = F.array().cast("array<struct<digest:bigint,sign:bigint>>")
+    out = wanted.join(out, ["row", "pair"], "left")
+    return out.select("row", "pair", F.coalesce("diff", F.lit(0).cast("long")).alias("diff"), *([F.coalesce("recovered", empty).alias("recovered")] if digests else []))
 
 
-def _first_comparison(df: DataFrame, tasks: int) -> DataFrame:
-    """(row, fingerprint, edited_fingerprint, left0, left1): both fingerprints (hexadecimal: cell, count,
-    digests and checks of the cells in use), and the cells left when that of the edited text and of the next
-    document are subtracted from the document's. NULL where no cell left over holds one digest, so that
-    peeling could not begin.
-    """
-    lists = df.repartition(tasks, "row").select("row", F.posexplode(F.array("keys", "edited_keys", "next_keys")).alias("which", "list"))
-    each = lists.select("row", "which", F.explode("list").alias("key"), F.lit(1).cast("long").alias("sign"))
-    cells = sketch_cells(each, F.lit(CELLS).cast("long"), ["row", "which"])
-    to = lambda kind, sign: F.struct(F.lit(kind).alias("kind"), F.lit(sign).alias("sign"))
-    # kind 0 and 1: the fingerprints of the text and the edited text; 2 and 3: the subtractions
-    dealt = cells.select("row", "cell", "n", "keys", "checks", F.inline(
-        F.when(F.col("which") == 0, F.array(to(0, 1), to(2, 1), to(3, 1))).when(F.col("which") == 1, F.array(to(1, 1), to(2, -1))).otherwise(F.array(to(3, -1)))))
-    summed = dealt.groupBy("row", "kind", "cell").agg(F.sum(F.col("n") * F.col("sign")).alias("n"), F.bit_xor("keys").alias("keys"), F.bit_xor("checks").alias("checks"))
-    used = F.when((F.col("n") != 0) | (F.col("keys") != 0) | (F.col("checks") != 0), F.struct("cell", "n", "keys", "checks"))
-    kinds = summed.groupBy("row").agg(*[F.array_sort(F.collect_list(F.when(F.col("kind") == k, used))).cast(_CELL).alias(f"k{k}") for k in range(4)])
-
-    def shown(k):
-        return F.array_join(F.transform(F.col(k), lambda x: F.concat_ws(":", x["cell"], F.concat_ws(".", F.hex(x["n"]), F.hex(x["keys"]), F.hex(x["checks"])))), "-")
-
-    def left(k):
-        return F.when((F.size(k) == 0) | F.exists(k, lambda x: _pure(x["n"], x["keys"], x["checks"])), F.col(k))
-
-    return kinds.select("row", shown("k0").alias("fingerprint"), shown("k1").alias("edited_fingerprint"), left("k2").alias("left0"), left("k3").alias("left1"))
-
-
-def compared(df: DataFrame, tasks: int) -> tuple[DataFrame, DataFrame]:
-    """(row, fingerprint, edited_fingerprint) and (row, diff0, diff1) of rows (row, keys, edited_keys, next_keys)."""
-    first = materialize(_first_comparison(df, tasks), "fingerprint-first")
-    lefts = first.repartition(tasks, "row").select("row", F.inline(F.array(
-        *[F.struct(F.lit(i).alias("pair"), F.col(f"left{i}").alias("cells")) for i in (0, 1)]))).where(F.size("cells") > 0)
-    cells = lefts.select("row", "pair", F.lit(CELLS).cast("long").alias("width"), F.inline("cells"))
+def _dense(keys: str) -> Column:
+    """All cells of a digest list's fingerprint, as an array of (n, keys, checks)."""
+    zero = F.lit(0).cast("long")
+    empty = F.struct(zero.alias("n"), zero.alias("keys"), zero.alias("checks"))
+
+    def cell(c):
+        table = F.floor(c / CELLS).cast("int")
+        mine = F.filter(F.col(keys), lambda k: F.pmod(F.call_function("shiftrightunsigned", k, 5 + 19 * table), F.lit(CELLS)) == c % CELLS)
+        return F.aggregate(mine, empty, lambda a, k: F.struct(
+            (a["n"] + 1).alias("n"), a["keys"].bitwiseXOR(k).alias("keys"), a["checks"].bitwiseXOR(_check(k)).alias("checks")))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(3 * CELLS - 1)), cell)
+
+
+def _used(cells: Column) -> Column:
+    """The cells in use of a dense array, with their numbers."""
+    numbered = F.transform(cells, lambda x, i: F.struct(i.cast("long").alias("cell"), x["n"].alias("n"), x["keys"].alias("keys"), x["checks"].alias("checks")))
+    return F.filter(numbered, lambda x: (x["n"] != 0) | (x["keys"] != 0) | (x["checks"] != 0))
+
+
+def _printed(cells: Column) -> Column:
+    """Bytes of a fingerprint: cell (1), count (4), digests (8) and checks (4) of each cell in use."""
+    number = lambda c, width: F.lpad(F.hex(c), width, "0")
+    return F.unhex(F.array_join(F.transform(_used(cells), lambda x: F.concat(
+        number(x["cell"], 2), number(x["n"], 8), number(x["keys"], 16), number(x["checks"], 8))), ""))
+
+
+def _less(a: str, b: str) -> Column:
+    """The cells left when fingerprint b is subtracted from a; NULL where no cell holds one digest, so that
+    peeling cannot begin."""
+    cells = _used(F.zip_with(a, b, lambda x, y: F.struct(
+        (x["n"] - y["n"]).alias("n"), x["keys"].bitwiseXOR(y["keys"]).alias("keys"), x["checks"].bitwiseXOR(y["checks"]).alias("checks"))))
+    return F.get(F.transform(F.array(cells), lambda c: F.when((F.size(c) == 0) | F.exists(c, lambda x: _pure(x["n"], x["keys"], x["checks"])), c)), F.lit(0))
+
+
+def with_fingerprints(df: DataFrame) -> DataFrame:
+    """`df` (keys, edited_keys, next_keys) plus fingerprint, edited_fingerprint (bytes) and left0, left1: what the
+    subtraction of the edited text's and the next document's fingerprint leaves."""
+    names = df.columns
+    dense = df.select("*", _dense("keys").alias("f0"), _dense("edited_keys").alias("f1"), _dense("next_keys").alias("f2"))
+    return dense.select(*names, _printed(F.col("f0")).alias("fingerprint"), _printed(F.col("f1")).alias("edited_fingerprint"),
+                        _less("f0", "f1").alias("left0"), _less("f0", "f2").alias("left1"))
+
+
+def compared(df: DataFrame, tasks: int) -> DataFrame:
+    """(row, diff0, diff1) of a stored table (row, keys, edited_keys, next_keys, left0, left1)."""
+    others = ("edited_keys", "next_keys")
+    lefts = df.select("row", F.inline(F.array(*[F.struct(F.lit(i).alias("pair"), F.col(f"left{i}").alias("cells")) for i in (0, 1)]))).where(F.size("cells") > 0)
+    cells = lefts.select("row", "pair", F.lit(CELLS).cast("long").alias("width"), F.inline("cells")).repartition(tasks, "row")
     small = materialize(peel(cells, "width", ["row", "pair"]), "fingerprint-peeled")
     by_row = small.where("left = 0").groupBy("row").agg(*[F.max(F.when(F.col("pair") == i, F.col("found"))).alias(f"found{i}") for i in (0, 1)])
-    state = df.select("row", *[F.size(c).alias(c) for c in ("keys", "edited_keys", "next_keys")]).join(
-        first.select("row", "left0", "left1"), "row", "left").join(by_row, "row", "left")
-    nothing = lambda i, other: (F.col("keys") == 0) & (F.col(other) == 0)
+    state = df.select("row", *[(F.size(f"left{i}") == 0).alias(f"same{i}") for i in (0, 1)]).join(by_row, "row", "left")
     solved = materialize(state.select("row", *[
-        F.when(nothing(i, o) | (F.size(f"left{i}") == 0), F.lit(0).cast("long")).otherwise(F.col(f"found{i}")).alias(f"diff{i}")
-        for i, o in enumerate(("edited_keys", "next_keys"))]), "fingerprint-solved")
+        F.when(F.col(f"same{i}"), F.lit(0).cast("long")).otherwise(F.col(f"found{i}")).alias(f"diff{i}") for i in (0, 1)]), "fingerprint-solved")
     # larger sketches for the pairs that the fingerprints did not settle
-    todo = df.join(solved.where("diff0 is null or diff1 is null"), "row")
-    pairs = todo.select("row", F.inline(F.array(*[F.struct(F.lit(i).alias("pair"), F.col("keys").alias("a"), F.col(b).alias("b"), F.col(f"diff{i}").alias("known"))
-                                                  for i, b in enumerate(("edited_keys", "next_keys"))]))).where("known is null").drop("known")
-    larger = differences(pairs, tasks).groupBy("row").agg(*[F.max(F.when(F.col("pair") == i, F.col("diff"))).alias(f"larger{i}") for i in (0, 1)])
-    diffs = solved.join(larger, "row", "left").select("row", *[F.coalesce(f"diff{i}", f"larger{i}").alias(f"diff{i}") for i in (0, 1)])
-    return first.select("row", "fingerprint", "edited_fingerprint"), diffs
+    wanted = materialize(solved.select("row", F.explode(F.filter(F.array(*[F.when(F.col(f"diff{i}").isNull(), i) for i in (0, 1)]), lambda x: x.isNotNull())).alias("pair")), "sketch-wanted")
+    larger = differences(df.select("row", "keys", *others), wanted, tasks, others)
+    larger = larger.groupBy("row").agg(*[F.max(F.when(F.col("pair") == i, F.col("diff"))).alias(f"larger{i}") for i in (0, 1)])
+    return solved.join(larger, "row", "left").select("row", *[F.coalesce(f"diff{i}", f"larger{i}").alias(f"diff{i}") for i in (0, 1)])
 
 
 def successors(keys: DataFrame) -> DataFrame:
@@ -250,37 +291,34 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", cu
     spark = docs.sparkSession
     whole = F.coalesce(col(text), F.lit(""))
     keyed = docs.select(col(doc_id).alias("doc_id"), whole.alias("text"), F.xxhash64(whole).alias("tie"))
-    own = materialize(keyed.select("doc_id", "tie", F.length("text").cast("long").alias("n_chars"), digests(F.col("text"), cut).alias("keys")), "fingerprint-own")
-    n_rows, n_digests = own.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_digests // TASK_DIGESTS))
-    links = materialize(successors(own.select("doc_id", "tie", "n_chars")), "fingerprint-links")
-    repeated = links.count() < n_rows
+    ids = materialize(keyed.select("doc_id", "tie", F.length("text").cast("long").alias("n_chars")), "fingerprint-ids")
+    links = materialize(successors(ids), "fingerprint-links")
+    repeated = links.count() < ids.count()
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b)) & (F.col(a.replace("id", "tie")) == F.col(b.replace("id", "tie")))
-    keys = own.select(F.col("doc_id").alias("k_id"), F.col("tie").alias("k_tie"), "keys")
-    side = links.withColumnsRenamed({"doc_id": "l_id", "tie": "l_tie"}).join(keys.dropDuplicates(["k_id", "k_tie"]) if repeated else keys, same("l_id", "k_id"))
-    side = side.select("l_id", "l_tie", "prior_id", "prior_tie", "prior_chars", "keys").hint("shuffle_hash")
+    side = links.withColumnsRenamed({"doc_id": "l_id", "tie": "l_tie"}).hint("shuffle_hash")
     rows = keyed.withColumnsRenamed({"doc_id": "d_id", "tie": "d_tie"}).join(side, same("d_id", "l_id"))
-    rows = rows.select("d_id", "d_tie", "text", "prior_id", "prior_tie", "prior_chars", "keys")
+    rows = rows.select("d_id", "d_tie", "text", "prior_id", "prior_tie", "prior_chars")
     third = F.floor(F.col("prior_chars") / 3).cast("int")
     heads = rows.select(F.col("prior_id").alias("h_id"), F.col("prior_tie").alias("h_tie"),
-                        F.substring("text", F.lit(1), third).alias("head"), F.col("keys").alias("next_keys"))
+                        F.substring("text", F.lit(1), third).alias("head"), digests(F.col("text"), cut).alias("next_keys"))
     if repeated:
         heads = heads.dropDuplicates(["h_id", "h_tie"])
     rows = rows.join(heads.hint("shuffle_hash"), same("d_id", "h_id"))
     n = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), n - F.floor(n / 3).cast("int")), F.col("head"))
-    df = rows.select(F.col("d_id").alias("doc_id"), n.cast("long").alias("n_chars"), "keys", edited.alias("edited"), "next_keys")
+    df = rows.select(F.col("d_id").alias("doc_id"), n.cast("long").alias("n_chars"), digests(F.col("text"), cut).alias("keys"), edited.alias("edited"), "next_keys")
     df = df.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                    "keys", digests(F.col("edited"), cut).alias("edited_keys"), "next_keys")
-    df = materialize(df, "fingerprint-digests")  # row numbers must not change
-    prints, diffs = compared(df, tasks)
+    df = materialize(with_fingerprints(df), "fingerprint-digests")  # row numbers must not change
+    release_shuffles(spark)
+    n_digests = df.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]
+    diffs = compared(df, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_digests // TASK_DIGESTS)))
 
     def like(other, diff):
         both = F.col("n_keys") + F.col(f"n_{other}")
         return F.when(both == 0, F.lit(1.0)).otherwise((both - F.col(diff)) / (both + F.col(diff))).cast("double")
 
-    sizes = df.select("row", "doc_id", "n_chars", "edited_sha256", *[F.size(k).alias(f"n_{k}") for k in ("keys", "edited_keys", "next_keys")])
-    out = sizes.join(diffs, "row").join(prints, "row", "left")
-    return out.select("doc_id", "n_chars", "edited_sha256", F.coalesce("fingerprint", F.lit("")).alias("fingerprint"),
-                      F.coalesce("edited_fingerprint", F.lit("")).alias("edited_fingerprint"),
-                      like("edited_keys", "diff0").alias("near_edited"), like("next_keys", "diff1").alias("near_next"))
+    sizes = df.select("row", "doc_id", "n_chars", "edited_sha256", F.hex("fingerprint").alias("fingerprint"), F.hex("edited_fingerprint").alias("edited_fingerprint"),
+                      *[F.size(k).alias(f"n_{k}") for k in ("keys", "edited_keys", "next_keys")])
+    return sizes.join(diffs, "row").select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                                           like("edited_keys", "diff0").alias("near_edited"), like("next_keys", "diff1").alias("near_next"))

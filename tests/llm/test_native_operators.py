@@ -164,21 +164,22 @@ def pieces(t):
 
 def brute_passages(t):
     """The content cuts in plain Python: after sentence ends, in long stretches after spaces, rare letters and such."""
-    import re
-    ends, more = set(sketches.ENDS), re.compile(f"[{sketches.LONG_ENDS}]")
+    ends = re.compile(f"[{sketches.ENDS}{sketches.WIDE_ENDS}]")
+    more = re.compile(f"[{sketches.LONG_ENDS}{sketches.WIDE_LONG_ENDS}]")
     out = set()
     for line in t.split("\n"):
         at = 0
         while at < len(line):
-            stop = next((i for i in range(at, min(at + sketches.LONGEST, len(line))) if line[i] in ends), None)
-            if stop is not None:
-                to = stop + 1
-                while to < len(line) and line[to] in ends:
+            to = min(at + sketches.LEAST, len(line))
+            high = min(to + sketches.LONGEST - sketches.LEAST - 1, len(line))
+            while to < high and not ends.match(line[to]):
+                to += 1
+            if to < len(line) and ends.match(line[to]):
+                while to < len(line) and ends.match(line[to]):
                     to += 1
-            else:
+            elif to < len(line):
                 high = min(at + sketches.LONGEST - 1, len(line))
-                to = next((i for i in range(at + sketches.LONG, high + 1) if more.match(line[i - 1]) and not set(line[at:i]) & ends), None)
-                to = to or min(at + sketches.LONGEST, len(line))
+                to = next((i for i in range(at + sketches.LONG, high + 1) if more.match(line[i - 1])), min(at + sketches.LONGEST, len(line)))
             out.add(line[at:to])
             at = to
     return out
@@ -235,38 +236,27 @@ def test_fingerprints_retry_larger(make_docs, monkeypatch):
     assert len(calls) == 3
 
 
-def test_recovered_digests(spark):
+def test_recovered_digests(spark, monkeypatch):
     rng = random.Random(8)
     rows = []
     for i in range(30):
         both = [rng.getrandbits(63) for _ in range(rng.choice([0, 3, 200]))]
         a, b = ([rng.getrandbits(63) for _ in range(rng.choice([0, 1, 5, 60]))] for _ in "ab")
         rows.append((i, i % 2, sorted(both + a), sorted(both + b)))
-    pairs = spark.createDataFrame(rows, "row long, pair int, a array<long>, b array<long>")
-    got = {(r.row, r.pair): (r.diff, {(x.digest, x.sign) for x in r.recovered}) for r in sketches.differences(pairs, 3, digests=True).collect()}
-    want = {(i, p): (len(set(a) ^ set(b)), {(k, 1) for k in set(a) - set(b)} | {(k, -1) for k in set(b) - set(a)}) for i, p, a, b in rows}
-    assert got == want
-    counts = {(r.row, r.pair): r.diff for r in sketches.differences(pairs, 3).collect()}
-    assert counts == {k: n for k, (n, _) in want.items()}
-
-
-def test_passages_survive_edits(spark, make_docs):
-    """Of texts whose first two thirds stay something is shared; an insertion at the front costs a few pieces."""
-    sf = "/root/testdata/sf0.01"
-    got = queries.op5_document_sketch(spark, sf).where("n_chars > 100")
-    assert got.count() > 900 and got.where("near_edited = 0").count() == 0
-    rng = random.Random(6)
-    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
-    lines = {1: draw("0123456789abcdef", 3000), 2: draw("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 3000),
-             3: draw([chr(c) for c in range(0x4E00, 0x9FA0)], 2000), 4: " ".join(draw("абвгде", rng.randrange(1, 10)) for _ in range(300))}
-    texts = make_docs(list(lines.items())).select("doc_id", "text").unionByName(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
-    keys = texts.select("doc_id", "text", sketches.digests(F.col("text"), sketches.passages).alias("a"),
-                        sketches.digests(F.concat(F.lit("x"), "text"), sketches.passages).alias("b"))
-    lost = [(r.n, r.n_lost) for r in keys.selectExpr("size(a) AS n", "size(array_except(a, b)) AS n_lost").collect()]
-    assert max(x for _, x in lost) <= 15 and sum(x for _, x in lost) < 1.2 * len(lost)
-    made = keys.where(F.col("doc_id").isin(*lines) & F.col("text").isin(*lines.values())).selectExpr("size(a) AS n", "size(array_except(a, b)) AS n_lost").collect()
-    assert len(made) == 4 and all(r.n >= 20 and r.n_lost <= 3 for r in made)
-    assert keys.where(F.array_join(sketches.passages(F.col("text")), "") != F.regexp_replace("text", "\n", "")).count() == 0
+    lists = spark.createDataFrame([(i, a, b, sorted(a + [7])) for i, _, a, b in rows], "row long, keys array<long>, x array<long>, y array<long>")
+    wanted = spark.createDataFrame([(i, p) for i, p, _, _ in rows] + [(i, 1) for i, p, _, _ in rows if not p], "row long, pair int")
+    want = {}
+    for i, p, a, b in rows:
+        if not p:
+            want[i, 0] = {(k, 1) for k in set(a) - set(b)} | {(k, -1) for k in set(b) - set(a)}
+        want[i, 1] = {(7, -1)}
+    for digests in (True, False):
+        for rounds in (sketches.ROUNDS, 1):
+            with monkeypatch.context() as m:
+                m.setattr(sketches.peel, "__defaults__", (rounds, False))
+                got = sketches.differences(lists, wanted, 3, ("x", "y"), digests=digests).collect()
+            assert {(r.row, r.pair): r.diff for r in got} == {k: len(v) for k, v in want.items()}
+            assert not digests or {(r.row, r.pair): {(x.digest, x.sign) for x in r.recovered} for r in got} == want
 
 
 # --- mixing ---
