@@ -9,7 +9,7 @@ two. The corpus is cut into pieces that a suffix array of bounded size can hold:
 2. Consecutive windows with one anchor form a fragment. Fragments of repeated anchors travel packed to
    the bucket of their anchor, where equal fragments are folded into one.
 3. In a bucket, suffixes that start a window are sorted by prefix doubling up to `least` bytes, and the
-   ranks of the doubling steps give the common prefix of neighbours (capped at `least`). A position's
+   ranks of the doubling steps give the common prefix of neighbours (capped at `least`; under `FLOOR` bytes: none). A position's
    longest previous factor is the longer of its common prefixes with the previous and the next smaller
    position in suffix order; all are found at once by pointer jumping that carries the shortest common
    prefix on the way. Where it is `least` or more, the window is a later copy. The mirrored array, the
@@ -42,6 +42,7 @@ from costframe.llm.common import col, materialize
 
 LEAST, ANCHOR = 200, 24
 BUCKET_BYTES = 6 << 20
+FLOOR = 16  # bytes: shorter common prefixes count as none (a step of the doubling)
 HOT = 1 << 16
 PACKED_MOST = 1 << 22  # bytes of fragments that one step of a task gathers
 
@@ -158,7 +159,8 @@ def suffix_ranks(data: np.ndarray, least: int) -> list[tuple[int, np.ndarray]]:
 
 
 def common_prefixes(data: np.ndarray, levels: list, least: int, at: np.ndarray) -> np.ndarray:
-    """Common prefix (at most `least`) of each position of `at` with the one before it; 0 for the first.
+    """Common prefix (at most `least`) of each position of `at` with the one before it; 0 for the first, and
+    where it is under `FLOOR` bytes.
 
     Every position of `at` has `least` bytes after it.
     """
@@ -167,7 +169,9 @@ def common_prefixes(data: np.ndarray, levels: list, least: int, at: np.ndarray)
         return out
     same = levels[-1][1][at[1:]] == levels[-1][1][at[:-1]]
     out[1:][same] = least
-    a, b = at[:-1][~same], at[1:][~same]
+    short = dict(levels)[FLOOR]
+    some = np.flatnonzero(~same & (short[at[1:]] == short[at[:-1]]))
+    a, b = at[some], at[some + 1]
     size = np.zeros(len(a), np.int64)
     for step, rank in reversed(levels[:-1]):
         fits = size + step <= least
@@ -177,7 +181,7 @@ def common_prefixes(data: np.ndarray, levels: list, least: int, at: np.ndarray)
     differ = loads[np.minimum(a + size, len(data) - 1)] ^ loads[np.minimum(b + size, len(data) - 1)]
     lowest = differ & (~differ + np.uint64(1))
     more = np.where(differ == 0, 8, np.log2(np.maximum(lowest, np.uint64(1)).astype(np.float64)).astype(np.int64) // 8)
-    out[1:][~same] = np.minimum(size + more, least)
+    out[some + 1] = np.minimum(size + more, least)
     return out
 
 
@@ -187,15 +191,16 @@ def _nearest_smaller(place: np.ndarray, common: np.ndarray) -> np.ndarray:
     Pointers start at the neighbour; one whose place is greater hands on its own pointer and the shortest
     common prefix up to there.
     """
-    point, shortest = np.arange(-1, len(place) - 1), common.copy()
-    open_ones = np.arange(1, len(place))
+    place = place.astype(np.int32)
+    point, shortest = np.arange(-1, len(place) - 1, dtype=np.int32), common.copy()
+    open_ones = np.flatnonzero(common > 0)  # never the first
     while len(open_ones):
         to = point[open_ones]
-        open_ones = open_ones[(to >= 0) & (shortest[open_ones] > 0) & (place[np.maximum(to, 0)] > place[open_ones])]
-        to = point[open_ones]
+        still = place[to] > place[open_ones]
+        open_ones, to = open_ones[still], to[still]
         new_point, new_shortest = point[to], np.minimum(shortest[open_ones], shortest[to])
         point[open_ones], shortest[open_ones] = new_point, new_shortest
-    shortest[point < 0] = 0
+        open_ones = open_ones[(new_shortest > 0) & (new_point >= 0)]
     return shortest
 
 
@@ -206,9 +211,9 @@ def previous_factors(place: np.ndarray, common: np.ndarray) -> np.ndarray:
     return np.maximum(_nearest_smaller(place, common), _nearest_smaller(place[::-1], back)[::-1])
 
 
-def following_factors(place: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The mirrored array: the longest common prefix with a greater place."""
-    return previous_factors(-place, common)
+def following_factors(place: np.ndarray, common: np.ndarray, least: int = 1) -> np.ndarray:
+    """The mirrored array: the longest common prefix with a greater place (0 where it is under `least`)."""
+    return previous_factors(-place, np.where(common >= least, common, 0).astype(common.dtype))
 
 
 def _copies(least: int, keep: str):
@@ -242,7 +247,7 @@ def _copies(least: int, keep: str):
         found = np.zeros(len(place), bool)
         found[suffixes] = previous_factors(place[suffixes], common) >= least
         if keep == "none":  # first copies too; a folded fragment is its own copy
-            found[suffixes] |= following_factors(place[suffixes], common) >= least
+            found[suffixes] |= following_factors(place[suffixes], common, least) >= least
             found |= times[piece] > 1
         windows = np.flatnonzero(found)
         cut = np.ones(len(windows), bool)
@@ -292,8 +297,8 @@ def _hot_spans(rows: DataFrame, least: int, anchor: int, keep: str) -> DataFrame
 def repeated_bytes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, least: int = LEAST, anchor: int = ANCHOR,
                    keep: str = "first", bucket_bytes: int = BUCKET_BYTES, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """(documents with doc_id, text, tie, and the byte spans to remove: doc_id, tie, begin, end)."""
-    if least % 8 or anchor % 8 or not 8 <= anchor <= least:
-        raise ValueError("least and anchor must be multiples of eight, anchor at most least")
+    if least % 8 or anchor % 8 or not 8 <= anchor <= least or least < FLOOR:
+        raise ValueError(f"least and anchor must be multiples of eight, anchor at most least, least at least {FLOOR}")
     base = docs.select(col(doc_id).cast("long").alias("doc_id"), col(text).alias("text"))
     doubles = base.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").limit(1).count()
     base = base.withColumn("tie", F.xxhash64("text") if doubles else F.lit(0).cast("long"))

@@ -96,15 +96,17 @@ def test_previous_factors():
         order = np.lexsort((place, levels[-1][1][at]))
         common = suffix_dedup.common_prefixes(data, levels, least, at[order])
 
-        def prefix(i, j):
+        def prefix(i, j, floor=suffix_dedup.FLOOR):
             same = data[i:i + least] == data[j:j + least]
-            return least if same.all() else int(same.argmin())
+            size = least if same.all() else int(same.argmin())
+            return size if size >= floor else 0
 
         assert common.tolist() == [0] + [prefix(i, j) for i, j in zip(order, order[1:])]
         lpf = [max((prefix(i, j) for j in at if place[j] < place[i]), default=0) for i in at]
         lff = [max((prefix(i, j) for j in at if place[j] > place[i]), default=0) for i in at]
         assert suffix_dedup.previous_factors(place[order], common).tolist() == [lpf[i] for i in order]
         assert suffix_dedup.following_factors(place[order], common).tolist() == [lff[i] for i in order]
+        assert suffix_dedup.following_factors(place[order], common, least).tolist() == [lff[i] if lff[i] >= least else 0 for i in order]
     for n in (0, 1):
         assert suffix_dedup.previous_factors(np.arange(n), np.zeros(n, np.int32)).tolist() == [0] * n
 
