@@ -10,8 +10,8 @@ with `CELLS` cells a subtable is the document's fingerprint.
 
 Two versions are compared by subtracting their fingerprints cell by cell. What both have cancels; a cell
 with one digest left reveals it, and taking it out of its other cells reveals more (peeling). Where cells
-are left over, the comparison is repeated with a larger sketch of both digest lists: first with half a
-cell a subtable for each digest, which recovers every difference but the largest, then with a whole one.
+are left over, the comparison is repeated with a larger sketch of both digest lists: first with 0.6
+cells a subtable for each digest, which recovers nearly every difference, then with a whole one.
 Should that also fail, the digest lists are compared directly, so the result is exact. `differences`
 gives the recovered digests with their sides, or only their number.
 
@@ -41,14 +41,14 @@ from costframe.operators.joins import broadcast_if_small
 
 PIECE = 256
 LONG, LONGEST = 48, 128
-LEAST = 24
+LEAST = 40
 #: A line is cut after these, `LEAST` code points after the last cut at the earliest; in a stretch of `LONG` or more
 #: without them also after the second kind. Texts with characters beyond Latin-1 also have the wide ones: full-width
 #: and ideographic punctuation, kana that end words, and a tenth of the Han characters (every tenth block of 256).
 ENDS, LONG_ENDS = ".!?;:|", r" \t\x0B\f\r,qxzQXZ07"
 WIDE_ENDS = "…、-。！-？"
 WIDE_LONG_ENDS = "のはをに" + "".join(f"{chr(c)}-{chr(c + 255)}" for c in range(0x4E00, 0x9F00, 0xA00))
-CELLS = 5  # of a subtable of the fingerprint
+CELLS = 4  # of a subtable of the fingerprint
 ROUNDS = 6  # of peeling
 TASK_DIGESTS = 1 << 16
 
@@ -142,7 +142,7 @@ def peel(cells: DataFrame, width: str, by: list[str], rounds: int = ROUNDS, dige
 def _width(attempt: int) -> Column:
     """Cells of a subtable at each larger attempt, for digest lists a and b."""
     both = F.size("a") + F.size("b")
-    return (F.greatest(F.lit(CELLS), F.ceil(both / 2) + 2) if attempt == 0 else both + 16).cast("long")
+    return (F.greatest(F.lit(CELLS), F.ceil(both * 0.6) + 2) if attempt == 0 else both + 16).cast("long")
 
 
 def _signed(keys: Column, sign: int) -> Column:
