@@ -307,7 +307,7 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", cu
     n = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), n - F.floor(n / 3).cast("int")), F.col("head"))
     df = rows.select(F.col("d_id").alias("doc_id"), n.cast("long").alias("n_chars"), digests(F.col("text"), cut).alias("keys"), edited.alias("edited"), "next_keys")
-    df = df.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+    df = df.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_chars", F.unhex(F.sha2("edited", 256)).alias("edited_sha256"),
                    "keys", digests(F.col("edited"), cut).alias("edited_keys"), "next_keys")
     df = materialize(with_fingerprints(df), "fingerprint-digests")  # row numbers must not change
     release_shuffles(spark)
@@ -318,7 +318,7 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", cu
         both = F.col("n_keys") + F.col(f"n_{other}")
         return F.when(both == 0, F.lit(1.0)).otherwise((both - F.col(diff)) / (both + F.col(diff))).cast("double")
 
-    sizes = df.select("row", "doc_id", "n_chars", "edited_sha256", F.hex("fingerprint").alias("fingerprint"), F.hex("edited_fingerprint").alias("edited_fingerprint"),
+    sizes = df.select("row", "doc_id", "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"), F.hex("fingerprint").alias("fingerprint"), F.hex("edited_fingerprint").alias("edited_fingerprint"),
                       *[F.size(k).alias(f"n_{k}") for k in ("keys", "edited_keys", "next_keys")])
     return sizes.join(diffs, "row").select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                                            like("edited_keys", "diff0").alias("near_edited"), like("next_keys", "diff1").alias("near_next"))
