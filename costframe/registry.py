@@ -290,12 +290,21 @@ def q_json_rows(spark, sf):
 NAT_DAYS = ("2024-01-03", "2024-01-04")   # two days of the metric points
 
 
+def _by_day(lines: DataFrame) -> DataFrame:
+    """Export of `fx.billing_lines`, dealt out and sorted by export day for a write by this day.
+
+    The narrow rows travel and are sorted; the wide ones are made where they are written. Small days share
+    a task, a large one is split over several.
+    """
+    return fx.as_export(lines.hint("rebalance", "partition_date").sortWithinPartitions("partition_date"))
+
+
 def _stored_export(spark, sf):
     """The billing export written as an export table has it: partitioned, money as DOUBLE."""
     path = scratch_path(spark, "billing-export")
-    be = fx.billing_export(spark, sf).withColumn("cost", F.col("cost").cast("double"))
+    be = _by_day(fx.billing_lines(spark, sf)).withColumn("cost", F.col("cost").cast("double"))
     be = be.withColumn("credits", F.transform("credits", lambda c: F.struct(c["type"].alias("type"), c["amount"].cast("double").alias("amount"))))
-    be.repartition("partition_date").write.partitionBy("partition_date").parquet(path)
+    be.write.partitionBy("partition_date").parquet(path)
     return read_billing_export(spark, path)
 
 
@@ -394,24 +403,24 @@ def _instant(c) -> F.Column:
 
 
 def _write_export(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Lines as an export table stores them: times as instants, one folder per export day."""
-    instants = lines.withColumns({c: _instant(F.col(c)) for c in ("usage_start_time", "usage_end_time", "export_time")})
-    instants.repartition("partition_date").write.mode(mode).partitionBy("partition_date").parquet(path)
+    """`fx.billing_lines` as an export table stores them: times as instants, one folder per export day."""
+    instants = _by_day(lines).withColumns({c: _instant(F.col(c)) for c in ("usage_start_time", "usage_end_time", "export_time")})
+    instants.write.mode(mode).partitionBy("partition_date").parquet(path)
 
 
 @query("compute_instance_cost_from_instants")
 def q_compute_instance_cost_from_instants(spark, sf):
     """R1 over an export whose times are TIMESTAMPs."""
     path = scratch_path(spark, "instant-export")
-    _write_export(fx.billing_export(spark, sf), path)
+    _write_export(fx.billing_lines(spark, sf), path)
     return compute.compute_instance_cost(read_billing_export(spark, path))
 
 
 def _late_export(spark, sf, path):
     """Two deliveries of the export: (write the first, write the second)."""
-    lines = fx.billing_export(spark, sf)
-    late = (F.to_date("usage_start_time").isin([F.lit(d).cast("date") for d in LATE_USAGE])
-            & (F.crc32(F.concat_ws("|", "sku.id", F.col("cost").cast("string"))) % 3 == 0))
+    lines = fx.billing_lines(spark, sf)
+    late = (F.to_date(fx.export_column("usage_start_time")).isin([F.lit(d).cast("date") for d in LATE_USAGE])
+            & (F.crc32(F.concat_ws("|", fx.export_column("sku")["id"], fx.export_column("cost").cast("string"))) % 3 == 0))
     dealt = lines.withColumn("partition_date", F.when(late, F.lit(LATE_DAY).cast("date")).otherwise(F.col("partition_date")))
     second = F.col("partition_date") >= F.lit(LATE_FROM).cast("date")
     return lambda: _write_export(dealt.where(~second), path), lambda: _write_export(dealt.where(second), path, "append")
@@ -434,7 +443,7 @@ def q_late_days_recomputed(spark, sf):
 def q_compute_instance_cost_indexed_day(spark, sf):
     """R1 of one old day, read only from the export partitions that the index names for it."""
     export, index = (scratch_path(spark, f"indexed-{n}") for n in ("export", "index"))
-    _write_export(fx.billing_export(spark, sf), export)
+    _write_export(fx.billing_lines(spark, sf), export)
     change = export_index.changes(spark, export, index)
     export_index.commit(change, index, change.partitions)
     return compute.compute_instance_cost(daily.lines_of_days(spark, export, export_index.read_index(spark, index), [REPORT_DAY]))

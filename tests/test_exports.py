@@ -8,12 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from costframe import fixtures as fx
 from costframe import oracle_patterns
 from costframe.operators.prefix_join import like_join
 from costframe.plans import compute, daily, skumap
 from costframe.plans.common import days_filter
-from costframe.registry import QUERIES, _instant
-from costframe.schema import METRIC_POINTS, PRICING_EXPORT
+from costframe.registry import QUERIES, _by_day, _instant, _write_export
+from costframe.schema import BILLING_EXPORT, METRIC_POINTS, PRICING_EXPORT
 from costframe.session import release_scratch, scratch_path, scratch_scope
 from costframe.sinks import tables
 from costframe.sinks.files import read_sku_map_version, write_sku_map_version
@@ -221,6 +222,44 @@ def test_days_filter_joins_runs_of_days(spark):
     assert got == want and df.where(days_filter([])).count() == 0
 
 
+def one_day_tables(spark, path, n=20000):
+    """Orders and lineitem whose lines fall on one export day."""
+    key = (F.col("id") * 2160).cast("long")
+    spark.range(n).select(key.alias("o_orderkey"), (F.col("id") % 97).alias("o_custkey")).write.parquet(f"{path}/orders.parquet")
+    spark.range(n).select(
+        key.alias("l_orderkey"), (F.col("id") * 7919 % 2000).alias("l_partkey"), (F.col("id") * 31 % 100).alias("l_suppkey"), F.lit(1).alias("l_linenumber"),
+        (F.col("id") % 50 + 0.0).alias("l_quantity"), (F.col("id") % 9973 + 0.25).alias("l_extendedprice"),
+        F.expr("CASE WHEN id % 5 <> 4 THEN id % 5 * 0.02D END").alias("l_discount"), F.expr("CASE WHEN id % 7 <> 6 THEN id % 7 * 0.02D END").alias("l_tax"),
+    ).write.parquet(f"{path}/lineitem.parquet")
+
+
+def test_a_large_export_day_is_written_by_several_tasks(spark, tmp_path):
+    """Narrow rows are dealt out and sorted, not lines as exported."""
+    one_day_tables(spark, str(tmp_path))
+    lines, path = fx.billing_lines(spark, str(tmp_path)), str(tmp_path / "export")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        _write_export(lines, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    (day,) = [n for n in os.listdir(path) if n.startswith("partition_date")]
+    assert len([n for n in os.listdir(f"{path}/{day}") if n.endswith(".parquet")]) > 1
+    direct = conform(fx.billing_export(spark, str(tmp_path)), BILLING_EXPORT)
+    line_hash = F.xxhash64(F.to_json(F.struct(*direct.columns))).cast("decimal(38,0)")
+    total = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(line_hash)).first())
+    assert total(read_billing_export(spark, path)) == total(direct) and total(direct)[0] == 20000
+    dealt = [p for p in plan_of(_by_day(lines)).split("\n\n") if "REBALANCE" in p]
+    assert dealt and not any("labels" in p for p in dealt)
+
+
+def test_credits_of_a_line_keep_their_order(spark, tmp_path):
+    one_day_tables(spark, str(tmp_path), 2000)
+    rows = fx.billing_lines(spark, str(tmp_path))
+    seen = {tuple(c["type"] for c in r.credits) for r in fx.as_export(rows).select("credits").collect()}
+    assert {(), ("PROMOTION",), ("SUSTAINED_USAGE_DISCOUNT",), ("SUSTAINED_USAGE_DISCOUNT", "PROMOTION")} <= seen
+    assert not any(t[:1] == ("PROMOTION",) and len(t) > 1 for t in seen)
+
+
 # --- metric values -------------------------------------------------------------------------------------------
 
 def stored_points(spark, tmp_path, value):
