@@ -39,7 +39,7 @@ from costframe.llm.common import col, free_name
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 RATE, SEED = 0.1, 20240601
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20  # working arrays take some 65 bytes a byte of it
 LONG = 64
 WIDTHS = (1, 3, 5, 7, 9, 12, 16, 24, 40, LONG)  # of the matrices
 BLOCK = 1 << 19  # cells: occurrences that are segmented together, by their width
@@ -319,15 +319,18 @@ def encode_texts(v: Vocabulary, column: pa.Array, document: np.ndarray, seed: in
     grown = sizes + (sizes > 0)  # the leading space of a text that is not empty
     offsets = np.concatenate([[0], np.cumsum(grown)])
     data = np.full(offsets[-1], 32, np.uint8)
-    shift = np.repeat(np.cumsum(sizes > 0), sizes)
-    data[np.arange(len(raw)) + shift] = raw
     if not len(data):
         return np.zeros(0, np.int32), offsets
+    own = np.ones(len(data), bool)
+    own[offsets[:-1][sizes > 0]] = False
+    data[own] = raw
+    del own
     space, feed = data == 32, data == 10
     begins = np.zeros(len(data), bool)
     begins[1:] = (space[1:] & ~space[:-1]) | (feed[1:] != feed[:-1])
     begins[offsets[:-1][offsets[:-1] < len(data)]] = True
     starts = np.flatnonzero(begins)
+    del space, feed, begins
     ends = np.append(starts[1:], len(data))
     row = np.searchsorted(offsets, starts, side="right") - 1
     spans = W.span_hashes(data, starts, ends)
@@ -337,13 +340,17 @@ def encode_texts(v: Vocabulary, column: pa.Array, document: np.ndarray, seed: in
     limit = int(rate * 2**32)
     salts = W.mix(np.asarray(document).astype(np.uint64) * np.uint64(_B) + np.uint64((seed * _A + 1) & _ALL))
     place = np.arange(len(starts)) - np.searchsorted(starts, offsets)[row]
-    key = W.mix(spans ^ W.mix(salts[row] + place.astype(np.uint64) * np.uint64(_C)))
-    ids, at, result = _encode_chunks(v, *_picked(data, starts[one], ends[one]), np.cumsum(new) - 1, key[order], limit)
+    key = W.mix(spans ^ W.mix(salts[row] + place.astype(np.uint64) * np.uint64(_C)))[order]
+    chunks, chunk, rows = _picked(data, starts[one], ends[one]), np.cumsum(new) - 1, np.searchsorted(starts, offsets)
+    del data, starts, ends, row, spans, new, one, place  # arrays of the slice go as soon as they have served
+    ids, at, result = _encode_chunks(v, *chunks, chunk, key, limit)
+    del chunks, chunk, key
     back = np.empty(len(order), np.int64)
     back[order] = result
+    del order, result
     n = np.diff(at)[back]
     out = W.gather(ids, at[:-1][back], n)
-    return out, np.concatenate([[0], np.cumsum(n)])[np.searchsorted(starts, offsets)]
+    return out, np.concatenate([[0], np.cumsum(n)])[rows]
 
 
 def _picked(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
@@ -373,11 +380,11 @@ def document_keys(ids: pa.Array, texts: pa.Array) -> np.ndarray:
     return keys
 
 
-def _tasks(model: dict, seed: int, rate: float, extend):
+def _tasks(model: dict, seed: int, rate: float, extend, text: str = "__text"):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in W.text_slices(batches, "__text", SLICE_BYTES):
+        for batch in W.text_slices(batches, text, SLICE_BYTES):
             v = vocabulary(model)
-            texts = batch.column("__text")
+            texts = batch.column(text)
             ids, offsets = encode_texts(v, texts, document_keys(batch.column("__id"), texts), seed, rate)
             tokens = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
             yield extend(v, batch, ids, offsets, tokens)
@@ -399,7 +406,9 @@ def encode(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", model
     tokens, count = free_name(docs, "tokens"), free_name(docs, "n_tokens")
     more = [free_name(docs, "decoded_sha256")] if decoded else []
     names = [f"__c{i}" for i in range(len(docs.columns))]
-    rows = docs.select(*[col(c).alias(n) for c, n in zip(docs.columns, names)], col(doc_id).cast("long").alias("__id"), col(text).alias("__text"))
+    own = dict(zip(docs.columns, names)).get(text, "__text")  # the text travels once
+    rows = docs.select(*[col(c).alias(n) for c, n in zip(docs.columns, names)], col(doc_id).cast("long").alias("__id"),
+                       *([col(text).alias(own)] if own not in names else []))
 
     def extend(v, batch, ids, offsets, token_lists):
         columns = [batch.column(n) for n in names]
@@ -407,7 +416,7 @@ def encode(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", model
         return pa.RecordBatch.from_arrays([*columns, token_lists, pa.array(np.diff(offsets)), *digests], names=[*names, tokens, count, *more])
 
     fields = ", ".join(f"{n} {kind}" for n, (_, kind) in zip(names, docs.dtypes))
-    out = rows.mapInArrow(_tasks(read_model(model_path), seed, rate, extend),
+    out = rows.mapInArrow(_tasks(read_model(model_path), seed, rate, extend, own),
                           ", ".join([fields, f"{tokens} array<int>", f"{count} long", *(f"{m} string" for m in more)]))
     return out.select(*[col(n).alias(c) for n, c in zip(names, docs.columns)], tokens, count, *more)
 

@@ -269,3 +269,26 @@ def test_pipeline_edges(spark, make_docs):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf)
         assert docs.count() == 0
+
+
+def test_encoder_memory_is_small(make_docs):
+    """Arrays of a slice go when they have served, and a text travels to the workers once."""
+    import random
+    import tracemalloc
+
+    import pyarrow as pa
+
+    r = random.Random(1)
+    texts = pa.array([" ".join("".join(r.choices("etaoinshrdlu", k=r.randint(2, 9))) for _ in range(300)) for _ in range(300)])
+    keys, v = M.document_keys(pa.array(range(300), pa.int64()), texts), M.vocabulary(M.read_model())
+    M.encode_texts(v, texts[:1], keys[:1], 1, 0.1)
+    tracemalloc.start()
+    try:
+        M.encode_texts(v, texts, keys, 1, 0.1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 75 * sum(map(len, texts.to_pylist()))  # 84 with all arrays kept
+    assert M.SLICE_BYTES * 75 < 100 << 20
+    plan = M.encode(make_docs([(1, "a text")]))._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "__text" not in plan
