@@ -13,6 +13,9 @@ has an exact quota of every source. A source's permuted draws are dealt to the s
 shards are disjoint; inside a shard rows are ordered by another keyed hash (the local shuffle). All
 random choices are hashes of the seed: reruns agree.
 
+The last plan joins the texts to the written plan of the mix, once for places of one row and once for
+others: the driver plans each step over written tables and keeps no large plan.
+
 Memory: the source table (one row per source) and the tree's quota arrays are the only things that one
 task sees whole. Documents are only ever summed per block, and joined to the source and block tables.
 
@@ -127,8 +130,9 @@ def split_quotas(quotas: DataFrame, shards: int = SHARDS, seed: str = SEED) -> D
         def step(acc, q):
             u = F.pmod(F.xxhash64(F.lit(seed), F.col("first"), F.col("width"), q["source"]), F.lit(1 << 52)) / F.lit(float(1 << 52))
             x = F.when(acc["left"] > 0, hypergeometric(acc["left"], q["draws"], acc["draws"], u)).otherwise(F.lit(0).cast("long"))
-            return F.struct((acc["left"] - q["draws"]).alias("left"), (acc["draws"] - x).alias("draws"),
-                            F.array_append(acc["out"], F.struct(q["source"].alias("source"), x.alias("draws"))).cast(item).alias("out"))
+            return _once(x, lambda part: F.struct(
+                (acc["left"] - q["draws"]).alias("left"), (acc["draws"] - part).alias("draws"),
+                F.array_append(acc["out"], F.struct(q["source"].alias("source"), part.alias("draws"))).cast(item).alias("out")))
 
         chosen = F.when(F.col("width") > 1, F.aggregate("quotas", start, step, lambda a: a["out"])).otherwise(F.col("quotas"))
         nodes = nodes.withColumn("part", chosen)
@@ -175,21 +179,21 @@ def plan_mix(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", sou
     rows = base.join(known, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b"))).drop("s", "b")
 
     # level 2: the same inside the block at the edge, then document by document inside one part
-    edge = rows.where("state = 1")
     need = broadcast_if_small(dims.select("s", "rest"))
-    parts = edge.groupBy("source", "part").agg(F.sum("size").alias("words"), F.max("before").alias("start"))
+    parts = rows.where("state = 1").groupBy("source", "part").agg(F.sum("size").alias("words"), F.max("before").alias("start"))
     in_part = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
     parts = parts.withColumn("upto", F.col("start") + F.sum("words").over(in_part)).join(
         need, F.col("source").eqNullSafe(F.col("s"))).select(
         F.col("source").alias("s"), F.col("part").alias("p"), F.col("rest"), (F.col("upto") - F.col("words")).alias("part_before"),
         F.when(F.col("upto") <= F.col("rest"), 2).when(F.col("upto") - F.col("words") < F.col("rest"), 1).otherwise(0).alias("part_state"))
-    edge = edge.join(broadcast_if_small(parts), F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
+    parts = materialize(parts, "mix-parts")
+    rows = rows.join(broadcast_if_small(parts), (F.col("state") == 1) & F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")), "left")
+    at_cut = (F.col("state") == 1) & (F.col("part_state") == 1)
     by_doc = Window.partitionBy("source").orderBy("place", F.col("doc_id").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
-    cut = edge.where("part_state = 1").withColumn("last", F.col("part_before") + F.sum("size").over(by_doc) <= F.col("rest"))
+    cut = rows.where(at_cut).withColumn("last", F.col("part_before") + F.sum("size").over(by_doc) <= F.col("rest"))
     names = ["doc_id", "source", "size", "place", "number"]
-    chosen = (rows.where("state <> 1").select(*names, (F.col("state") == 2).alias("last"))
-              .unionByName(edge.where("part_state <> 1").select(*names, (F.col("part_state") == 2).alias("last")))
-              .unionByName(cut.select(*names, "last")))
+    whole = F.when(F.col("state") == 1, F.col("part_state")).otherwise(F.col("state")) == 2
+    chosen = rows.where(~F.coalesce(at_cut, F.lit(False))).select(*names, whole.alias("last")).unionByName(cut.select(*names, "last"))
 
     chosen = _filled(chosen, ranked, targets)
 
@@ -228,6 +232,7 @@ def _filled(chosen: DataFrame, ranked: DataFrame, targets: DataFrame) -> DataFra
     chosen = materialize(chosen.withColumn("last_number", F.col("number")), "mix-chosen")
     edges = ranked.where("state = 1").select(F.col("source").alias("e"), F.col("number").alias("edge"))
     rest = targets.select(F.col("source").alias("t"), "rest").join(edges, F.col("t").eqNullSafe(F.col("e"))).drop("e")
+    rest = materialize(rest, "mix-rest")
     filled = materialize(_flipped(chosen, _fits(chosen, _room(chosen, rest)), rest), "mix-filled")
     return _flipped(filled, _swaps(filled, _room(filled, rest)), rest)
 
@@ -296,7 +301,7 @@ def mix(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", source:
     plan = plan_mix(docs, text=text, doc_id=doc_id, source=source, seed=seed, **options)
     place, rows_there, shard, twin = (free_name(docs, f"mix_{n}") for n in ("place", "rows", "shard", "twin"))
     taken = plan.groupBy("order").agg(F.count(F.lit(1)).alias(rows_there), F.flatten(F.collect_list("shards")).alias(shard))
-    taken = taken.where(F.size(shard) > 0).hint("shuffle_hash")
+    taken = materialize(taken.where(F.size(shard) > 0), "mix-taken").hint("shuffle_hash")  # both joins below read it
     rows = docs.withColumn(place, _place(col(doc_id), F.coalesce(col(text), F.lit("")), col(source), seed))
     joined = rows.join(taken, col(place) == F.col("order")).drop("order") if "order" not in docs.columns else (
         rows.join(taken.withColumnRenamed("order", place + "_p"), col(place) == col(place + "_p")).drop(place + "_p"))

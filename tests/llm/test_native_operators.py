@@ -346,6 +346,14 @@ def test_mix_table(sf_docs):
     check_mix(sf_docs, shards=5, rerun=True)
 
 
+def test_mix_keeps_the_drivers_plan_small(make_docs):
+    """The last plan only joins the texts to the written plan of the mix, for single and for several rows of a place."""
+    mixed = mixing.mix(make_docs([(i, "w " * (i % 7), f"s{i % 3}") for i in range(40)] + [(1, "w ", "s1")]))
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"\bJoin ", plan)) == 2
+    assert "Aggregate" not in plan
+
+
 def test_mix_rows(make_docs):
     docs = make_docs([(i, f"w{i} " * (i % 7 + 1), "ab"[i % 2]) for i in range(200)] + [(7, "twin", "a"), (7, "twin", "a")])
     docs = docs.withColumn("order", F.lit("o")).withColumn("mix_place", F.lit("p"))
